@@ -6,12 +6,11 @@ from datetime import datetime, timedelta
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
 from flowspark import schemas
 from flowspark.operators.joins import id_join, lifetime_join
 
-FLOW_COLUMNS = StructType.fromDDL(schemas.AWS_FLOW_LOGS).fieldNames()
+FLOW_COLUMNS = [field.split()[0] for field in schemas.AWS_FLOW_LOGS.split(",")]
 _SPREAD_BY = ["srcaddr", "dstaddr", "srcport", "dstport", "starttime"]
 
 

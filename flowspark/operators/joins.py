@@ -85,7 +85,7 @@ def id_join(
 def _slice_of(
     ts: Column, now: datetime | Column | None, lookback: str | timedelta, slices: int
 ) -> Column:
-    """Number of the time slice, clamped to 0 .. slices-1. Never decreasing in `ts`."""
+    """Number of the time slice, clamped to 0 .. slices-1. Never decreasing in `ts`, which must not be null."""
     oldest = F.unix_seconds(ago(now, lookback))
     width = (F.unix_seconds(instant(now)) - oldest) / F.lit(slices)
     number = F.floor((F.unix_seconds(ts) - oldest) / width)
@@ -128,7 +128,7 @@ def lifetime_join(
     start, end = F.col(right_start), F.col(right_end)
     can_match = F.col(right_ip).isNotNull() & start.isNotNull()
     can_match &= (end.isNull() | (end >= start)) if open_end else (end >= start)
-    last = F.coalesce(_slice_of(end, *slice_args), F.lit(slices - 1))
+    last = F.when(end.isNull(), slices - 1).otherwise(_slice_of(end, *slice_args))
     alive = right.where(can_match).withColumn(
         "_alive_slice", F.explode(F.sequence(_slice_of(start, *slice_args), last))
     )

@@ -1,4 +1,4 @@
-from .jsontext import as_json, canonical_json, decode, scalar_text
+from .jsontext import as_json, canonical_json, document, explode_parsed, field, parse_once
 from .tags import tag, tags_to_map
 from .text import nth, text_or_null
 from .times import ago, in_window, instant, launch_instant, minute_index, minutes_between, timebound
@@ -7,14 +7,16 @@ __all__ = [
     "ago",
     "as_json",
     "canonical_json",
-    "decode",
+    "document",
+    "explode_parsed",
+    "field",
     "in_window",
     "instant",
     "launch_instant",
     "minute_index",
     "minutes_between",
     "nth",
-    "scalar_text",
+    "parse_once",
     "tag",
     "tags_to_map",
     "text_or_null",

@@ -7,7 +7,15 @@ from datetime import datetime, timedelta
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from flowspark.functions import decode, launch_instant, scalar_text, tags_to_map, timebound
+from flowspark.functions import (
+    as_json,
+    document,
+    explode_parsed,
+    field,
+    launch_instant,
+    tags_to_map,
+    timebound,
+)
 from flowspark.functions.tags import TAG_LIST, TAG_MAP
 from flowspark.operators.joins import next_start
 
@@ -35,67 +43,70 @@ NETWORK_INTERFACES = "array<struct<privateIpAddress: string, networkInterfaceId:
 
 def _config_sightings(config: DataFrame, now, lookback) -> DataFrame:
     """One row per interface of each recorded instance configuration."""
-    recorded = timebound(config, "recorded_at", now, lookback).where(
-        F.col("resource_type") == "AWS::EC2::Instance"
-    )
-    conf = F.col("configuration")
+    doc = F.col("doc")
     tags = F.coalesce(
-        tags_to_map(decode(conf, "$.Tags", TAG_LIST), "Key", "Value"),
-        tags_to_map(decode(conf, "$.tags", TAG_LIST), "key", "value"),
+        tags_to_map(field(doc, "$.Tags", TAG_LIST), "Key", "Value"),
+        tags_to_map(field(doc, "$.tags", TAG_LIST), "key", "value"),
     )
-    launched = F.coalesce(scalar_text(conf, "$.LaunchTime"), scalar_text(conf, "$.launchTime"))
-    return recorded.select(
-        "account_id",
-        F.col("resource_id").alias("instance_id"),
-        "recorded_at",
-        F.lit("AWS_CONFIG").alias("flag"),
-        F.to_json(tags).alias("tags"),
-        launch_instant(launched).alias("launched"),
-        conf.alias("details"),
-        F.explode(decode(conf, "$.networkInterfaces", NETWORK_INTERFACES)).alias("interface"),
-    ).withColumn("ip_address", F.col("interface.privateIpAddress")).drop("interface")
-
-
-def _launch_sightings(cloudtrail: DataFrame, now, lookback) -> DataFrame:
-    """One row per instance of each launch event."""
-    item = F.col("details")
-    return (
-        timebound(cloudtrail, "recorded_at", now, lookback)
-        .where(F.col("event_name") == "RunInstances")
+    launched = F.coalesce(field(doc, "$.LaunchTime"), field(doc, "$.launchTime"))
+    snapshots = (
+        timebound(config, "recorded_at", now, lookback)
+        .where(F.col("resource_type") == "AWS::EC2::Instance")
+        .withColumn("doc", document(F.col("configuration")))
         .select(
-            F.col("recipient_account_id").alias("account_id"),
+            "account_id",
+            F.col("resource_id").alias("instance_id"),
             "recorded_at",
-            F.lit("CLOUDTRAIL").alias("flag"),
-            F.explode(_items(F.col("response_elements"))).alias("details"),
+            F.lit("AWS_CONFIG").alias("flag"),
+            as_json(tags).alias("tags"),
+            launch_instant(launched).alias("launched"),
+            F.col("configuration").alias("details"),
+            field(doc, "$.networkInterfaces", NETWORK_INTERFACES).alias("interfaces"),
         )
-        .withColumn("instance_id", scalar_text(item, "$.instanceId"))
-        .withColumn("ip_address", scalar_text(item, "$.privateIpAddress"))
-        .withColumn(
-            "tags",
-            F.to_json(tags_to_map(decode(item, "$.tagSet.items", TAG_LIST), "key", "value")),
-        )
-        .withColumn("launched", launch_instant(scalar_text(item, "$.launchTime")))
     )
+    return (
+        explode_parsed(snapshots, F.col("interfaces"), "interface")
+        .withColumn("ip_address", F.col("interface.privateIpAddress"))
+        .drop("interfaces", "interface")
+    )
+
 
+def _items(events: DataFrame) -> DataFrame:
+    """One row per instance of each event, the instance as a document `item`."""
+    parsed = events.withColumn(
+        "items", field(document(F.col("response_elements")), "$.instancesSet.items", "array<variant>")
+    )
+    return explode_parsed(parsed, F.col("items"), "item").drop("items")
 
-def _items(response: Column) -> Column:
-    """The instances of an event, each as JSON text."""
-    return decode(response, "$.instancesSet.items", "array<string>")
+
+def _launch_sightings(cloudtrail: DataFrame, now, lookback) -> DataFrame:
+    """One row per instance of each launch event."""
+    item = F.col("item")
+    launches = timebound(cloudtrail, "recorded_at", now, lookback).where(
+        F.col("event_name") == "RunInstances"
+    )
+    return _items(launches).select(
+        F.col("recipient_account_id").alias("account_id"),
+        field(item, "$.instanceId").alias("instance_id"),
+        "recorded_at",
+        F.lit("CLOUDTRAIL").alias("flag"),
+        as_json(tags_to_map(field(item, "$.tagSet.items", TAG_LIST), "key", "value")).alias("tags"),
+        launch_instant(field(item, "$.launchTime")).alias("launched"),
+        as_json(item).alias("details"),
+        field(item, "$.privateIpAddress").alias("ip_address"),
+    )
 
 
 def _ends(cloudtrail: DataFrame, now, lookback) -> DataFrame:
     """Latest stop or termination per account and instance."""
+    stops = timebound(cloudtrail, "event_time", now, lookback).where(
+        F.col("event_name").isin("StopInstances", "TerminateInstances")
+    )
     return (
-        timebound(cloudtrail, "event_time", now, lookback)
-        .where(F.col("event_name").isin("StopInstances", "TerminateInstances"))
-        .select(
-            F.col("recipient_account_id").alias("end_account"),
-            "event_time",
-            F.explode(_items(F.col("response_elements"))).alias("item"),
-        )
-        .groupBy("end_account", scalar_text(F.col("item"), "$.instanceId").alias("end_instance"))
+        _items(stops)
+        .groupBy("recipient_account_id", field(F.col("item"), "$.instanceId").alias("end_instance"))
         .agg(F.max("event_time").alias("ended_at"))
-        .drop("end_account")
+        .drop("recipient_account_id")
     )
 
 
@@ -172,24 +183,28 @@ def aws_instances(
 
 def _requested_interfaces(cloudtrail: DataFrame) -> DataFrame:
     """Successful interface creations, with a guess at what the interface is for."""
-    response = F.col("response_elements")
-    events = cloudtrail.where(
-        (F.col("event_name") == "CreateNetworkInterface") & F.col("error_code").isNull()
-    ).withColumn("request_description", scalar_text(F.col("request_parameters"), "$.description"))
+    response = F.col("response")
+    events = (
+        cloudtrail.where(
+            (F.col("event_name") == "CreateNetworkInterface") & F.col("error_code").isNull()
+        )
+        .withColumn("response", document(F.col("response_elements")))
+        .withColumn("request_description", field(document(F.col("request_parameters")), "$.description"))
+    )
     kind = None
     for column, test, value, name in INTERFACE_TYPE_RULES:
         c = F.col(column)
         hit = {"is": c == value, "starts": c.startswith(value), "ends": c.endswith(value)}[test]
         kind = F.when(hit, name) if kind is None else kind.when(hit, name)
-    instance = scalar_text(response, "$.instanceId")
+    instance = field(response, "$.instanceId")
     kind = kind.when(instance.isNull(), "ec2-instance").otherwise("unknown")
     return events.withColumn("object_type", kind).select(
         F.col("event_time").alias("recorded_at"),
         F.col("recipient_account_id").alias("account_id"),
-        scalar_text(response, "$.networkInterface.networkInterfaceId").alias("eni_id"),
+        field(response, "$.networkInterface.networkInterfaceId").alias("eni_id"),
         F.coalesce(
-            scalar_text(response, "$.networkInterface.privateIpAddress"),
-            scalar_text(response, "$.privateIpAddress"),
+            field(response, "$.networkInterface.privateIpAddress"),
+            field(response, "$.privateIpAddress"),
         ).alias("private_ip"),
         "object_type",
         F.when(F.col("object_type") == "network_load_balancer", F.col("request_description"))
@@ -202,49 +217,38 @@ def _requested_interfaces(cloudtrail: DataFrame) -> DataFrame:
 
 def _launched_interfaces(cloudtrail: DataFrame) -> DataFrame:
     """Interfaces of launched instances."""
-    return (
-        cloudtrail.where(F.col("event_name") == "RunInstances")
-        .select(
-            F.col("event_time").alias("recorded_at"),
-            F.col("recipient_account_id").alias("account_id"),
-            F.explode(_items(F.col("response_elements"))).alias("item"),
-        )
-        .select(
-            "recorded_at",
-            "account_id",
-            scalar_text(F.col("item"), "$.instanceId").alias("eni_instance_id"),
-            F.explode(decode(F.col("item"), "$.networkInterfaceSet.items", NETWORK_INTERFACES)).alias("nic"),
-        )
-        .select(
-            "recorded_at",
-            "account_id",
-            F.col("nic.networkInterfaceId").alias("eni_id"),
-            F.col("nic.privateIpAddress").alias("private_ip"),
-            F.lit("ec2-instance").alias("object_type"),
-            F.lit("ec2-instance").alias("object_name"),
-            "eni_instance_id",
-            F.lit("run_instance_cloudtrail").alias("source"),
-        )
+    launched = _items(cloudtrail.where(F.col("event_name") == "RunInstances"))
+    nics = field(F.col("item"), "$.networkInterfaceSet.items", NETWORK_INTERFACES)
+    return explode_parsed(launched, nics, "nic").select(
+        F.col("event_time").alias("recorded_at"),
+        F.col("recipient_account_id").alias("account_id"),
+        F.col("nic.networkInterfaceId").alias("eni_id"),
+        F.col("nic.privateIpAddress").alias("private_ip"),
+        F.lit("ec2-instance").alias("object_type"),
+        F.lit("ec2-instance").alias("object_name"),
+        field(F.col("item"), "$.instanceId").alias("eni_instance_id"),
+        F.lit("run_instance_cloudtrail").alias("source"),
     )
 
 
 def _recorded_interfaces(config: DataFrame, instances: DataFrame) -> DataFrame:
     """Interfaces of configuration snapshots, with the instance that lists them."""
-    details = F.col("details")
+    details = F.col("doc")
     listed = F.coalesce(
         F.transform(
-            decode(details, "$.NetworkInterfaces", "array<struct<NetworkInterfaceId: string>>"),
+            field(details, "$.NetworkInterfaces", "array<struct<NetworkInterfaceId: string>>"),
             lambda nic: nic["NetworkInterfaceId"],
         ),
         F.transform(
-            decode(details, "$.networkInterfaces", NETWORK_INTERFACES),
+            field(details, "$.networkInterfaces", NETWORK_INTERFACES),
             lambda nic: nic["networkInterfaceId"],
         ),
     )
     # Only the greatest instance id per interface can reach the result, so
     # repeated listings are folded before the join.
+    described = instances.select("instance_id", document(F.col("details")).alias("doc"))
     owners = (
-        instances.select("instance_id", F.explode(listed).alias("listed_eni"))
+        explode_parsed(described, listed, "listed_eni")
         .groupBy("listed_eni")
         .agg(F.max("instance_id").alias("listed_instance"))
     )
@@ -252,7 +256,7 @@ def _recorded_interfaces(config: DataFrame, instances: DataFrame) -> DataFrame:
     plain = F.col("interface_type") == "interface"
     on_ec2 = (
         plain
-        & scalar_text(F.col("attachment"), "$.PublicDnsName").startswith("ec2-")
+        & field(document(F.col("attachment")), "$.PublicDnsName").startswith("ec2-")
         & F.col("groups").isNotNull()
     )
     addresses, about = F.col("private_ip_addresses"), F.col("description")

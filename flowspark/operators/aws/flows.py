@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from flowspark import schemas
-from flowspark.operators.joins import id_join, lifetime_join
+from flowspark.operators.joins import BROADCAST_LIMIT_BYTES, id_join, is_small, lifetime_join
 
 FLOW_COLUMNS = [field.split()[0] for field in schemas.AWS_FLOW_LOGS.split(",")]
 _SPREAD_BY = ["srcaddr", "dstaddr", "srcport", "dstport", "starttime"]
@@ -31,15 +31,17 @@ def aws_flow_logs_join_ec2(
     now: datetime | Column | None = None,
     lookback: str | timedelta = "30 days",
     open_end: bool = True,
+    broadcast_limit: int = BROADCAST_LIMIT_BYTES,
 ) -> DataFrame:
     """Flows with the instance that owns the interface (`src_*`) and the peer instance (`dst_*`).
 
     The owner is found by instance id, the peer by the other address and the time. So `src_*` is the
     owner whatever the direction of the flow; `owner_is_src` tells it. An instance with
-    several addresses gives several rows. `now` and `lookback` only size the join, see
-    `lifetime_join`.
+    several addresses gives several rows. `instances` is measured, and broadcast up to
+    `broadcast_limit` bytes; `now` and `lookback` only size the join beyond it, see `lifetime_join`.
     """
     entity = ["instance_id", "account_id", "tags", "details"]
+    small = is_small(instances.select(*entity, "ip_address"), broadcast_limit)
     owners = instances.select(
         *[F.col(c).alias(f"src_{c}") for c in entity], F.col("ip_address").alias("_owner_ip")
     )
@@ -50,7 +52,7 @@ def aws_flow_logs_join_ec2(
         F.col("window_end").alias("_peer_end"),
     )
     owned = (
-        id_join(flows, owners, "instanceid", "src_instance_id", _SPREAD_BY)
+        id_join(flows, owners, "instanceid", "src_instance_id", _SPREAD_BY, small)
         .withColumn("owner_is_src", F.col("srcaddr") == F.col("_owner_ip"))
         .withColumn("_peer_ip", _peer_ip(F.col("_owner_ip")))
     )
@@ -65,6 +67,7 @@ def aws_flow_logs_join_ec2(
         spread_by=_SPREAD_BY,
         condition=F.col("dst_instance_id") != F.col("instanceid"),
         open_end=open_end,
+        small=small,
         now=now,
         lookback=lookback,
     ).select(
@@ -81,11 +84,13 @@ def aws_flow_logs_join_enis(
     now: datetime | Column | None = None,
     lookback: str | timedelta = "30 days",
     open_end: bool = True,
+    broadcast_limit: int = BROADCAST_LIMIT_BYTES,
 ) -> DataFrame:
     """Flows with the interface they were recorded at (`eni_*`) and the peer interface (`peer_*`)."""
+    small = is_small(enis, broadcast_limit)
     owners = enis.select(*[F.col(c).alias(_prefixed("eni_", c)) for c in enis.columns])
     peers = enis.select(*[F.col(c).alias("peer_" + _prefixed("eni_", c)) for c in enis.columns])
-    owned = id_join(flows, owners, "interfaceid", "eni_id", _SPREAD_BY).withColumn(
+    owned = id_join(flows, owners, "interfaceid", "eni_id", _SPREAD_BY, small).withColumn(
         "_peer_ip", _peer_ip(F.col("eni_private_ip"))
     )
     return lifetime_join(
@@ -99,6 +104,7 @@ def aws_flow_logs_join_enis(
         spread_by=_SPREAD_BY,
         condition=F.col("peer_eni_id") != F.col("interfaceid"),
         open_end=open_end,
+        small=small,
         now=now,
         lookback=lookback,
     ).drop("_peer_ip")

@@ -7,23 +7,38 @@ from datetime import datetime, timedelta
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from flowspark.functions import canonical_json, decode, nth, scalar_text, timebound
+from flowspark.functions import (
+    as_json,
+    canonical_json,
+    document,
+    explode_parsed,
+    field,
+    nth,
+    timebound,
+)
 from flowspark.functions.tags import TAG_MAP
 from flowspark.operators.joins import next_start
 
 
 def _body(path: str) -> Column:
     """A field of the resource described in an activity log entry's response."""
-    return scalar_text(F.col("body"), path)
+    return field(F.col("body"), path)
 
 
 def _created(activity_logs: DataFrame) -> DataFrame:
-    properties = F.col("properties")
-    return activity_logs.withColumn("entity", scalar_text(properties, "$.entity")).withColumn(
-        "body", scalar_text(properties, "$.responseBody")
+    """Entries with the entity they name and the resource of their response as a document `body`."""
+    doc = F.col("doc")
+    return (
+        activity_logs.withColumn("doc", document(F.col("properties")))
+        .withColumn("entity", field(doc, "$.entity"))
+        .withColumn("body", document(field(doc, "$.responseBody")))
     )
 
 
+def _tenant() -> Column:
+    return field(document(F.col("raw")), "$.tenantId").alias("tenant_id")
+
+
 def _logged_nics(activity_logs: DataFrame, now, lookback) -> DataFrame:
     """NICs of creation events."""
     events = timebound(activity_logs, "recorded_at", now, lookback).where(
@@ -31,7 +46,7 @@ def _logged_nics(activity_logs: DataFrame, now, lookback) -> DataFrame:
         & (F.col("result_signature") == "Succeeded.Created")
     )
     return _created(events).select(
-        scalar_text(F.col("raw"), "$.tenantId").alias("tenant_id"),
+        _tenant(),
         nth(F.col("entity"), "/", 2).alias("subscription_id"),
         F.col("entity").alias("nic_id"),
         _body("$.name").alias("nic_name"),
@@ -93,17 +108,20 @@ def azure_nics(
         .withColumns({c: F.lower(c) for c in lowered})
         .where(F.col("nic_id").isNotNull())
     )
-    ip = F.col("ip_configuration")
-    configured = versions.withColumn(
-        "ip_configuration",
-        F.explode_outer(decode(F.col("nic_properties"), "$.ipConfigurations", "array<string>")),
-    ).withColumn("private_ip", scalar_text(ip, "$.properties.privateIPAddress"))
-    primary = F.coalesce(decode(ip, "$.properties.primary", "boolean"), F.lit(False))
+    # Outer: a NIC without addresses still counts for the earliest sighting.
+    ips = field(document(F.col("nic_properties")), "$.ipConfigurations", "array<variant>")
+    ip = F.col("ip")
+    configured = (
+        versions.select("*", F.explode_outer(ips).alias("ip"))
+        .withColumn("ip_configuration", as_json(ip))
+        .withColumn("private_ip", field(ip, "$.properties.privateIPAddress"))
+        .withColumn("primary", F.coalesce(field(ip, "$.properties.primary", "boolean"), F.lit(False)))
+    )
     payload = [c for c in identity if c not in ("nic_id", "nic_tags", "source")]
     ranked = F.struct(
         F.col("nic_tags").isNull().alias("untagged"),
         "nic_tags",
-        primary.alias("primary"),
+        "primary",
         "source",
         "earliest",
         "ip_configuration",
@@ -113,7 +131,7 @@ def azure_nics(
     keys = ["nic_id", "private_ip"] if keep_all_ips else ["nic_id"]
     best = configured.groupBy(*keys).agg(
         F.min("earliest").alias("window_start"),
-        F.max(F.when(ip.isNotNull(), ranked)).alias("best"),
+        F.max(F.when(F.col("ip_configuration").isNotNull(), ranked)).alias("best"),
     )
     if keep_all_ips:
         best = best.drop("private_ip").withColumn(
@@ -134,7 +152,7 @@ def azure_nics(
             & (F.col("result_type") == "Success")
         )
         .select(
-            F.lower(scalar_text(F.col("properties"), "$.entity")).alias("deleted_nic"),
+            F.lower(field(document(F.col("properties")), "$.entity")).alias("deleted_nic"),
             F.col("event_time").alias("deleted_at"),
         )
     )
@@ -189,7 +207,7 @@ def azure_vms(
     )
     logged = _created_vms(activity_logs, now, lookback).select(
         _body("$.tags").alias("tags"),
-        scalar_text(F.col("raw"), "$.tenantId").alias("tenant_id"),
+        _tenant(),
         nth(_body("$.id"), "/", 2).alias("subscription_id"),
         F.lower(_body("$.id")).alias("vm_id"),
         _body("$.location").alias("location"),
@@ -243,10 +261,10 @@ def azure_vms(
 
 def azure_vms_nics(vms: DataFrame, nics: DataFrame) -> DataFrame:
     """One row per (VM, NIC): the VM's columns as `vm_*`, the NIC's under their own names."""
-    attached = decode(
-        F.col("properties"), "$.networkProfile.networkInterfaces", "array<struct<id: string>>"
+    attached = field(
+        document(F.col("properties")), "$.networkProfile.networkInterfaces", "array<struct<id: string>>"
     )
-    per_nic = vms.select(
+    per_nic = explode_parsed(vms, attached, "attached").select(
         F.col("window_start").alias("vm_window_start"),
         F.col("window_end").alias("vm_window_end"),
         F.col("tags").alias("vm_tags"),
@@ -256,10 +274,6 @@ def azure_vms_nics(vms: DataFrame, nics: DataFrame) -> DataFrame:
         F.col("location").alias("vm_location"),
         "vm_name",
         F.col("properties").alias("vm_properties"),
-        F.explode(attached).alias("_attached"),
-    )
-    return (
-        per_nic.withColumn("vm_nic_id", F.lower("_attached.id"))
-        .drop("_attached")
-        .join(nics, F.col("vm_nic_id") == F.lower("nic_id"))
+        F.lower("attached.id").alias("vm_nic_id"),
     )
+    return per_nic.join(nics, F.col("vm_nic_id") == F.lower("nic_id"))

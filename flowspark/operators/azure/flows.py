@@ -8,8 +8,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from flowspark import schemas
-from flowspark.functions import nth, text_or_null
-from flowspark.operators.joins import lifetime_join, merge_lifetimes
+from flowspark.functions import explode_parsed, nth, text_or_null
+from flowspark.operators.joins import (
+    BROADCAST_LIMIT_BYTES,
+    is_small,
+    lifetime_join,
+    merge_lifetimes,
+)
 
 # The one-letter codes of a flow tuple.
 PROTOCOLS = {"t": "TCP", "u": "UDP"}
@@ -32,21 +37,21 @@ def azure_flow_logs(raw: DataFrame) -> DataFrame:
     without a shuffle. `properties`, `flow_raw` (the rule) and `flow_tuples` (the MAC group) are
     JSON text, written only when they are selected.
     """
-    record = F.from_json("flow_raw", schemas.AZURE_FLOW_RECORD)
-    rules = raw.select("recorded_at", record.alias("record")).select(
-        "recorded_at", "record", F.explode("record.properties.flows").alias("rule_flows")
-    )
+    parsed = raw.select("recorded_at", F.from_json("flow_raw", schemas.AZURE_FLOW_RECORD).alias("record"))
+    rules = explode_parsed(parsed, F.col("record.properties.flows"), "rule_flows")
     groups = rules.select("*", F.explode("rule_flows.flows").alias("mac_flows"))
     tuples = groups.select(
         "*", F.explode(F.coalesce("mac_flows.flow_tuples", "mac_flows.flowTuples")).alias("raw_flow")
-    )
-    flow = F.col("raw_flow")
+    ).withColumn("parts", F.split("raw_flow", ","))
+
+    def part(index: int) -> Column:
+        return F.get("parts", F.lit(index))
 
     def number(index: int, kind: str) -> Column:
-        return F.trim(nth(flow, ",", index)).try_cast(kind)
+        return F.trim(part(index)).try_cast(kind)
 
     def code(index: int, names: dict[str, str]) -> Column:
-        return _decoded(text_or_null(nth(flow, ",", index)), names)
+        return _decoded(text_or_null(part(index)), names)
 
     return tuples.select(
         "recorded_at",
@@ -63,8 +68,8 @@ def azure_flow_logs(raw: DataFrame) -> DataFrame:
         F.col("mac_flows.mac").alias("flow_mac"),
         "raw_flow",
         F.timestamp_seconds(number(0, "bigint")).alias("event_time"),
-        nth(flow, ",", 1).alias("src_addr"),
-        nth(flow, ",", 2).alias("dst_addr"),
+        part(1).alias("src_addr"),
+        part(2).alias("dst_addr"),
         number(3, "int").alias("src_port"),
         number(4, "int").alias("dst_port"),
         code(5, PROTOCOLS).alias("protocol"),
@@ -122,20 +127,28 @@ def azure_flow_logs_join_vm_nics(
     vms_nics: DataFrame,
     now: datetime | Column | None = None,
     lookback: str | timedelta = "30 days",
+    broadcast_limit: int = BROADCAST_LIMIT_BYTES,
 ) -> DataFrame:
     """Distinct flows with the VM and NIC at both ends, by address and time.
 
     The source must also be in the subscription of the reporting resource. The result is distinct
     because both inputs are: flows are made distinct on their own narrow
     columns, and entities are merged so that a time meets each payload at most once. So
-    no payload is ever a shuffle key of the flows.
+    no payload is ever a shuffle key of the flows. `vms_nics` is measured, and broadcast up to
+    `broadcast_limit` bytes.
     """
     distinct_flows = (
         flows.select(F.col("recorded_at").alias("flow_recorded_at"), *_FLOW_COLUMNS)
         .distinct()
         .withColumn("_subscription", F.lower(nth(F.col("resource_id"), "/", 2)))
     )
-    common = {"left_time": "event_time", "spread_by": _SPREAD_BY, "now": now, "lookback": lookback}
+    common = {
+        "left_time": "event_time",
+        "spread_by": _SPREAD_BY,
+        "small": is_small(vms_nics.select(*_NIC_COLUMNS, *_VM_COLUMNS, "private_ip"), broadcast_limit),
+        "now": now,
+        "lookback": lookback,
+    }
 
     def ends(side: str) -> dict[str, str]:
         return {

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from flowspark import schemas
-from flowspark.functions import canonical_json, tags_to_map, timebound
+from flowspark.functions import canonical_json, parse_once, tags_to_map, timebound
 from flowspark.functions.tags import TAG_MAP
 
 ACTIVITY_LOG = "cloudaudit.googleapis.com/activity"
@@ -18,11 +18,11 @@ ASSET_HOST = "//compute.googleapis.com/"
 
 def _activity(audit_logs: DataFrame, now, lookback) -> DataFrame:
     """Instance activity entries of the look-back, parsed."""
-    return (
-        timebound(audit_logs, "recorded_at", now, lookback)
-        .where(F.col("log_type") == ACTIVITY_LOG)
-        .withColumn("record", F.from_json("raw", schemas.GCP_AUDIT_RECORD))
-        .where(F.col("record.resource.type") == "gce_instance")
+    activity = timebound(audit_logs, "recorded_at", now, lookback).where(
+        F.col("log_type") == ACTIVITY_LOG
+    )
+    return parse_once(activity, "raw", schemas.GCP_AUDIT_RECORD, "record").where(
+        F.col("record.resource.type") == "gce_instance"
     )
 
 
@@ -51,10 +51,11 @@ def _snapshots(assets: DataFrame, now, lookback) -> DataFrame:
     """Instances of asset inventory snapshots; names come from the asset's path."""
     data = F.col("record.resource.data")
     name = F.col("record.name")
+    snapshots = timebound(assets, "recorded_at", now, lookback).where(
+        F.col("log_type") == "cloudassets"
+    )
     return (
-        timebound(assets, "recorded_at", now, lookback)
-        .where(F.col("log_type") == "cloudassets")
-        .withColumn("record", F.from_json("raw", schemas.GCP_ASSET_RECORD))
+        parse_once(snapshots, "raw", schemas.GCP_ASSET_RECORD, "record")
         .where(F.col("record.asset_type") == "compute.googleapis.com/Instance")
         .select(
             "account",

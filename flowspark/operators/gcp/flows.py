@@ -8,8 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from flowspark import schemas
-from flowspark.functions import timebound
-from flowspark.operators.joins import id_join
+from flowspark.functions import parse_once, timebound
+from flowspark.operators.joins import BROADCAST_LIMIT_BYTES, id_join, is_small
 
 FLOW_LOG = "compute.googleapis.com/vpc_flows"
 _SPREAD_BY = ["src_ip", "dst_ip", "src_port", "dst_port", "start_time"]
@@ -25,10 +25,9 @@ def gcp_flow_logs(
     payload = r["jsonPayload"]
     source, destination = payload["src_instance"], payload["dest_instance"]
     connection = payload["connection"]
+    entries = timebound(audit_logs, "recorded_at", now, lookback).where(F.col("log_type") == FLOW_LOG)
     return (
-        timebound(audit_logs, "recorded_at", now, lookback)
-        .where(F.col("log_type") == FLOW_LOG)
-        .withColumn("record", F.from_json("raw", schemas.GCP_FLOW_RECORD))
+        parse_once(entries, "raw", schemas.GCP_FLOW_RECORD, "record")
         .select(
             "recorded_at",
             F.try_to_timestamp(r["timestamp"]).alias("event_time"),
@@ -61,8 +60,14 @@ def gcp_flow_logs(
     )
 
 
-def gcp_flow_logs_join_vms(flows: DataFrame, vms: DataFrame) -> DataFrame:
-    """Flows with tags and interfaces of the VM at each end, by VM name."""
+def gcp_flow_logs_join_vms(
+    flows: DataFrame, vms: DataFrame, broadcast_limit: int = BROADCAST_LIMIT_BYTES
+) -> DataFrame:
+    """Flows with tags and interfaces of the VM at each end, by VM name.
+
+    `vms` is measured, and broadcast up to `broadcast_limit` bytes.
+    """
+    small = is_small(vms.select("vm_name", "tags", "nics"), broadcast_limit)
     joined = flows
     for side in ("src", "dst"):
         ends = vms.select(
@@ -70,5 +75,5 @@ def gcp_flow_logs_join_vms(flows: DataFrame, vms: DataFrame) -> DataFrame:
             F.col("tags").alias(f"{side}_tags"),
             F.col("nics").alias(f"{side}_nics"),
         )
-        joined = id_join(joined, ends, f"{side}_vm_name", f"_{side}_name", _SPREAD_BY)
+        joined = id_join(joined, ends, f"{side}_vm_name", f"_{side}_name", _SPREAD_BY, small)
     return joined.drop("_src_name", "_dst_name")

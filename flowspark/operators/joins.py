@@ -23,18 +23,18 @@ BROADCAST_LIMIT_BYTES = 32 << 20
 NULL_KEY_SPREAD = 4096
 
 
-def broadcast_if_small(df: DataFrame, limit_bytes: int = BROADCAST_LIMIT_BYTES) -> DataFrame:
-    """Hint a broadcast only after measuring the table; else leave it to a shuffled join.
+def is_small(df: DataFrame, limit_bytes: int = BROADCAST_LIMIT_BYTES) -> bool:
+    """Whether a table is small enough to broadcast, by measuring it.
 
-    Measuring is one distributed pass, so use it on base tables (an indicator
-    list), not on derived views.
+    That is one distributed pass, so hand the operators that ask for it base tables or
+    kept views (`sources.cut_lineage`), not long derivations.
     """
     text_bytes = reduce(
         lambda a, b: a + b,
         [F.coalesce(F.octet_length(F.col(f"`{c}`").cast("string")), F.lit(0)) + 8 for c in df.columns],
     )
     measured = df.agg(F.coalesce(F.sum(text_bytes.cast("bigint")), F.lit(0)).alias("bytes")).first()
-    return F.broadcast(df) if measured["bytes"] <= limit_bytes else df
+    return measured["bytes"] <= limit_bytes
 
 
 def candidate_join(
@@ -54,9 +54,11 @@ def candidate_join(
     """
     source = F.col(src) if src_counts is None else F.when(src_counts, F.col(src))
     candidates = F.array_distinct(F.array_compact(F.array(source, F.col(dst))))
+    if is_small(listed, broadcast_limit):
+        listed = F.broadcast(listed)
     return (
         flows.withColumn("_candidate", F.explode(candidates))
-        .join(broadcast_if_small(listed, broadcast_limit), F.col("_candidate") == listed[listed_key])
+        .join(listed, F.col("_candidate") == F.col(listed_key))
         .drop("_candidate")
     )
 
@@ -66,20 +68,26 @@ def _spread(columns: list[str]) -> Column:
 
 
 def id_join(
-    left: DataFrame, right: DataFrame, left_id: str, right_id: str, spread_by: list[str]
+    left: DataFrame,
+    right: DataFrame,
+    left_id: str,
+    right_id: str,
+    spread_by: list[str],
+    small: bool = False,
 ) -> DataFrame:
-    """Left outer join on `left_id = right_id`.
+    """Left outer join on `left_id = right_id`; `small` tells that `right` was measured to be so.
 
-    Rows without an id match nothing, but a shuffle would send them all to one
+    Beyond a broadcast, rows without an id match nothing, but a shuffle would send them all to one
     task; they get a made-up id from `spread_by` instead, and a condition that
     keeps it from ever matching.
     """
+    if small:
+        return left.join(F.broadcast(right), F.col(left_id) == F.col(right_id), "left")
     spread_id = F.coalesce(
         F.col(left_id), F.concat(F.lit("\u0000"), _spread(spread_by).cast("string"))
     )
-    keyed = left.withColumn("_spread_id", spread_id)
-    match = (keyed["_spread_id"] == right[right_id]) & keyed[left_id].isNotNull()
-    return keyed.join(right, match, "left").drop("_spread_id")
+    match = (F.col("_spread_id") == F.col(right_id)) & F.col(left_id).isNotNull()
+    return left.withColumn("_spread_id", spread_id).join(right, match, "left").drop("_spread_id")
 
 
 def _slice_of(
@@ -104,13 +112,14 @@ def lifetime_join(
     spread_by: list[str],
     condition: Column | None = None,
     open_end: bool = True,
+    small: bool = False,
     now: datetime | Column | None = None,
     lookback: str | timedelta = "30 days",
     slices: int = 32,
 ) -> DataFrame:
     """Left outer join of rows to the entities that held their IP address at their time.
 
-    Both sides are cut into `slices` equal spans of the look-back and joined on
+    When `right` was measured to be `small` it is broadcast. Else both sides are cut into `slices` equal spans of the look-back and joined on
     (address, slice) with the exact lifetime as residual. A row is in one slice; an
     entity is repeated for each slice it was alive in, at most `slices` times. So a
     busy address is spread over the slices, and a recycled address is compared
@@ -119,27 +128,27 @@ def lifetime_join(
     only need to fit the data roughly. Column names of both sides must differ.
     """
     ip, ts = F.col(left_ip), F.col(left_time)
+    start, end = F.col(right_start), F.col(right_end)
+    match = (ip == F.col(right_ip)) & in_window(ts, start, end, open_end)
+    if condition is not None:
+        match &= condition
+    if small:
+        return left.join(F.broadcast(right), match, "left")
     slice_args = (now, lookback, slices)
     no_match = ip.isNull() | ts.isNull()
     keyed = left.withColumn(
         "_slice",
         F.when(no_match, -1 - _spread(spread_by)).otherwise(_slice_of(ts, *slice_args)).cast("int"),
     )
-    start, end = F.col(right_start), F.col(right_end)
     can_match = F.col(right_ip).isNotNull() & start.isNotNull()
     can_match &= (end.isNull() | (end >= start)) if open_end else (end >= start)
     last = F.when(end.isNull(), slices - 1).otherwise(_slice_of(end, *slice_args))
     alive = right.where(can_match).withColumn(
         "_alive_slice", F.explode(F.sequence(_slice_of(start, *slice_args), last))
     )
-    match = (
-        (ip == F.col(right_ip))
-        & (F.col("_slice") == F.col("_alive_slice"))
-        & in_window(ts, start, end, open_end)
-    )
-    if condition is not None:
-        match &= condition
-    return keyed.join(alive, match, "left").drop("_slice", "_alive_slice")
+    # A merge join is asked for, because the planner's size estimate does not know of the repetition.
+    match = (F.col("_slice") == F.col("_alive_slice")) & match
+    return keyed.join(alive.hint("merge"), match, "left").drop("_slice", "_alive_slice")
 
 
 def merge_lifetimes(
@@ -176,28 +185,24 @@ def next_start(
 ) -> DataFrame:
     """Add `name`: the `value` of the row after this one with the same key, by `order`.
 
-    It is `lead(value) over (partition by key order by order, ties)` with nulls last, done in two
-    steps so that one key may hold any share of the rows: inside each hour by a window on
-    (key, hour), and across hours by a window on one row per (key, hour).
+    It is `lead(value) over (partition by key order by order, ties)` with nulls last, in two steps,
+    so that one key may hold any share of the rows: a window inside each (key, hour), then one
+    over the first and last row of each hour of a key. `ties` must tell rows apart.
     """
     sort = [F.col(c).asc_nulls_last() for c in (order, *ties)]
-    hourly = df.withColumn("_hour", F.date_trunc("hour", F.col(order)))
     inside = Window.partitionBy(key, "_hour").orderBy(*sort)
-    rows = hourly.withColumn("_inside", F.lead(F.struct(value)).over(inside))
-    null_last = [F.struct(F.col(c).isNull(), F.col(c)) for c in (order, *ties)]
-    firsts = (
-        hourly.groupBy(key, "_hour")
-        .agg(F.min_by(F.struct(value), F.struct(*null_last)).alias("_first"))
-        .withColumn(
-            "_later",
-            F.lead("_first").over(Window.partitionBy(key).orderBy(F.col("_hour").asc_nulls_last())),
-        )
-        .select(F.col(key).alias("_key"), F.col("_hour").alias("_first_hour"), "_later")
+    hourly = (
+        df.withColumn("_hour", F.date_trunc("hour", F.col(order)))
+        .withColumn("_inside", F.lead(F.struct(value)).over(inside))
+        .withColumn("_is_first", F.lag(F.lit(1)).over(inside).isNull())
     )
-    same = F.col(key).eqNullSafe(F.col("_key")) & F.col("_hour").eqNullSafe(F.col("_first_hour"))
-    following = F.coalesce(F.col("_inside"), F.col("_later"))[value]
+    # Rows inside an hour have their answer, and are dealt out over groups of their own.
+    edge = F.col("_is_first") | F.col("_inside").isNull()
+    group = F.when(edge, 0).otherwise(1 + F.pmod(F.xxhash64(*ties), F.lit(NULL_KEY_SPREAD)))
+    across = Window.partitionBy(key, "_group").orderBy(*sort)
     return (
-        rows.join(firsts, same, "left")
-        .withColumn(name, following)
-        .drop("_hour", "_inside", "_key", "_first_hour", "_later")
+        hourly.withColumn("_group", group)
+        .withColumn("_later", F.lead(F.struct(value)).over(across))
+        .withColumn(name, F.coalesce("_inside", "_later")[value])
+        .drop("_hour", "_inside", "_is_first", "_group", "_later")
     )

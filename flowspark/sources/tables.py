@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -69,19 +70,21 @@ def materialize(
     return spark.read.format(fmt).schema(df.schema).load(path)
 
 
+def _shared_folder(spark: SparkSession) -> str:
+    """The cluster's `spark.checkpoint.dir`; only a local session without one gets a temporary folder."""
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if folder is None:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
+        folder = tempfile.mkdtemp(prefix="flowspark-")
+        spark.conf.set("spark.checkpoint.dir", folder)
+    return folder
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Compute a view that is read more than once, and keep it where lost executors cannot take it.
+    """Compute a view that is read more than once, and read it back from the shared folder.
 
-    The folder is the cluster's `spark.checkpoint.dir`. Only a local session
-    without one gets a temporary folder.
+    It is written as a table rather than checkpointed, so that readers still prune columns
+    and know its size. Lost executors do not take it with them.
     """
-    spark = df.sparkSession
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        folder = spark.conf.get("spark.checkpoint.dir", None)
-        if folder is None:
-            if not context.master.startswith("local"):
-                raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-            folder = tempfile.mkdtemp(prefix="flowspark-checkpoint-")
-        context.setCheckpointDir(folder)
-    return df.checkpoint()
+    return materialize(df, path=f"{_shared_folder(df.sparkSession)}/kept-{uuid.uuid4().hex}")

@@ -188,12 +188,14 @@ select f.*, {_id("sub-", "l_suppkey % 3")} as subscription, 'third' as kind, 'ot
 where l_orderkey % 7 <> 0
 """
 
-# GCP: as the flows, but a miss (no bytes) ends when it starts.
+# GCP: as the flows, but a miss (no bytes) ends when it starts. In the last hour four
+# machines make all connections, and every other one is a miss.
 FLAT["gcp_flow"] = f"""
-select *, case when bytes = 0 then starttime else endtime end as gcp_end,
-       {_id("vm-", "l_suppkey")} as own_vm,
+select *, case when gcp_bytes = 0 then starttime else endtime end as gcp_end,
+       case when late then {_id("vm-", "l_suppkey % 4")} else {_id("vm-", "l_suppkey")} end as own_vm,
        case when l_partkey % 4 = 0 then {_id("vm-", "(l_partkey % 5) * 2")} end as other_vm
-from flow
+from (select *, case when late and l_orderkey % 2 = 0 then 0 else bytes end as gcp_bytes
+      from (select *, starttime >= {NOW - HOUR} as late from flow) l) f
 """
 FLAT["gcp_created"] = f"""
 select c_custkey as n, {NOW} - (c_custkey * 6151) % 3000000 as recorded_at,

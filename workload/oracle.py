@@ -295,7 +295,7 @@ EXTRA["gcp_named"] = """
     from gcp_flow"""
 EXTRA["gcp_joined"] = f"""
     select a.recorded_at, a.starttime as start_time, a.gcp_end as end_time, a.srcaddr as src_ip, a.srcport as src_port,
-           a.dstaddr as dst_ip, a.dstport as dst_port, a.protocol, a.bytes, a.src_vm_name, a.dst_vm_name,
+           a.dstaddr as dst_ip, a.dstport as dst_port, a.protocol, a.gcp_bytes as bytes, a.src_vm_name, a.dst_vm_name,
            b.tags as src_tags, b.nics as src_nics, c.tags as dst_tags, c.nics as dst_nics
     from gcp_named a left join gcp_vm b on a.src_vm_name = b.vm_name left join gcp_vm c on a.dst_vm_name = c.vm_name
     where a.recorded_at >= {NOW - 25 * HOUR}"""
@@ -409,7 +409,7 @@ def oracle() -> dict[str, str]:
             select recorded_at, endtime as event_time, starttime as start_time, gcp_end as end_time,
                    concat('log-', cast(l_orderkey as string)) as log_id, 'prod' as deployment, 'acct' as account,
                    concat('x', cast(l_partkey as string)) as insert_id, dstaddr as dst_ip, dstport as dst_port,
-                   srcaddr as src_ip, srcport as src_port, protocol, bytes, packets, 'p0' as dst_project,
+                   srcaddr as src_ip, srcport as src_port, protocol, gcp_bytes as bytes, packets, 'p0' as dst_project,
                    'r1' as dst_region, dst_vm_name, 'z1' as dst_zone, 'sn-b' as dst_subnet_name, 'p0' as src_project,
                    'r1' as src_region, src_vm_name, 'z1' as src_zone, 'sn-a' as src_subnet_name,
                    case when l_linenumber % 3 = 0 then 'DEST' else 'SRC' end as reporter

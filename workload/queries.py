@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from flowspark import operators as op
 from flowspark.functions import as_json, canonical_json, tag, tags_to_map
+from flowspark.sources import cut_lineage
 from workload import inputs as i
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -210,12 +211,8 @@ def azure_vms(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-def _vms_nics(spark: SparkSession, sf: str) -> DataFrame:
-    return op.azure_vms_nics(_vms(spark, sf), _nics(spark, sf))
-
-
 def azure_vms_nics(spark: SparkSession, sf: str) -> DataFrame:
-    return _vms_nics(spark, sf).select(
+    return op.azure_vms_nics(_vms(spark, sf), _nics(spark, sf)).select(
         "vm_id",
         "vm_name",
         "vm_nic_id",
@@ -259,8 +256,12 @@ def azure_flow_logs(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-def _azure_enriched(spark: SparkSession, sf: str) -> DataFrame:
-    return op.azure_flow_logs_join_vm_nics(_azure_flows(spark, sf), _vms_nics(spark, sf), now=NOW)
+def _azure_enriched(spark: SparkSession, sf: str, vms: DataFrame | None = None) -> DataFrame:
+    """Enriched flows. The entities are kept, because the join reads them more than once."""
+    if vms is None:
+        vms = _vms(spark, sf)
+    vms_nics = cut_lineage(op.azure_vms_nics(vms, _nics(spark, sf)))
+    return op.azure_flow_logs_join_vm_nics(_azure_flows(spark, sf), vms_nics, now=NOW)
 
 
 def _azure_enriched_columns() -> list:
@@ -287,18 +288,17 @@ def azure_ioc_connections(spark: SparkSession, sf: str) -> DataFrame:
     return out.select(*_azure_enriched_columns(), "ioc_value")
 
 
-def _denied_baseline(spark: SparkSession, sf: str, enriched: DataFrame) -> DataFrame:
-    return op.azure_denied_baseline(enriched, _vms(spark, sf), now=NOW)
-
-
 def azure_denied_baseline(spark: SparkSession, sf: str) -> DataFrame:
-    out = _denied_baseline(spark, sf, _azure_enriched(spark, sf))
+    vms = cut_lineage(_vms(spark, sf))
+    out = op.azure_denied_baseline(_azure_enriched(spark, sf, vms), vms, now=NOW)
     return out.select(*_rounded("avg_denied_count", "stddev_denied_count"), "src_role")
 
 
 def azure_port_scanning(spark: SparkSession, sf: str) -> DataFrame:
-    enriched = _azure_enriched(spark, sf)
-    return op.azure_port_scanning(enriched, _denied_baseline(spark, sf, enriched), now=NOW)
+    vms = cut_lineage(_vms(spark, sf))
+    enriched = _azure_enriched(spark, sf, vms)
+    baseline = op.azure_denied_baseline(enriched, vms, now=NOW)
+    return op.azure_port_scanning(enriched, baseline, now=NOW)
 
 
 # ---- GCP ----
@@ -344,8 +344,11 @@ def _gcp_joined_columns() -> list:
     ]
 
 
-def _gcp_joined(spark: SparkSession, sf: str) -> DataFrame:
-    return op.gcp_flow_logs_join_vms(_gcp_flows(spark, sf), _gcp_vms(spark, sf))
+def _gcp_joined(spark: SparkSession, sf: str, vms: DataFrame | None = None) -> DataFrame:
+    """Joined flows. The VMs are kept, because the join reads them more than once."""
+    if vms is None:
+        vms = cut_lineage(_gcp_vms(spark, sf))
+    return op.gcp_flow_logs_join_vms(_gcp_flows(spark, sf), vms)
 
 
 def gcp_flow_logs_join_vms(spark: SparkSession, sf: str) -> DataFrame:
@@ -370,13 +373,15 @@ _MISS = ["avg_miss_count", "stddev_miss_count"]
 
 
 def gcp_connect_baseline(spark: SparkSession, sf: str) -> DataFrame:
-    out = op.gcp_connect_baseline(_gcp_joined(spark, sf), _gcp_vms(spark, sf), now=NOW)
+    vms = cut_lineage(_gcp_vms(spark, sf))
+    out = op.gcp_connect_baseline(_gcp_joined(spark, sf, vms), vms, now=NOW)
     return out.select(*_rounded(*_MISS), "src_role", "dst_role")
 
 
 def gcp_port_scanning(spark: SparkSession, sf: str, k: float = 1) -> DataFrame:
-    joined = _gcp_joined(spark, sf)
-    baseline = op.gcp_connect_baseline(joined, _gcp_vms(spark, sf), now=NOW)
+    vms = cut_lineage(_gcp_vms(spark, sf))
+    joined = _gcp_joined(spark, sf, vms)
+    baseline = op.gcp_connect_baseline(joined, vms, now=NOW)
     out = op.gcp_port_scanning(joined, baseline, now=NOW, k=k)
     return out.select("miss_count", "src_vm_name", "dst_role", "src_role", *_rounded(*_MISS))
 

@@ -72,12 +72,13 @@ def materialize(
 
 def _shared_folder(spark: SparkSession) -> str:
     """The cluster's `spark.checkpoint.dir`; only a local session without one gets a temporary folder."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if folder is None:
-        if not spark.sparkContext.master.startswith("local"):
+        if not context.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         folder = tempfile.mkdtemp(prefix="flowspark-")
-        spark.conf.set("spark.checkpoint.dir", folder)
+        context.setCheckpointDir(folder)
     return folder
 
 

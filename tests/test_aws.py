@@ -1,0 +1,256 @@
+import json
+
+import pytest
+from conftest import NOW, as_set, plan_of
+from pyspark.sql import functions as F
+
+from flowspark import schemas
+from flowspark.operators import (
+    RolePolicy,
+    aws_beaconing,
+    aws_enis,
+    aws_flow_logs,
+    aws_flow_logs_join_ec2,
+    aws_flow_logs_join_enis,
+    aws_instances,
+    aws_ioc_connections,
+    aws_port_scanning,
+    aws_rst_baseline,
+    aws_unusual_role_ports,
+)
+
+INSTANCES = """instance_id string, account_id string, ip_address string, tags map<string,string>, details string,
+    latest_available_data timestamp, window_start timestamp, window_end timestamp"""
+
+
+def config_row(instance, at, ips, tags=None, launch=None, account="a"):
+    doc = {"networkInterfaces": [{"privateIpAddress": ip, "networkInterfaceId": f"eni-{ip}"} for ip in ips]}
+    if tags is not None:
+        doc["tags"] = [{"key": k, "value": v} for k, v in tags]
+    if launch:
+        doc["launchTime"] = launch
+    return {
+        "account_id": account, "resource_id": instance, "resource_type": "AWS::EC2::Instance",
+        "recorded_at": at, "configuration": json.dumps(doc),
+    }
+
+
+def event_row(name, at, instances, account="a"):
+    return {
+        "event_time": at, "recorded_at": at, "recipient_account_id": account, "event_name": name,
+        "response_elements": json.dumps({"instancesSet": {"items": instances}}),
+    }
+
+
+def test_instances_keep_the_latest_sighting_and_end_by_stop_or_successor(rows):
+    config = rows(
+        schemas.AWS_CONFIG,
+        config_row("i-1", "2024-01-10 00:00:00", ["10.0.0.1"], [("instance_role", "old")], "2024-01-09T00:00:00Z"),
+        config_row("i-1", "2024-01-11 00:00:00", ["10.0.0.1", "10.0.0.2"], [("instance_role", "db")], "2024-01-09T00:00:00Z"),
+        config_row("i-2", "2024-01-20 00:00:00", ["10.0.0.1"], None, "2024-01-19T00:00:00Z"),
+        config_row("i-3", "2023-12-01 00:00:00", ["10.0.0.9"]),
+        config_row("i-4", "2024-01-20 00:00:00", ["10.0.0.4"], launch="2024-01-25T00:00:00Z"),
+    )
+    trail = rows(
+        schemas.CLOUDTRAIL,
+        event_row("RunInstances", "2024-01-05 00:00:00", [{"instanceId": "i-4", "privateIpAddress": "10.0.0.4"}]),
+        event_row("TerminateInstances", "2024-01-22 10:00:00", [{"instanceId": "i-2"}]),
+        event_row("StopInstances", "2024-01-21 10:00:00", [{"instanceId": "i-2"}]),
+        event_row("TerminateInstances", "2024-01-10 10:00:00", [{"instanceId": "i-1"}]),
+    )
+    got = {
+        (r.instance_id, r.ip_address): r
+        for r in aws_instances(config, trail, now=NOW).withColumn("start", F.col("window_start").cast("string"))
+        .withColumn("end", F.col("window_end").cast("string")).collect()
+    }
+    assert set(got) == {("i-1", "10.0.0.1"), ("i-1", "10.0.0.2"), ("i-2", "10.0.0.1"), ("i-4", "10.0.0.4")}
+    assert got["i-1", "10.0.0.1"].tags == {"instance_role": "db"}
+    # The stop of i-1 is before its latest sighting; its address passes to i-2.
+    assert got["i-1", "10.0.0.1"].end == "2024-01-19 00:00:00"
+    assert got["i-1", "10.0.0.2"].end is None
+    assert got["i-2", "10.0.0.1"].end == "2024-01-22 10:00:00"
+    assert got["i-2", "10.0.0.1"].tags is None
+    # First seen, by the launch event, before the launch time it states.
+    assert got["i-4", "10.0.0.4"].start == "2024-01-05 00:00:00"
+    assert json.loads(got["i-1", "10.0.0.1"].details)["networkInterfaces"]
+
+
+def test_two_stop_accounts_repeat_the_instance(rows):
+    config = rows(schemas.AWS_CONFIG, config_row("i-1", "2024-01-10 00:00:00", ["10.0.0.1"]))
+    stops = [event_row("StopInstances", f"2024-01-{d} 00:00:00", [{"instanceId": "i-1"}], a) for d, a in ((12, "a"), (13, "b"))]
+    assert aws_instances(config, rows(schemas.CLOUDTRAIL, *stops), now=NOW).count() == 2
+
+
+def test_enis_merge_sources(rows):
+    config = rows(
+        schemas.AWS_CONFIG,
+        {"account_id": "a", "network_interface_id": "eni-1", "private_ip_address": "10.0.0.1", "interface_type": "interface",
+         "resource_type": "AWS::EC2::NetworkInterface", "recorded_at": "2024-01-10 00:00:00", "description": "",
+         "groups": '["eks"]', "private_ip_addresses": "[]"},
+    )
+    trail = rows(
+        schemas.CLOUDTRAIL,
+        {"event_time": "2024-01-12 00:00:00", "recipient_account_id": "a", "event_name": "CreateNetworkInterface",
+         "source_ip_address": "ecs.amazonaws.com",
+         "response_elements": json.dumps({"networkInterface": {"networkInterfaceId": "eni-2", "privateIpAddress": "10.0.0.1"}})},
+        {"event_time": "2024-01-13 00:00:00", "recipient_account_id": "a", "event_name": "CreateNetworkInterface",
+         "error_code": "x", "response_elements": json.dumps({"networkInterface": {"networkInterfaceId": "eni-3"}})},
+    )
+    instances = rows(INSTANCES, {"instance_id": "i-1", "details": '{"networkInterfaces":[{"networkInterfaceId":"eni-1"}]}'},
+                     {"instance_id": "i-0", "details": '{"networkInterfaces":[{"networkInterfaceId":"eni-1"}]}'})
+    got = {r.eni_id: r for r in aws_enis(config, trail, instances).withColumn("end", F.col("window_end").cast("string")).collect()}
+    assert set(got) == {"eni-1", "eni-2"}
+    assert (got["eni-1"].object_type, got["eni-1"].object_name, got["eni-1"].eni_instance_id) == ("kubernetes", "ec2-instance", "i-1")
+    assert (got["eni-1"].end, got["eni-2"].end) == ("2024-01-12 00:00:00", None)
+    assert (got["eni-2"].object_type, got["eni-2"].object_name) == ("ecs", "unknown")
+
+
+def flow(**values):
+    base = {"recorded_at": "2024-01-30 23:30:00", "starttime": "2024-01-30 23:30:00", "endtime": "2024-01-30 23:30:10",
+            "instanceid": "i-1", "interfaceid": "e-1", "srcaddr": "10.0.0.1", "dstaddr": "10.0.0.2", "srcport": 1,
+            "dstport": 80, "protocol": 6, "tcpflags": 2, "action": "ACCEPT", "bytes": 1, "packets": 1}
+    return {**base, **values}
+
+
+def instance(name, ip, role=None, start="2024-01-01 00:00:00", end=None, seen="2024-01-30 12:00:00"):
+    return {"instance_id": name, "account_id": "a", "ip_address": ip, "tags": {"instance_role": role} if role else {},
+            "details": "{}", "latest_available_data": seen, "window_start": start, "window_end": end}
+
+
+@pytest.mark.parametrize("limit", [0, 1 << 20])
+def test_peer_is_the_holder_of_the_address_at_that_time(rows, limit):
+    instances = rows(
+        INSTANCES,
+        instance("i-1", "10.0.0.1"),
+        instance("i-old", "10.0.0.2", end="2024-01-15 00:00:00"),
+        instance("i-new", "10.0.0.2", start="2024-01-15 00:00:01"),
+    )
+    flows = aws_flow_logs(rows(
+        schemas.AWS_FLOW_LOGS,
+        flow(srcport=1, starttime="2024-01-10 00:00:00"),
+        flow(srcport=2, starttime="2024-01-20 00:00:00", srcaddr="10.0.0.2", dstaddr="10.0.0.1"),
+        flow(srcport=3, srcaddr="10.9.9.9"),
+        flow(srcport=4, instanceid=None),
+        flow(srcport=5, dstaddr="10.0.0.1"),
+        flow(srcport=6, starttime="2025-01-20 00:00:00"),
+    ))
+    got = {
+        r.srcport: (r.src_instance_id, r.dst_instance_id, r.owner_is_src)
+        for r in aws_flow_logs_join_ec2(flows, instances, now=NOW, broadcast_limit=limit).collect()
+    }
+    assert got == {
+        1: ("i-1", "i-old", True),
+        2: ("i-1", "i-new", False),
+        3: ("i-1", None, False),
+        4: (None, None, None),
+        5: ("i-1", None, True),
+        6: ("i-1", "i-new", True),
+    }
+    closed = aws_flow_logs_join_ec2(flows, instances, now=NOW, open_end=False, broadcast_limit=limit)
+    assert {r.srcport: r.dst_instance_id for r in closed.collect()}[2] is None
+
+
+def test_instance_with_two_addresses_gives_two_rows(rows):
+    instances = rows(INSTANCES, instance("i-1", "10.0.0.1"), instance("i-1", "10.0.0.5"))
+    flows = rows(schemas.AWS_FLOW_LOGS, flow())
+    assert aws_flow_logs_join_ec2(flows, instances, now=NOW).count() == 2
+
+
+@pytest.mark.parametrize("limit", [0, 1 << 20])
+def test_join_plans_have_no_nested_loop(rows, limit):
+    flows = rows(schemas.AWS_FLOW_LOGS, flow())
+    instances = rows(INSTANCES, instance("i-1", "10.0.0.1"))
+    enis = instances.select(F.col("instance_id").alias("eni_id"), F.col("ip_address").alias("private_ip"), "window_start", "window_end")
+    for df in (
+        aws_flow_logs_join_ec2(flows, instances, now=NOW, broadcast_limit=limit),
+        aws_flow_logs_join_enis(flows, enis, now=NOW, broadcast_limit=limit),
+    ):
+        assert "NestedLoop" not in plan_of(df)
+        assert ("BroadcastHashJoin" in plan_of(df)) == (limit > 0) or limit == 0
+
+
+def joined(rows, *records):
+    ddl = schemas.AWS_FLOW_LOGS + ", src_tags map<string,string>, dst_tags map<string,string>"
+    return rows(ddl, *records)
+
+
+def test_ioc_on_both_ends_and_listed_twice(rows):
+    flows = joined(
+        rows,
+        flow(srcport=1, srcaddr="1.1.1.1", dstaddr="2.2.2.2", dst_tags={}),
+        flow(srcport=2, srcaddr="1.1.1.1", dstaddr="1.1.1.1", dst_tags={}),
+        flow(srcport=3, srcaddr="1.1.1.1", dst_tags={"instance_role": "apache"}, dstport=443),
+        flow(srcport=4, srcaddr="1.1.1.1", dst_tags={}, dstport=443),
+        flow(srcport=5, srcaddr="1.1.1.1", dst_tags={}, action="REJECT"),
+        flow(srcport=6, dstaddr="3.3.3.3", action="REJECT"),
+        flow(srcport=7, dstaddr="3.3.3.3", tcpflags=18),
+    )
+    iocs = rows("ioc_value string", *[{"ioc_value": v} for v in ("1.1.1.1", "2.2.2.2", "3.3.3.3", "3.3.3.3")])
+    counts = {r.srcport: r["count"] for r in aws_ioc_connections(flows, iocs).groupBy("srcport").count().collect()}
+    assert counts == {1: 2, 2: 1, 6: 2}
+
+
+def test_unusual_role_ports(rows):
+    role = lambda r: {"instance_role": r} if r else {}
+    flows = joined(
+        rows,
+        flow(srcport=1, src_tags=role("apache")),
+        flow(srcport=2, src_tags=role("jump_box"), dstport=22),
+        flow(srcport=3, src_tags=role("jump_box"), dstport=23),
+        flow(srcport=4, srcaddr="8.8.8.8", dst_tags=role("apache"), dstport=80),
+        flow(srcport=5, srcaddr="8.8.8.8", dst_tags=role("apache"), dstport=443),
+        flow(srcport=6, src_tags=role(None)),
+        flow(srcport=7, src_tags=None),
+        flow(srcport=8, src_tags=role("db")),
+        flow(srcport=9, src_tags=role("db"), tcpflags=18),
+        flow(srcport=10, srcaddr="8.8.8.8", src_tags=None),
+    )
+    assert sorted(r.srcport for r in aws_unusual_role_ports(flows).collect()) == [1, 3, 4, 6, 7, 8]
+    policy = RolePolicy(web_role="db", jump_role="apache", jump_port=80)
+    assert sorted(r.srcport for r in aws_unusual_role_ports(flows, policy).collect()) == [2, 3, 6, 7, 8]
+
+
+def test_baseline_of_one_hour_flags_nothing(rows):
+    instances = rows(INSTANCES, instance("i-1", "10.0.0.1", "db"), instance("i-1", "10.0.0.2", "db"), instance("i-2", "10.0.0.3"))
+    at = "2024-01-30 {}:30:00"
+    quiet = [flow(tcpflags=4, recorded_at=at.format(h)) for h in (5,)]
+    storm = [flow(tcpflags=4, srcport=n) for n in range(9)]
+    flows = rows(schemas.AWS_FLOW_LOGS, *quiet, *storm)
+    baseline = aws_rst_baseline(flows, instances, now=NOW)
+    row = baseline.first()
+    # Two addresses count the flow and the instance twice each.
+    assert (row.avg_rst_by_role, row.stddev_rst_by_role, row.instance_role) == (1.0, None, "db")
+    assert aws_port_scanning(flows, instances, baseline, now=NOW).count() == 0
+    more = rows(schemas.AWS_FLOW_LOGS, *quiet, flow(tcpflags=4, recorded_at=at.format("06")), *storm)
+    found = aws_port_scanning(more, instances, aws_rst_baseline(more, instances, now=NOW), now=NOW)
+    assert [(r.instanceid, r.rst_last_hour) for r in found.collect()] == [("i-1", 18)]
+
+
+def beats(rows, minutes, **values):
+    return rows(schemas.AWS_FLOW_LOGS, *[
+        flow(dstaddr="8.8.8.8", starttime=f"2024-01-30 22:{m:02d}:{s:02d}", endtime=f"2024-01-30 22:{m:02d}:59", **values)
+        for m, s in minutes
+    ])
+
+
+def test_gaps_run_to_the_next_later_start(rows):
+    flows = beats(rows, [(1, 0), (5, 30), (9, 0), (9, 20)])
+    row = aws_beaconing(flows, now=NOW, min_count=0, max_variance=99, min_gap=0).first()
+    assert row.beacon_count == 3
+    assert row.avg_prev_time_diff == pytest.approx(8 / 3)
+    assert row.variance_prev_time_diff == pytest.approx(16 / 3)
+    assert (row.avg_connection_duration, row.stddev_connection_duration) == (0.0, 0.0)
+
+
+def test_beaconing_needs_count_rhythm_and_pace(rows):
+    assert aws_beaconing(beats(rows, [(m, 0) for m in range(0, 60, 2)]), now=NOW, min_count=28).count() == 1
+    assert aws_beaconing(beats(rows, [(m, 0) for m in range(0, 60, 2)]), now=NOW, min_count=29).count() == 0
+    assert aws_beaconing(beats(rows, [(m, 0) for m in range(60)]), now=NOW, min_count=10).count() == 0
+    assert aws_beaconing(beats(rows, [(m, 0) for m in range(0, 60, 2)], action="REJECT"), now=NOW, min_count=1).count() == 0
+
+
+def test_beaconing_sums_before_it_sorts(rows):
+    plan = plan_of(aws_beaconing(rows(schemas.AWS_FLOW_LOGS, flow()), now=NOW))
+    assert plan.count("Window") == 1 and plan.count("Exchange") == 2
+    below_window = plan[plan.index("Window"):]
+    assert "partial_count" in below_window and "SortAggregate" not in below_window

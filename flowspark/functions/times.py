@@ -80,9 +80,10 @@ def launch_instant(text: Column) -> Column:
 
     Digits up to 31536000000 are seconds, above that milliseconds.
     """
-    digits = text.try_cast("bigint")
-    return F.when(digits.isNull(), F.try_to_timestamp(text)).otherwise(
-        F.when(digits >= F.lit(31_536_000_000), F.timestamp_millis(digits)).otherwise(
-            F.timestamp_seconds(digits)
-        )
+    # Looks before it casts: a cast that fails is slow.
+    digits = F.when(text.rlike("^[0-9]{1,18}$"), text.cast("bigint"))
+    return (
+        F.when(digits.isNull(), F.try_to_timestamp(text))
+        .when(digits >= F.lit(31_536_000_000), F.timestamp_millis(digits))
+        .otherwise(F.timestamp_seconds(digits))
     )

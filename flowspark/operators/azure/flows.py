@@ -48,7 +48,9 @@ def azure_flow_logs(raw: DataFrame) -> DataFrame:
         return F.get("parts", F.lit(index))
 
     def number(index: int, kind: str) -> Column:
-        return F.trim(part(index)).try_cast(kind)
+        # Empty counters are common, and a cast that fails is slow.
+        text = F.trim(part(index))
+        return F.when(text != "", text.try_cast(kind))
 
     def code(index: int, names: dict[str, str]) -> Column:
         return _decoded(text_or_null(part(index)), names)

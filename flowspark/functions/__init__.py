@@ -1,7 +1,16 @@
 from .jsontext import as_json, canonical_json, document, explode_parsed, field, parse_once
 from .tags import tag, tags_to_map
 from .text import nth, text_or_null
-from .times import ago, in_window, instant, launch_instant, minute_index, minutes_between, timebound
+from .times import (
+    ago,
+    in_window,
+    instant,
+    launch_instant,
+    minute_index,
+    minutes_between,
+    partition_date,
+    timebound,
+)
 
 __all__ = [
     "ago",
@@ -17,6 +26,7 @@ __all__ = [
     "minutes_between",
     "nth",
     "parse_once",
+    "partition_date",
     "tag",
     "tags_to_map",
     "text_or_null",

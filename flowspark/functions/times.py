@@ -7,8 +7,10 @@ from datetime import datetime, timedelta, timezone
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# The column `sources.materialize` partitions by; see `timebound`.
+# The date of the recording time, which `sources.materialize` partitions by. Flow
+# operators pass it on, so that look-backs above them still prune; see `timebound`.
 PARTITION_DATE = "recorded_date"
+RECORDING_TIMES = ("recorded_at", "flow_recorded_at")
 
 
 def instant(now: datetime | Column | None) -> Column:
@@ -47,13 +49,18 @@ def timebound(
     bound = F.col(column) >= start
     if until is not None:
         bound = bound & (F.col(column) <= ago(now, until))
-    if column == "recorded_at" and PARTITION_DATE in df.columns:
+    if column in RECORDING_TIMES and PARTITION_DATE in df.columns:
         bound = bound & (F.col(PARTITION_DATE) >= F.to_date(start))
         if until is not None:
             bound = bound & (F.col(PARTITION_DATE) <= F.to_date(ago(now, until)))
     return df.where(bound)
 
 
+def partition_date(df: DataFrame) -> list[str]:
+    """The partition date column, when the data has one."""
+    return [PARTITION_DATE] if PARTITION_DATE in df.columns else []
+
+
 def minute_index(ts: Column) -> Column:
     """Whole minutes since the epoch."""
     return F.floor(F.unix_seconds(ts) / F.lit(60))

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from flowspark import schemas
+from flowspark.functions import partition_date
 from flowspark.operators.joins import BROADCAST_LIMIT_BYTES, id_join, is_small, lifetime_join
 
 FLOW_COLUMNS = [field.split()[0] for field in schemas.AWS_FLOW_LOGS.split(",")]
@@ -16,7 +17,7 @@ _SPREAD_BY = ["srcaddr", "dstaddr", "srcport", "dstport", "starttime"]
 
 def aws_flow_logs(raw: DataFrame) -> DataFrame:
     """The flow log columns, without whatever else the ingest added."""
-    return raw.select(*FLOW_COLUMNS)
+    return raw.select(*FLOW_COLUMNS, *partition_date(raw))
 
 
 def _peer_ip(owner_ip: Column) -> Column:
@@ -38,7 +39,7 @@ def aws_flow_logs_join_ec2(
     The owner is found by instance id, the peer by the other address and the time. So `src_*` is the
     owner whatever the direction of the flow; `owner_is_src` tells it. An instance with
     several addresses gives several rows. `instances` is measured, and broadcast up to
-    `broadcast_limit` bytes; `now` and `lookback` only size the join beyond it, see `lifetime_join`.
+    `broadcast_limit` bytes; `now` and `lookback`, the span of the flows, only size the join beyond it: see `lifetime_join`.
     """
     entity = ["instance_id", "account_id", "tags", "details"]
     small = is_small(instances.select(*entity, "ip_address"), broadcast_limit)

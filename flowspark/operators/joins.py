@@ -119,13 +119,15 @@ def lifetime_join(
 ) -> DataFrame:
     """Left outer join of rows to the entities that held their IP address at their time.
 
-    When `right` was measured to be `small` it is broadcast. Else both sides are cut into `slices` equal spans of the look-back and joined on
-    (address, slice) with the exact lifetime as residual. A row is in one slice; an
-    entity is repeated for each slice it was alive in, at most `slices` times. So a
-    busy address is spread over the slices, and a recycled address is compared
-    only with the holders of that slice. Times outside the look-back are clamped to its first or
-    last slice on both sides, so the slicing never changes the result: `now` and `lookback`
-    only need to fit the data roughly. Column names of both sides must differ.
+    When `right` was measured to be `small` it is broadcast. Else both sides are cut into `slices`
+    equal spans of the look-back and joined on (address, slice), with the exact lifetime as residual.
+    A row is in one slice; an entity is repeated for each slice it was alive in, at most
+    `slices` times. So a busy address is spread over the slices, and a recycled one is
+    compared only with the holders of that slice.
+
+    `now` and `lookback` should be about the span of `left_time`. Times outside it are clamped to
+    its first or last slice on both sides, so the slicing never changes the result.
+    Column names of both sides must differ.
     """
     ip, ts = F.col(left_ip), F.col(left_time)
     start, end = F.col(right_start), F.col(right_end)

@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from flowspark import schemas
-from flowspark.functions.times import PARTITION_DATE
+from flowspark.functions import partition_date
+from flowspark.functions.times import PARTITION_DATE, RECORDING_TIMES
 
 
 def conform(df: DataFrame, ddl: str) -> DataFrame:
@@ -23,9 +24,7 @@ def conform(df: DataFrame, ddl: str) -> DataFrame:
         (F.col(f.name) if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name)
         for f in StructType.fromDDL(ddl)
     ]
-    if PARTITION_DATE in df.columns:
-        columns.append(F.col(PARTITION_DATE))
-    return df.select(*columns)
+    return df.select(*columns, *partition_date(df))
 
 
 def read_source(spark: SparkSession, name: str, path: str | None = None, fmt: str = "parquet") -> DataFrame:
@@ -52,11 +51,13 @@ def materialize(
 ) -> DataFrame:
     """Write a view once, to a path or a catalog table, and return it read back.
 
-    With a `date_column` the data is partitioned by its date, which look-backs on `recorded_at` then
-    prune. Files are balanced by size, and a day that holds most of the data is split.
+    With a `date_column`, the recording time, the data is partitioned by its date, and look-backs
+    prune the partitions. Files are balanced by size, and a day that holds most of the data is split.
     """
     if (path is None) == (table is None):
         raise ValueError("give either a path or a table")
+    if date_column not in (None, *RECORDING_TIMES):
+        raise ValueError(f"look-backs are on {RECORDING_TIMES}; partitioning by another time would not fit them")
     if date_column is not None:
         df = df.withColumn(PARTITION_DATE, F.to_date(date_column)).hint("rebalance", PARTITION_DATE)
     writer = df.write.format(fmt).mode(mode)

@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from flowspark import schemas
 from flowspark.functions import timebound
+from flowspark.operators import azure_flow_logs
 from flowspark.plans import VIEWS, FlowViews
 from flowspark.sources import conform, cut_lineage, materialize, read_source
 from workload import inputs
@@ -41,6 +42,33 @@ def test_materialize_table_and_bad_target(spark):
     assert materialize(spark.range(3), table="kept_range").count() == 3
     with pytest.raises(ValueError):
         materialize(spark.range(3))
+    with pytest.raises(ValueError):
+        materialize(spark.range(3), table="other", date_column="id")
+
+
+def test_partition_date_reaches_the_scan_through_the_flow_operators(spark, tmp_path):
+    """Detections on dated raw logs prune, also above parsing and enrichment."""
+    aws = materialize(inputs.aws_flow_logs_raw(spark, SMALL), path=str(tmp_path / "aws"), date_column="recorded_at")
+    views = FlowViews({"aws_flow_logs_raw": aws}, now=NOW)
+    azure = materialize(inputs.azure_flow_logs_raw(spark, SMALL), path=str(tmp_path / "azure"), date_column="recorded_at")
+    sources = {**all_sources(spark), "azure_flow_logs_raw": azure}
+    denied = FlowViews(sources, now=NOW, keep_entities=True)["azure_denied_baseline"]
+    for df in (views["aws_beaconing"], denied):
+        assert "recorded_date" in plan_of(df).split("PartitionFilters: [")[1].split("]")[0]
+    assert denied.count() == 4
+
+
+def test_parsers_work_on_streams(spark, tmp_path):
+    """They keep no state, so flows can be parsed as they arrive."""
+    path = str(tmp_path / "raw")
+    inputs.azure_flow_logs_raw(spark, SMALL).write.parquet(path)
+    stream = spark.readStream.schema(schemas.AZURE_FLOW_LOGS_RAW).parquet(path)
+    query = azure_flow_logs(stream).writeStream.format("memory").queryName("parsed").start()
+    try:
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    assert spark.table("parsed").count() == 17175
 
 
 def test_cut_lineage_keeps_a_table_in_the_folder_of_the_session(spark):

@@ -3,12 +3,17 @@
 from __future__ import annotations
 
 import json
+import os
 import re
+import sys
+from array import array
 from functools import lru_cache
 
-import numpy as np
 from tokenizers import Tokenizer
 
+# A task has one core; the library's own threads would only compete.
+os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
+
 # A space next to white space on both sides (or at the end): a byte-level pre-tokenizer may join it with either.
 _UNSAFE = re.compile(r"\s (?:\s|\Z)")
 _BOUNDARY = re.compile(r"(?<=\S) (?=\S)")
@@ -19,12 +24,12 @@ class TextEncoder:
     """Encodes texts without begin, end or added special tokens, without truncation or padding.
 
     A byte-level pre-tokenizer always begins a new piece at a space between two other characters, so the ids of a text are
-    those of its first word and of each further word with its leading space. Ids of up to `remembered` words are kept in a
-    dictionary, which starts anew when full. Texts that hold a special token's string, and tokenizers of other kinds, take
+    those of its first word and of each further word with its leading space. Ids of about `remembered` words are kept in a
+    dictionary; when it is full, only the words of the last two batches stay. Texts that hold a special token's string, and tokenizers of other kinds, take
     the library's call on the whole text.
     """
 
-    def __init__(self, path: str, remembered: int = 200_000):
+    def __init__(self, path: str, remembered: int = 400_000):
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
@@ -39,9 +44,14 @@ class TextEncoder:
         self.special = [token["content"] for token in spec.get("added_tokens", [])]
         self.remembered = remembered
         self.memo: dict[str, bytes] = {}
+        self.last: set[str] = set()
 
     def _whole(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
+        ids = [array("I", e.ids) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        if sys.byteorder == "big":
+            for one in ids:
+                one.byteswap()
+        return [one.tobytes() for one in ids]
 
     def _segments(self, text: str):
         """Cuts a long text at spaces where a new piece begins anyway; the space stays with what follows."""
@@ -53,7 +63,8 @@ class TextEncoder:
 
     def _known(self, words: set[str]) -> None:
         if len(self.memo) > self.remembered:
-            self.memo.clear()
+            self.memo = {w: self.memo[w] for w in (words | self.last) & self.memo.keys()}
+        self.last = {w for w in words if len(w) <= 40}
         new = [w for w in words if w not in self.memo]
         self.memo.update(zip(new, self._whole([" " + w for w in new])))
 
@@ -72,8 +83,10 @@ class TextEncoder:
         known = self.memo
         for (i, parts), head in zip(cut, heads):
             out[i] += head + b"".join([known[w] for w in parts[1:]])
-        for w in [w for w in known if len(w) > 40] if len(known) > self.remembered // 2 else []:
-            del known[w]
+        for _, parts in cut:
+            for w in parts[1:]:
+                if len(w) > 40:
+                    known.pop(w, None)
         return out
 
 

@@ -18,6 +18,8 @@ os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 _UNSAFE = re.compile(r"\s (?:\s|\Z)")
 _BOUNDARY = re.compile(r"(?<=\S) (?=\S)")
 _SEGMENT = 1 << 20
+# Longer words are not remembered.
+_LONG_WORD = 40
 
 
 class TextEncoder:
@@ -25,11 +27,11 @@ class TextEncoder:
 
     A byte-level pre-tokenizer always begins a new piece at a space between two other characters, so the ids of a text are
     those of its first word and of each further word with its leading space. Ids of about `remembered` words are kept in a
-    dictionary; when it is full, only the words of the last two batches stay. Texts that hold a special token's string, and tokenizers of other kinds, take
+    dictionary; when it is full, only the words of the last batch stay. Texts that hold a special token's string, and tokenizers of other kinds, take
     the library's call on the whole text.
     """
 
-    def __init__(self, path: str, remembered: int = 400_000):
+    def __init__(self, path: str, remembered: int = 1_000_000):
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
@@ -44,7 +46,6 @@ class TextEncoder:
         self.special = [token["content"] for token in spec.get("added_tokens", [])]
         self.remembered = remembered
         self.memo: dict[str, bytes] = {}
-        self.last: set[str] = set()
 
     def _whole(self, texts: list[str]) -> list[bytes]:
         ids = [array("I", e.ids) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
@@ -61,32 +62,29 @@ class TextEncoder:
             start = cut.start()
         yield text[start:]
 
-    def _known(self, words: set[str]) -> None:
-        if len(self.memo) > self.remembered:
-            self.memo = {w: self.memo[w] for w in (words | self.last) & self.memo.keys()}
-        self.last = {w for w in words if len(w) <= 40}
-        new = [w for w in words if w not in self.memo]
-        self.memo.update(zip(new, self._whole([" " + w for w in new])))
-
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """For each text its ids as little-endian unsigned 32-bit integers; null is empty."""
         out: list[bytes] = [b""] * len(texts)
-        pending: list[tuple[int, str]] = []
+        cut: list[tuple[int, list[str], list[bytes | None]]] = []
+        heads: list[str] = []
         for i, text in enumerate(texts):
             if text and (not self.by_word or any(s in text for s in self.special)):
                 out[i] = self._whole([text])[0]
             elif text:
-                pending += [(i, segment) for segment in self._segments(text)]
-        cut = [(i, _BOUNDARY.split(s) if _UNSAFE.search(s) else s.split(" ")) for i, s in pending]
-        self._known({w for _, parts in cut for w in parts[1:]})
-        heads = self._whole([parts[0] for _, parts in cut])
-        known = self.memo
-        for (i, parts), head in zip(cut, heads):
-            out[i] += head + b"".join([known[w] for w in parts[1:]])
-        for _, parts in cut:
-            for w in parts[1:]:
-                if len(w) > 40:
-                    known.pop(w, None)
+                for segment in self._segments(text):
+                    head, *words = _BOUNDARY.split(segment) if _UNSAFE.search(segment) else segment.split(" ")
+                    heads.append(head)
+                    cut.append((i, words, list(map(self.memo.get, words))))
+        lacking = [[k for k, ids in enumerate(found) if ids is None] for _, _, found in cut]
+        new = list({words[k] for (_, words, _), at in zip(cut, lacking) for k in at})
+        ids_of = dict(zip(new, self._whole([" " + w for w in new])))
+        for (i, words, found), at, head in zip(cut, lacking, self._whole(heads)):
+            for k in at:
+                found[k] = ids_of[words[k]]
+            out[i] += head + b"".join(found)
+        if len(self.memo) > self.remembered:
+            self.memo = {w: ids for _, words, found in cut for w, ids in zip(words, found) if len(w) <= _LONG_WORD}
+        self.memo.update((w, ids) for w, ids in ids_of.items() if len(w) <= _LONG_WORD)
         return out
 
 

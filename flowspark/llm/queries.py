@@ -8,7 +8,12 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from flowspark.llm import langid, quality
+from flowspark.llm.common import new_folder
+from flowspark.llm.decontaminate import benchmark_hits, hit_count
+from flowspark.llm.licenses import license_scan
 from flowspark.llm.packing import pack
+from flowspark.llm.token_counts import token_counts
 
 BYTE_BPE = "byte_bpe_50k.json"
 
@@ -17,6 +22,21 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    counts = token_counts(docs, public_tokenizers.path(BYTE_BPE), new_folder(spark, "token-cache"))
+    return counts.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > 512).alias("over_limit"))
+
+
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return quality.score_quality(docs, quality.learn(docs, _table(spark, sf_dir, "labels")))
+
+
+def op5_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan(_table(spark, sf_dir, "documents"))
+
+
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = pack(_table(spark, sf_dir, "documents"), public_tokenizers.path(BYTE_BPE))
     return pieces.select(
@@ -24,8 +44,31 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return langid.identify(docs, langid.learn(docs))
+
+
+def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    hits = benchmark_hits(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    n_hit = hit_count()
+    return hits.select(
+        "doc_id",
+        "n_words",
+        n_hit.alias("n_hit"),
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        (n_hit > 0).alias("contaminated"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_token_counts": op3_token_counts,
+    "op4_quality": op4_quality,
+    "op5_licenses": op5_licenses,
     "op8_packing": op8_packing,
+    "op9_language": op9_language,
+    "op10_decontamination": op10_decontamination,
 }
 
 SQL: dict[str, str] = {}

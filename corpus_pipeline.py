@@ -1,4 +1,7 @@
-"""The corpus pipeline: documents in, packed training sequences out."""
+"""The corpus pipeline: documents in, packed training sequences out.
+
+Each stage takes what its predecessor kept, with the columns of `documents`, and works on all of it.
+"""
 
 from __future__ import annotations
 
@@ -6,9 +9,33 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from flowspark.llm import langid, quality
+from flowspark.llm.dart_minhash import keep_one
+from flowspark.llm.decontaminate import keep_clean
 from flowspark.llm.packing import pack
 
 
+def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drops documents that the classifier, fitted on labelled ones, rejects."""
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return quality.keep_quality(docs, quality.learn(docs, labels))
+
+
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drops documents without letters and those too far from every language."""
+    return langid.keep_identified(docs, langid.learn(docs))
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps one document of each group of exact and near copies."""
+    return keep_one(docs)
+
+
+def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drops documents that hold a window of a benchmark item."""
+    return keep_clean(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Whole documents cut into sequences of power-of-two lengths, none padded, none across documents."""
     pieces = pack(docs, public_tokenizers.path("byte_bpe_50k.json"))
@@ -17,7 +44,15 @@ def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     )
 
 
-STAGES = [("packing", packing)]
+STAGES = [
+    ("quality classifier", quality_classifier),
+    ("language ID", language_id),
+    ("near-dedup", near_dedup),
+    ("benchmark decontamination", benchmark_decontamination),
+    ("packing", packing),
+]
+
+# Trained models and tokenizers are beyond SQL: tests hold run() against brute force.
 ORACLE_SQL = None
 
 

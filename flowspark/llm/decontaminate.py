@@ -94,6 +94,19 @@ def _packed(items: DataFrame) -> bytes:
     return zlib.compress(pickle.dumps(sorted(map(tuple, items.collect()), key=repr)))
 
 
+def _blocks(benchmark: DataFrame, block_bytes: int) -> Iterator[DataFrame]:
+    """The different items, all at once if their text is no larger than a block, else cut by hash into about that size."""
+    items = benchmark.select(F.col("item_id").cast("string").alias("item_id"), "text").where("text is not null").distinct()
+    size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    if size <= block_bytes:
+        yield items
+        return
+    n = -(-size // block_bytes) * 2
+    numbered = kept(items.withColumn("block", F.pmod(F.xxhash64("item_id", "text"), F.lit(n))), "items")
+    for k in range(n):
+        yield numbered.where(F.col("block") == k).drop("block")
+
+
 def benchmark_hits(docs: DataFrame, benchmark: DataFrame, width: int = 10, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """Which words of each whole text lie inside an occurrence of a test item's window of `width` words.
 
@@ -109,19 +122,16 @@ def benchmark_hits(docs: DataFrame, benchmark: DataFrame, width: int = 10, block
     """
     spark = docs.sparkSession
     kind = docs.schema["doc_id"].dataType.simpleString()
-    items = benchmark.select(F.col("item_id").cast("string").alias("item_id"), "text").where("text is not null").distinct()
-    size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    if size <= block_bytes:
-        block = spark.sparkContext.broadcast(_packed(items))
+    blocks = list(_blocks(benchmark, block_bytes))
+    if len(blocks) == 1:
+        block = spark.sparkContext.broadcast(_packed(blocks[0]))
         return docs.select("doc_id", "text").mapInArrow(_scan(block, width, "doc_id", False), f"doc_id {kind}, {HITS}")
-    n = -(-size // block_bytes) * 2
-    numbered = kept(items.withColumn("block", F.pmod(F.xxhash64("item_id", "text"), F.lit(n))), "items")
     digest = F.unhex(F.md5(F.coalesce("text", F.lit(""))))
     keyed = docs.select("doc_id", "text", digest.alias("digest"))
     texts = keyed.groupBy("digest").agg(F.any_value("text").alias("text"))
     found = None
-    for k in range(n):
-        block = spark.sparkContext.broadcast(_packed(numbered.where(F.col("block") == k).drop("block")))
+    for items in blocks:
+        block = spark.sparkContext.broadcast(_packed(items))
         part = kept(texts.mapInArrow(_scan(block, width, "digest", True), f"digest binary, {HITS}"), "hits")
         found = part if found is None else found.unionByName(part)
     merged = found.groupBy("digest").agg(
@@ -184,3 +194,27 @@ def with_spans(docs: DataFrame, hits: DataFrame) -> DataFrame:
     joined = docs.select("doc_id", "text").join(hits.where(F.size("hit") > 0).select("doc_id", "hit"), "doc_id")
     kind = docs.schema["doc_id"].dataType.simpleString()
     return joined.mapInArrow(locate, f"doc_id {kind}, text string, spans array<struct<start:long,end:long>>")
+
+
+def keep_clean(docs: DataFrame, benchmark: DataFrame, width: int = 10, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """The rows, with all their columns, whose text holds no window of a benchmark item.
+
+    One narrow pass a block of the benchmark: what is left after one block is scanned for the next.
+    """
+    spark = docs.sparkSession
+
+    def without(block: Broadcast):
+        def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            scanner = _scanner(block.value, width)
+            for batch in slices(batches):
+                clean = [not scanner.scan(words_of(t))[0] for t in batch.column("text").to_pylist()]
+                yield batch.filter(pa.array(clean, pa.bool_()))
+
+        return keep
+
+    blocks = list(_blocks(benchmark, block_bytes))
+    for i, items in enumerate(blocks):
+        docs = docs.mapInArrow(without(spark.sparkContext.broadcast(_packed(items))), docs.schema)
+        if i + 1 < len(blocks):
+            docs = kept(docs, "clean")
+    return docs

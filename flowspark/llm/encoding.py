@@ -17,6 +17,9 @@ os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 # A space next to white space on both sides (or at the end): a byte-level pre-tokenizer may join it with either.
 _UNSAFE = re.compile(r"\s (?:\s|\Z)")
 _BOUNDARY = re.compile(r"(?<=\S) (?=\S)")
+# A word, marks after it, and the same once more on the next line: for these letters the pre-tokenizer always cuts in between.
+_LATIN = "[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+"
+_SIMPLE = re.compile(rf"({_LATIN})([.,!]*)(?:(\n)({_LATIN})([.,!]*))?")
 _SEGMENT = 1 << 20
 # Longer words are not remembered.
 _LONG_WORD = 40
@@ -45,7 +48,8 @@ class TextEncoder:
         )
         self.special = [token["content"] for token in spec.get("added_tokens", [])]
         self.remembered = remembered
-        self.memo: dict[str, bytes] = {}
+        self.memo: dict[str, bytes] = {}  # of words with a space before them
+        self.begins: dict[str, bytes] = {"": b""}  # of pieces without
 
     def _whole(self, texts: list[str]) -> list[bytes]:
         ids = [array("I", e.ids) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
@@ -76,17 +80,32 @@ class TextEncoder:
                     heads.append(head)
                     cut.append((i, words, list(map(self.memo.get, words))))
         lacking = [[k for k, ids in enumerate(found) if ids is None] for _, _, found in cut]
-        new = list({words[k] for (_, words, _), at in zip(cut, lacking) for k in at})
-        ids_of = dict(zip(new, self._whole([" " + w for w in new])))
+        ids_of = self._new({words[k] for (_, words, _), at in zip(cut, lacking) for k in at})
         for (i, words, found), at, head in zip(cut, lacking, self._whole(heads)):
             for k in at:
                 found[k] = ids_of[words[k]]
             out[i] += head + b"".join(found)
         if len(self.memo) > self.remembered:
             self.memo = {w: ids for _, words, found in cut for w, ids in zip(words, found) if len(w) <= _LONG_WORD}
-        self.memo.update((w, ids) for w, ids in ids_of.items() if len(w) <= _LONG_WORD)
+        self.memo.update((w, ids) for w, ids in ids_of.items() if len(w) <= _LONG_WORD and "\n" not in w)
         return out
 
+    def _new(self, words: set[str]) -> dict[str, bytes]:
+        """Ids of words with their leading space. Letters, marks and a line break between them are pieces of their own."""
+        simple = {w: m.groups("") for w in words if (m := _SIMPLE.fullmatch(w))}
+        memo, begins = self.memo, self.begins
+        whole = list((words - simple.keys()) | {p[0] for p in simple.values()} - memo.keys())
+        begin = list({x for p in simple.values() for x in p[1:]} - begins.keys())
+        ids = self._whole([" " + w for w in whole] + begin)
+        fresh = dict(zip(whole, ids))
+        begins.update(zip(begin, ids[len(whole) :]))
+        for w, (core, *rest) in simple.items():
+            if w != core:
+                fresh[w] = (memo.get(core) or fresh[core]) + b"".join([begins[x] for x in rest])
+        if len(begins) > self.remembered // 4:
+            self.begins = {"": b""}
+        return fresh
+
 
 @lru_cache(maxsize=2)
 def encoder(path: str) -> TextEncoder:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from flowspark.llm import langid, quality
 from flowspark.llm.common import new_folder
+from flowspark.llm.dart_minhash import near_duplicates
 from flowspark.llm.decontaminate import benchmark_hits, hit_count
 from flowspark.llm.licenses import license_scan
 from flowspark.llm.packing import pack
@@ -22,6 +23,10 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(_table(spark, sf_dir, "documents"))
+
+
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     counts = token_counts(docs, public_tokenizers.path(BYTE_BPE), new_folder(spark, "token-cache"))
@@ -63,6 +68,7 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_near_duplicates": op2_near_duplicates,
     "op3_token_counts": op3_token_counts,
     "op4_quality": op4_quality,
     "op5_licenses": op5_licenses,

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from flowspark.llm import langid, quality
+from flowspark.llm.common import shipped
 from flowspark.llm.dart_minhash import keep_one
 from flowspark.llm.decontaminate import keep_clean
 from flowspark.llm.packing import pack
@@ -45,11 +46,11 @@ def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 STAGES = [
-    ("quality classifier", quality_classifier),
-    ("language ID", language_id),
-    ("near-dedup", near_dedup),
-    ("benchmark decontamination", benchmark_decontamination),
-    ("packing", packing),
+    ("quality classifier", shipped(quality_classifier)),
+    ("language ID", shipped(language_id)),
+    ("near-dedup", shipped(near_dedup)),
+    ("benchmark decontamination", shipped(benchmark_decontamination)),
+    ("packing", shipped(packing)),
 ]
 
 # Trained models and tokenizers are beyond SQL: tests hold run() against brute force.

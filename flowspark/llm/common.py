@@ -3,10 +3,15 @@
 from __future__ import annotations
 
 import atexit
+import io
 import uuid
-from collections.abc import Iterator
+import zipfile
+from collections.abc import Callable, Iterator
+from functools import wraps
+from pathlib import Path
 
 import pyarrow as pa
+import pyarrow.compute
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -56,9 +61,9 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
-def new_folder(spark: SparkSession, name: str) -> str:
+def new_folder(spark: SparkSession, name: str, suffix: str = "") -> str:
     """A path for a table in the shared folder, removed when this process ends."""
-    path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}{suffix}"
     atexit.register(_remove, spark, path)
     return path
 
@@ -70,6 +75,29 @@ def _remove(spark: SparkSession, path: str) -> None:
         at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
 
 
+def shipped(query: Callable) -> Callable:
+    """A query whose workers get this package from the session, as by `--py-files`, wherever the driver was started."""
+
+    @wraps(query)
+    def run(spark: SparkSession, *args) -> DataFrame:
+        context = spark.sparkContext
+        if not any(name.startswith("flowspark-") for name in context._python_includes):
+            package = Path(__file__).resolve().parent.parent
+            packed = io.BytesIO()
+            with zipfile.ZipFile(packed, "w", zipfile.ZIP_DEFLATED) as archive:
+                for path in sorted(package.rglob("*.py")):
+                    archive.write(path, path.relative_to(package.parent))
+            path = new_folder(spark, "flowspark", ".zip")
+            at = context._jvm.org.apache.hadoop.fs.Path(path)
+            out = at.getFileSystem(context._jsc.hadoopConfiguration()).create(at)
+            out.write(packed.getvalue())
+            out.close()
+            context.addPyFile(path)
+        return query(spark, *args)
+
+    return run
+
+
 def kept(df: DataFrame, name: str) -> DataFrame:
     """Compute once, into a table in the shared folder; lost executors do not take it with them."""
     path = new_folder(df.sparkSession, name)

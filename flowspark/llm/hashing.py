@@ -25,12 +25,29 @@ def salt(i: int) -> np.uint64:
     return np.uint64((i + 1) * _G % 2**64)
 
 
+# Bytes that are hashed at once; longer data is cut at separators.
+_SEGMENT = 4 << 20
+
+
 def word_hashes(data: bytes, separator: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Hash of each maximal run of bytes that are not separators, and where it begins.
 
     A word's hash is a polynomial in its bytes, summed for all words of the data at once.
     """
     b = np.frombuffer(data, np.uint8)
+    hashes, starts, at = [], [], 0
+    while at < len(b) or not hashes:
+        end = min(at + _SEGMENT, len(b))
+        while end < len(b) and not separator[b[end]]:
+            end += 1
+        h, s = _segment_hashes(b[at:end], separator)
+        hashes.append(h)
+        starts.append(s + at)
+        at = end
+    return np.concatenate(hashes), np.concatenate(starts)
+
+
+def _segment_hashes(b: np.ndarray, separator: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     inside = ~separator[b]
     begins = inside.copy()
     begins[1:] &= separator[b[:-1]]

@@ -9,10 +9,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from flowspark.llm import langid, quality
-from flowspark.llm.common import new_folder
+from flowspark.llm.common import new_folder, shipped
 from flowspark.llm.dart_minhash import near_duplicates
 from flowspark.llm.decontaminate import benchmark_hits, hit_count
+from flowspark.llm.hash_search import nearest
+from flowspark.llm.html_text import extract_text
 from flowspark.llm.licenses import license_scan
+from flowspark.llm.lm_scoring import score_texts
 from flowspark.llm.packing import pack
 from flowspark.llm.token_counts import token_counts
 
@@ -23,6 +26,10 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_texts(_table(spark, sf_dir, "documents"))
+
+
 def op2_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"))
 
@@ -42,6 +49,14 @@ def op5_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan(_table(spark, sf_dir, "documents"))
 
 
+def op6_multi_index_hashing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+def op7_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_text(_table(spark, sf_dir, "pages"))
+
+
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = pack(_table(spark, sf_dir, "documents"), public_tokenizers.path(BYTE_BPE))
     return pieces.select(
@@ -68,13 +83,19 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    "op2_near_duplicates": op2_near_duplicates,
-    "op3_token_counts": op3_token_counts,
-    "op4_quality": op4_quality,
-    "op5_licenses": op5_licenses,
-    "op8_packing": op8_packing,
-    "op9_language": op9_language,
-    "op10_decontamination": op10_decontamination,
+    query.__name__: shipped(query)
+    for query in (
+        op1_lm_scoring,
+        op2_near_duplicates,
+        op3_token_counts,
+        op4_quality,
+        op5_licenses,
+        op6_multi_index_hashing,
+        op7_html_text,
+        op8_packing,
+        op9_language,
+        op10_decontamination,
+    )
 }
 
 SQL: dict[str, str] = {}

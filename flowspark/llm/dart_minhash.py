@@ -129,44 +129,89 @@ def _texts(docs: DataFrame) -> DataFrame:
 
 
 def _similarities(pairs: DataFrame, of: DataFrame) -> DataFrame:
-    """The weighted Jaccard similarity of each pair (a, b). Where many pairs share a b, its elements are copied for every 256."""
+    """The weighted Jaccard similarity of each pair (a, b). Where many pairs share a b, its elements are copied for every 256.
+
+    Both joins carry elements, so they are shuffled at every size; a table of elements is never broadcast.
+    """
     copies = F.ceil(F.count("*") / SALTED).cast("int").alias("copies")
-    spread = pairs.join(pairs.groupBy("b").agg(copies), "b").select(
-        "a", "b", "copies", F.pmod(F.xxhash64("a"), F.col("copies")).alias("copy")
-    )
-    b_side = (
-        spread.select("b", "copy")
-        .distinct()
-        .join(of.select(F.col("node").alias("b"), F.col("cells").alias("b_cells")), "b")
-    )
-    a_side = spread.select("a", "b", "copy").join(of.select(F.col("node").alias("a"), F.col("cells").alias("a_cells")), "a")
+    spread = pairs.join(pairs.groupBy("b").agg(copies), "b").select("a", "b", F.pmod(F.xxhash64("a"), F.col("copies")).alias("copy"))
+    a_side = spread.join(of.select(F.col("node").alias("a"), F.col("cells").alias("a_cells")).hint("merge"), "a")
+    b_side = spread.select("b", "copy").distinct()
+    b_side = b_side.join(of.select(F.col("node").alias("b"), F.col("cells").alias("b_cells")).hint("merge"), "b")
     shared = F.size(F.array_intersect("a_cells", "b_cells"))
-    return a_side.join(b_side, ["b", "copy"]).select(
+    return a_side.join(b_side.hint("merge"), ["b", "copy"]).select(
         "a", "b", (shared / (F.size("a_cells") + F.size("b_cells") - shared)).alias("similarity")
     )
 
 
-def near_links(docs: DataFrame, similarity: float = SIMILARITY, width: int = WIDTH, bands: int = BANDS, rows: int = ROWS):
+def _mixed(members: DataFrame) -> DataFrame:
+    """Members (key, node, label, ...) of the buckets that hold more than one label."""
+    bounds = members.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi"))
+    return members.join(bounds.where("lo <> hi").select("key"), "key", "left_semi")
+
+
+def _open_pairs(members: DataFrame, led: DataFrame, known: DataFrame, elements: DataFrame, similarity: float) -> DataFrame:
+    """What may still link different components: pairs (a, b) of a bucket that no bound rules out.
+
+    An element that only texts of one component have cannot be shared across components. So a text of n elements, u of them
+    such, has at most n - u in common with one of another component, and if that has m elements a similarity of at most
+    (n - u) / max(n, m + u): texts that cannot reach the threshold with the shortest of their bucket are left out before
+    anything is paired. For pairs, the bound holds from both sides, and their distances to the centre may differ by
+    1 - similarity at most. A pair that shares several buckets comes from the one with the least key.
+    """
+    mixed = kept(_mixed(members), "mixed")
+    labels = mixed.select("node", F.xxhash64("label").alias("of")).distinct()
+    parts = elements.join(labels, "node").select("node", "of", F.explode("cells").alias("cell"))
+    alone = parts.groupBy("cell").agg(F.min("of").alias("lo"), F.max("of").alias("hi")).where("lo = hi").select("cell")
+    own = parts.join(alone, "cell").groupBy("node").agg(F.count("*").alias("u"))
+    sizes = elements.select("node", F.size("cells").alias("n")).join(own, "node", "left").withColumn("u", F.coalesce("u", F.lit(0)))
+    sized = mixed.join(sizes, "node")
+    shortest = sized.groupBy("key").agg(F.min("n").alias("shortest"))
+    reach = (F.col("n") - F.col("u")) / F.greatest("n", F.col("shortest") + F.col("u"))
+    able = _mixed(kept(sized.join(shortest, "key").where(reach >= similarity).drop("shortest"), "able"))
+    near = led.select("key", "node", "centre").join(
+        known.select(F.col("a").alias("node"), F.col("b").alias("centre"), "similarity"), ["node", "centre"], "left"
+    )
+    near = near.select("key", "node", F.when(F.col("node") == F.col("centre"), 1.0).otherwise(F.col("similarity")).alias("s"))
+    able = able.join(near, ["key", "node"])
+    buckets = able.groupBy("node").agg(F.sort_array(F.collect_set("key")).alias("keys"))
+    able = kept(able.join(buckets, "node"), "able")
+    one, two = able.alias("one"), able.alias("two")
+    most = F.least(F.expr("one.n - one.u"), F.expr("two.n - two.u"))
+    pairs = one.join(
+        two,
+        (F.col("one.key") == F.col("two.key"))
+        & (F.col("one.node") < F.col("two.node"))
+        & (F.col("one.label") != F.col("two.label"))
+        & (F.abs(F.col("one.s") - F.col("two.s")) <= 1 - similarity + 1e-9)
+        & (most / (F.col("one.n") + F.col("two.n") - most) >= similarity)
+        & (F.array_min(F.array_intersect("one.keys", "two.keys")) == F.col("one.key")),
+    ).select(F.col("one.node").alias("a"), F.col("two.node").alias("b"))
+    tried = known.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    return pairs.join(tried, ["a", "b"], "left_anti")
+
+
+def near_links(
+    docs: DataFrame, similarity: float = SIMILARITY, width: int = WIDTH, bands: int = BANDS, rows: int = ROWS
+) -> DataFrame:
     """Components of different texts that are linked: columns node, label (the least node of the component).
 
-    Texts that agree in a band are candidates. In every bucket all members are compared with its least and its greatest
-    one. What then still lies in different components is compared among itself, except where the distances to the least
-    member differ too much for a link (weighted Jaccard distance is a metric), so a bucket loses no link between components
-    while a large group of near copies costs two comparisons a member. Similarities are exact, over all shingles.
+    Texts that agree in a band are candidates. In every bucket all members are compared with its centre, the one that meets
+    most texts over all its buckets, so a large group of near copies costs about one comparison a member. Members of a
+    bucket that then lie in different components are compared with each other unless a bound excludes a link, so no link
+    between candidates of different components is lost. Similarities are exact, over all shingles.
     """
     signed = docs.select(text_node().alias("node"), "text").mapInArrow(
         _per_text("keys", lambda t: band_keys(t, width, bands, rows)), "node binary, keys array<long>"
     )
     signed = kept(signed.groupBy("node").agg(F.any_value("keys").alias("keys")), "signatures")
     entries = signed.select("node", F.explode("keys").alias("key"))
-    shared = entries.groupBy("key").count().where("count > 1").select("key")
-    members = kept(entries.join(shared, "key", "left_semi"), "members")
-    centres = members.groupBy("key").agg(F.min("node").alias("least"), F.max("node").alias("most"))
-    led = members.join(centres, "key")
-    pairs = led.select(F.col("node").alias("a"), F.col("least").alias("b")).unionByName(
-        led.where("node <> least").select(F.col("node").alias("a"), F.col("most").alias("b"))
-    )
-    pairs = kept(pairs.where("a <> b").distinct(), "pairs")
+    shared = entries.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
+    members = kept(entries.join(shared.hint("merge"), "key"), "members")
+    met = members.join(members.groupBy("node").agg(F.sum("n").alias("met")), "node")
+    centres = met.groupBy("key").agg(F.max(F.struct("met", "node")).alias("best")).select("key", F.col("best.node").alias("centre"))
+    led = kept(members.join(centres, "key").select("key", "node", "centre"), "led")
+    pairs = kept(led.where("node <> centre").select(F.col("node").alias("a"), F.col("centre").alias("b")).distinct(), "pairs")
     wanted = members.select("node").distinct()
     elements = _texts(docs).join(wanted, "node", "left_semi").mapInArrow(
         _per_text("cells", lambda t: as_signed(cells(*shingles(t, width)))), "node binary, cells array<long>"
@@ -175,23 +220,8 @@ def near_links(docs: DataFrame, similarity: float = SIMILARITY, width: int = WID
     known = kept(_similarities(pairs, elements), "similarities")
     links = known.where(F.col("similarity") >= similarity)
     found = components(links)
-
-    labelled = members.join(found, "node", "left").select("key", "node", F.coalesce("label", "node").alias("label"))
-    mixed = labelled.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.min("node").alias("least"))
-    left = labelled.join(mixed.where("lo <> hi").select("key", "least"), "key")
-    to_least = known.select(F.col("a").alias("node"), F.col("b").alias("least"), "similarity")
-    left = left.join(to_least, ["node", "least"], "left").where("node <> least").select("key", "node", "label", "similarity")
-    left = kept(left, "left")
-    one, two = left.alias("one"), left.alias("two")
-    open_pairs = one.join(
-        two,
-        (F.col("one.key") == F.col("two.key"))
-        & (F.col("one.node") < F.col("two.node"))
-        & (F.col("one.label") != F.col("two.label"))
-        & (F.abs(F.col("one.similarity") - F.col("two.similarity")) <= 1 - similarity + 1e-9),
-    ).select(F.col("one.node").alias("a"), F.col("two.node").alias("b"))
-    tried = known.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    more = kept(open_pairs.distinct().join(tried, ["a", "b"], "left_anti"), "pairs")
+    labelled = led.join(found, "node", "left").select("key", "node", F.coalesce("label", "node").alias("label"))
+    more = kept(_open_pairs(labelled, led, known, elements, similarity), "pairs")
     if more.isEmpty():
         return found
     late = kept(_similarities(more, elements).where(F.col("similarity") >= similarity), "links")

@@ -11,13 +11,14 @@ from functools import lru_cache
 import ahocorasick
 import pyarrow as pa
 from pyspark import Broadcast
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from flowspark.llm.common import kept, slices, words_of
 
 # Most benchmark text of one automaton, which takes about a hundred times as much memory. A larger benchmark is cut into blocks of items.
 BLOCK_BYTES = 1 << 20
+_LOWER = {c: c + 32 for c in range(65, 91)}
 _WORD = re.compile("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+")
 
 HITS = "n_words long, hit array<struct<first:long,last:long>>, items array<string>"
@@ -132,31 +133,28 @@ def benchmark_hits(docs: DataFrame, benchmark: DataFrame, width: int = 10, block
     found = None
     for items in blocks:
         block = spark.sparkContext.broadcast(_packed(items))
-        part = kept(texts.mapInArrow(_scan(block, width, "digest", True), f"digest binary, {HITS}"), "hits")
+        part = kept(texts.mapInArrow(_scan(block, width, "digest", found is not None), f"digest binary, {HITS}"), "hits")
         found = part if found is None else found.unionByName(part)
     merged = found.groupBy("digest").agg(
-        F.sort_array(F.flatten(F.collect_list("hit"))).alias("hit"),
+        F.max("n_words").alias("n_words"),
+        _joined(F.sort_array(F.flatten(F.collect_list("hit")))).alias("hit"),
         F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"),
     )
-    none = {"hit": F.array().cast("array<struct<first:long,last:long>>"), "items": F.array().cast("array<string>")}
-    n_words = F.coalesce(F.size(F.expr("regexp_extract_all(text, '[^\\\\x00-\\\\x2F\\\\x3A-\\\\x60\\\\x7B-\\\\x7F]+', 0)")), F.lit(0))
-    return (
-        keyed.select("doc_id", "digest", F.when(F.col("text").isNull(), 0).otherwise(n_words).cast("long").alias("n_words"))
-        .join(merged, "digest", "left")
-        .select("doc_id", "n_words", *[F.coalesce(c, v).alias(c) for c, v in none.items()])
-        .withColumn("hit", _joined("hit"))
-    )
+    return keyed.select("doc_id", "digest").join(merged, "digest").drop("digest")
 
 
-def _joined(hits: str):
+def _joined(hits: Column) -> Column:
     """Sorted runs joined where they touch or overlap."""
-    last = "element_at(acc, -1)"
-    return F.expr(
-        f"""aggregate({hits}, cast(array() as array<struct<first:long,last:long>>), (acc, x) -> case
-            when size(acc) > 0 and x.first <= {last}.last + 1
-            then concat(slice(acc, 1, size(acc) - 1), array(named_struct('first', {last}.first, 'last', greatest({last}.last, x.last))))
-            else concat(acc, array(named_struct('first', x.first, 'last', x.last))) end)"""
-    )
+    none = F.array().cast("array<struct<first:long,last:long>>")
+
+    def add(runs: Column, x: Column) -> Column:
+        end = F.element_at(runs, -1)
+        longer = F.struct(end["first"].alias("first"), F.greatest(end["last"], x["last"]).alias("last"))
+        return F.when(
+            (F.size(runs) > 0) & (x["first"] <= end["last"] + 1), F.concat(F.slice(runs, 1, F.size(runs) - 1), F.array(longer))
+        ).otherwise(F.concat(runs, F.array(x)))
+
+    return F.aggregate(hits, none, add)
 
 
 def hit_count(hits: str = "hit"):
@@ -170,7 +168,7 @@ def character_spans(text: str | None, hits: list) -> list[tuple[int, int]]:
     >>> character_spans("One, TWO; three.", [(1, 2)])
     [(5, 15)]
     """
-    at = [m.span() for m in _WORD.finditer(text or "")] if hits else []
+    at = [m.span() for m in _WORD.finditer((text or "").translate(_LOWER))] if hits else []
     return [(at[first][0], at[last][1]) for first, last in hits]
 
 

@@ -3,12 +3,15 @@ from .tags import tag, tags_to_map
 from .text import nth, text_or_null
 from .times import (
     ago,
+    day_index,
+    hour_of_day,
+    hour_start,
     in_window,
     instant,
     launch_instant,
     minute_index,
     minutes_between,
-    partition_date,
+    partition_day,
     timebound,
 )
 
@@ -16,9 +19,12 @@ __all__ = [
     "ago",
     "as_json",
     "canonical_json",
+    "day_index",
     "document",
     "explode_parsed",
     "field",
+    "hour_of_day",
+    "hour_start",
     "in_window",
     "instant",
     "launch_instant",
@@ -26,7 +32,7 @@ __all__ = [
     "minutes_between",
     "nth",
     "parse_once",
-    "partition_date",
+    "partition_day",
     "tag",
     "tags_to_map",
     "text_or_null",

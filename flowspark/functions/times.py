@@ -7,9 +7,10 @@ from datetime import datetime, timedelta, timezone
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# The date of the recording time, which `sources.materialize` partitions by. Flow
+# The day of the recording time, in whole days since the epoch, which `sources.materialize` partitions by.
+# The name is reserved: only `materialize` writes it, and readers drop foreign columns they did not declare. Flow
 # operators pass it on, so that look-backs above them still prune; see `timebound`.
-PARTITION_DATE = "recorded_date"
+PARTITION_DAY = "flowspark_recorded_day"
 RECORDING_TIMES = ("recorded_at", "flow_recorded_at")
 
 
@@ -42,23 +43,39 @@ def timebound(
 ) -> DataFrame:
     """Keep rows of the last `lookback`, or between `lookback` and `until` ago, both ends included.
 
-    On a table partitioned by date (see `sources.materialize`) the same bound
-    is put on the partition column, so older directories are never listed.
+    On a table partitioned by day (see `sources.materialize`) the same bound
+    is put on the partition column, so older directories are never listed. Days are
+    counted from the instants alone, so writer and reader may differ in time zone.
     """
     start = ago(now, lookback)
     bound = F.col(column) >= start
     if until is not None:
         bound = bound & (F.col(column) <= ago(now, until))
-    if column in RECORDING_TIMES and PARTITION_DATE in df.columns:
-        bound = bound & (F.col(PARTITION_DATE) >= F.to_date(start))
+    if column in RECORDING_TIMES and partition_day(df):
+        bound = bound & (F.col(PARTITION_DAY) >= day_index(start))
         if until is not None:
-            bound = bound & (F.col(PARTITION_DATE) <= F.to_date(ago(now, until)))
+            bound = bound & (F.col(PARTITION_DAY) <= day_index(ago(now, until)))
     return df.where(bound)
 
 
-def partition_date(df: DataFrame) -> list[str]:
-    """The partition date column, when the data has one."""
-    return [PARTITION_DATE] if PARTITION_DATE in df.columns else []
+def partition_day(df: DataFrame) -> list[str]:
+    """The partition day column, when the data has one: of that name and of whole numbers."""
+    return [PARTITION_DAY] if dict(df.dtypes).get(PARTITION_DAY) == "int" else []
+
+
+def day_index(ts: Column) -> Column:
+    """Whole days (UTC) since the epoch, whatever the session's time zone."""
+    return F.floor(F.unix_seconds(ts) / F.lit(86400)).cast("int")
+
+
+def hour_start(ts: Column) -> Column:
+    """The instant at which the hour (UTC) began, whatever the session's time zone."""
+    return F.timestamp_seconds(F.floor(F.unix_seconds(ts) / F.lit(3600)) * 3600)
+
+
+def hour_of_day(ts: Column) -> Column:
+    """0 to 23 (UTC), whatever the session's time zone."""
+    return F.pmod(F.floor(F.unix_seconds(ts) / F.lit(3600)), F.lit(24)).cast("int")
 
 
 def minute_index(ts: Column) -> Column:

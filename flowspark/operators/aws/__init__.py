@@ -4,6 +4,7 @@ from .security import (
     RolePolicy,
     aws_beaconing,
     aws_ioc_connections,
+    aws_listed_flows,
     aws_port_scanning,
     aws_rst_baseline,
     aws_unusual_role_ports,
@@ -18,6 +19,7 @@ __all__ = [
     "aws_flow_logs_join_enis",
     "aws_instances",
     "aws_ioc_connections",
+    "aws_listed_flows",
     "aws_port_scanning",
     "aws_rst_baseline",
     "aws_unusual_role_ports",

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from flowspark.functions import (
     as_json,
+    day_index,
     document,
     explode_parsed,
     field,
@@ -162,7 +163,7 @@ def aws_instances(
         followed.join(
             ends,
             (F.col("instance_id") == F.col("end_instance"))
-            & (F.to_date("recorded_at") <= F.to_date("ended_at")),
+            & (day_index(F.col("recorded_at")) <= day_index(F.col("ended_at"))),
             "left",
         )
         .select(

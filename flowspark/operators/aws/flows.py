@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from flowspark import schemas
-from flowspark.functions import partition_date
+from flowspark.functions import partition_day
 from flowspark.operators.joins import BROADCAST_LIMIT_BYTES, id_join, is_small, lifetime_join
 
 FLOW_COLUMNS = [field.split()[0] for field in schemas.AWS_FLOW_LOGS.split(",")]
@@ -17,7 +17,7 @@ _SPREAD_BY = ["srcaddr", "dstaddr", "srcport", "dstport", "starttime"]
 
 def aws_flow_logs(raw: DataFrame) -> DataFrame:
     """The flow log columns, without whatever else the ingest added."""
-    return raw.select(*FLOW_COLUMNS, *partition_date(raw))
+    return raw.select(*FLOW_COLUMNS, *partition_day(raw))
 
 
 def _peer_ip(owner_ip: Column) -> Column:

@@ -8,9 +8,9 @@ from datetime import datetime, timedelta
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from flowspark.functions import tag, timebound
+from flowspark.functions import hour_of_day, tag, timebound
 from flowspark.operators.beaconing import beacons
-from flowspark.operators.joins import BROADCAST_LIMIT_BYTES, candidate_join
+from flowspark.operators.joins import BROADCAST_LIMIT_BYTES, candidate_join, with_listed_end
 
 # TCP flags of a connection being opened (SYN, SYN with FIN), and reset.
 OPENING_FLAGS = (2, 3)
@@ -61,6 +61,14 @@ def aws_beaconing(
     )
 
 
+def aws_listed_flows(
+    flows: DataFrame, iocs: DataFrame, broadcast_limit: int = BROADCAST_LIMIT_BYTES
+) -> DataFrame:
+    """Parsed flows with a listed end: all that `aws_ioc_connections` can report, to be enriched for it."""
+    spread_by = ["srcaddr", "dstaddr", "srcport", "dstport", "starttime"]
+    return with_listed_end(flows, iocs, "ioc_value", "srcaddr", "dstaddr", spread_by, broadcast_limit)
+
+
 def aws_ioc_connections(
     flows_ec2: DataFrame,
     iocs: DataFrame,
@@ -105,7 +113,7 @@ def aws_rst_baseline(
     resets = (
         timebound(flows, "recorded_at", now, **day)
         .where(F.col("tcpflags") == RESET_FLAG)
-        .groupBy("instanceid", F.hour("recorded_at").alias("hourly_part"))
+        .groupBy("instanceid", hour_of_day(F.col("recorded_at")).alias("hourly_part"))
         .agg(F.count("*").alias("resets"))
     )
     hourly = (

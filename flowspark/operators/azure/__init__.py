@@ -1,12 +1,13 @@
 from .entities import azure_nics, azure_vms, azure_vms_nics
 from .flows import azure_flow_logs, azure_flow_logs_join_vm_nics
-from .security import azure_denied_baseline, azure_ioc_connections, azure_port_scanning
+from .security import azure_denied_baseline, azure_ioc_connections, azure_listed_flows, azure_port_scanning
 
 __all__ = [
     "azure_denied_baseline",
     "azure_flow_logs",
     "azure_flow_logs_join_vm_nics",
     "azure_ioc_connections",
+    "azure_listed_flows",
     "azure_nics",
     "azure_port_scanning",
     "azure_vms",

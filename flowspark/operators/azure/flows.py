@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from flowspark import schemas
-from flowspark.functions import explode_parsed, nth, partition_date, text_or_null
+from flowspark.functions import explode_parsed, nth, partition_day, text_or_null
 from flowspark.operators.joins import (
     BROADCAST_LIMIT_BYTES,
     is_small,
@@ -37,7 +37,7 @@ def azure_flow_logs(raw: DataFrame) -> DataFrame:
     without a shuffle. `properties`, `flow_raw` (the rule) and `flow_tuples` (the MAC group) are
     JSON text, written only when they are selected.
     """
-    dated = partition_date(raw)
+    dated = partition_day(raw)
     parsed = raw.select("recorded_at", *dated, F.from_json("flow_raw", schemas.AZURE_FLOW_RECORD).alias("record"))
     rules = explode_parsed(parsed, F.col("record.properties.flows"), "rule_flows")
     groups = rules.select("*", F.explode("rule_flows.flows").alias("mac_flows"))
@@ -141,7 +141,7 @@ def azure_flow_logs_join_vm_nics(
     no payload is ever a shuffle key of the flows. `vms_nics` is measured, and broadcast up to
     `broadcast_limit` bytes.
     """
-    dated = partition_date(flows)
+    dated = partition_day(flows)
     distinct_flows = (
         flows.select(F.col("recorded_at").alias("flow_recorded_at"), *_FLOW_COLUMNS, *dated)
         .distinct()

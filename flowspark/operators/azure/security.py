@@ -7,8 +7,16 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from flowspark.functions import tag, timebound
-from flowspark.operators.joins import BROADCAST_LIMIT_BYTES, candidate_join
+from flowspark.functions import hour_start, tag, timebound
+from flowspark.operators.joins import BROADCAST_LIMIT_BYTES, candidate_join, with_listed_end
+
+
+def azure_listed_flows(
+    flows: DataFrame, iocs: DataFrame, broadcast_limit: int = BROADCAST_LIMIT_BYTES
+) -> DataFrame:
+    """Parsed flows with a listed end: all that `azure_ioc_connections` can report, to be enriched for it."""
+    spread_by = ["src_addr", "dst_addr", "src_port", "dst_port", "event_time"]
+    return with_listed_end(flows, iocs, "ioc_value", "src_addr", "dst_addr", spread_by, broadcast_limit)
 
 
 def azure_ioc_connections(
@@ -31,7 +39,7 @@ def _denied(flows: DataFrame, now, lookback: str, until: str | None = None) -> D
         timebound(flows, "flow_recorded_at", now, lookback, until)
         .where(F.col("traffic_decision") == "DENIED")
         .withColumn("src_role", tag(F.col("src_vm_tags")))
-        .withColumn("hour", F.date_trunc("hour", "flow_recorded_at"))
+        .withColumn("hour", hour_start(F.col("flow_recorded_at")))
     )
 
 

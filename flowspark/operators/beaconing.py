@@ -33,10 +33,11 @@ def beacons(
     boundaries; the latest connection has none and is left out. Connections that start at the same
     instant are ordered by duration, then by source.
 
-    Gaps are whole minutes, so all connections of a minute but the last have gap 0.
-    Flows are therefore first summed per minute, map-side, and only these sums
-    are sorted: at most one row per source and minute of the look-back in any one
-    window, however many flows a pair of addresses has.
+    Gaps are whole minutes, so all connections of a minute but the last have gap 0. Flows are
+    therefore summed per minute, map-side. The last connection of each (host, destination, minute) is
+    found by an aggregate over these sums, and only these, at most one row per minute of the
+    look-back, are sorted: each adds its gap to its source, the final one takes itself out. No
+    window grows with the number of flows or of sources.
     """
     began = F.col(start)
     minute = minute_index(began)
@@ -60,32 +61,42 @@ def beacons(
             F.max_by("_duration", "_rank").alias("_last_duration"),
         )
     )
-    in_time = Window.partitionBy(host, dst).orderBy("_minute", "_last_rank", src)
-    gap, last = F.col("_gap"), F.col("_last_duration")
+    sums = per_minute.select(
+        host,
+        src,
+        dst,
+        "_n",
+        F.lit(0).cast("bigint").alias("_gap"),
+        "_timed",
+        F.coalesce("_total", F.lit(0)).alias("_total"),
+        F.coalesce("_squares", F.lit(0)).alias("_squares"),
+    )
+    latest = F.max(F.struct("_last_rank", src, F.col("_last_duration").alias("_took"))).alias("_latest")
+    lasts = per_minute.groupBy(host, dst, "_minute").agg(latest)
+    in_time = Window.partitionBy(host, dst).orderBy("_minute")
+    gap, took = F.col("_gap"), F.coalesce("_latest._took", F.lit(0))
     final = gap.isNull()
-    with_gap = per_minute.withColumn("_gap", F.lead("_minute").over(in_time) - F.col("_minute"))
+    corrections = lasts.withColumn("_gap", F.lead("_minute").over(in_time) - F.col("_minute")).select(
+        host,
+        F.col(f"_latest.{src}").alias(src),
+        dst,
+        (-final.cast("bigint")).alias("_n"),
+        F.coalesce(gap, F.lit(0)).alias("_gap"),
+        (-(final & F.col("_latest._took").isNotNull()).cast("bigint")).alias("_timed"),
+        F.when(final, -took).otherwise(0).alias("_total"),
+        F.when(final, -took * took).otherwise(0).alias("_squares"),
+    )
     n, timed = F.col("beacon_count"), F.col("_timed_count")
     stats = (
-        with_gap.select(
-            host,
-            src,
-            dst,
-            (F.col("_n") - final.cast("bigint")).alias("_n"),
-            F.coalesce(gap, F.lit(0)).alias("_gap"),
-            (F.col("_timed") - (final & last.isNotNull()).cast("bigint")).alias("_timed"),
-            (F.col("_total") - F.when(final, F.coalesce(last, F.lit(0))).otherwise(0)).alias("_total"),
-            (
-                F.col("_squares") - F.when(final, F.coalesce(last * last, F.lit(0))).otherwise(0)
-            ).alias("_squares"),
-        )
+        sums.unionByName(corrections)
         .groupBy(host, src, dst)
         .agg(
             F.sum("_n").alias("beacon_count"),
             F.sum("_gap").alias("_gaps"),
             F.sum(F.col("_gap") * F.col("_gap")).alias("_gap_squares"),
             F.sum("_timed").alias("_timed_count"),
-            F.coalesce(F.sum("_total"), F.lit(0)).alias("_durations"),
-            F.coalesce(F.sum("_squares"), F.lit(0)).alias("_duration_squares"),
+            F.sum("_total").alias("_durations"),
+            F.sum("_squares").alias("_duration_squares"),
         )
         .where(n > 0)
     )

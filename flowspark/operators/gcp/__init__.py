@@ -1,6 +1,6 @@
 from .entities import gcp_vms
 from .flows import gcp_flow_logs, gcp_flow_logs_join_vms
-from .security import gcp_beaconing, gcp_connect_baseline, gcp_ioc_connections, gcp_port_scanning
+from .security import gcp_beaconing, gcp_connect_baseline, gcp_ioc_connections, gcp_listed_flows, gcp_port_scanning
 
 __all__ = [
     "gcp_beaconing",
@@ -8,6 +8,7 @@ __all__ = [
     "gcp_flow_logs",
     "gcp_flow_logs_join_vms",
     "gcp_ioc_connections",
+    "gcp_listed_flows",
     "gcp_port_scanning",
     "gcp_vms",
 ]

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from flowspark import schemas
-from flowspark.functions import parse_once, partition_date, timebound
+from flowspark.functions import parse_once, partition_day, timebound
 from flowspark.operators.joins import BROADCAST_LIMIT_BYTES, id_join, is_small
 
 FLOW_LOG = "compute.googleapis.com/vpc_flows"
@@ -56,7 +56,7 @@ def gcp_flow_logs(
             payload["src_vpc"]["subnetwork_name"].alias("src_subnet_name"),
             payload["reporter"].alias("reporter"),
             "raw",
-            *partition_date(audit_logs),
+            *partition_day(audit_logs),
         )
     )
 

@@ -11,9 +11,9 @@ from datetime import datetime, timedelta
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from flowspark.functions import tag, timebound
+from flowspark.functions import hour_of_day, tag, timebound
 from flowspark.operators.beaconing import beacons
-from flowspark.operators.joins import BROADCAST_LIMIT_BYTES, candidate_join
+from flowspark.operators.joins import BROADCAST_LIMIT_BYTES, candidate_join, with_listed_end
 
 
 def gcp_beaconing(
@@ -42,6 +42,14 @@ def gcp_beaconing(
     )
 
 
+def gcp_listed_flows(
+    flows: DataFrame, iocs: DataFrame, broadcast_limit: int = BROADCAST_LIMIT_BYTES
+) -> DataFrame:
+    """Parsed flows with a listed end: all that `gcp_ioc_connections` can report, to be enriched for it."""
+    spread_by = ["src_ip", "dst_ip", "src_port", "dst_port", "start_time"]
+    return with_listed_end(flows, iocs, "ioc_value", "src_ip", "dst_ip", spread_by, broadcast_limit)
+
+
 def gcp_ioc_connections(
     flows: DataFrame, iocs: DataFrame, broadcast_limit: int = BROADCAST_LIMIT_BYTES
 ) -> DataFrame:
@@ -69,7 +77,7 @@ def gcp_connect_baseline(
     """
     hourly = (
         _misses(flows, now, "25 hours", "1 hour")
-        .groupBy("src_role", "dst_role", F.hour("recorded_at").alias("hourly_part"))
+        .groupBy("src_role", "dst_role", hour_of_day(F.col("recorded_at")).alias("hourly_part"))
         .agg(F.count("*").alias("miss_count"))
     )
     seen_roles = (

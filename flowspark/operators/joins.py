@@ -17,7 +17,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from flowspark.functions import ago, in_window, instant
+from flowspark.functions import ago, hour_start, in_window, instant
 
 BROADCAST_LIMIT_BYTES = 32 << 20
 NULL_KEY_SPREAD = 4096
@@ -63,6 +63,29 @@ def candidate_join(
     )
 
 
+def with_listed_end(
+    flows: DataFrame,
+    listed: DataFrame,
+    listed_key: str,
+    src: str,
+    dst: str,
+    spread_by: list[str],
+    broadcast_limit: int = BROADCAST_LIMIT_BYTES,
+) -> DataFrame:
+    """The flows, each as often as it occurs, one of whose ends is listed.
+
+    It needs nothing but the addresses, so it stands below enrichment: what is not listed is neither made distinct nor joined
+    to entities. `candidate_join` above then applies the exact condition.
+    """
+    values = listed.select(F.col(listed_key).alias("_listed")).where("_listed is not null").distinct()
+    small = is_small(values, broadcast_limit)
+    for end in (src, dst):
+        marked = values.select(F.col("_listed").alias(f"_listed_{end}"))
+        flows = id_join(flows, marked, end, f"_listed_{end}", spread_by, small)
+    found = F.col(f"_listed_{src}").isNotNull() | F.col(f"_listed_{dst}").isNotNull()
+    return flows.where(found).drop(f"_listed_{src}", f"_listed_{dst}")
+
+
 def _spread(columns: list[str]) -> Column:
     return F.pmod(F.xxhash64(*[F.col(c) for c in columns]), F.lit(NULL_KEY_SPREAD))
 
@@ -187,24 +210,30 @@ def next_start(
 ) -> DataFrame:
     """Add `name`: the `value` of the row after this one with the same key, by `order`.
 
-    It is `lead(value) over (partition by key order by order, ties)` with nulls last, in two steps,
+    It is `lead(value) over (partition by key order by order, ties)` in two steps,
     so that one key may hold any share of the rows: a window inside each (key, hour), then one
     over the first and last row of each hour of a key. `ties` must tell rows apart.
+
+    An absent key passes to nobody, and so does a row without a time, nor is it anyone's next: these rows
+    get null and take no part in the windows, however many they are.
     """
-    sort = [F.col(c).asc_nulls_last() for c in (order, *ties)]
-    inside = Window.partitionBy(key, "_hour").orderBy(*sort)
+    known = F.col(key).isNotNull() & F.col(order).isNotNull()
+    sort = [F.col(c) for c in (order, *ties)]
+    inside = Window.partitionBy(key, "_hour", "_apart").orderBy(*sort)
+    # Rows that take no part are dealt out over groups of their own.
+    dealt = F.pmod(F.xxhash64(*ties), F.lit(NULL_KEY_SPREAD))
     hourly = (
-        df.withColumn("_hour", F.date_trunc("hour", F.col(order)))
-        .withColumn("_inside", F.lead(F.struct(value)).over(inside))
+        df.withColumn("_hour", hour_start(F.col(order)))
+        .withColumn("_apart", F.when(known, -1).otherwise(dealt))
+        .withColumn("_inside", F.when(known, F.lead(F.struct(value)).over(inside)))
         .withColumn("_is_first", F.lag(F.lit(1)).over(inside).isNull())
     )
-    # Rows inside an hour have their answer, and are dealt out over groups of their own.
-    edge = F.col("_is_first") | F.col("_inside").isNull()
-    group = F.when(edge, 0).otherwise(1 + F.pmod(F.xxhash64(*ties), F.lit(NULL_KEY_SPREAD)))
+    # Rows inside an hour have their answer, and are dealt out as well.
+    edge = known & (F.col("_is_first") | F.col("_inside").isNull())
     across = Window.partitionBy(key, "_group").orderBy(*sort)
     return (
-        hourly.withColumn("_group", group)
-        .withColumn("_later", F.lead(F.struct(value)).over(across))
+        hourly.withColumn("_group", F.when(edge, -1).otherwise(dealt))
+        .withColumn("_later", F.when(edge, F.lead(F.struct(value)).over(across)))
         .withColumn(name, F.coalesce("_inside", "_later")[value])
-        .drop("_hour", "_inside", "_is_first", "_group", "_later")
+        .drop("_hour", "_apart", "_inside", "_is_first", "_group", "_later")
     )

@@ -7,12 +7,29 @@ sources. `register` offers all of them to SQL users.
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping
-from datetime import datetime
+from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from flowspark import operators as op
-from flowspark.sources import cut_lineage
+from flowspark.sources import cut_lineage, new_kept_path, remove_kept
+
+
+
+# Contact with listed addresses: the list meets the parsed flows, and only what it leaves is enriched.
+def _aws_ioc(flows: DataFrame, instances: DataFrame, iocs: DataFrame, now: datetime) -> DataFrame:
+    listed = op.aws_listed_flows(flows, iocs)
+    return op.aws_ioc_connections(op.aws_flow_logs_join_ec2(listed, instances, now=now), iocs)
+
+
+def _azure_ioc(flows: DataFrame, vms_nics: DataFrame, iocs: DataFrame, now: datetime) -> DataFrame:
+    listed = op.azure_listed_flows(flows, iocs)
+    return op.azure_ioc_connections(op.azure_flow_logs_join_vm_nics(listed, vms_nics, now=now), iocs)
+
+
+def _gcp_ioc(flows: DataFrame, vms: DataFrame, iocs: DataFrame) -> DataFrame:
+    return op.gcp_ioc_connections(op.gcp_flow_logs_join_vms(op.gcp_listed_flows(flows, iocs), vms), iocs)
+
 
 # View: operator, the sources and views it takes in order, and whether it takes `now`.
 VIEWS: dict[str, tuple[Callable[..., DataFrame], tuple[str, ...], bool]] = {
@@ -22,7 +39,7 @@ VIEWS: dict[str, tuple[Callable[..., DataFrame], tuple[str, ...], bool]] = {
     "aws_flow_logs_join_ec2": (op.aws_flow_logs_join_ec2, ("aws_flow_logs", "aws_instances"), True),
     "aws_flow_logs_join_enis": (op.aws_flow_logs_join_enis, ("aws_flow_logs", "aws_enis"), True),
     "aws_beaconing": (op.aws_beaconing, ("aws_flow_logs",), True),
-    "aws_ioc_connections": (op.aws_ioc_connections, ("aws_flow_logs_join_ec2", "iocs"), False),
+    "aws_ioc_connections": (_aws_ioc, ("aws_flow_logs", "aws_instances", "iocs"), True),
     "aws_rst_baseline": (op.aws_rst_baseline, ("aws_flow_logs", "aws_instances"), True),
     "aws_port_scanning": (
         op.aws_port_scanning,
@@ -39,11 +56,7 @@ VIEWS: dict[str, tuple[Callable[..., DataFrame], tuple[str, ...], bool]] = {
         ("azure_flow_logs", "azure_vms_nics"),
         True,
     ),
-    "azure_ioc_connections": (
-        op.azure_ioc_connections,
-        ("azure_flow_logs_join_vm_nics", "iocs"),
-        False,
-    ),
+    "azure_ioc_connections": (_azure_ioc, ("azure_flow_logs", "azure_vms_nics", "iocs"), True),
     "azure_denied_baseline": (
         op.azure_denied_baseline,
         ("azure_flow_logs_join_vm_nics", "azure_vms"),
@@ -58,7 +71,7 @@ VIEWS: dict[str, tuple[Callable[..., DataFrame], tuple[str, ...], bool]] = {
     "gcp_flow_logs": (op.gcp_flow_logs, ("gcp_audit_logs",), True),
     "gcp_flow_logs_join_vms": (op.gcp_flow_logs_join_vms, ("gcp_flow_logs", "gcp_vms"), False),
     "gcp_beaconing": (op.gcp_beaconing, ("gcp_flow_logs",), True),
-    "gcp_ioc_connections": (op.gcp_ioc_connections, ("gcp_flow_logs_join_vms", "iocs"), False),
+    "gcp_ioc_connections": (_gcp_ioc, ("gcp_flow_logs", "gcp_vms", "iocs"), False),
     "gcp_connect_baseline": (op.gcp_connect_baseline, ("gcp_flow_logs_join_vms", "gcp_vms"), True),
     "gcp_port_scanning": (
         op.gcp_port_scanning,
@@ -79,9 +92,11 @@ REUSED = ("aws_instances", "aws_enis", "azure_vms", "azure_nics", "azure_vms_nic
 class FlowViews(Mapping[str, DataFrame]):
     """The views that can be built from the given source tables.
 
-    Views are lazy. With `keep_entities` the entity views are computed once, when first asked
-    for, and read back by everything above them. `options` are extra arguments per view, such as
-    `{"gcp_flow_logs": {"lookback": "7 days"}}`. The look-back of GCP flows
+    Asking for a view builds its plan. Joins measure their entity side for it, which runs small jobs, and entity views
+    are computed then, once, and read back from the session's `spark.checkpoint.dir` by everything above them; with
+    `keep_entities=False` they are derived anew wherever they are read and measured. `close`, or leaving a `with` block,
+    removes what was kept. `now` is fixed when the views are made, so all of them agree on it.
+    `options` are extra arguments per view, such as `{"gcp_flow_logs": {"lookback": "7 days"}}`. The look-back of GCP flows
     is 25 hours here, because the views above it need that much.
     """
 
@@ -89,12 +104,13 @@ class FlowViews(Mapping[str, DataFrame]):
         self,
         sources: Mapping[str, DataFrame],
         now: datetime | None = None,
-        keep_entities: bool = False,
+        keep_entities: bool = True,
         options: Mapping[str, dict] | None = None,
     ):
         self._built = dict(sources)
-        self._now = now
+        self._now = now or datetime.now(timezone.utc)
         self._keep_entities = keep_entities
+        self._kept: dict[str, SparkSession] = {}
         self._options = {"gcp_flow_logs": {"lookback": "25 hours"}, **(options or {})}
         available = set(sources)
         for name, (_, inputs, _) in VIEWS.items():
@@ -112,10 +128,24 @@ class FlowViews(Mapping[str, DataFrame]):
                 arguments["now"] = self._now
             view = operator(*[self[i] for i in inputs], **arguments)
             if self._keep_entities and name in REUSED:
-                view = cut_lineage(view)
+                path = new_kept_path(view.sparkSession)
+                self._kept[path] = view.sparkSession
+                view = cut_lineage(view, path)
             self._built[name] = view
         return self._built[name]
 
+    def close(self) -> None:
+        """Remove the kept entity views; the views cannot be used any more."""
+        for path, spark in self._kept.items():
+            remove_kept(spark, path)
+        self._kept.clear()
+
+    def __enter__(self) -> FlowViews:
+        return self
+
+    def __exit__(self, *_) -> None:
+        self.close()
+
     def __iter__(self):
         return iter(self._names)
 

@@ -1,3 +1,3 @@
-from .tables import conform, cut_lineage, materialize, read_source
+from .tables import conform, cut_lineage, materialize, new_kept_path, read_source, remove_kept
 
-__all__ = ["conform", "cut_lineage", "materialize", "read_source"]
+__all__ = ["conform", "cut_lineage", "materialize", "new_kept_path", "read_source", "remove_kept"]

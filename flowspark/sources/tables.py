@@ -2,29 +2,30 @@
 
 from __future__ import annotations
 
-import tempfile
+import atexit
 import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from flowspark import schemas
-from flowspark.functions import partition_date
-from flowspark.functions.times import PARTITION_DATE, RECORDING_TIMES
+from flowspark.functions import day_index, partition_day
+from flowspark.functions.times import PARTITION_DAY, RECORDING_TIMES
 
 
 def conform(df: DataFrame, ddl: str) -> DataFrame:
     """Exactly the declared columns, cast to the declared types; absent ones become null.
 
-    Timestamps without a zone are taken as session time. A partition date, if
-    there is one, is kept for pruning.
+    Timestamps without a zone are taken as session time. A partition day, if
+    `materialize` wrote one, is kept for pruning.
     """
     columns = [
         (F.col(f.name) if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name)
         for f in StructType.fromDDL(ddl)
     ]
-    return df.select(*columns, *partition_date(df))
+    return df.select(*columns, *partition_day(df))
 
 
 def read_source(spark: SparkSession, name: str, path: str | None = None, fmt: str = "parquet") -> DataFrame:
@@ -46,23 +47,36 @@ def materialize(
     path: str | None = None,
     table: str | None = None,
     date_column: str | None = None,
+    partition_by: Sequence[str] = (),
     fmt: str = "parquet",
     mode: str = "overwrite",
 ) -> DataFrame:
     """Write a view once, to a path or a catalog table, and return it read back.
 
-    With a `date_column`, the recording time, the data is partitioned by its date, and look-backs
-    prune the partitions. Files are balanced by size, and a day that holds most of the data is split.
+    With a `date_column`, the recording time, the data is partitioned by `partition_by` (such as `log_type`) and then by
+    day, and look-backs prune the partitions. Days are cut from the instants, whatever the session's time zone. Rows are
+    ordered by time within files, so that a bound of an hour skips most row groups of a day. Files are balanced by
+    size, and a day that holds most of the data is split.
+
+    `mode` is Spark's, or "replace days" for a path: partitions that `df` has rows for are overwritten, all others stay,
+    so a day can be parsed again.
     """
     if (path is None) == (table is None):
         raise ValueError("give either a path or a table")
     if date_column not in (None, *RECORDING_TIMES):
         raise ValueError(f"look-backs are on {RECORDING_TIMES}; partitioning by another time would not fit them")
+    if mode == "replace days" and (path is None or date_column is None):
+        raise ValueError("days are replaced in a path that is partitioned by a recording time")
+    cut = [*partition_by, *([PARTITION_DAY] if date_column else [])]
     if date_column is not None:
-        df = df.withColumn(PARTITION_DATE, F.to_date(date_column)).hint("rebalance", PARTITION_DATE)
-    writer = df.write.format(fmt).mode(mode)
-    if date_column is not None:
-        writer = writer.partitionBy(PARTITION_DATE)
+        df = df.withColumn(PARTITION_DAY, day_index(F.col(date_column)))
+    if cut:
+        df = df.hint("rebalance", *cut).sortWithinPartitions(*cut, *([date_column] if date_column else []))
+    writer = df.write.format(fmt).mode("overwrite" if mode == "replace days" else mode)
+    if cut:
+        writer = writer.partitionBy(*cut)
+    if mode == "replace days":
+        writer = writer.option("partitionOverwriteMode", "dynamic")
     spark = df.sparkSession
     if table is not None:
         writer.saveAsTable(table)
@@ -72,21 +86,32 @@ def materialize(
 
 
 def _shared_folder(spark: SparkSession) -> str:
-    """The cluster's `spark.checkpoint.dir`; only a local session without one gets a temporary folder."""
-    context = spark.sparkContext
-    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    """The folder that driver and executors share, as the session names it."""
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if folder is None:
-        if not context.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        folder = tempfile.mkdtemp(prefix="flowspark-")
-        context.setCheckpointDir(folder)
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     return folder
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Compute a view that is read more than once, and read it back from the shared folder.
+def new_kept_path(spark: SparkSession) -> str:
+    """A path in the shared folder, removed at the latest when this process ends."""
+    path = f"{_shared_folder(spark)}/kept-{uuid.uuid4().hex}"
+    atexit.register(remove_kept, spark, path)
+    return path
+
+
+def cut_lineage(df: DataFrame, path: str | None = None) -> DataFrame:
+    """Compute a view that is read more than once, and read it back from `path`, by default a new one in the shared folder.
 
     It is written as a table rather than checkpointed, so that readers still prune columns
     and know its size. Lost executors do not take it with them.
     """
-    return materialize(df, path=f"{_shared_folder(df.sparkSession)}/kept-{uuid.uuid4().hex}")
+    return materialize(df, path=path or new_kept_path(df.sparkSession))
+
+
+def remove_kept(spark: SparkSession, path: str) -> None:
+    """Remove a kept table; nothing built on it can be computed any more."""
+    context = spark.sparkContext
+    if context._jsc is not None:
+        at = context._jvm.org.apache.hadoop.fs.Path(path)
+        at.getFileSystem(context._jsc.hadoopConfiguration()).delete(at, True)

@@ -45,9 +45,9 @@ def test_timebound_keeps_both_ends_and_prunes_dates(spark):
     df = spark.createDataFrame([(datetime(2024, 1, 30, h),) for h in (0, 1, 23)], "recorded_at timestamp")
     assert f.timebound(df, "recorded_at", NOW, "23 hours").count() == 2
     assert f.timebound(df, "recorded_at", NOW, timedelta(hours=24), "23 hours").count() == 2
-    dated = df.withColumn("recorded_date", F.to_date("recorded_at"))
+    dated = df.withColumn("flowspark_recorded_day", f.day_index(F.col("recorded_at")))
     bounded = f.timebound(dated, "recorded_at", NOW, "23 hours")
-    assert "recorded_date" in bounded._jdf.queryExecution().analyzed().toString().split("Filter")[1].split("+-")[0]
+    assert "flowspark_recorded_day" in bounded._jdf.queryExecution().analyzed().toString().split("Filter")[1].split("+-")[0]
 
 
 def test_default_now_is_the_clock(spark):

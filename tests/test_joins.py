@@ -93,8 +93,10 @@ def test_next_start_equals_lead(spark, seed):
         "n int, k string, t timestamp, v int",
     )
     got = next_start(df, "k", "t", ["n"], "v", "following")
-    w = Window.partitionBy("k").orderBy(F.col("t").asc_nulls_last(), "n")
-    assert as_set(got) == as_set(df.withColumn("following", F.lead("v").over(w)))
+    w = Window.partitionBy("k").orderBy("t", "n")
+    known = F.col("k").isNotNull() & F.col("t").isNotNull()
+    literal = df.where(known).withColumn("following", F.lead("v").over(w))
+    assert as_set(got) == as_set(literal.unionByName(df.where(~known).withColumn("following", F.lit(None).cast("int"))))
 
 
 @pytest.mark.parametrize("seed", range(3))

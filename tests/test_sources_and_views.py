@@ -34,7 +34,7 @@ def test_materialize_prunes_by_date(spark, tmp_path):
     df = spark.range(10).select(F.timestamp_seconds(F.col("id") * 86400 + 1706000000).alias("recorded_at"), "id")
     back = materialize(df, path=str(tmp_path / "kept"), date_column="recorded_at")
     recent = timebound(back, "recorded_at", NOW, "2 days")
-    assert "recorded_date" in plan_of(recent).split("PartitionFilters: [")[1].split("]")[0]
+    assert "flowspark_recorded_day" in plan_of(recent).split("PartitionFilters: [")[1].split("]")[0]
     assert sorted(r.id for r in recent.collect()) == sorted(r.id for r in timebound(df, "recorded_at", NOW, "2 days").collect())
 
 
@@ -54,7 +54,7 @@ def test_partition_date_reaches_the_scan_through_the_flow_operators(spark, tmp_p
     sources = {**all_sources(spark), "azure_flow_logs_raw": azure}
     denied = FlowViews(sources, now=NOW, keep_entities=True)["azure_denied_baseline"]
     for df in (views["aws_beaconing"], denied):
-        assert "recorded_date" in plan_of(df).split("PartitionFilters: [")[1].split("]")[0]
+        assert "flowspark_recorded_day" in plan_of(df).split("PartitionFilters: [")[1].split("]")[0]
     assert denied.count() == 4
 
 

@@ -176,7 +176,8 @@ EXTRA["nic_ip"] = """
 def _nics(keys: str) -> str:
     return f"""
     select t.*, coalesce(d.event_time, next_start) as window_end
-    from (select *, lead(window_start) over (partition by private_ip order by earliest, nic_id) as next_start
+    from (select *, case when private_ip is not null then
+              lead(window_start) over (partition by private_ip order by earliest, nic_id) end as next_start
           from (select *, {_NIC_PATH.format(n="n")} as nic_id,
                        row_number() over (partition by {keys} order by tags desc nulls first, is_primary desc,
                                           source desc, earliest desc) as rn
@@ -332,14 +333,16 @@ def oracle() -> dict[str, str]:
         "aws_instances": """
             select a.instance_id, a.account_id, ip_address, flag, tags, true as has_details, recorded_at,
                    recorded_at as latest_available_data, launch_time, launch_time as window_start,
-                   coalesce(b.ended_at, lead(launch_time) over (partition by ip_address
-                            order by launch_time asc nulls last, a.instance_id)) as window_end
+                   coalesce(b.ended_at, case when ip_address is not null and launch_time is not null then
+                            lead(launch_time) over (partition by ip_address
+                            order by launch_time asc nulls last, a.instance_id) end) as window_end
             from instance_ip a left join ended b on a.instance_id = b.instance_id
                  and a.recorded_at // 86400 <= b.ended_at // 86400""",
         "aws_enis": """
             select eni_id, account_id, private_ip, object_type, object_name, eni_instance_id, source, window_start,
-                   last_recorded, lead(window_start) over (partition by private_ip
-                                       order by window_start, eni_id, account_id) as window_end
+                   last_recorded, case when private_ip is not null and window_start is not null then
+                       lead(window_start) over (partition by private_ip
+                                       order by window_start asc nulls last, eni_id, account_id) end as window_end
             from grouped_eni""",
         "aws_flow_logs": f"select {_AWS_FLOW}, recorded_at, starttime, endtime from flow a",
         "aws_flow_logs_join_ec2": "select * from ec2",

@@ -78,9 +78,9 @@ def _aws_flows(spark: SparkSession, sf: str) -> DataFrame:
     return op.aws_flow_logs(i.aws_flow_logs_raw(spark, sf))
 
 
-def _aws_ec2(spark: SparkSession, sf: str, **options) -> DataFrame:
+def _aws_ec2(spark: SparkSession, sf: str, flows: DataFrame | None = None, **options) -> DataFrame:
     instances = i.aws_instances(spark, sf)
-    return op.aws_flow_logs_join_ec2(_aws_flows(spark, sf), instances, now=NOW, **options)
+    return op.aws_flow_logs_join_ec2(flows or _aws_flows(spark, sf), instances, now=NOW, **options)
 
 
 def aws_flow_logs(spark: SparkSession, sf: str) -> DataFrame:
@@ -144,7 +144,9 @@ def aws_beaconing_all_pairs(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def aws_ioc_connections(spark: SparkSession, sf: str) -> DataFrame:
-    return op.aws_ioc_connections(_aws_ec2(spark, sf), i.iocs(spark, sf)).select(*_ec2_columns(), "ioc_value")
+    iocs = i.iocs(spark, sf)
+    listed = op.aws_listed_flows(_aws_flows(spark, sf), iocs)
+    return op.aws_ioc_connections(_aws_ec2(spark, sf, listed), iocs).select(*_ec2_columns(), "ioc_value")
 
 
 def _rst_baseline(spark: SparkSession, sf: str) -> DataFrame:
@@ -256,12 +258,14 @@ def azure_flow_logs(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-def _azure_enriched(spark: SparkSession, sf: str, vms: DataFrame | None = None) -> DataFrame:
+def _azure_enriched(
+    spark: SparkSession, sf: str, vms: DataFrame | None = None, flows: DataFrame | None = None
+) -> DataFrame:
     """Enriched flows. The entities are kept, because the join reads them more than once."""
     if vms is None:
         vms = _vms(spark, sf)
     vms_nics = cut_lineage(op.azure_vms_nics(vms, _nics(spark, sf)))
-    return op.azure_flow_logs_join_vm_nics(_azure_flows(spark, sf), vms_nics, now=NOW)
+    return op.azure_flow_logs_join_vm_nics(flows or _azure_flows(spark, sf), vms_nics, now=NOW)
 
 
 def _azure_enriched_columns() -> list:
@@ -284,7 +288,9 @@ def azure_flow_logs_join_vm_nics(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def azure_ioc_connections(spark: SparkSession, sf: str) -> DataFrame:
-    out = op.azure_ioc_connections(_azure_enriched(spark, sf), i.iocs(spark, sf))
+    iocs = i.iocs(spark, sf)
+    listed = op.azure_listed_flows(_azure_flows(spark, sf), iocs)
+    out = op.azure_ioc_connections(_azure_enriched(spark, sf, flows=listed), iocs)
     return out.select(*_azure_enriched_columns(), "ioc_value")
 
 
@@ -344,11 +350,13 @@ def _gcp_joined_columns() -> list:
     ]
 
 
-def _gcp_joined(spark: SparkSession, sf: str, vms: DataFrame | None = None) -> DataFrame:
+def _gcp_joined(
+    spark: SparkSession, sf: str, vms: DataFrame | None = None, flows: DataFrame | None = None
+) -> DataFrame:
     """Joined flows. The VMs are kept, because the join reads them more than once."""
     if vms is None:
         vms = cut_lineage(_gcp_vms(spark, sf))
-    return op.gcp_flow_logs_join_vms(_gcp_flows(spark, sf), vms)
+    return op.gcp_flow_logs_join_vms(flows or _gcp_flows(spark, sf), vms)
 
 
 def gcp_flow_logs_join_vms(spark: SparkSession, sf: str) -> DataFrame:
@@ -365,7 +373,9 @@ def gcp_beaconing_all_pairs(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def gcp_ioc_connections(spark: SparkSession, sf: str) -> DataFrame:
-    out = op.gcp_ioc_connections(_gcp_joined(spark, sf), i.iocs(spark, sf))
+    iocs = i.iocs(spark, sf)
+    listed = op.gcp_listed_flows(_gcp_flows(spark, sf), iocs)
+    out = op.gcp_ioc_connections(_gcp_joined(spark, sf, flows=listed), iocs)
     return out.select(*_gcp_joined_columns(), "ioc_value")
 
 

@@ -144,51 +144,44 @@ def _similarities(pairs: DataFrame, of: DataFrame) -> DataFrame:
     )
 
 
-def _mixed(members: DataFrame) -> DataFrame:
-    """Members (key, node, label, ...) of the buckets that hold more than one label."""
-    bounds = members.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi"))
-    return members.join(bounds.where("lo <> hi").select("key"), "key", "left_semi")
-
-
-def _open_pairs(members: DataFrame, led: DataFrame, known: DataFrame, elements: DataFrame, similarity: float) -> DataFrame:
-    """What may still link different components: pairs (a, b) of a bucket that no bound rules out.
-
-    An element that only texts of one component have cannot be shared across components. So a text of n elements, u of them
-    such, has at most n - u in common with one of another component, and if that has m elements a similarity of at most
-    (n - u) / max(n, m + u): texts that cannot reach the threshold with the shortest of their bucket are left out before
-    anything is paired. For pairs, the bound holds from both sides, and their distances to the centre may differ by
-    1 - similarity at most. A pair that shares several buckets comes from the one with the least key.
+def _open_pairs(members: DataFrame, elements: DataFrame, similarity: float) -> DataFrame:
+    """What may still link different components: pairs (a, b) of texts that no bound rules out.
+
+    `members` has the labels of the members of each bucket; only texts of buckets with several labels can still be linked.
+    They are joined by prefix filtering, which is exact. Elements that only one component has cannot be shared across
+    components. A pair of n and m elements is linked if it has at least (n + m) similarity / (1 + similarity) in common, so
+    if each text's other elements are ordered by how many texts have them, a linked pair meets already among the few
+    rarest that a text could spare. A large group of near copies shares its frequent elements, but not the rare ones.
     """
-    mixed = kept(_mixed(members), "mixed")
-    labels = mixed.select("node", F.xxhash64("label").alias("of")).distinct()
-    parts = elements.join(labels, "node").select("node", "of", F.explode("cells").alias("cell"))
-    alone = parts.groupBy("cell").agg(F.min("of").alias("lo"), F.max("of").alias("hi")).where("lo = hi").select("cell")
-    own = parts.join(alone, "cell").groupBy("node").agg(F.count("*").alias("u"))
-    sizes = elements.select("node", F.size("cells").alias("n")).join(own, "node", "left").withColumn("u", F.coalesce("u", F.lit(0)))
-    sized = mixed.join(sizes, "node")
+    bounds = members.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi"))
+    mixed = members.join(bounds.where("lo <> hi").select("key"), "key", "left_semi")
+    sized = kept(mixed.join(elements.select("node", F.size("cells").alias("n")), "node"), "mixed")
     shortest = sized.groupBy("key").agg(F.min("n").alias("shortest"))
-    reach = (F.col("n") - F.col("u")) / F.greatest("n", F.col("shortest") + F.col("u"))
-    able = _mixed(kept(sized.join(shortest, "key").where(reach >= similarity).drop("shortest"), "able"))
-    near = led.select("key", "node", "centre").join(
-        known.select(F.col("a").alias("node"), F.col("b").alias("centre"), "similarity"), ["node", "centre"], "left"
-    )
-    near = near.select("key", "node", F.when(F.col("node") == F.col("centre"), 1.0).otherwise(F.col("similarity")).alias("s"))
-    able = able.join(near, ["key", "node"])
-    buckets = able.groupBy("node").agg(F.sort_array(F.collect_set("key")).alias("keys"))
-    able = kept(able.join(buckets, "node"), "able")
-    one, two = able.alias("one"), able.alias("two")
-    most = F.least(F.expr("one.n - one.u"), F.expr("two.n - two.u"))
-    pairs = one.join(
+    texts = sized.join(shortest, "key").groupBy("node", "label", "n").agg(F.min("shortest").alias("shortest"))
+    share = similarity / (1 + similarity)
+    least = F.greatest(F.ceil(F.col("n") * similarity - 1e-9), "shortest")
+    needed = F.ceil((F.col("n") + least) * share - 1e-9).cast("int")
+    texts = texts.select("node", "label", F.xxhash64("label").alias("of"), "n", needed.alias("needed"))
+
+    parts = elements.join(texts, "node").select("node", "of", F.explode("cells").alias("cell"))
+    common = parts.groupBy("cell").agg(F.count("*").alias("texts"), F.min("of").alias("lo"), F.max("of").alias("hi"))
+    common = common.where("lo <> hi").select("cell", "texts")
+    rarest = F.sort_array(F.collect_list(F.struct("texts", "cell")))
+    shared = parts.join(common, "cell").groupBy("node").agg(rarest.alias("shared"))
+    spare = F.size("shared") - F.col("needed") + 1
+    cut = texts.join(shared, "node").where(spare > 0)
+    cut = cut.select("node", "label", "n", F.size("shared").alias("c"), F.slice("shared", 1, F.greatest(spare, F.lit(0)))["cell"].alias("prefix"))
+    cut = kept(cut.withColumn("cell", F.explode("prefix")), "prefixes")
+    one, two = cut.alias("one"), cut.alias("two")
+    most = F.least("one.c", "two.c")
+    return one.join(
         two,
-        (F.col("one.key") == F.col("two.key"))
+        (F.col("one.cell") == F.col("two.cell"))
         & (F.col("one.node") < F.col("two.node"))
         & (F.col("one.label") != F.col("two.label"))
-        & (F.abs(F.col("one.s") - F.col("two.s")) <= 1 - similarity + 1e-9)
-        & (most / (F.col("one.n") + F.col("two.n") - most) >= similarity)
-        & (F.array_min(F.array_intersect("one.keys", "two.keys")) == F.col("one.key")),
+        & (most >= (F.col("one.n") + F.col("two.n")) * share - 1e-9)
+        & (F.array_min(F.array_intersect("one.prefix", "two.prefix")) == F.col("one.cell")),
     ).select(F.col("one.node").alias("a"), F.col("two.node").alias("b"))
-    tried = known.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    return pairs.join(tried, ["a", "b"], "left_anti")
 
 
 def near_links(
@@ -197,9 +190,9 @@ def near_links(
     """Components of different texts that are linked: columns node, label (the least node of the component).
 
     Texts that agree in a band are candidates. In every bucket all members are compared with its centre, the one that meets
-    most texts over all its buckets, so a large group of near copies costs about one comparison a member. Members of a
-    bucket that then lie in different components are compared with each other unless a bound excludes a link, so no link
-    between candidates of different components is lost. Similarities are exact, over all shingles.
+    most texts over all its buckets, so a large group of near copies costs about one comparison a member. Texts whose
+    buckets then still hold different components are joined exactly, see `_open_pairs`, so no link between candidates of
+    different components is lost. Similarities are exact, over all shingles.
     """
     signed = docs.select(text_node().alias("node"), "text").mapInArrow(
         _per_text("keys", lambda t: band_keys(t, width, bands, rows)), "node binary, keys array<long>"
@@ -221,7 +214,8 @@ def near_links(
     links = known.where(F.col("similarity") >= similarity)
     found = components(links)
     labelled = led.join(found, "node", "left").select("key", "node", F.coalesce("label", "node").alias("label"))
-    more = kept(_open_pairs(labelled, led, known, elements, similarity), "pairs")
+    tried = known.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    more = kept(_open_pairs(labelled, elements, similarity).join(tried, ["a", "b"], "left_anti"), "pairs")
     if more.isEmpty():
         return found
     late = kept(_similarities(more, elements).where(F.col("similarity") >= similarity), "links")

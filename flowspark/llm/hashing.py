@@ -26,7 +26,7 @@ def salt(i: int) -> np.uint64:
 
 
 # Bytes that are hashed at once; longer data is cut at separators.
-_SEGMENT = 4 << 20
+_SEGMENT = 1 << 20
 
 
 def word_hashes(data: bytes, separator: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

@@ -25,7 +25,7 @@ from flowspark.llm.hashing import mix, odd, salt, word_hashes
 
 CHUNK_BYTES = 8 << 20
 # Text for which there is one range of hashes.
-RANGE_BYTES = 16 << 20
+RANGE_BYTES = 8 << 20
 
 KEPT, DELETED, UNSEEN = 0, 1, 2
 
@@ -51,6 +51,7 @@ class Tokens:
     def __init__(self, texts: list[bytes]):
         data = b"\n".join(texts).translate(_LOWER)
         words, starts = word_hashes(data, _SEPARATOR)
+        del data
         ends = np.cumsum([len(t) + 1 for t in texts])
         until = np.searchsorted(starts, ends)
         token = np.insert(words, until, _END)
@@ -70,18 +71,24 @@ class Tokens:
 
 
 def pack_keys(keys: np.ndarray) -> bytes:
-    """Sorted hashes as differences of as many bytes as the largest needs."""
+    """Sorted hashes as differences of the number of bytes that takes least; larger differences stand apart, with their places."""
     steps = np.diff(keys, prepend=np.uint64(0))
-    width = max(1, (int(steps.max()).bit_length() + 7) // 8)
-    return bytes([width]) + np.ascontiguousarray(steps.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width]).tobytes()
+    sizes = {w: len(steps) * w + 12 * int((steps >> np.uint64(8 * w)).astype(bool).sum()) for w in range(1, 8)}
+    sizes[8] = 8 * len(steps)
+    width = min(sizes, key=sizes.get)
+    far = np.flatnonzero(steps >> np.uint64(8 * width)) if width < 8 else np.zeros(0, np.int64)
+    body = np.ascontiguousarray(steps.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width]).tobytes()
+    return bytes([width]) + len(far).to_bytes(4, "little") + far.astype("<u4").tobytes() + steps[far].astype("<u8").tobytes() + body
 
 
 def unpack_keys(data: bytes) -> np.ndarray:
-    width = data[0]
-    raw = np.frombuffer(data, np.uint8, offset=1).reshape(-1, width)
+    width, n = data[0], int.from_bytes(data[1:5], "little")
+    raw = np.frombuffer(data, np.uint8, offset=5 + 12 * n).reshape(-1, width)
     steps = np.zeros((len(raw), 8), np.uint8)
     steps[:, :width] = raw
-    return np.cumsum(steps.view("<u8").ravel(), dtype=np.uint64)
+    steps = steps.view("<u8").ravel()
+    steps[np.frombuffer(data, "<u4", n, 5)] = np.frombuffer(data, "<u8", n, 5 + 4 * n)
+    return np.cumsum(steps, dtype=np.uint64)
 
 
 def pack_counts(counts: np.ndarray) -> bytes:

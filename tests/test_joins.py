@@ -149,3 +149,33 @@ def test_hot_id_is_split_by_adaptive_execution(spark):
     finally:
         for k, v in before.items():
             spark.conf.set(k, v)
+
+
+def test_absent_addresses_share_no_window(spark):
+    """However many rows have no key or no time, none of them is sorted with another thousand."""
+    rows = [(n, None, BASE, n) for n in range(5000)] + [(n, "k", None, n) for n in range(5000, 10000)] + [(10000, "k", BASE, 1)]
+    df = spark.createDataFrame(rows, "n int, k string, t timestamp, v int")
+    got = next_start(df, "k", "t", ["n"], "v", "following")
+    assert got.where("following is not null").count() == 0 and got.count() == len(rows)
+
+
+def test_beaconing_sorts_one_row_a_minute(spark):
+    """40,000 sources of an unknown host reach one destination: statistics are right and the window has a row a minute."""
+    from flowspark.operators.beaconing import beacons
+
+    flows = spark.range(80_000).select(
+        F.lit("-").alias("host"),
+        F.concat(F.lit("s"), F.col("id") % 40_000).alias("src"),
+        F.lit("d").alias("dst"),
+        F.timestamp_seconds(1_700_000_000 + F.pmod(F.col("id") * 7919, F.lit(14_400))).alias("began"),
+    ).withColumn("ended", F.col("began") + F.expr("interval 90 seconds"))
+    found = beacons(flows, host="host", src="src", dst="dst", start="began", end="ended", min_count=0, max_variance=1e9, min_gap=-1)
+    w = Window.partitionBy("host", "dst").orderBy("began", "took", "src")
+    minute = F.floor(F.unix_seconds("began") / 60)
+    took = F.floor(F.unix_seconds("ended") / 60) - minute
+    literal = flows.withColumn("took", took).withColumn("gap", F.floor(F.unix_seconds(F.lead("began").over(w)) / 60) - minute).where("gap is not null")
+    literal = literal.groupBy("src").agg(F.count("*").alias("n"), F.avg("gap").alias("gap"), F.variance("gap").alias("v"))
+    mine = found.select("src", F.col("beacon_count").alias("n"), F.col("avg_prev_time_diff").alias("gap"), F.col("variance_prev_time_diff").alias("v"))
+    assert mine.count() == literal.where("n > 1").count()
+    joined = literal.alias("l").join(mine.alias("m"), "src").where("l.n <> m.n or abs(l.gap - m.gap) > 1e-9 or abs(l.v - m.v) > 1e-6")
+    assert joined.count() == 0

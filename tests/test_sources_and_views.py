@@ -1,3 +1,5 @@
+import os
+
 import pytest
 from conftest import NOW, plan_of
 from pyspark.sql import functions as F
@@ -38,6 +40,59 @@ def test_materialize_prunes_by_date(spark, tmp_path):
     assert sorted(r.id for r in recent.collect()) == sorted(r.id for r in timebound(df, "recorded_at", NOW, "2 days").collect())
 
 
+@pytest.mark.parametrize("writer, reader", [("America/Los_Angeles", "UTC"), ("UTC", "Asia/Kolkata"), ("Pacific/Auckland", "America/Los_Angeles")])
+def test_pruning_does_not_depend_on_time_zones(spark, tmp_path, writer, reader):
+    """48 hourly rows, written in one zone and read in another, with foreign date columns that say something else."""
+    df = spark.range(48).select(
+        F.timestamp_seconds(F.unix_seconds(F.lit(NOW)) - F.col("id") * 3600).alias("recorded_at"),
+        "id",
+        F.lit("1999-01-01").alias("recorded_date"),
+    )
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", writer)
+        materialize(df, path=str(tmp_path / "kept"), date_column="recorded_at")
+        spark.conf.set("spark.sql.session.timeZone", reader)
+        back = spark.read.parquet(str(tmp_path / "kept"))
+        for span, n in (("12 hours", 13), ("30 hours", 31)):
+            assert timebound(back, "recorded_at", NOW, span).count() == n
+            assert timebound(conform(back, "recorded_at timestamp, id long"), "recorded_at", NOW, span).count() == n
+        assert timebound(back, "recorded_at", NOW, "30 hours", "6 hours").count() == 25
+        assert "flowspark_recorded_day" in plan_of(timebound(back, "recorded_at", NOW, "12 hours")).split("PartitionFilters: [")[1].split("]")[0]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+
+
+def test_foreign_dates_never_drop_rows(spark):
+    df = spark.createDataFrame([(NOW, "1999-01-01", "1999-01-01")], "recorded_at timestamp, recorded_date string, flowspark_recorded_day string")
+    assert timebound(df, "recorded_at", NOW, "1 hour").count() == 1
+    assert conform(df, "recorded_at timestamp").columns == ["recorded_at"]
+
+
+def test_a_day_can_be_written_again(spark, tmp_path):
+    path = str(tmp_path / "days")
+    df = spark.range(30).select(F.timestamp_seconds(F.col("id") * 28800 + 1706140800).alias("recorded_at"), F.lit("flow").alias("log_type"), "id")
+    materialize(df, path=path, date_column="recorded_at", partition_by=["log_type"])
+    one = df.where("id between 3 and 5")  # the second day
+    again = materialize(one.withColumn("id", F.col("id") + 1000), path=path, date_column="recorded_at", partition_by=["log_type"], mode="replace days")
+    assert sorted(r.id for r in again.collect()) == sorted([*range(3), *range(6, 30), 1003, 1004, 1005])
+    assert (tmp_path / "days" / "log_type=flow").is_dir()
+    with pytest.raises(ValueError):
+        materialize(df, table="days", date_column="recorded_at", mode="replace days")
+
+
+def test_an_hour_skips_row_groups(spark, tmp_path):
+    """Rows lie in order of time within a file, so row groups have narrow bounds."""
+    import pyarrow.parquet as pq
+
+    df = spark.range(40000).select(F.timestamp_seconds(1706140800 + F.pmod(F.col("id") * 7919, F.lit(40000)) * 2).alias("recorded_at"), F.sha2(F.col("id").cast("string"), 256).alias("x"))
+    df = df.withColumn("x", F.repeat("x", 20))
+    back = materialize(df, path=str(tmp_path / "k"), date_column="recorded_at")
+    for file in back.inputFiles():
+        times = pq.read_table(file.removeprefix("file://"), columns=["recorded_at"]).column(0).to_pylist()
+        assert times == sorted(times)
+
+
 def test_materialize_table_and_bad_target(spark):
     assert materialize(spark.range(3), table="kept_range").count() == 3
     with pytest.raises(ValueError):
@@ -94,6 +149,25 @@ def test_every_view_builds_from_the_sources(spark):
     assert views["gcp_port_scanning"].count() == 2
 
 
+def test_closing_removes_what_was_kept_and_now_is_fixed(spark):
+    with FlowViews(all_sources(spark)) as views:
+        kept = views["gcp_vms"].inputFiles()[0].removeprefix("file://")
+        assert views._now.tzinfo is not None and os.path.exists(kept)
+    assert not os.path.exists(kept)
+
+
+def test_list_meets_flows_before_they_are_enriched(spark):
+    """In the plan the listed addresses are joined beneath the join to lifetimes."""
+    views = FlowViews(all_sources(spark), now=NOW)
+    for cloud, end in (("aws", "_listed_srcaddr"), ("azure", "_listed_src_addr"), ("gcp", "_listed_src_ip")):
+        plan = views[f"{cloud}_ioc_connections"]._jdf.queryExecution().optimizedPlan().toString().split("\n")
+        depth = [min((len(line) - len(line.lstrip(" :+-")) for line in plan if "Join" in line and mark in line), default=None)
+                 for mark in (end, "_candidate")]
+        assert depth[0] is not None and depth[0] > depth[1]
+        entity = [len(line) - len(line.lstrip(" :+-")) for line in plan if "Join LeftOuter" in line and "_listed" not in line]
+        assert max(entity) < depth[0]
+
+
 def test_views_of_one_cloud_only(spark):
     views = FlowViews({"aws_flow_logs_raw": inputs.aws_flow_logs_raw(spark, SMALL)}, now=NOW)
     assert list(views) == ["aws_flow_logs", "aws_beaconing"]

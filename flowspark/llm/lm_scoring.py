@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from flowspark.llm.common import crc_of, kept, slices
 from flowspark.llm.hashing import mix, odd, salt, word_hashes
 
-CHUNK_BYTES = 8 << 20
+CHUNK_BYTES = 5 << 20
 # Text for which there is one range of hashes.
 RANGE_BYTES = 8 << 20
 

@@ -1,15 +1,26 @@
 from .entities import azure_nics, azure_vms, azure_vms_nics
 from .flows import azure_flow_logs, azure_flow_logs_join_vm_nics
-from .security import azure_denied_baseline, azure_ioc_connections, azure_listed_flows, azure_port_scanning
+from .security import (
+    azure_denied_baseline,
+    azure_denied_baseline_of,
+    azure_denied_counts,
+    azure_ioc_connections,
+    azure_listed_flows,
+    azure_port_scanning,
+    azure_port_scanning_of,
+)
 
 __all__ = [
     "azure_denied_baseline",
+    "azure_denied_baseline_of",
+    "azure_denied_counts",
     "azure_flow_logs",
     "azure_flow_logs_join_vm_nics",
     "azure_ioc_connections",
     "azure_listed_flows",
     "azure_nics",
     "azure_port_scanning",
+    "azure_port_scanning_of",
     "azure_vms",
     "azure_vms_nics",
 ]

@@ -7,7 +7,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from flowspark.functions import hour_start, tag, timebound
+from flowspark.functions import ago, hour_start, tag, timebound
 from flowspark.operators.joins import BROADCAST_LIMIT_BYTES, candidate_join, with_listed_end
 
 
@@ -34,27 +34,25 @@ def azure_ioc_connections(
     )
 
 
-def _denied(flows: DataFrame, now, lookback: str, until: str | None = None) -> DataFrame:
+def azure_denied_counts(flows: DataFrame, now: datetime | Column | None = None) -> DataFrame:
+    """Denied flows of the last 25 hours per VM, role and hour, in one pass: `recent` of the last hour, `earlier` of the
+    24 hours before. A flow at the instant between belongs to both.
+
+    Baseline and scan both fold from it. Keep it (`sources.cut_lineage`) when both are wanted: it has a row per VM and hour.
+    """
+    at = F.col("flow_recorded_at")
+    border = ago(now, "1 hour")
     return (
-        timebound(flows, "flow_recorded_at", now, lookback, until)
+        timebound(flows, "flow_recorded_at", now, "25 hours")
         .where(F.col("traffic_decision") == "DENIED")
-        .withColumn("src_role", tag(F.col("src_vm_tags")))
-        .withColumn("hour", hour_start(F.col("flow_recorded_at")))
+        .groupBy("src_vm_id", tag(F.col("src_vm_tags")).alias("src_role"), hour_start(at).alias("hour"))
+        .agg(F.count_if(at >= border).alias("recent"), F.count_if(at <= border).alias("earlier"))
     )
 
 
-def azure_denied_baseline(
-    flows: DataFrame, vms: DataFrame, now: datetime | Column | None = None
-) -> DataFrame:
-    """Per source role: mean and deviation over hours of denied flows per VM, 25 h to 1 h ago.
-
-    A role without a VM in that time, such as no role at all, has a null baseline.
-    """
-    hourly = (
-        _denied(flows, now, "25 hours", "1 hour")
-        .groupBy("src_role", "hour")
-        .agg(F.count("*").alias("denied"))
-    )
+def azure_denied_baseline_of(counts: DataFrame, vms: DataFrame, now: datetime | Column | None = None) -> DataFrame:
+    """`azure_denied_baseline` from `azure_denied_counts`."""
+    hourly = counts.groupBy("src_role", "hour").agg(F.sum("earlier").alias("denied")).where("denied > 0")
     role_counts = (
         timebound(vms, "window_end", now, "25 hours", "1 hour")
         .groupBy(tag(F.col("tags")).alias("role"))
@@ -69,6 +67,27 @@ def azure_denied_baseline(
     )
 
 
+def azure_port_scanning_of(counts: DataFrame, baseline: DataFrame, k: float = 1) -> DataFrame:
+    """`azure_port_scanning` from `azure_denied_counts`."""
+    limit = F.col("avg_denied_count") + k * F.col("stddev_denied_count")
+    return (
+        counts.where("recent > 0")
+        .join(baseline, "src_role")
+        .where(F.col("recent") > limit)
+        .select("src_vm_id", F.col("recent").alias("role_denied_count"), "src_role")
+    )
+
+
+def azure_denied_baseline(
+    flows: DataFrame, vms: DataFrame, now: datetime | Column | None = None
+) -> DataFrame:
+    """Per source role: mean and deviation over hours of denied flows per VM, 25 h to 1 h ago.
+
+    A role without a VM in that time, such as no role at all, has a null baseline.
+    """
+    return azure_denied_baseline_of(azure_denied_counts(flows, now), vms, now)
+
+
 def azure_port_scanning(
     flows: DataFrame,
     baseline: DataFrame,
@@ -79,14 +98,4 @@ def azure_port_scanning(
 
     The last hour may span two clock hours, each counted by itself, so a VM may appear twice.
     """
-    recent = (
-        _denied(flows, now, "1 hour")
-        .groupBy("src_vm_id", "src_role", "hour")
-        .agg(F.count("*").alias("role_denied_count"))
-    )
-    limit = F.col("avg_denied_count") + k * F.col("stddev_denied_count")
-    return (
-        recent.join(baseline, "src_role")
-        .where(F.col("role_denied_count") > limit)
-        .select("src_vm_id", "role_denied_count", "src_role")
-    )
+    return azure_port_scanning_of(azure_denied_counts(flows, now), baseline, k)

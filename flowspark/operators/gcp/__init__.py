@@ -1,14 +1,26 @@
 from .entities import gcp_vms
 from .flows import gcp_flow_logs, gcp_flow_logs_join_vms
-from .security import gcp_beaconing, gcp_connect_baseline, gcp_ioc_connections, gcp_listed_flows, gcp_port_scanning
+from .security import (
+    gcp_beaconing,
+    gcp_connect_baseline,
+    gcp_connect_baseline_of,
+    gcp_ioc_connections,
+    gcp_listed_flows,
+    gcp_miss_counts,
+    gcp_port_scanning,
+    gcp_port_scanning_of,
+)
 
 __all__ = [
     "gcp_beaconing",
     "gcp_connect_baseline",
+    "gcp_connect_baseline_of",
     "gcp_flow_logs",
     "gcp_flow_logs_join_vms",
     "gcp_ioc_connections",
     "gcp_listed_flows",
+    "gcp_miss_counts",
     "gcp_port_scanning",
+    "gcp_port_scanning_of",
     "gcp_vms",
 ]

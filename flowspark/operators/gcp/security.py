@@ -11,7 +11,7 @@ from datetime import datetime, timedelta
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from flowspark.functions import hour_of_day, tag, timebound
+from flowspark.functions import ago, hour_of_day, tag, timebound
 from flowspark.operators.beaconing import beacons
 from flowspark.operators.joins import BROADCAST_LIMIT_BYTES, candidate_join, with_listed_end
 
@@ -59,34 +59,38 @@ def gcp_ioc_connections(
     )
 
 
-def _misses(flows: DataFrame, now, lookback: str, until: str | None = None) -> DataFrame:
+def gcp_miss_counts(flows: DataFrame, now: datetime | Column | None = None) -> DataFrame:
+    """Misses of the last 25 hours per VM, pair of roles and hour of the day, in one pass: `recent` of the last hour,
+    `earlier` of the 24 hours before. A flow at the instant between belongs to both.
+
+    Baseline and scan both fold from it. Keep it (`sources.cut_lineage`) when both are wanted: it has a row per VM and hour.
+    """
+    at = F.col("recorded_at")
+    border = ago(now, "1 hour")
     return (
-        timebound(flows, "recorded_at", now, lookback, until)
+        timebound(flows, "recorded_at", now, "25 hours")
         .where((F.col("start_time") == F.col("end_time")) & (F.col("bytes") == 0))
-        .withColumn("src_role", tag(F.col("src_tags")))
-        .withColumn("dst_role", tag(F.col("dst_tags")))
+        .groupBy(
+            "src_vm_name",
+            tag(F.col("src_tags")).alias("src_role"),
+            tag(F.col("dst_tags")).alias("dst_role"),
+            hour_of_day(at).alias("hourly_part"),
+        )
+        .agg(F.count_if(at >= border).alias("recent"), F.count_if(at <= border).alias("earlier"))
     )
 
 
-def gcp_connect_baseline(
-    flows: DataFrame, vms: DataFrame, now: datetime | Column | None = None
-) -> DataFrame:
-    """Per pair of roles: mean and deviation over the hours of the day of misses, 25 h to 1 h ago.
-
-    Only source roles of VMs last seen in that time are kept.
-    """
-    hourly = (
-        _misses(flows, now, "25 hours", "1 hour")
-        .groupBy("src_role", "dst_role", hour_of_day(F.col("recorded_at")).alias("hourly_part"))
-        .agg(F.count("*").alias("miss_count"))
-    )
+def gcp_connect_baseline_of(counts: DataFrame, vms: DataFrame, now: datetime | Column | None = None) -> DataFrame:
+    """`gcp_connect_baseline` from `gcp_miss_counts`."""
+    hourly = counts.groupBy("src_role", "dst_role", "hourly_part").agg(F.sum("earlier").alias("miss_count"))
     seen_roles = (
         timebound(vms, "last_seen", now, "25 hours", "1 hour")
         .select(tag(F.col("tags")).alias("src_role"))
         .distinct()
     )
     return (
-        hourly.join(seen_roles, "src_role")
+        hourly.where("miss_count > 0")
+        .join(seen_roles, "src_role")
         .groupBy("src_role", "dst_role")
         .agg(
             F.avg("miss_count").alias("avg_miss_count"),
@@ -96,23 +100,35 @@ def gcp_connect_baseline(
     )
 
 
-def gcp_port_scanning(
-    flows: DataFrame,
-    baseline: DataFrame,
-    now: datetime | Column | None = None,
-    k: float = 1,
-) -> DataFrame:
-    """VMs whose misses of the last hour exceed mean + k deviations for their pair of roles."""
-    recent = (
-        _misses(flows, now, "1 hour")
-        .groupBy("src_vm_name", "dst_role", "src_role")
-        .agg(F.count("*").alias("miss_count"))
-    )
+def gcp_port_scanning_of(counts: DataFrame, baseline: DataFrame, k: float = 1) -> DataFrame:
+    """`gcp_port_scanning` from `gcp_miss_counts`."""
+    recent = counts.groupBy("src_vm_name", "dst_role", "src_role").agg(F.sum("recent").alias("miss_count"))
     limit = F.col("avg_miss_count") + k * F.col("stddev_miss_count")
     return (
-        recent.join(baseline, ["dst_role", "src_role"])
+        recent.where("miss_count > 0")
+        .join(baseline, ["dst_role", "src_role"])
         .where(F.col("miss_count") > limit)
         .select(
             "miss_count", "src_vm_name", "dst_role", "src_role", "avg_miss_count", "stddev_miss_count"
         )
     )
+
+
+def gcp_connect_baseline(
+    flows: DataFrame, vms: DataFrame, now: datetime | Column | None = None
+) -> DataFrame:
+    """Per pair of roles: mean and deviation over the hours of the day of misses, 25 h to 1 h ago.
+
+    Only source roles of VMs last seen in that time are kept.
+    """
+    return gcp_connect_baseline_of(gcp_miss_counts(flows, now), vms, now)
+
+
+def gcp_port_scanning(
+    flows: DataFrame,
+    baseline: DataFrame,
+    now: datetime | Column | None = None,
+    k: float = 1,
+) -> DataFrame:
+    """VMs whose misses of the last hour exceed mean + k deviations for their pair of roles."""
+    return gcp_port_scanning_of(gcp_miss_counts(flows, now), baseline, k)

@@ -57,27 +57,17 @@ VIEWS: dict[str, tuple[Callable[..., DataFrame], tuple[str, ...], bool]] = {
         True,
     ),
     "azure_ioc_connections": (_azure_ioc, ("azure_flow_logs", "azure_vms_nics", "iocs"), True),
-    "azure_denied_baseline": (
-        op.azure_denied_baseline,
-        ("azure_flow_logs_join_vm_nics", "azure_vms"),
-        True,
-    ),
-    "azure_port_scanning": (
-        op.azure_port_scanning,
-        ("azure_flow_logs_join_vm_nics", "azure_denied_baseline"),
-        True,
-    ),
+    "azure_denied_counts": (op.azure_denied_counts, ("azure_flow_logs_join_vm_nics",), True),
+    "azure_denied_baseline": (op.azure_denied_baseline_of, ("azure_denied_counts", "azure_vms"), True),
+    "azure_port_scanning": (op.azure_port_scanning_of, ("azure_denied_counts", "azure_denied_baseline"), False),
     "gcp_vms": (op.gcp_vms, ("gcp_audit_logs", "gcp_cloud_assets"), True),
     "gcp_flow_logs": (op.gcp_flow_logs, ("gcp_audit_logs",), True),
     "gcp_flow_logs_join_vms": (op.gcp_flow_logs_join_vms, ("gcp_flow_logs", "gcp_vms"), False),
     "gcp_beaconing": (op.gcp_beaconing, ("gcp_flow_logs",), True),
     "gcp_ioc_connections": (_gcp_ioc, ("gcp_flow_logs", "gcp_vms", "iocs"), False),
-    "gcp_connect_baseline": (op.gcp_connect_baseline, ("gcp_flow_logs_join_vms", "gcp_vms"), True),
-    "gcp_port_scanning": (
-        op.gcp_port_scanning,
-        ("gcp_flow_logs_join_vms", "gcp_connect_baseline"),
-        True,
-    ),
+    "gcp_miss_counts": (op.gcp_miss_counts, ("gcp_flow_logs_join_vms",), True),
+    "gcp_connect_baseline": (op.gcp_connect_baseline_of, ("gcp_miss_counts", "gcp_vms"), True),
+    "gcp_port_scanning": (op.gcp_port_scanning_of, ("gcp_miss_counts", "gcp_connect_baseline"), False),
     "universal_flow_log": (
         op.universal_flow_log,
         ("aws_flow_logs", "gcp_flow_logs", "azure_flow_logs"),
@@ -85,8 +75,17 @@ VIEWS: dict[str, tuple[Callable[..., DataFrame], tuple[str, ...], bool]] = {
     ),
 }
 
-# Entities are read by several views, and more than once by some.
-REUSED = ("aws_instances", "aws_enis", "azure_vms", "azure_nics", "azure_vms_nics", "gcp_vms")
+# Entities are read by several views, and more than once by some; counts by a baseline and the detection against it.
+REUSED = (
+    "aws_instances",
+    "aws_enis",
+    "azure_vms",
+    "azure_nics",
+    "azure_vms_nics",
+    "azure_denied_counts",
+    "gcp_vms",
+    "gcp_miss_counts",
+)
 
 
 class FlowViews(Mapping[str, DataFrame]):

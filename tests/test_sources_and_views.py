@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from flowspark import schemas
 from flowspark.functions import timebound
-from flowspark.operators import azure_flow_logs
+from flowspark.operators import azure_denied_counts, azure_flow_logs
 from flowspark.plans import VIEWS, FlowViews
 from flowspark.sources import conform, cut_lineage, materialize, read_source
 from workload import inputs
@@ -107,10 +107,11 @@ def test_partition_date_reaches_the_scan_through_the_flow_operators(spark, tmp_p
     views = FlowViews({"aws_flow_logs_raw": aws}, now=NOW)
     azure = materialize(inputs.azure_flow_logs_raw(spark, SMALL), path=str(tmp_path / "azure"), date_column="recorded_at")
     sources = {**all_sources(spark), "azure_flow_logs_raw": azure}
-    denied = FlowViews(sources, now=NOW, keep_entities=True)["azure_denied_baseline"]
+    azure_views = FlowViews(sources, now=NOW)
+    denied = azure_denied_counts(azure_views["azure_flow_logs_join_vm_nics"], NOW)
     for df in (views["aws_beaconing"], denied):
         assert "flowspark_recorded_day" in plan_of(df).split("PartitionFilters: [")[1].split("]")[0]
-    assert denied.count() == 4
+    assert azure_views["azure_denied_baseline"].count() == 4
 
 
 def test_parsers_work_on_streams(spark, tmp_path):
@@ -149,6 +150,14 @@ def test_every_view_builds_from_the_sources(spark):
     assert views["gcp_port_scanning"].count() == 2
 
 
+def test_detections_scan_their_flows_once(spark):
+    """Baseline and detection read one table of counts; the counts read the raw flows once."""
+    views = FlowViews(all_sources(spark), now=NOW)
+    for counts, scan in (("azure_denied_counts", "azure_port_scanning"), ("gcp_miss_counts", "gcp_port_scanning")):
+        files = set(views[counts].inputFiles())
+        assert files and files <= set(views[scan].inputFiles())
+
+
 def test_closing_removes_what_was_kept_and_now_is_fixed(spark):
     with FlowViews(all_sources(spark)) as views:
         kept = views["gcp_vms"].inputFiles()[0].removeprefix("file://")

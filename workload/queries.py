@@ -302,9 +302,8 @@ def azure_denied_baseline(spark: SparkSession, sf: str) -> DataFrame:
 
 def azure_port_scanning(spark: SparkSession, sf: str) -> DataFrame:
     vms = cut_lineage(_vms(spark, sf))
-    enriched = _azure_enriched(spark, sf, vms)
-    baseline = op.azure_denied_baseline(enriched, vms, now=NOW)
-    return op.azure_port_scanning(enriched, baseline, now=NOW)
+    counts = cut_lineage(op.azure_denied_counts(_azure_enriched(spark, sf, vms), now=NOW))
+    return op.azure_port_scanning_of(counts, op.azure_denied_baseline_of(counts, vms, now=NOW))
 
 
 # ---- GCP ----
@@ -390,9 +389,8 @@ def gcp_connect_baseline(spark: SparkSession, sf: str) -> DataFrame:
 
 def gcp_port_scanning(spark: SparkSession, sf: str, k: float = 1) -> DataFrame:
     vms = cut_lineage(_gcp_vms(spark, sf))
-    joined = _gcp_joined(spark, sf, vms)
-    baseline = op.gcp_connect_baseline(joined, vms, now=NOW)
-    out = op.gcp_port_scanning(joined, baseline, now=NOW, k=k)
+    counts = cut_lineage(op.gcp_miss_counts(_gcp_joined(spark, sf, vms), now=NOW))
+    out = op.gcp_port_scanning_of(counts, op.gcp_connect_baseline_of(counts, vms, now=NOW), k=k)
     return out.select("miss_count", "src_vm_name", "dst_role", "src_role", *_rounded(*_MISS))
 
 

@@ -14,12 +14,17 @@ from tokenizers import Tokenizer
 # A task has one core; the library's own threads would only compete.
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
-# A space next to white space on both sides (or at the end): a byte-level pre-tokenizer may join it with either.
-_UNSAFE = re.compile(r"\s (?:\s|\Z)")
+# Within three characters of white space (or two at the end) a byte-level pre-tokenizer may join some.
+_UNSAFE = re.compile(r"\s[ \n](?:\s|\Z)")
 _BOUNDARY = re.compile(r"(?<=\S) (?=\S)")
-# A word, marks after it, and the same once more on the next line: for these letters the pre-tokenizer always cuts in between.
-_LATIN = "[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+"
-_SIMPLE = re.compile(rf"({_LATIN})([.,!]*)(?:(\n)({_LATIN})([.,!]*))?")
+# Stands for a line break before a word, as no mark stands for a space.
+_BREAK = "\0"
+# A run of these marks after a letter is a piece of its own.
+_MARKS = ".,!"
+_LAST_LATIN = "\u024f"
+# How a byte-level model writes bytes: printable ones as they are, the others as the characters from 256 on, in their order.
+_PLAIN = {*range(33, 127), *range(161, 173), *range(174, 256)}
+_ALPHABET = {b: chr(256 + i) for i, b in enumerate(b for b in range(256) if b not in _PLAIN) if b != 9}
 _SEGMENT = 1 << 20
 # Longer words are not remembered.
 _LONG_WORD = 40
@@ -28,16 +33,20 @@ _LONG_WORD = 40
 class TextEncoder:
     """Encodes texts without begin, end or added special tokens, without truncation or padding.
 
-    A byte-level pre-tokenizer always begins a new piece at a space between two other characters, so the ids of a text are
-    those of its first word and of each further word with its leading space. Ids of about `remembered` words are kept in a
-    dictionary; when it is full, only the words of the last batch stay. Texts that hold a special token's string, and tokenizers of other kinds, take
-    the library's call on the whole text.
+    A byte-level pre-tokenizer begins a new piece at every single space or line break (two at most may follow each other), so
+    the ids of a text are those of its first word and of each further word with the space or break before it. Marks that
+    end a word are a piece as well. Ids of about `remembered` words are kept in a dictionary; when it is full, only the words
+    of the last batch stay. Other stretches of white space are cut at single spaces only. Texts that hold a special token's
+    string, and tokenizers of other kinds, take the library's call on the whole text.
     """
 
     def __init__(self, path: str, remembered: int = 1_000_000):
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
+        if hasattr(self.tokenizer.model, "_resize_cache"):
+            # Words are remembered here; asked for once each, they would only fill the library's own cache.
+            self.tokenizer.model._resize_cache(0)
         spec = json.loads(self.tokenizer.to_str())
         pre = spec.get("pre_tokenizer") or {}
         self.by_word = (
@@ -48,8 +57,8 @@ class TextEncoder:
         )
         self.special = [token["content"] for token in spec.get("added_tokens", [])]
         self.remembered = remembered
-        self.memo: dict[str, bytes] = {}  # of words with a space before them
-        self.begins: dict[str, bytes] = {"": b""}  # of pieces without
+        self.memo: dict[str, bytes] = {}
+        self.marks: dict[str, bytes] = {}
 
     def _whole(self, texts: list[str]) -> list[bytes]:
         ids = [array("I", e.ids) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
@@ -58,6 +67,19 @@ class TextEncoder:
                 one.byteswap()
         return [one.tobytes() for one in ids]
 
+    def _pieces(self, pieces: list[str]) -> list[bytes]:
+        """As `_whole`, of letters behind one space or line break, by the library's model alone: nothing is left to pre-tokenize."""
+        mapped = "\t".join([p[1:] if p[0] == "\n" else p for p in pieces]).encode().decode("latin-1").translate(_ALPHABET).split("\t")
+        tokenize = self.tokenizer.model.tokenize
+        line = self._whole(["\n"])[0]
+        out = []
+        for piece, text in zip(pieces, mapped):
+            ids = array("I", [token.id for token in tokenize(text)])
+            if sys.byteorder == "big":
+                ids.byteswap()
+            out.append(line + ids.tobytes() if piece[0] == "\n" else ids.tobytes())
+        return out
+
     def _segments(self, text: str):
         """Cuts a long text at spaces where a new piece begins anyway; the space stays with what follows."""
         start = 0
@@ -72,11 +94,14 @@ class TextEncoder:
         cut: list[tuple[int, list[str], list[bytes | None]]] = []
         heads: list[str] = []
         for i, text in enumerate(texts):
-            if text and (not self.by_word or any(s in text for s in self.special)):
+            if text and (not self.by_word or _BREAK in text or any(s in text for s in self.special)):
                 out[i] = self._whole([text])[0]
             elif text:
                 for segment in self._segments(text):
-                    head, *words = _BOUNDARY.split(segment) if _UNSAFE.search(segment) else segment.split(" ")
+                    if _UNSAFE.search(segment):
+                        head, *words = _BOUNDARY.split(segment)
+                    else:
+                        head, *words = segment.replace("\n", " " + _BREAK).split(" ")
                     heads.append(head)
                     cut.append((i, words, list(map(self.memo.get, words))))
         lacking = [[k for k, ids in enumerate(found) if ids is None] for _, _, found in cut]
@@ -87,23 +112,33 @@ class TextEncoder:
             out[i] += head + b"".join(found)
         if len(self.memo) > self.remembered:
             self.memo = {w: ids for _, words, found in cut for w, ids in zip(words, found) if len(w) <= _LONG_WORD}
-        self.memo.update((w, ids) for w, ids in ids_of.items() if len(w) <= _LONG_WORD and "\n" not in w)
+        self.memo.update((w, ids) for w, ids in ids_of.items() if len(w) <= _LONG_WORD)
         return out
 
     def _new(self, words: set[str]) -> dict[str, bytes]:
-        """Ids of words with their leading space. Letters, marks and a line break between them are pieces of their own."""
-        simple = {w: m.groups("") for w in words if (m := _SIMPLE.fullmatch(w))}
-        memo, begins = self.memo, self.begins
-        whole = list((words - simple.keys()) | {p[0] for p in simple.values()} - memo.keys())
-        begin = list({x for p in simple.values() for x in p[1:]} - begins.keys())
-        ids = self._whole([" " + w for w in whole] + begin)
-        fresh = dict(zip(whole, ids))
-        begins.update(zip(begin, ids[len(whole) :]))
-        for w, (core, *rest) in simple.items():
-            if w != core:
-                fresh[w] = (memo.get(core) or fresh[core]) + b"".join([begins[x] for x in rest])
-        if len(begins) > self.remembered // 4:
-            self.begins = {"": b""}
+        """Ids of words with the space or line break before them."""
+        memo, marks = self.memo, self.marks
+        marked = []
+        encoded = set()
+        for w in words:
+            core = w.rstrip(_MARKS)
+            if core != w and core and core[-1].isalpha() and core[-1] <= _LAST_LATIN:
+                marked.append((w, core))
+                if core not in memo:
+                    encoded.add(core)
+            else:
+                encoded.add(w)
+        letters = [w for w in encoded if w.removeprefix(_BREAK).isalpha() and max(w) <= _LAST_LATIN]
+        whole = list(encoded.difference(letters))
+        fresh = dict(zip(whole, self._whole(["\n" + w[1:] if w[:1] == _BREAK else " " + w for w in whole])))
+        fresh.update(zip(letters, self._pieces(["\n" + w[1:] if w[:1] == _BREAK else " " + w for w in letters])))
+        if len(marks) > 1000:
+            marks.clear()
+        for w, core in marked:
+            end = w[len(core) :]
+            if end not in marks:
+                marks[end] = self._whole([end])[0]
+            fresh[w] = (memo.get(core) or fresh[core]) + marks[end]
         return fresh
 
 

@@ -23,7 +23,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A test table. Each is one row group, so rows are dealt out unless the scan has a task per core."""
     df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
     cores = spark.sparkContext.defaultParallelism
-    return df.repartition(cores) if len(df.inputFiles()) < cores else df
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
 def flat(spark: SparkSession, sf_dir: str, text: str) -> DataFrame:
@@ -404,3 +404,9 @@ def gcp_cloud_assets(spark: SparkSession, sf_dir: str) -> DataFrame:
                 'creationTimestamp', {_iso('start_time')})))) as raw""",
     )
     return conform(_times(rows, "recorded_at"), schemas.GCP_CLOUD_ASSETS)
+
+
+# All of the above that stand for a table of their own.
+INPUTS = """aws_flow_logs_raw aws_instances aws_enis iocs aws_beacon_flows gcp_beacon_flows aws_config cloudtrail
+    azure_collect_network_interfaces azure_collect_virtual_machines azure_logs azure_flow_logs_raw gcp_audit_logs
+    gcp_cloud_assets""".split()

@@ -192,8 +192,8 @@ def azure_vms(
 ) -> DataFrame:
     """VMs seen in creation events and inventory: one row per distinct version, with its lifetime.
 
-    The first sighting of a VM is aggregated from ids and times alone and joined
-    back, so the payloads are read once.
+    Sightings are grouped by version first, with their first and last time; the first sighting of a VM is then the least
+    of its few versions. So each source is scanned and parsed once, and the log once more for deletions.
     """
     collected = timebound(vm_inventory, "recorded_at", now, lookback).select(
         canonical_json(F.col("tags")).alias("tags"),
@@ -221,13 +221,9 @@ def azure_vms(
         collected.withColumn("source", F.lit("inventory"))
         .unionByName(logged.withColumn("source", F.lit("events")))
         .groupBy(*version, "source")
-        .agg(F.max("recorded_at").alias("latest"))
-    )
-    first_seen = (
-        collected.select("vm_id", "recorded_at")
-        .unionByName(logged.select("vm_id", "recorded_at"))
-        .groupBy(F.col("vm_id").alias("seen_vm"))
-        .agg(F.min("recorded_at").alias("window_start"))
+        .agg(F.max("recorded_at").alias("latest"), F.min("recorded_at").alias("earliest"))
+        .where(F.col("vm_id").isNotNull())
+        .withColumn("window_start", F.min("earliest").over(Window.partitionBy("vm_id")))
     )
     deleted = (
         timebound(activity_logs, "recorded_at", now, lookback)
@@ -241,8 +237,7 @@ def azure_vms(
         .distinct()
     )
     return (
-        versions.join(first_seen, F.col("vm_id") == F.col("seen_vm"))
-        .join(deleted, F.col("vm_id") == F.col("deleted_vm"), "left")
+        versions.join(deleted, F.col("vm_id") == F.col("deleted_vm"), "left")
         .select(
             "window_start",
             F.coalesce("deleted_at", "latest").alias("window_end"),

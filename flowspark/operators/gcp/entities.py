@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime, timedelta
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from flowspark import schemas
@@ -80,31 +80,29 @@ def gcp_vms(
 ) -> DataFrame:
     """VMs seen in creation events and asset snapshots, as of their latest sighting.
 
-    The first and latest sighting of each VM are aggregated from names and times
-    alone; joining them back on name and time leaves only latest sightings
-    before any payload is grouped.
+    Sightings are grouped by VM, time and interfaces first; the first and latest sighting of a VM then come from these few
+    rows, of which only the latest stay. So each source is scanned and parsed once, and the log once more for deletions.
     """
     seen = _created(audit_logs, now, create_lookback).unionByName(
         _snapshots(assets, now, snapshot_lookback)
     )
-    bounds = (
-        seen.groupBy(F.col("resource_name").alias("_resource"))
+    described = ["account", "vm_name", "project_name", "zone", "tags"]
+    vm = ["true_earliest", "true_latest", "resource_name"]
+    of_vm = Window.partitionBy("resource_name")
+    sightings = (
+        seen.where(F.col("resource_name").isNotNull())
+        .groupBy("resource_name", "recorded_at", "nics")
         .agg(
-            F.max("recorded_at").alias("true_latest"),
-            F.min(F.least("recorded_at", "start_time")).alias("true_earliest"),
+            F.min("start_time").alias("start_time"),
+            F.min(F.least("recorded_at", "start_time")).alias("first"),
+            *[F.min(c).alias(c) for c in described],
         )
+        .withColumn("true_latest", F.max("recorded_at").over(of_vm))
+        .withColumn("true_earliest", F.min("first").over(of_vm))
+        .where(F.col("recorded_at") == F.col("true_latest"))
     )
-    at_latest = seen.join(
-        bounds,
-        (F.col("resource_name") == F.col("_resource")) & (F.col("recorded_at") == F.col("true_latest")),
-    )
-    described = ["account", "vm_name", "project_name", "zone", "tags"]
-    vm = ["true_earliest", "true_latest", "resource_name"]
-    vms = (
-        at_latest.groupBy(*vm, "nics")
-        .agg(F.min("start_time").alias("start_time"), *[F.min(c).alias(c) for c in described])
-        .groupBy(*vm, *described)
-        .agg(F.min("start_time").alias("start_time"), F.max("nics").alias("nics"))
+    vms = sightings.groupBy(*vm, *described).agg(
+        F.min("start_time").alias("start_time"), F.max("nics").alias("nics")
     )
     deleted = (
         _activity(audit_logs, now, create_lookback)

@@ -15,6 +15,7 @@ from flowspark.operators.joins import (
     lifetime_join,
     merge_lifetimes,
 )
+from flowspark.sources import cut_lineage
 
 # The one-letter codes of a flow tuple.
 PROTOCOLS = {"t": "TCP", "u": "UDP"}
@@ -108,22 +109,34 @@ _FLOW_COLUMNS = [
 ]
 _NIC_COLUMNS = ["nic_id", "nic_name", "nic_location", "nic_properties", "nic_tags", "ip_configuration"]
 _VM_COLUMNS = ["vm_tags", "vm_id", "vm_name", "vm_properties"]
-_MAPS = ["nic_tags", "vm_tags"]
 _SPREAD_BY = ["src_addr", "dst_addr", "src_port", "dst_port", "event_time"]
 
 
-def _side(vms_nics: DataFrame, side: str, by_subscription: bool) -> DataFrame:
-    """The entities as one end of a flow: each distinct payload once per stretch of its lifetime."""
-    texts = {f"{c}_text": F.to_json(c) for c in _MAPS}
-    plain = [c for c in (*_NIC_COLUMNS, *_VM_COLUMNS) if c not in _MAPS]
-    identity = [*plain, *texts, "private_ip"]
-    if by_subscription:
-        identity.append("subscription_id")
+def _lifetimes(vms_nics: DataFrame) -> DataFrame:
+    """The entities, each distinct payload once per stretch of its lifetime. A digest stands for the payload, so that no
+    payload is compared, and it is computed once and read back, for both ends of the flows."""
+    payload = [*_NIC_COLUMNS, *_VM_COLUMNS]
+    digest = F.sha2(F.to_json(F.struct(*payload)), 256)
+    identity = ["_payload", "private_ip", "subscription_id"]
     merged = merge_lifetimes(
-        vms_nics.withColumns(texts), identity, "window_start", "window_end", carry=_MAPS
-    ).drop(*texts)
-    renamed = {c: f"{side}_{c}" for c in merged.columns}
-    return merged.withColumnsRenamed({**renamed, "private_ip": f"{side}_ip_addr"})
+        vms_nics.withColumn("_payload", digest), identity, "window_start", "window_end", carry=payload
+    )
+    return cut_lineage(merged)
+
+
+def _side(lifetimes: DataFrame, side: str, by_subscription: bool) -> DataFrame:
+    """The entities as one end of a flow. Without its subscription a payload may have stretches that overlap: they are joined."""
+    if not by_subscription:
+        lifetimes = merge_lifetimes(
+            lifetimes.drop("subscription_id"),
+            ["_payload", "private_ip"],
+            "window_start",
+            "window_end",
+            carry=[*_NIC_COLUMNS, *_VM_COLUMNS],
+        )
+    ends = lifetimes.drop("_payload")
+    renamed = {c: f"{side}_{c}" for c in ends.columns}
+    return ends.withColumnsRenamed({**renamed, "private_ip": f"{side}_ip_addr"})
 
 
 def azure_flow_logs_join_vm_nics(
@@ -138,9 +151,10 @@ def azure_flow_logs_join_vm_nics(
     The source must also be in the subscription of the reporting resource. The result is distinct
     because both inputs are: flows are made distinct on their own narrow
     columns, and entities are merged so that a time meets each payload at most once. So
-    no payload is ever a shuffle key of the flows. `vms_nics` is measured, and broadcast up to
-    `broadcast_limit` bytes.
+    no payload is ever a shuffle key of the flows. The merged entities are kept in the session's shared folder,
+    measured there, and broadcast up to `broadcast_limit` bytes.
     """
+    lifetimes = _lifetimes(vms_nics)
     dated = partition_day(flows)
     distinct_flows = (
         flows.select(F.col("recorded_at").alias("flow_recorded_at"), *_FLOW_COLUMNS, *dated)
@@ -150,7 +164,7 @@ def azure_flow_logs_join_vm_nics(
     common = {
         "left_time": "event_time",
         "spread_by": _SPREAD_BY,
-        "small": is_small(vms_nics.select(*_NIC_COLUMNS, *_VM_COLUMNS, "private_ip"), broadcast_limit),
+        "small": is_small(lifetimes, broadcast_limit),
         "now": now,
         "lookback": lookback,
     }
@@ -165,13 +179,13 @@ def azure_flow_logs_join_vm_nics(
 
     with_source = lifetime_join(
         distinct_flows,
-        _side(vms_nics, "src", by_subscription=True),
+        _side(lifetimes, "src", by_subscription=True),
         condition=F.col("_subscription") == F.col("src_subscription_id"),
         **ends("src"),
         **common,
     )
     with_both = lifetime_join(
-        with_source, _side(vms_nics, "dst", by_subscription=False), **ends("dst"), **common
+        with_source, _side(lifetimes, "dst", by_subscription=False), **ends("dst"), **common
     )
     return with_both.select(
         "flow_recorded_at",

@@ -16,7 +16,7 @@ from flowspark.llm.common import in_fold, slices
 # n-grams of 1 to 3 characters are hashed into so many dimensions (a power of two).
 DIMENSIONS = 4096
 # About so many documents are learned from, shared equally among the languages.
-SAMPLE = 4_000
+SAMPLE = 2_400
 CENTROIDS = 4
 # At most so many languages are told apart.
 MOST_LANGUAGES = 1_000
@@ -123,11 +123,12 @@ def learn(docs: DataFrame, sample: int = SAMPLE, k: int = CENTROIDS) -> Centroid
     if not rows:
         return empty
     rows.sort(key=lambda r: (r["lang"], r["length"], r["counts"]))
+    langs, of = np.unique([r["lang"] for r in rows], return_inverse=True)
+    lengths = np.array([r["length"] for r in rows])
     x = np.stack([np.frombuffer(r["counts"], np.float32) for r in rows])
+    del rows
     idf = np.log((1 + len(x)) / (1 + (x > 0).sum(axis=0))) + 1
     x = unit(x * idf.astype(np.float32))
-    langs, of = np.unique([r["lang"] for r in rows], return_inverse=True)
-    lengths = np.array([r["length"] for r in rows])
     centers, owner, least = [], [], np.zeros((len(langs), 9))
     for i in range(len(langs)):
         own = _cluster(x[of == i], k)

@@ -98,4 +98,23 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     )
 }
 
-SQL: dict[str, str] = {}
+_WORDS = r"""regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"""
+
+# The others learn a model, call a tokenizer, search by a learned index or link near-copies: tests hold them against brute force.
+SQL: dict[str, str] = {
+    "op10_decontamination": f"""
+        with doc as (select row_number() over () as r, doc_id, coalesce({_WORDS}, []) as w from documents),
+        item as (select distinct coalesce(cast(item_id as varchar), '') as id, {_WORDS} as w from benchmark where text is not null),
+        win as (select distinct id, least(len(w), 10) as n, array_to_string(w[i : i + 9], ' ') as words
+                from (select id, w, unnest(range(1, greatest(1, len(w) - 9) + 1)) as i from item where len(w) > 0) x),
+        place as (select r, n, i, array_to_string(w[i : i + n - 1], ' ') as words
+                  from (select r, w, n, unnest(range(1, len(w) - n + 2)) as i
+                        from doc cross join (select distinct n from win) k where len(w) >= n) x),
+        hit as (select distinct r, id, i, p.n from place p join win using (n, words)),
+        covered as (select r, count(distinct pos) as n_hit from (select r, unnest(range(i, i + n)) as pos from hit) x group by r),
+        named as (select r, count(*) as n_items, string_agg(id, ',' order by id) as ids from (select distinct r, id from hit) x group by r)
+        select doc_id, len(w) as n_words, coalesce(n_hit, 0) as n_hit, coalesce(n_items, 0) as n_items,
+               sha256(coalesce(ids, '')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated
+        from doc left join covered using (r) left join named using (r)""",
+}

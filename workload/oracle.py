@@ -20,14 +20,14 @@ _AWS_FLOW = """a.accountid, a.instanceid, a.interfaceid, a.srcaddr, a.srcport, a
     a.protocol, a.packets, a.bytes, a.tcpflags, a.action"""
 
 
-def _ec2(end: str) -> str:
+def _ec2(end: str, machine: str = "machine") -> str:
     peer = f"""c.instance_id <> a.instanceid and a.starttime >= c.window_start and {end}"""
     return f"""
     select {_AWS_FLOW}, a.starttime, b.instance_id as src_instance_id, b.account_id as src_account_id,
            b.instance_role as src_role, c.instance_id as dst_instance_id, c.account_id as dst_account_id,
            c.instance_role as dst_role, a.srcaddr = b.ip_address as owner_is_src
-    from flow a left join machine b on a.instanceid = b.instance_id
-    left join machine c on case
+    from flow a left join {machine} b on a.instanceid = b.instance_id
+    left join {machine} c on case
         when {peer} and a.srcaddr = b.ip_address and a.dstaddr = c.ip_address then 1
         when {peer} and a.dstaddr = b.ip_address and a.srcaddr = c.ip_address then 1
         else 0 end = 1"""
@@ -324,20 +324,28 @@ def _needed(text: str) -> dict[str, str]:
     return {name: sql for name, sql in EXTRA.items() if name in found}
 
 
-def _query(text: str) -> str:
-    return with_flat(text, _needed(text))
-
-
-def oracle() -> dict[str, str]:
-    texts = {
-        "aws_instances": """
+EXTRA["entity"] = """
             select a.instance_id, a.account_id, ip_address, flag, tags, true as has_details, recorded_at,
                    recorded_at as latest_available_data, launch_time, launch_time as window_start,
                    coalesce(b.ended_at, case when ip_address is not null and launch_time is not null then
                             lead(launch_time) over (partition by ip_address
                             order by launch_time asc nulls last, a.instance_id) end) as window_end
             from instance_ip a left join ended b on a.instance_id = b.instance_id
-                 and a.recorded_at // 86400 <= b.ended_at // 86400""",
+                 and a.recorded_at // 86400 <= b.ended_at // 86400"""
+# Machines as the operators derive them, in the shape of the flat ones.
+EXTRA["derived"] = """
+    select instance_id, account_id, nullif(regexp_extract(tags, '"instance_role":"([^"]*)"', 1), '') as instance_role, ip_address, window_start, window_end,
+           latest_available_data from entity"""
+EXTRA["derived_ec2"] = _ec2("(a.starttime <= c.window_end or c.window_end is null)", "derived")
+
+
+def _query(text: str) -> str:
+    return with_flat(text, _needed(text))
+
+
+def oracle() -> dict[str, str]:
+    texts = {
+        "aws_instances": EXTRA["entity"],
         "aws_enis": """
             select eni_id, account_id, private_ip, object_type, object_name, eni_instance_id, source, window_start,
                    last_recorded, case when private_ip is not null and window_start is not null then
@@ -346,6 +354,7 @@ def oracle() -> dict[str, str]:
             from grouped_eni""",
         "aws_flow_logs": f"select {_AWS_FLOW}, recorded_at, starttime, endtime from flow a",
         "aws_flow_logs_join_ec2": "select * from ec2",
+        "aws_flow_logs_join_ec2_chained": "select * from derived_ec2",
         "aws_flow_logs_join_ec2_closed": "select * from ec2_closed",
         "aws_flow_logs_join_enis": f"""
             select {_AWS_FLOW}, a.starttime, b.eni_id, b.ip_address as eni_private_ip, b.account_id as eni_account_id,

@@ -143,6 +143,12 @@ def aws_beaconing_all_pairs(spark: SparkSession, sf: str) -> DataFrame:
     return aws_beaconing(spark, sf, **_OPEN)
 
 
+def aws_flow_logs_join_ec2_chained(spark: SparkSession, sf: str) -> DataFrame:
+    """Flows with the machines that the entity operator derives from configuration and audit logs."""
+    instances = cut_lineage(op.aws_instances(i.aws_config(spark, sf), i.cloudtrail(spark, sf), now=NOW))
+    return op.aws_flow_logs_join_ec2(_aws_flows(spark, sf), instances, now=NOW).select(*_ec2_columns())
+
+
 def aws_ioc_connections(spark: SparkSession, sf: str) -> DataFrame:
     iocs = i.iocs(spark, sf)
     listed = op.aws_listed_flows(_aws_flows(spark, sf), iocs)
@@ -427,6 +433,7 @@ QUERIES: dict[str, Query] = {
     "aws_flow_logs_join_enis": aws_flow_logs_join_enis,
     "aws_beaconing": aws_beaconing,
     "aws_beaconing_all_pairs": aws_beaconing_all_pairs,
+    "aws_flow_logs_join_ec2_chained": aws_flow_logs_join_ec2_chained,
     "aws_ioc_connections": aws_ioc_connections,
     "aws_rst_baseline": aws_rst_baseline,
     "aws_port_scanning": aws_port_scanning,

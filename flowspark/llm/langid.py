@@ -20,6 +20,10 @@ SAMPLE = 2_400
 CENTROIDS = 4
 # At most so many languages are told apart.
 MOST_LANGUAGES = 1_000
+# A text of fewer letters is too short to lie far from a language by more than chance; it is not rejected.
+LEAST_LETTERS = 24
+# A text is rejected if its cosine is below this share of the least that a sampled text of the language has.
+FAR = 0.5
 UNDETERMINED = "und"
 
 _NOT_LETTERS = re.compile(r"[\W\d_]+")
@@ -65,7 +69,8 @@ class Centroids:
         best = int(near.argmax())
         language = self.owner[best]
         cosine = float(min(1.0, max(0.0, near[best])))
-        return self.languages[language], cosine, bool(cosine < self.least[language, length_class(letters)])
+        far = len(letters) >= LEAST_LETTERS and cosine < self.least[language, length_class(letters)]
+        return self.languages[language], cosine, bool(far)
 
 
 def unit(v: np.ndarray) -> np.ndarray:
@@ -91,7 +96,7 @@ def learn(docs: DataFrame, sample: int = SAMPLE, k: int = CENTROIDS) -> Centroid
 
     About `sample` documents are drawn by hash of id and text, the same number for each language (all if there are fewer);
     their whole texts give the document frequencies, `k` centroids a language, and how near a text of a language lies to
-    its centroids, by length. Half the least of these cosines is the limit of rejection. Texts without a letter, null
+    its centroids, by length; see `FAR` for what is rejected. Texts without a letter, null
     languages and null ids teach nothing; documents under the name `und` do not either.
     """
     train = docs.where("doc_id is not null and lang is not null and text is not null").where(~in_fold(3, 1))
@@ -137,7 +142,7 @@ def learn(docs: DataFrame, sample: int = SAMPLE, k: int = CENTROIDS) -> Centroid
         near = (x[of == i] @ own.T).max(axis=1)
         for c in range(9):
             at = near[lengths[of == i] == c]
-            least[i, c] = 0.5 * min(at.min() if len(at) else np.inf, near.min())
+            least[i, c] = FAR * min(at.min() if len(at) else np.inf, near.min())
     return Centroids([str(x) for x in langs], idf, np.concatenate(centers).astype(np.float64), np.array(owner), least)
 
 
@@ -146,7 +151,7 @@ def identify(docs: DataFrame, model: Centroids) -> DataFrame:
 
     Returns doc_id, held_out, lang_pred, score (the cosine, 0 to 1), rejected, one row for each row of `docs`, also for null
     or repeated ids. A text that is null or has no letter is `und`, with score 0, and rejected; another always has one of the
-    learned languages and is rejected if it lies too far from all texts of it. A null id is not held out. Ties go to the
+    learned languages and is rejected if it has some letters (`LEAST_LETTERS`) and lies too far from all texts of it. A null id is not held out. Ties go to the
     language that sorts first. Other columns are not read. An empty table gives no rows; without anything to learn from all
     are `und`.
     """

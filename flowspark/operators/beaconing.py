@@ -61,35 +61,42 @@ def beacons(
             F.max_by("_duration", "_rank").alias("_last_duration"),
         )
     )
-    sums = per_minute.select(
-        host,
-        src,
-        dst,
-        "_n",
-        F.lit(0).cast("bigint").alias("_gap"),
-        "_timed",
-        F.coalesce("_total", F.lit(0)).alias("_total"),
-        F.coalesce("_squares", F.lit(0)).alias("_squares"),
+    # Two groupings of the sums in one pass: by source (kind 0) for its totals, by minute (kind 1) for its last connection.
+    of_source = F.col("_kind") == 0
+    folded = (
+        per_minute.withColumn("_kind", F.explode(F.array(F.lit(0), F.lit(1))))
+        .groupBy(
+            host,
+            dst,
+            "_kind",
+            F.when(of_source, F.col(src)).alias("_src"),
+            F.when(~of_source, F.col("_minute")).alias("_at"),
+        )
+        .agg(
+            *[F.sum(c).alias(c) for c in ("_n", "_timed", "_total", "_squares")],
+            F.max(F.when(~of_source, F.struct("_last_rank", src, F.col("_last_duration").alias("_took")))).alias("_latest"),
+        )
     )
-    latest = F.max(F.struct("_last_rank", src, F.col("_last_duration").alias("_took"))).alias("_latest")
-    lasts = per_minute.groupBy(host, dst, "_minute").agg(latest)
-    in_time = Window.partitionBy(host, dst).orderBy("_minute")
+    in_time = Window.partitionBy(host, dst, "_kind", "_src").orderBy("_at")
     gap, took = F.col("_gap"), F.coalesce("_latest._took", F.lit(0))
     final = gap.isNull()
-    corrections = lasts.withColumn("_gap", F.lead("_minute").over(in_time) - F.col("_minute")).select(
+
+    def part(total: Column, correction: Column) -> Column:
+        return F.when(of_source, F.coalesce(total, F.lit(0))).otherwise(F.when(final, correction).otherwise(0))
+
+    parts = folded.withColumn("_gap", F.lead("_at").over(in_time) - F.col("_at")).select(
         host,
-        F.col(f"_latest.{src}").alias(src),
+        F.when(of_source, F.col("_src")).otherwise(F.col(f"_latest.{src}")).alias(src),
         dst,
-        (-final.cast("bigint")).alias("_n"),
+        part(F.col("_n"), F.lit(-1)).alias("_n"),
         F.coalesce(gap, F.lit(0)).alias("_gap"),
-        (-(final & F.col("_latest._took").isNotNull()).cast("bigint")).alias("_timed"),
-        F.when(final, -took).otherwise(0).alias("_total"),
-        F.when(final, -took * took).otherwise(0).alias("_squares"),
+        part(F.col("_timed"), -F.col("_latest._took").isNotNull().cast("bigint")).alias("_timed"),
+        part(F.col("_total"), -took).alias("_total"),
+        part(F.col("_squares"), -took * took).alias("_squares"),
     )
     n, timed = F.col("beacon_count"), F.col("_timed_count")
     stats = (
-        sums.unionByName(corrections)
-        .groupBy(host, src, dst)
+        parts.groupBy(host, src, dst)
         .agg(
             F.sum("_n").alias("beacon_count"),
             F.sum("_gap").alias("_gaps"),

@@ -250,7 +250,10 @@ def test_beaconing_needs_count_rhythm_and_pace(rows):
 
 
 def test_beaconing_sums_before_it_sorts(rows):
+    """One scan, summed by hash per minute before anything else; one window, over rows that were folded once more."""
     plan = plan_of(aws_beaconing(rows(schemas.AWS_FLOW_LOGS, flow()), now=NOW))
-    assert plan.count("Window") == 1 and plan.count("Exchange") == 2
+    assert plan.count("Window") == 1 and plan.count("Exchange") == 4 and plan.count("Union") == 0
     below_window = plan[plan.index("Window"):]
-    assert "partial_count" in below_window and "SortAggregate" not in below_window
+    assert below_window.count("Exchange") == 3
+    first = below_window[below_window.rindex("Exchange"):]
+    assert "HashAggregate" in first and "partial_count" in first and "SortAggregate" not in first

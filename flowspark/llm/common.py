@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import atexit
 import io
 import uuid
 import zipfile
@@ -62,17 +61,15 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def new_folder(spark: SparkSession, name: str, suffix: str = "") -> str:
-    """A path for a table in the shared folder, removed when this process ends."""
-    path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}{suffix}"
-    atexit.register(_remove, spark, path)
-    return path
+    """A path in the shared folder that nothing else has."""
+    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}{suffix}"
 
 
-def _remove(spark: SparkSession, path: str) -> None:
-    if spark.sparkContext._jsc is not None:
-        jvm = spark.sparkContext._jvm
-        at = jvm.org.apache.hadoop.fs.Path(path)
-        at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+def temporary(spark: SparkSession, path: str) -> str:
+    """A path that was written and goes when the driver's JVM ends, also when the session was stopped before."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(at)
+    return path
 
 
 def shipped(query: Callable) -> Callable:
@@ -92,7 +89,7 @@ def shipped(query: Callable) -> Callable:
             out = at.getFileSystem(context._jsc.hadoopConfiguration()).create(at)
             out.write(packed.getvalue())
             out.close()
-            context.addPyFile(path)
+            context.addPyFile(temporary(spark, path))
         return query(spark, *args)
 
     return run
@@ -102,4 +99,5 @@ def kept(df: DataFrame, name: str) -> DataFrame:
     """Compute once, into a table in the shared folder; lost executors do not take it with them."""
     path = new_folder(df.sparkSession, name)
     df.write.parquet(path)
+    temporary(df.sparkSession, path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

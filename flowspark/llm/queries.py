@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from flowspark.llm import langid, quality
-from flowspark.llm.common import new_folder, shipped
+from flowspark.llm.common import new_folder, shipped, temporary
 from flowspark.llm.dart_minhash import near_duplicates
 from flowspark.llm.decontaminate import benchmark_hits, hit_count
 from flowspark.llm.hash_search import nearest
@@ -36,7 +36,9 @@ def op2_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
-    counts = token_counts(docs, public_tokenizers.path(BYTE_BPE), new_folder(spark, "token-cache"))
+    cache = new_folder(spark, "token-cache")
+    counts = token_counts(docs, public_tokenizers.path(BYTE_BPE), cache)
+    temporary(spark, cache)
     return counts.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > 512).alias("over_limit"))
 
 

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import atexit
 import uuid
 from collections.abc import Sequence
 
@@ -94,19 +93,23 @@ def _shared_folder(spark: SparkSession) -> str:
 
 
 def new_kept_path(spark: SparkSession) -> str:
-    """A path in the shared folder, removed at the latest when this process ends."""
-    path = f"{_shared_folder(spark)}/kept-{uuid.uuid4().hex}"
-    atexit.register(remove_kept, spark, path)
-    return path
+    """A path in the shared folder that nothing else has."""
+    return f"{_shared_folder(spark)}/kept-{uuid.uuid4().hex}"
 
 
 def cut_lineage(df: DataFrame, path: str | None = None) -> DataFrame:
     """Compute a view that is read more than once, and read it back from `path`, by default a new one in the shared folder.
 
     It is written as a table rather than checkpointed, so that readers still prune columns
-    and know its size. Lost executors do not take it with them.
+    and know its size. Lost executors do not take it with them. It is removed when the driver's JVM ends.
     """
-    return materialize(df, path=path or new_kept_path(df.sparkSession))
+    spark = df.sparkSession
+    path = path or new_kept_path(spark)
+    kept = materialize(df, path=path)
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    # It goes with the driver's JVM at the latest, also when the session was stopped before.
+    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(at)
+    return kept
 
 
 def remove_kept(spark: SparkSession, path: str) -> None:

@@ -4,7 +4,7 @@ from pathlib import Path
 import public_tokenizers
 import pytest
 
-sys.path.insert(0, str(Path(__file__).resolve().parent))
+sys.path.append(str(Path(__file__).resolve().parent))
 
 DOCS = "doc_id long, text string, lang string, n_words long, score double, node string, digest string, part int"
 

@@ -22,8 +22,17 @@ CENTROIDS = 4
 MOST_LANGUAGES = 1_000
 # A text of fewer letters is too short to lie far from a language by more than chance; it is not rejected.
 LEAST_LETTERS = 24
-# A text is rejected if its cosine is below this share of the least that a sampled text of the language has.
+# This share of the sampled texts of a language may be odd: fewer alike make no centroid, and limits are taken above them.
+ODD = 0.005
+# A text is rejected if its cosine is below this share of what all but the odd texts of its language and length have.
+NEAR = 0.9
+# Where a length has fewer sampled texts, the beginnings of longer ones stand in for it, then shorter ones, which lie farther.
+# A language of fewer texts in all is held to the share FAR.
+LEAST_TEXTS = 20
 FAR = 0.5
+# Length classes of which beginnings are taken, by the fewest letters of each. More of them are odd than of whole texts.
+ODD_BEGINNINGS = 0.05
+BEGINNINGS = {2: LEAST_LETTERS, 3: 64, 4: 256}
 UNDETERMINED = "und"
 
 _NOT_LETTERS = re.compile(r"[\W\d_]+")
@@ -77,8 +86,8 @@ def unit(v: np.ndarray) -> np.ndarray:
     return v / np.maximum(np.linalg.norm(v, axis=-1, keepdims=True), 1e-12)
 
 
-def _cluster(x: np.ndarray, k: int) -> np.ndarray:
-    """Spherical k-means; starts from vectors that are far from one another."""
+def _means(x: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """Spherical k-means, and the cluster of each row; starts from vectors that are far from one another."""
     chosen = [int((x @ unit(x.mean(axis=0))).argmax())]
     nearest = x @ x[chosen[0]]
     while len(chosen) < min(k, len(x)):
@@ -88,15 +97,49 @@ def _cluster(x: np.ndarray, k: int) -> np.ndarray:
     for _ in range(12):
         of = (x @ centers.T).argmax(axis=1)
         centers = unit(np.stack([x[of == i].mean(axis=0) if (of == i).any() else centers[i] for i in range(len(centers))]))
+    return centers, (x @ centers.T).argmax(axis=1)
+
+
+def _cluster(x: np.ndarray, k: int) -> np.ndarray:
+    """Centroids, none of them of odd texts alone: those are left out and the others clustered anew."""
+    least = ODD * len(x)
+    for _ in range(20):
+        centers, of = _means(x, k)
+        odd = np.bincount(of, minlength=len(centers)) < least
+        if not odd[of].any() or odd.all():
+            break
+        x = x[~odd[of]]
     return centers
 
 
+def _limits(near: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """The least cosine not to be rejected, by length class, from the cosines and classes of the sampled texts of a language."""
+    limits = np.zeros(9)
+    for c in range(9):
+        pools = (near[(shortest <= lengths) & (lengths <= c)] for shortest in range(c, -1, -1))
+        pool, share = next(((p, NEAR) for p in pools if len(p) >= LEAST_TEXTS), (near, FAR))
+        limits[c] = share * np.quantile(pool, ODD, method="lower")
+    return limits
+
+
+def _distances(x: np.ndarray, own: np.ndarray, lengths: np.ndarray, beginnings: list[str], idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The cosines of sampled texts with the nearest of their centroids, and their length classes; with beginnings where needed."""
+    near, classes = [(x @ own.T).max(axis=1)], [lengths]
+    for c, size in BEGINNINGS.items():
+        if (lengths == c).sum() < LEAST_TEXTS:
+            cut = [t[:size] for t, length in zip(beginnings, lengths) if length > c]
+            at = np.sort([(own @ unit(gram_counts(t.strip()) * idf)).max() for t in cut])[int(ODD_BEGINNINGS * len(cut)) :]
+            near.append(at)
+            classes.append(np.full(len(at), c))
+    return np.concatenate(near), np.concatenate(classes)
+
+
 def learn(docs: DataFrame, sample: int = SAMPLE, k: int = CENTROIDS) -> Centroids:
     """Fit on documents with a language whose crc32(id as text) mod 3 is not 1.
 
     About `sample` documents are drawn by hash of id and text, the same number for each language (all if there are fewer);
     their whole texts give the document frequencies, `k` centroids a language, and how near a text of a language lies to
-    its centroids, by length; see `FAR` for what is rejected. Texts without a letter, null
+    its centroids, by length; see `NEAR` for what is rejected. Texts without a letter, null
     languages and null ids teach nothing; documents under the name `und` do not either.
     """
     train = docs.where("doc_id is not null and lang is not null and text is not null").where(~in_fold(3, 1))
@@ -116,21 +159,23 @@ def learn(docs: DataFrame, sample: int = SAMPLE, k: int = CENTROIDS) -> Centroid
             letters = [letters_of(t) for t in batch.column("text").to_pylist()]
             counts = [gram_counts(x).astype(np.float32).tobytes() if x else None for x in letters]
             columns = [batch.column("lang"), pa.array([length_class(x) for x in letters], pa.int32()), pa.array(counts, pa.binary())]
-            yield pa.RecordBatch.from_arrays(columns, ["lang", "length", "counts"])
+            columns.append(pa.array([x[: max(BEGINNINGS.values())] for x in letters], pa.string()))
+            yield pa.RecordBatch.from_arrays(columns, ["lang", "length", "counts", "beginning"])
 
     rows = (
         train.where(drawn < wanted)
         .select("text", "lang")
-        .mapInArrow(vectors, "lang string, length int, counts binary")
+        .mapInArrow(vectors, "lang string, length int, counts binary, beginning string")
         .where("counts is not null")
         .collect()
     )
     if not rows:
         return empty
-    rows.sort(key=lambda r: (r["lang"], r["length"], r["counts"]))
+    rows.sort(key=lambda r: (r["lang"], r["length"], r["counts"], r["beginning"]))
     langs, of = np.unique([r["lang"] for r in rows], return_inverse=True)
     lengths = np.array([r["length"] for r in rows])
     x = np.stack([np.frombuffer(r["counts"], np.float32) for r in rows])
+    beginnings = np.array([r["beginning"] for r in rows], object)
     del rows
     idf = np.log((1 + len(x)) / (1 + (x > 0).sum(axis=0))) + 1
     x = unit(x * idf.astype(np.float32))
@@ -139,10 +184,7 @@ def learn(docs: DataFrame, sample: int = SAMPLE, k: int = CENTROIDS) -> Centroid
         own = _cluster(x[of == i], k)
         centers.append(own)
         owner += [i] * len(own)
-        near = (x[of == i] @ own.T).max(axis=1)
-        for c in range(9):
-            at = near[lengths[of == i] == c]
-            least[i, c] = FAR * min(at.min() if len(at) else np.inf, near.min())
+        least[i] = _limits(*_distances(x[of == i], own, lengths[of == i], beginnings[of == i], idf))
     return Centroids([str(x) for x in langs], idf, np.concatenate(centers).astype(np.float64), np.array(owner), least)
 
 
@@ -151,7 +193,7 @@ def identify(docs: DataFrame, model: Centroids) -> DataFrame:
 
     Returns doc_id, held_out, lang_pred, score (the cosine, 0 to 1), rejected, one row for each row of `docs`, also for null
     or repeated ids. A text that is null or has no letter is `und`, with score 0, and rejected; another always has one of the
-    learned languages and is rejected if it has some letters (`LEAST_LETTERS`) and lies too far from all texts of it. A null id is not held out. Ties go to the
+    learned languages and is rejected if it has some letters (`LEAST_LETTERS`) and lies farther off than texts of it and of about its length. A null id is not held out. Ties go to the
     language that sorts first. Other columns are not read. An empty table gives no rows; without anything to learn from all
     are `und`.
     """

@@ -1,3 +1,7 @@
+import base64
+import random
+import string
+
 import numpy as np
 from conftest_llm import EDGES, MIDDLE
 
@@ -105,3 +109,29 @@ def test_far_texts_are_rejected(spark):
     docs = spark.read.parquet(f"{MIDDLE}/documents.parquet")
     model = langid.learn(docs)
     assert model.predict("щжц ыюя хъэ ьжщ " * 30)[2] and not model.predict(docs.where("lang = 'de'").first()["text"])[2]
+
+
+def test_junk_and_other_languages_in_latin_script_are_rejected(spark):
+    docs = spark.read.parquet(f"{MIDDLE}/documents.parquet")
+    model = langid.learn(docs)
+    rng = random.Random(5)
+    words = [" ".join("".join(rng.choices(string.ascii_lowercase, k=rng.randint(2, 10))) for _ in range(n)) for n in (30, 100, 400)]
+    coded = [base64.b64encode(rng.randbytes(n)).decode() for n in (300, 3000)] + [rng.randbytes(n).hex() for n in (300, 3000)]
+    finnish = "Suomen kieli on suomalais-ugrilainen kieli, jota puhutaan pääasiassa Suomessa. Sitä puhuu äidinkielenään noin viisi miljoonaa ihmistä."
+    polish = "Język polski należy do grupy języków zachodniosłowiańskich i jest językiem urzędowym w Polsce. Posługuje się nim wiele milionów ludzi."
+    for text in [*words, *coded, finnish, finnish * 10, polish, polish * 10]:
+        assert model.predict(text)[2], text[:60]
+    held_out = docs.where("crc32(cast(cast(doc_id as string) as binary)) % 3 = 1").collect()
+    by_length = {}
+    for r in held_out:
+        if langid.letters_of(r["text"]):
+            by_length.setdefault(len(r["text"]) > 500, []).append(model.predict(r["text"])[2])
+    assert len(by_length) == 2 and all(np.mean(rejected) < 0.01 for rejected in by_length.values())
+
+
+def test_limits_by_length():
+    lengths = np.repeat([2, 3, 5, 6], [40, 5, 400, 3])
+    near = np.concatenate([np.full(40, 0.6), np.full(5, 0.8), np.full(399, 0.95), [0.3], np.full(3, 0.99)])
+    limits = langid._limits(near, lengths)
+    assert np.allclose(limits[:8], [0.3, 0.3, 0.54, 0.54, 0.54, 0.855, 0.855, 0.855])
+    assert np.allclose(langid._limits(np.array([0.8, 0.9]), np.array([4, 5])), 0.4)

@@ -5,14 +5,16 @@ from __future__ import annotations
 import html
 import re
 
+# A quote opens a value only right after "="; any other one is a character like others, and so is one that nothing closes.
+_NAME = r"[^\s/>][^\s/>=]*+"
 _TOKEN = re.compile(
     r"<!--(?:>|->|.*?(?:--!?>|\Z))"
     r"|<[!?][^>]*(?:>|\Z)"
     r"|</(?P<end>[a-zA-Z][^\s/>]*)[^>]*(?:>|\Z)"
-    r"|<(?P<tag>[a-zA-Z][^\s/>]*)(?P<attributes>(?:[^>\"']|\"[^\"]*\"|'[^']*')*+)(?P<close>>|\Z|(?=[\"']))",
+    rf"|<(?P<tag>[a-zA-Z][^\s/>]*)(?P<attributes>(?:[\s/]++|{_NAME}(?:\s*+=\s*+(?:\"[^\"]*+\"|'[^']*+'|[^\s>]++)?+)?+)*+)(?:>|\Z)",
     re.S,
 )
-_ATTRIBUTE = re.compile(r"([^\s=\"'/>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
+_ATTRIBUTE = re.compile(rf"({_NAME})(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style xmp iframe noembed noframes".split())

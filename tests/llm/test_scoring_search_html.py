@@ -204,6 +204,21 @@ def test_pages(page, text):
     assert visible_text(page) == text
 
 
+@pytest.mark.parametrize(
+    "page, text",
+    [
+        ('<p class="a"">He said nothing. <b>More visible text</b></p><p class="b">Next</p>', "He said nothing. More visible text\n\nNext"),
+        ("<a title=don't href=x>It isn't here</a>", "It isn't here"),
+        ('<a title="x > y" href = \'a>b\'>one</a> <a b="c"d="e>f">two</a>', "one two"),
+        ('<a "b>one</a> <a b==">two</a> <a b=>three</a>', "one two three"),
+        ('<p a=b"hidden">shown</p><p title=it\'s hidden>no</p>', "shown"),
+        ('<p a="never closed>kept <b>too</b>', "kept too"),
+    ],
+)
+def test_stray_quotes_swallow_nothing(page, text):
+    assert visible_text(page) == text
+
+
 @pytest.mark.parametrize("page", ["<" * 5000, "<a " * 5000, "<div>" * 20000 + "deep", "<table><tr><td>" * 500 + "deep", "<a b=\"" + "x" * 100000, "<!--", "<a " + "'" * 10001, "<ul><li>" * 3000 + "deep"])
 def test_broken_pages_end_and_keep_their_text(page):
     assert ("deep" in page) == ("deep" in visible_text(page))

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Generator, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -23,6 +23,9 @@ _WHITE = re.compile(r"[ \t\n\r\f]+")
 _NUMBER = re.compile(r"\s*([+-]?\d{1,6})")
 # Columns that one cell may span, as browsers have it.
 _WIDEST_SPAN = 1000
+# So many lists, quotes and tables inside one another are laid out as blocks of lines. Further ones keep texts, bullets and
+# rows, but are not indented more, and their cells are apart but not aligned: lines would grow with the depth without end.
+_DEEPEST_LAYOUT = 150
 
 
 def _number(text: str | None, otherwise: int) -> int:
@@ -53,7 +56,9 @@ def visible(element: Element) -> bool:
 class _Page:
     """Lines so far, the line that is being written, and blank lines that are due before the next."""
 
-    def __init__(self) -> None:
+    def __init__(self, level: int = 0) -> None:
+        self.level = level  # blocks of lines that this one is inside of
+        self.mark = ""  # bullets that are due before the next text
         self.lines: list[str] = []
         self.parts: list[str] = []
         self.space = True
@@ -79,6 +84,8 @@ class _Page:
             if self.lines:
                 self.lines += [""] * self.due
             self.due = 0
+            if line:
+                line, self.mark = self.mark + line, ""
             self.lines.append(line)
 
     def gap(self, n: int) -> None:
@@ -90,16 +97,41 @@ class _Page:
             self.put((first if i == 0 else rest) + line if line or i == 0 and first else "")
 
 
-def _lines(children: list, depth: int, pre: bool = False) -> list[str]:
-    page = _Page()
-    _render(children, page, depth, pre)
+def _run(steps: Generator):
+    """What a generator returns that yields others for what they return; a stack of its own instead of calls, for any depth."""
+    stack, value = [steps], None
+    while stack:
+        try:
+            stack.append(stack[-1].send(value))
+            value = None
+        except StopIteration as end:
+            stack.pop()
+            value = end.value
+    return value
+
+
+def _lines(children: list, depth: int, pre: bool = False, level: int = 0) -> Generator:
+    page = _Page(level)
+    yield _render(children, page, depth, pre)
     page.line()
     while page.lines and not page.lines[-1]:
         page.lines.pop()
     return page.lines
 
 
-def _render(children: list, page: _Page, depth: int, pre: bool) -> None:
+def _block(children: list, page: _Page, depth: int, pre: bool, first: str, rest: str) -> Generator:
+    """Lines behind a mark or indented."""
+    if page.level < _DEEPEST_LAYOUT:
+        page.add((yield _lines(children, depth, pre, page.level + 1)), first, rest)
+        return
+    before = len(page.mark)
+    page.mark += first.lstrip()
+    yield _render(children, page, depth, pre)
+    page.line()
+    page.mark = page.mark[:before]
+
+
+def _render(children: list, page: _Page, depth: int, pre: bool) -> Generator:
     """Writes nodes to the page; depth counts lists around them."""
     for child in children:
         if isinstance(child, str):
@@ -127,33 +159,33 @@ def _render(children: list, page: _Page, depth: int, pre: bool) -> None:
                 page.text(child.attributes.get("value", ""))
         elif tag == "table":
             page.gap(1)
-            _table(child, page, depth)
+            yield (_table(child, page, depth) if page.level < _DEEPEST_LAYOUT else _render(child.children, page, depth, False))
             page.gap(1)
         elif tag in _LISTS:
             page.gap(0 if depth else 1)
-            _list(child, page, depth, pre)
+            yield _list(child, page, depth, pre)
             page.gap(0 if depth else 1)
         elif tag == "li":
             page.gap(0)
-            page.add(_lines(child.children, depth + 1, pre), "* ", "  ")
+            yield _block(child.children, page, depth + 1, pre, "* ", "  ")
         elif tag in ("blockquote", "dd"):
             page.gap(tag == "blockquote")
-            page.add(_lines(child.children, depth, pre), "    ", "    ")
+            yield _block(child.children, page, depth, pre, "    ", "    ")
             page.gap(tag == "blockquote")
         elif tag in ("td", "th"):
             page.text(" ")
-            _render(child.children, page, depth, pre)
+            yield _render(child.children, page, depth, pre)
             page.text(" ")
         elif tag in BLOCKS or tag in ("tr", "caption", "optgroup", "option", "legend", *_ROW_GROUPS):
             spaced = int(tag in _SPACED)
             page.gap(spaced)
-            _render(child.children, page, depth, pre or tag == "pre")
+            yield _render(child.children, page, depth, pre or tag == "pre")
             page.gap(spaced)
         else:
-            _render(child.children, page, depth, pre or tag in ("textarea", "xmp"))
+            yield _render(child.children, page, depth, pre or tag in ("textarea", "xmp"))
 
 
-def _list(element: Element, page: _Page, depth: int, pre: bool) -> None:
+def _list(element: Element, page: _Page, depth: int, pre: bool) -> Generator:
     """Items behind bullets or numbers, later lines of an item under its first."""
     number = _number(element.attributes.get("start"), 1)
     for child in element.children:
@@ -166,17 +198,17 @@ def _list(element: Element, page: _Page, depth: int, pre: bool) -> None:
                 number = _number(child.attributes.get("value"), number)
                 mark = f"{number}. "
                 number += 1
-            page.add(_lines(child.children, depth + 1, pre), mark, " " * len(mark))
+            yield _block(child.children, page, depth + 1, pre, mark, " " * len(mark))
         else:
-            _render([child], page, depth, pre)
+            yield _render([child], page, depth, pre)
 
 
-def _table(element: Element, page: _Page, depth: int) -> None:
+def _table(element: Element, page: _Page, depth: int) -> Generator:
     """Rows of cells, columns aligned; what stands in a table outside of cells comes before it, as browsers show it."""
     rows: list[list[Element]] = []
     outside: list = []
 
-    def collect(children: list, in_row: list[Element] | None) -> None:
+    def collect(children: list, in_row: list[Element] | None) -> Generator:
         for child in children:
             if isinstance(child, str):
                 if child.strip():
@@ -184,18 +216,18 @@ def _table(element: Element, page: _Page, depth: int) -> None:
             elif not visible(child) or child.tag in ("colgroup", "col"):
                 continue
             elif child.tag in _ROW_GROUPS:
-                collect(child.children, None)
+                yield collect(child.children, None)
             elif child.tag == "tr":
                 rows.append([])
-                collect(child.children, rows[-1])
+                yield collect(child.children, rows[-1])
             elif child.tag in ("td", "th") and in_row is not None:
                 in_row.append(child)
             else:
                 outside.append(child)
 
-    collect(element.children, None)
+    yield collect(element.children, None)
     if outside:
-        _render(outside, page, depth, False)
+        yield _render(outside, page, depth, False)
         page.line()
     laid: list[list[tuple[int, list[str]]]] = []
     widths: dict[int, int] = {}
@@ -206,7 +238,7 @@ def _table(element: Element, page: _Page, depth: int) -> None:
         for cell in row:
             while column in down:
                 column += 1
-            lines = _lines(cell.children, depth + 1)
+            lines = yield _lines(cell.children, depth + 1, level=page.level + 1)
             span = min(_WIDEST_SPAN, max(1, _number(cell.attributes.get("colspan"), 1)))
             deep = max(1, _number(cell.attributes.get("rowspan"), 1))
             cells.append((column, lines))
@@ -234,7 +266,7 @@ def _table(element: Element, page: _Page, depth: int) -> None:
 
 def visible_text(page: str | None) -> str:
     """The visible text of a page; empty for null."""
-    return "\n".join(_lines(parse(page or "").children, 0))
+    return "\n".join(_run(_lines(parse(page or "").children, 0)))
 
 
 def extract_text(pages: DataFrame) -> DataFrame:
@@ -244,8 +276,8 @@ def extract_text(pages: DataFrame) -> DataFrame:
     or numbers; cells of a table stand in aligned columns; white space is otherwise one space, and kept in `pre`.
 
     Returns page_id, text, n_lines, one row for each row of `pages`, also for null or repeated ids. A null or empty page has
-    an empty text of 0 lines. Broken markup is read as far as browsers repair it; elements nested deeper than a bound keep
-    their text. Other columns are not read. An empty table gives no rows.
+    an empty text of 0 lines. Broken markup is read as far as browsers repair it; elements may be nested to any depth,
+    see `_DEEPEST_LAYOUT` for what is then laid out more simply. Other columns are not read. An empty table gives no rows.
     """
     kind = pages.schema["page_id"].dataType.simpleString()
 

@@ -43,10 +43,6 @@ _ENDS = {
 # A paragraph ends where a block begins, but not outside of these.
 _PARAGRAPH_SCOPE = ("td", "th", "table", "button", "caption", "object")
 
-# Deeper elements hang on their ancestor at this depth: their text stays, only their own layout is lost.
-DEEPEST = 150
-
-
 class Element:
     """A tag with its attributes and children, which are elements and texts."""
 
@@ -70,24 +66,29 @@ def parse(text: str) -> Element:
     """The tree of a page, under an element without a tag."""
     root = Element("")
     open_ = [root]
+    places: dict[str, list[int]] = {}  # where elements of a tag stand in open_
+
+    def last(tags: tuple[str, ...]) -> int:
+        return max((places[t][-1] for t in tags if places.get(t)), default=0)
 
     def close(tags: tuple[str, ...], scope: tuple[str, ...]) -> None:
-        for i in range(len(open_) - 1, 0, -1):
-            if open_[i].tag in tags:
-                del open_[i:]
-                return
-            if open_[i].tag in scope:
-                return
+        at = last(tags)
+        if at and at >= last(scope):
+            while len(open_) > at:
+                pop()
+
+    def pop() -> None:
+        places[open_.pop().tag].pop()
 
     def add(element: Element) -> None:
         open_[-1].children.append(element)
-        if len(open_) < DEEPEST:
-            open_.append(element)
+        places.setdefault(element.tag, []).append(len(open_))
+        open_.append(element)
 
     def add_text(part: str) -> None:
         if part:
             if open_[-1].tag == "head" and not part.isspace():
-                open_.pop()
+                pop()
             open_[-1].children.append(html.unescape(part) if "&" in part else part)
 
     at, size = 0, len(text)
@@ -105,11 +106,11 @@ def parse(text: str) -> Element:
         if found["tag"]:
             tag = found["tag"].lower()
             if open_[-1].tag == "head" and tag not in _HEAD_PARTS:
-                open_.pop()
+                pop()
             if tag in BLOCKS and tag != "table":
                 close(("p",), _PARAGRAPH_SCOPE)
             if tag in HEADINGS and open_[-1].tag in HEADINGS:
-                open_.pop()
+                pop()
             if tag in _ENDS:
                 if tag == "tr" or tag in _GROUPS:
                     close(_CELLS, ("tr", "table"))
@@ -133,7 +134,7 @@ def parse(text: str) -> Element:
             tag = found["end"].lower()
             if tag == "br":
                 open_[-1].children.append(Element("br"))
-            elif tag == "p" and not any(e.tag == "p" for e in open_):
+            elif tag == "p" and not places.get("p"):
                 open_[-1].children.append(Element("p"))
             elif tag not in ("html", "body"):
                 table_part = tag in ("table", "tr", *_CELLS, *_GROUPS, "caption")

@@ -219,6 +219,28 @@ def test_stray_quotes_swallow_nothing(page, text):
     assert visible_text(page) == text
 
 
+HIDING = ["<div hidden>no</div>", "<p style='display:none'>no</p>", "<noscript><b>no</b></noscript>", "<template>no</template>", "<svg><text>no</text></svg>"]
+
+
+@pytest.mark.parametrize("tag", ["div", "b", "span", "font"])
+@pytest.mark.parametrize("depth", [10, 200, 20_000])
+def test_deep_elements_are_laid_out_as_others(tag, depth):
+    inside = "".join(HIDING) + "<table><tr><td>a<td>b<tr><td>cc<td>d</table><ul><li>e<li>f</ul>"
+    inside += f"<div hidden>{'<div>' * 9}{'</div>' * 9}no</div>g"
+    assert visible_text(f"<{tag}>" * depth + inside).split("\n") == ["a   b", "cc  d", "", "* e", "* f", "", "g"]
+
+
+@pytest.mark.parametrize("depth", [200, 20_000])
+def test_deep_lists_quotes_and_tables_keep_their_parts(depth):
+    inside = "".join(HIDING) + "x<ol><li>e<li hidden>no<li>f</ol>"
+    for around in ("<blockquote>", "<ul><li>", "<table><tr><td>"):
+        lines = [line.strip("* ") for line in visible_text(around * depth + inside).split("\n") if line]
+        assert lines == ["x", "1. e", "2. f"]
+    cells = visible_text("<table><tr><td>" * depth + "a<td>b<tr><td>c<td>d").split("\n")
+    assert [line.split() for line in cells] == [["a", "b"], ["c", "d"]]
+    assert visible_text("<ul><li>" * depth + "x").count("*") == depth
+
+
 @pytest.mark.parametrize("page", ["<" * 5000, "<a " * 5000, "<div>" * 20000 + "deep", "<table><tr><td>" * 500 + "deep", "<a b=\"" + "x" * 100000, "<!--", "<a " + "'" * 10001, "<ul><li>" * 3000 + "deep"])
 def test_broken_pages_end_and_keep_their_text(page):
     assert ("deep" in page) == ("deep" in visible_text(page))

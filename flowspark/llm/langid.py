@@ -8,18 +8,16 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from flowspark.llm.common import in_fold, slices
+from flowspark.llm.common import in_fold, kept, slices
 
 # n-grams of 1 to 3 characters are hashed into so many dimensions (a power of two).
 DIMENSIONS = 4096
-# About so many documents are learned from, shared equally among the languages.
-SAMPLE = 2_400
+# So many documents of each language are learned from, however many languages there are; all if there are fewer.
+SAMPLE = 1_000
 CENTROIDS = 4
-# At most so many languages are told apart.
-MOST_LANGUAGES = 1_000
 # A text of fewer letters is too short to lie far from a language by more than chance; it is not rejected.
 LEAST_LETTERS = 24
 # This share of the sampled texts of a language may be odd: fewer alike make no centroid, and limits are taken above them.
@@ -137,55 +135,71 @@ def _distances(x: np.ndarray, own: np.ndarray, lengths: np.ndarray, beginnings:
 def learn(docs: DataFrame, sample: int = SAMPLE, k: int = CENTROIDS) -> Centroids:
     """Fit on documents with a language whose crc32(id as text) mod 3 is not 1.
 
-    About `sample` documents are drawn by hash of id and text, the same number for each language (all if there are fewer);
+    Of each language the `sample` documents with the smallest hash of id and text are taken (all if there are fewer);
     their whole texts give the document frequencies, `k` centroids a language, and how near a text of a language lies to
     its centroids, by length; see `NEAR` for what is rejected. Texts without a letter, null
     languages and null ids teach nothing; documents under the name `und` do not either.
+
+    Languages are clustered each on an executor; the driver holds centroids only, at most `k` vectors a language.
     """
     train = docs.where("doc_id is not null and lang is not null and text is not null").where(~in_fold(3, 1))
-    train = train.where(F.col("lang") != UNDETERMINED).select("doc_id", "text", "lang")
-    sizes = {r["lang"]: r["count"] for r in train.groupBy("lang").count().limit(MOST_LANGUAGES + 1).collect()}
-    if len(sizes) > MOST_LANGUAGES:
-        raise ValueError(f"more than {MOST_LANGUAGES} languages")
-    empty = Centroids([], np.zeros(DIMENSIONS), np.zeros((0, DIMENSIONS)), np.zeros(0, np.int64), np.zeros((0, 9)))
-    if not sizes:
-        return empty
-    share = {lang: min(1.0, sample / len(sizes) / n) for lang, n in sizes.items()}
-    drawn = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1_000_003)) / 1_000_003.0
-    wanted = F.create_map(*[F.lit(v) for pair in share.items() for v in pair])[F.col("lang")]
+    train = train.where(F.col("lang") != UNDETERMINED).where(F.col("text").rlike(r"[\p{L}\p{N}]"))
 
     def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             letters = [letters_of(t) for t in batch.column("text").to_pylist()]
             counts = [gram_counts(x).astype(np.float32).tobytes() if x else None for x in letters]
-            columns = [batch.column("lang"), pa.array([length_class(x) for x in letters], pa.int32()), pa.array(counts, pa.binary())]
-            columns.append(pa.array([x[: max(BEGINNINGS.values())] for x in letters], pa.string()))
-            yield pa.RecordBatch.from_arrays(columns, ["lang", "length", "counts", "beginning"])
-
-    rows = (
-        train.where(drawn < wanted)
-        .select("text", "lang")
-        .mapInArrow(vectors, "lang string, length int, counts binary, beginning string")
+            columns = [batch.column("lang"), batch.column("hash"), pa.array([length_class(x) for x in letters], pa.int32())]
+            columns += [pa.array(counts, pa.binary()), pa.array([x[: max(BEGINNINGS.values())] for x in letters], pa.string())]
+            yield pa.RecordBatch.from_arrays(columns, ["lang", "hash", "length", "counts", "beginning"])
+
+    # Twice as many as wanted are drawn, so that far fewer than all rows meet in the ranking of a language and enough are left.
+    hashed = train.select("lang", "text", F.xxhash64("doc_id", "text").alias("hash"))
+    drawn = F.shiftrightunsigned("hash", 11) / float(1 << 53)
+    wanted = train.groupBy("lang").count().select("lang", (F.lit(2.0 * sample + 100) / F.col("count")).alias("wanted"))
+    ranked = Window.partitionBy("lang").orderBy(F.shiftrightunsigned("hash", 11), "hash", "length", "beginning")
+    rows = kept(
+        hashed.join(F.broadcast(wanted), "lang")
+        .where(drawn < F.col("wanted"))
+        .select("lang", "hash", "text")
+        .mapInArrow(vectors, "lang string, hash long, length int, counts binary, beginning string")
         .where("counts is not null")
-        .collect()
+        .withColumn("rank", F.row_number().over(ranked))
+        .where(F.col("rank") <= sample)
+        .drop("rank"),
+        "language-sample",
     )
-    if not rows:
-        return empty
-    rows.sort(key=lambda r: (r["lang"], r["length"], r["counts"], r["beginning"]))
-    langs, of = np.unique([r["lang"] for r in rows], return_inverse=True)
-    lengths = np.array([r["length"] for r in rows])
-    x = np.stack([np.frombuffer(r["counts"], np.float32) for r in rows])
-    beginnings = np.array([r["beginning"] for r in rows], object)
-    del rows
-    idf = np.log((1 + len(x)) / (1 + (x > 0).sum(axis=0))) + 1
-    x = unit(x * idf.astype(np.float32))
-    centers, owner, least = [], [], np.zeros((len(langs), 9))
-    for i in range(len(langs)):
-        own = _cluster(x[of == i], k)
-        centers.append(own)
-        owner += [i] * len(own)
-        least[i] = _limits(*_distances(x[of == i], own, lengths[of == i], beginnings[of == i], idf))
-    return Centroids([str(x) for x in langs], idf, np.concatenate(centers).astype(np.float64), np.array(owner), least)
+
+    def frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        texts, having = 0, np.zeros(DIMENSIONS, np.int64)
+        for batch in batches:
+            for counts in batch.column("counts").to_pylist():
+                having += np.frombuffer(counts, np.float32) > 0
+                texts += 1
+        at = [-1, *range(DIMENSIONS)]
+        yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array([texts, *having], pa.int64())], ["at", "n"])
+
+    summed = rows.select("counts").mapInArrow(frequencies, "at int, n long").groupBy("at").agg(F.sum("n").alias("n"))
+    n = {r["at"]: r["n"] for r in summed.collect()}
+    if not n.get(-1):
+        return Centroids([], np.zeros(DIMENSIONS), np.zeros((0, DIMENSIONS)), np.zeros(0, np.int64), np.zeros((0, 9)))
+    idf = np.log((1 + n[-1]) / (1 + np.array([n[i] for i in range(DIMENSIONS)]))) + 1
+
+    def fitted(table: pa.Table) -> pa.Table:
+        table = table.sort_by([("hash", "ascending"), ("length", "ascending"), ("beginning", "ascending")])
+        x = np.stack([np.frombuffer(c, np.float32) for c in table.column("counts").to_pylist()])
+        x = unit(x * idf.astype(np.float32))
+        own = _cluster(x, k)
+        lengths = table.column("length").to_numpy()
+        limits = _limits(*_distances(x, own, lengths, table.column("beginning").to_pylist(), idf))
+        columns = [[table.column("lang")[0].as_py()], [own.astype(np.float32).tobytes()], [limits.tolist()]]
+        return pa.table([pa.array(c, t) for c, t in zip(columns, (pa.string(), pa.binary(), pa.list_(pa.float64())))], ["lang", "centers", "least"])
+
+    found = rows.groupBy("lang").applyInArrow(fitted, "lang string, centers binary, least array<double>").collect()
+    found.sort(key=lambda r: r["lang"])
+    centers = [np.frombuffer(r["centers"], np.float32).reshape(-1, DIMENSIONS) for r in found]
+    owner = np.repeat(np.arange(len(found)), [len(c) for c in centers])
+    return Centroids([r["lang"] for r in found], idf, np.concatenate(centers).astype(np.float64), owner, np.array([r["least"] for r in found]))
 
 
 def identify(docs: DataFrame, model: Centroids) -> DataFrame:

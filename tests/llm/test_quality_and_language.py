@@ -7,6 +7,7 @@ from conftest_llm import EDGES, MIDDLE
 
 from flowspark.llm import langid, quality
 from flowspark.llm.boosting import fit
+from flowspark.llm.common import kept as langid_kept
 
 
 def test_flat_traversal_equals_walking_each_tree():
@@ -135,3 +136,21 @@ def test_limits_by_length():
     limits = langid._limits(near, lengths)
     assert np.allclose(limits[:8], [0.3, 0.3, 0.54, 0.54, 0.54, 0.855, 0.855, 0.855])
     assert np.allclose(langid._limits(np.array([0.8, 0.9]), np.array([4, 5])), 0.4)
+
+
+def test_sample_is_of_each_language_and_no_language_is_dropped(spark, monkeypatch):
+    """More languages than 1,000, most of few texts, beside a large one; those sampled are the ones with the smallest hashes."""
+    rows = [(i, f"text number {i} of many", "en") for i in range(3000)] + [(10_000 + i, f"wörd{i} " * 5, f"l{i % 1100}") for i in range(4400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    taken = []
+    monkeypatch.setattr(langid, "kept", lambda df, name: taken.append(langid_kept(df, name)) or taken[-1])
+    model = langid.learn(docs, sample=50)
+    fold = docs.where("crc32(cast(cast(doc_id as string) as binary)) % 3 <> 1")
+    assert model.languages == sorted(r["lang"] for r in fold.select("lang").distinct().collect()) and len(model.languages) > 1000
+    hashes = {}
+    for r in fold.selectExpr("lang", "xxhash64(doc_id, text) h").collect():
+        hashes.setdefault(r["lang"], []).append(r["h"] % 2**64)
+    sampled = {}
+    for r in taken[0].collect():
+        sampled.setdefault(r["lang"], []).append(r["hash"] % 2**64)
+    assert {k: sorted(v) for k, v in sampled.items()} == {k: sorted(v)[:50] for k, v in hashes.items()}

@@ -69,8 +69,8 @@ def main() -> None:
     anything = {"min_count": 0, "max_variance": 1e12, "min_gap": -1}
     forms = {
         "warm-up": lambda: flows,
-        "peer, broadcast": lambda: op.aws_flow_logs_join_ec2(flows, instances, now=NOW),
-        "peer, sliced": lambda: op.aws_flow_logs_join_ec2(flows, instances, now=NOW, broadcast_limit=0),
+        "peer, broadcast": lambda: op.aws_flow_logs_join_ec2(flows, instances),
+        "peer, shuffled": lambda: op.aws_flow_logs_join_ec2(flows, instances, broadcast_limit=0),
         "peer, literal": lambda: literal_peer_join(flows, instances),
         "ioc, candidates": lambda: op.gcp_ioc_connections(
             flows.withColumnsRenamed({"srcaddr": "src_ip", "dstaddr": "dst_ip"}), iocs

@@ -1,4 +1,5 @@
 from .jsontext import as_json, canonical_json, document, explode_parsed, field, parse_once
+from .marks import is_distinct, marked_distinct
 from .tags import tag, tags_to_map
 from .text import nth, text_or_null
 from .times import (
@@ -27,7 +28,9 @@ __all__ = [
     "hour_start",
     "in_window",
     "instant",
+    "is_distinct",
     "launch_instant",
+    "marked_distinct",
     "minute_index",
     "minutes_between",
     "nth",

@@ -15,10 +15,10 @@ from flowspark.functions import (
     field,
     launch_instant,
     tags_to_map,
-    timebound,
 )
 from flowspark.functions.tags import TAG_LIST, TAG_MAP
 from flowspark.operators.joins import next_start
+from flowspark.operators.parts import EntityView, Part, digest_of, payload_part, with_payload
 
 # Who asked for a network interface tells what it is attached to.
 # Rules are tried in this order: column, how it is compared, value, type.
@@ -42,7 +42,11 @@ INTERFACE_TYPE_RULES = [
 NETWORK_INTERFACES = "array<struct<privateIpAddress: string, networkInterfaceId: string>>"
 
 
-def _config_sightings(config: DataFrame, now, lookback) -> DataFrame:
+def _snapshots(config: DataFrame) -> DataFrame:
+    return config.where(F.col("resource_type") == "AWS::EC2::Instance")
+
+
+def _config_sightings(config: DataFrame) -> DataFrame:
     """One row per interface of each recorded instance configuration."""
     doc = F.col("doc")
     tags = F.coalesce(
@@ -51,8 +55,7 @@ def _config_sightings(config: DataFrame, now, lookback) -> DataFrame:
     )
     launched = F.coalesce(field(doc, "$.LaunchTime"), field(doc, "$.launchTime"))
     snapshots = (
-        timebound(config, "recorded_at", now, lookback)
-        .where(F.col("resource_type") == "AWS::EC2::Instance")
+        _snapshots(config)
         .withColumn("doc", document(F.col("configuration")))
         .select(
             "account_id",
@@ -61,7 +64,7 @@ def _config_sightings(config: DataFrame, now, lookback) -> DataFrame:
             F.lit("AWS_CONFIG").alias("flag"),
             as_json(tags).alias("tags"),
             launch_instant(launched).alias("launched"),
-            F.col("configuration").alias("details"),
+            digest_of(F.col("configuration")).alias("digest"),
             field(doc, "$.networkInterfaces", NETWORK_INTERFACES).alias("interfaces"),
         )
     )
@@ -80,105 +83,126 @@ def _items(events: DataFrame) -> DataFrame:
     return explode_parsed(parsed, F.col("items"), "item").drop("items")
 
 
-def _launch_sightings(cloudtrail: DataFrame, now, lookback) -> DataFrame:
+def _launches(cloudtrail: DataFrame) -> DataFrame:
+    return _items(cloudtrail.where(F.col("event_name") == "RunInstances"))
+
+
+def _launch_sightings(cloudtrail: DataFrame) -> DataFrame:
     """One row per instance of each launch event."""
     item = F.col("item")
-    launches = timebound(cloudtrail, "recorded_at", now, lookback).where(
-        F.col("event_name") == "RunInstances"
-    )
-    return _items(launches).select(
+    return _launches(cloudtrail).select(
         F.col("recipient_account_id").alias("account_id"),
         field(item, "$.instanceId").alias("instance_id"),
         "recorded_at",
         F.lit("CLOUDTRAIL").alias("flag"),
         as_json(tags_to_map(field(item, "$.tagSet.items", TAG_LIST), "key", "value")).alias("tags"),
         launch_instant(field(item, "$.launchTime")).alias("launched"),
-        as_json(item).alias("details"),
+        digest_of(as_json(item)).alias("digest"),
         field(item, "$.privateIpAddress").alias("ip_address"),
     )
 
 
-def _ends(cloudtrail: DataFrame, now, lookback) -> DataFrame:
-    """Latest stop or termination per account and instance."""
-    stops = timebound(cloudtrail, "event_time", now, lookback).where(
-        F.col("event_name").isin("StopInstances", "TerminateInstances")
-    )
-    return (
-        _items(stops)
-        .groupBy("recipient_account_id", field(F.col("item"), "$.instanceId").alias("end_instance"))
-        .agg(F.max("event_time").alias("ended_at"))
-        .drop("recipient_account_id")
+def _sightings(config: DataFrame, cloudtrail: DataFrame) -> DataFrame:
+    seen = _config_sightings(config).unionByName(_launch_sightings(cloudtrail))
+    return seen.where(F.col("account_id").isNotNull() & F.col("instance_id").isNotNull()).withColumns(
+        {name: F.col("recorded_at") for name in ("at", "first", "last")}
     )
 
 
-def aws_instances(
-    config: DataFrame,
-    cloudtrail: DataFrame,
-    now: datetime | Column | None = None,
-    lookback: str | timedelta = "30 days",
-) -> DataFrame:
-    """EC2 instances seen in configuration snapshots and launch events: one row per (instance, IP).
+def _latest() -> list[Column]:
+    """First and last sighting, and the values at the last: of several then, the greatest of each."""
+    values = [F.max(F.struct("last", c))[c].alias(c) for c in ("flag", "digest", "tags", "launched")]
+    return [F.min("first").alias("first"), F.max("last").alias("last"), *values]
 
-    Of each account's instance only the sightings at its very latest recording count.
-    A single hash-partitioned aggregate per (account, instance, IP) keeps the
-    latest values, the maximum of each on a tie; the few IPs of an instance are then compared with each
-    other. `window_start` equals `launch_time`.
-    """
-    seen = _config_sightings(config, now, lookback).unionByName(
-        _launch_sightings(cloudtrail, now, lookback)
-    ).where(F.col("account_id").isNotNull() & F.col("instance_id").isNotNull())
 
-    latest_values = ["flag", "details", "tags", "launched"]
-    per_ip = (
-        seen.groupBy("account_id", "instance_id", "ip_address")
-        .agg(
-            F.max("recorded_at").alias("latest"),
-            F.min("recorded_at").alias("earliest"),
-            *[F.max(F.struct("recorded_at", c))[c].alias(c) for c in latest_values],
-        )
-        # Serves the window below and the grouping after it.
-        .repartition("instance_id")
+def _details(config: DataFrame, cloudtrail: DataFrame) -> DataFrame:
+    recorded = _snapshots(config).select(F.col("recorded_at").alias("at"), F.col("configuration").alias("payload"))
+    launched = _launches(cloudtrail).select(F.col("recorded_at").alias("at"), as_json(F.col("item")).alias("payload"))
+    return recorded.unionByName(launched).where("payload is not null")
+
+
+def _stops(cloudtrail: DataFrame) -> DataFrame:
+    stops = cloudtrail.where(F.col("event_name").isin("StopInstances", "TerminateInstances"))
+    return _items(stops).select(
+        "recipient_account_id",
+        field(F.col("item"), "$.instanceId").alias("end_instance"),
+        F.col("recorded_at").alias("at"),
+        F.col("event_time").alias("ended_at"),
     )
+
+
+_BOTH = ("aws_config", "cloudtrail")
+SIGHTINGS = Part("aws_instance_sightings", _BOTH, _sightings, ("account_id", "instance_id", "ip_address"), _latest)
+ENDS = Part(
+    "aws_instance_ends",
+    ("cloudtrail",),
+    _stops,
+    ("recipient_account_id", "end_instance"),
+    lambda: [F.max("ended_at").alias("ended_at")],
+    time="event_time",
+    latest="ended_at",
+)
+DETAILS = payload_part("aws_instance_details", _BOTH, _details)
+
+
+def _instances(sightings: DataFrame, ends: DataFrame, details: DataFrame) -> DataFrame:
+    # Serves the window below and the grouping after it.
+    per_ip = sightings.repartition("instance_id")
     of_instance = Window.partitionBy("account_id", "instance_id")
     launch_time = F.when(F.col("first_seen") < F.col("launched"), F.col("first_seen")).otherwise(
         F.col("launched")
     )
     current = (
-        per_ip.withColumn("last_seen", F.max("latest").over(of_instance))
-        .withColumn("first_seen", F.min("earliest").over(of_instance))
-        .where(F.col("latest") == F.col("last_seen"))
+        per_ip.withColumn("last_seen", F.max("last").over(of_instance))
+        .withColumn("first_seen", F.min("first").over(of_instance))
+        .where(F.col("last") == F.col("last_seen"))
         .withColumn("launch_time", launch_time)
         .groupBy("instance_id", "ip_address")
         .agg(
             F.max("account_id").alias("account_id"),
-            F.max("latest").alias("recorded_at"),
-            *[F.max(c).alias(c) for c in ("flag", "details", "tags", "launch_time")],
+            F.max("last").alias("recorded_at"),
+            *[F.max(c).alias(c) for c in ("flag", "digest", "tags", "launch_time")],
         )
     )
     followed = next_start(
         current, "ip_address", "launch_time", ["instance_id"], "launch_time", "next_launch"
     )
-    ends = _ends(cloudtrail, now, lookback)
-    return (
-        followed.join(
-            ends,
-            (F.col("instance_id") == F.col("end_instance"))
-            & (day_index(F.col("recorded_at")) <= day_index(F.col("ended_at"))),
-            "left",
-        )
-        .select(
-            "account_id",
-            "details",
-            "instance_id",
-            "ip_address",
-            "recorded_at",
-            "flag",
-            F.from_json("tags", TAG_MAP).alias("tags"),
-            F.col("recorded_at").alias("latest_available_data"),
-            "launch_time",
-            F.col("launch_time").alias("window_start"),
-            F.coalesce("ended_at", "next_launch").alias("window_end"),
-        )
+    after = day_index(F.col("recorded_at")) <= day_index(F.col("ended_at"))
+    ended = followed.join(ends, (F.col("instance_id") == F.col("end_instance")) & after, "left")
+    return with_payload(ended, details, "details").select(
+        "account_id",
+        "details",
+        "instance_id",
+        "ip_address",
+        "recorded_at",
+        "flag",
+        F.from_json("tags", TAG_MAP).alias("tags"),
+        F.col("recorded_at").alias("latest_available_data"),
+        "launch_time",
+        F.col("launch_time").alias("window_start"),
+        F.coalesce("ended_at", "next_launch").alias("window_end"),
+    )
+
+
+INSTANCES = EntityView(_instances, (SIGHTINGS, ENDS, DETAILS))
+
+
+def aws_instances(
+    config: DataFrame,
+    cloudtrail: DataFrame,
+    now: datetime | Column | None = None,
+    lookback: str | timedelta = "30 days",
+) -> DataFrame:
+    """EC2 instances seen in configuration snapshots and launch events: one row per (instance, IP).
+
+    Of each account's instance only the sightings at its very latest recording count.
+    A single aggregate per (account, instance, IP) keeps the latest values, the maximum of each on a tie, and for `details` the one
+    with the greatest digest; the few IPs of an instance are then compared with each
+    other. Details are fetched by digest at the end. `window_start` equals `launch_time`.
+    """
+    both = (config, cloudtrail)
+    return _instances(
+        SIGHTINGS.recent(both, now, lookback), ENDS.recent([cloudtrail], now, lookback), DETAILS.recent(both, now, lookback)
     )
 
 
@@ -200,7 +224,8 @@ def _requested_interfaces(cloudtrail: DataFrame) -> DataFrame:
     instance = field(response, "$.instanceId")
     kind = kind.when(instance.isNull(), "ec2-instance").otherwise("unknown")
     return events.withColumn("object_type", kind).select(
-        F.col("event_time").alias("recorded_at"),
+        F.col("recorded_at").alias("at"),
+        F.col("event_time").alias("seen_at"),
         F.col("recipient_account_id").alias("account_id"),
         field(response, "$.networkInterface.networkInterfaceId").alias("eni_id"),
         F.coalesce(
@@ -213,15 +238,16 @@ def _requested_interfaces(cloudtrail: DataFrame) -> DataFrame:
         .alias("object_name"),
         instance.alias("eni_instance_id"),
         F.lit("network_interface_cloudtrail").alias("source"),
+        F.lit(False).alias("recorded"),
     )
 
 
 def _launched_interfaces(cloudtrail: DataFrame) -> DataFrame:
     """Interfaces of launched instances."""
-    launched = _items(cloudtrail.where(F.col("event_name") == "RunInstances"))
     nics = field(F.col("item"), "$.networkInterfaceSet.items", NETWORK_INTERFACES)
-    return explode_parsed(launched, nics, "nic").select(
-        F.col("event_time").alias("recorded_at"),
+    return explode_parsed(_launches(cloudtrail), nics, "nic").select(
+        F.col("recorded_at").alias("at"),
+        F.col("event_time").alias("seen_at"),
         F.col("recipient_account_id").alias("account_id"),
         F.col("nic.networkInterfaceId").alias("eni_id"),
         F.col("nic.privateIpAddress").alias("private_ip"),
@@ -229,31 +255,12 @@ def _launched_interfaces(cloudtrail: DataFrame) -> DataFrame:
         F.lit("ec2-instance").alias("object_name"),
         field(F.col("item"), "$.instanceId").alias("eni_instance_id"),
         F.lit("run_instance_cloudtrail").alias("source"),
+        F.lit(False).alias("recorded"),
     )
 
 
-def _recorded_interfaces(config: DataFrame, instances: DataFrame) -> DataFrame:
-    """Interfaces of configuration snapshots, with the instance that lists them."""
-    details = F.col("doc")
-    listed = F.coalesce(
-        F.transform(
-            field(details, "$.NetworkInterfaces", "array<struct<NetworkInterfaceId: string>>"),
-            lambda nic: nic["NetworkInterfaceId"],
-        ),
-        F.transform(
-            field(details, "$.networkInterfaces", NETWORK_INTERFACES),
-            lambda nic: nic["networkInterfaceId"],
-        ),
-    )
-    # Only the greatest instance id per interface can reach the result, so
-    # repeated listings are folded before the join.
-    described = instances.select("instance_id", document(F.col("details")).alias("doc"))
-    owners = (
-        explode_parsed(described, listed, "listed_eni")
-        .groupBy("listed_eni")
-        .agg(F.max("instance_id").alias("listed_instance"))
-    )
-    owned = F.col("listed_instance")
+def _recorded_interfaces(config: DataFrame) -> DataFrame:
+    """Interfaces of configuration snapshots. Without a name of its own, one is named after the instance that lists it, if any."""
     plain = F.col("interface_type") == "interface"
     on_ec2 = (
         plain
@@ -270,48 +277,93 @@ def _recorded_interfaces(config: DataFrame, instances: DataFrame) -> DataFrame:
         .when(plain & about.startswith("AWS Lambda VPC ENI"), "lambda")
         .otherwise(F.col("interface_type"))
     )
-    object_name = (
-        F.when(about != "", about)
-        .when(on_ec2, "ec2-instance")
-        .when(owned.isNotNull(), "ec2-instance")
-        .otherwise("unknown")
-    )
-    return (
-        config.where(F.col("resource_type") == "AWS::EC2::NetworkInterface")
-        .join(owners, F.col("network_interface_id") == F.col("listed_eni"), "left")
-        .select(
-            "recorded_at",
-            "account_id",
-            F.col("network_interface_id").alias("eni_id"),
-            F.col("private_ip_address").alias("private_ip"),
-            object_type.alias("object_type"),
-            object_name.alias("object_name"),
-            F.coalesce(owned, F.lit("config")).alias("eni_instance_id"),
-            F.lit("config").alias("source"),
-        )
+    return config.where(F.col("resource_type") == "AWS::EC2::NetworkInterface").select(
+        F.col("recorded_at").alias("at"),
+        F.col("recorded_at").alias("seen_at"),
+        "account_id",
+        F.col("network_interface_id").alias("eni_id"),
+        F.col("private_ip_address").alias("private_ip"),
+        object_type.alias("object_type"),
+        F.when(about != "", about).when(on_ec2, "ec2-instance").alias("object_name"),
+        F.lit(None).cast("string").alias("eni_instance_id"),
+        F.lit("config").alias("source"),
+        F.lit(True).alias("recorded"),
     )
 
 
-def aws_enis(config: DataFrame, cloudtrail: DataFrame, instances: DataFrame) -> DataFrame:
-    """Network interfaces: one row per (interface, account) with its lifetime.
-
-    `instances` is the output of `aws_instances`. The lifetime ends when the next interface takes
-    over the address. Duplicates need no removal, as only minima and maxima follow.
-    """
+def _interface_sightings(config: DataFrame, cloudtrail: DataFrame) -> DataFrame:
     seen = (
-        _recorded_interfaces(config, instances)
+        _recorded_interfaces(config)
         .unionByName(_requested_interfaces(cloudtrail))
         .unionByName(_launched_interfaces(cloudtrail))
     )
-    grouped = seen.groupBy("eni_id", "account_id").agg(
-        F.min("recorded_at").alias("window_start"),
-        F.max("recorded_at").alias("last_recorded"),
-        F.min("private_ip").alias("private_ip"),
-        F.min("object_type").alias("object_type"),
-        F.max("object_name").alias("object_name"),
-        F.max("eni_instance_id").alias("eni_instance_id"),
-        F.max("source").alias("source"),
+    times = {name: F.col("seen_at") for name in ("window_start", "last_recorded")}
+    return seen.withColumns({**times, "unnamed": F.col("recorded") & F.col("object_name").isNull()})
+
+
+def _extremes() -> list[Column]:
+    least = [F.min(c).alias(c) for c in ("window_start", "private_ip", "object_type")]
+    greatest = ("last_recorded", "object_name", "eni_instance_id", "source", "recorded", "unnamed")
+    return [*least, *[F.max(c).alias(c) for c in greatest]]
+
+
+def _listing_instances(instances: DataFrame) -> DataFrame:
+    """Interfaces that instances list, each with the greatest instance: no other can reach the result."""
+    details = F.col("doc")
+    listed = F.coalesce(
+        F.transform(
+            field(details, "$.NetworkInterfaces", "array<struct<NetworkInterfaceId: string>>"),
+            lambda nic: nic["NetworkInterfaceId"],
+        ),
+        F.transform(
+            field(details, "$.networkInterfaces", NETWORK_INTERFACES),
+            lambda nic: nic["networkInterfaceId"],
+        ),
+    )
+    described = instances.select("instance_id", document(F.col("details")).alias("doc"))
+    return (
+        explode_parsed(described, listed, "listed_eni")
+        .groupBy("listed_eni")
+        .agg(F.max("instance_id").alias("listed_instance"))
+    )
+
+
+def _enis(sightings: DataFrame, instances: DataFrame) -> DataFrame:
+    owned = F.col("listed_instance")
+    by_owner = F.when(owned.isNotNull(), "ec2-instance").otherwise("unknown")
+    grouped = sightings.join(_listing_instances(instances), F.col("eni_id") == F.col("listed_eni"), "left").select(
+        "eni_id",
+        "account_id",
+        "window_start",
+        "last_recorded",
+        "private_ip",
+        "object_type",
+        F.greatest("object_name", F.when(F.col("unnamed"), by_owner)).alias("object_name"),
+        F.greatest("eni_instance_id", F.when(F.col("recorded"), F.coalesce(owned, F.lit("config")))).alias("eni_instance_id"),
+        "source",
     )
     return next_start(
         grouped, "private_ip", "window_start", ["eni_id", "account_id"], "window_start", "window_end"
     )
+
+
+INTERFACES = Part(
+    "aws_interface_sightings", _BOTH, _interface_sightings, ("eni_id", "account_id"), _extremes, lookback=None
+)
+ENIS = EntityView(_enis, (INTERFACES,), ("aws_instances",))
+
+
+def aws_enis(
+    config: DataFrame,
+    cloudtrail: DataFrame,
+    instances: DataFrame,
+    now: datetime | Column | None = None,
+    lookback: str | timedelta | None = None,
+) -> DataFrame:
+    """Network interfaces: one row per (interface, account) with its lifetime.
+
+    `instances` is the output of `aws_instances`. The lifetime ends when the next interface takes
+    over the address. Duplicates need no removal, as only minima and maxima follow, and these are taken before
+    the instances are joined. Without a `lookback` all history counts.
+    """
+    return _enis(INTERFACES.recent((config, cloudtrail), now, lookback), instances)

@@ -2,14 +2,12 @@
 
 from __future__ import annotations
 
-from datetime import datetime, timedelta
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from flowspark import schemas
 from flowspark.functions import partition_day
-from flowspark.operators.joins import BROADCAST_LIMIT_BYTES, id_join, is_small, lifetime_join
+from flowspark.operators.joins import BROADCAST_LIMIT_BYTES, id_join, lifetime_join, size_by
 
 FLOW_COLUMNS = [field.split()[0] for field in schemas.AWS_FLOW_LOGS.split(",")]
 _SPREAD_BY = ["srcaddr", "dstaddr", "srcport", "dstport", "starttime"]
@@ -29,8 +27,6 @@ def _peer_ip(owner_ip: Column) -> Column:
 def aws_flow_logs_join_ec2(
     flows: DataFrame,
     instances: DataFrame,
-    now: datetime | Column | None = None,
-    lookback: str | timedelta = "30 days",
     open_end: bool = True,
     broadcast_limit: int = BROADCAST_LIMIT_BYTES,
 ) -> DataFrame:
@@ -39,10 +35,10 @@ def aws_flow_logs_join_ec2(
     The owner is found by instance id, the peer by the other address and the time. So `src_*` is the
     owner whatever the direction of the flow; `owner_is_src` tells it. An instance with
     several addresses gives several rows. `instances` is measured, and broadcast up to
-    `broadcast_limit` bytes; `now` and `lookback`, the span of the flows, only size the join beyond it: see `lifetime_join`.
+    `broadcast_limit` bytes; see `lifetime_join` for what happens beyond it.
     """
     entity = ["instance_id", "account_id", "tags", "details"]
-    small = is_small(instances.select(*entity, "ip_address"), broadcast_limit)
+    size = size_by(instances.select(*entity, "ip_address"), "ip_address")
     owners = instances.select(
         *[F.col(c).alias(f"src_{c}") for c in entity], F.col("ip_address").alias("_owner_ip")
     )
@@ -53,7 +49,7 @@ def aws_flow_logs_join_ec2(
         F.col("window_end").alias("_peer_end"),
     )
     owned = (
-        id_join(flows, owners, "instanceid", "src_instance_id", _SPREAD_BY, small)
+        id_join(flows, owners, "instanceid", "src_instance_id", _SPREAD_BY, size.total <= broadcast_limit)
         .withColumn("owner_is_src", F.col("srcaddr") == F.col("_owner_ip"))
         .withColumn("_peer_ip", _peer_ip(F.col("_owner_ip")))
     )
@@ -66,11 +62,10 @@ def aws_flow_logs_join_ec2(
         right_start="_peer_start",
         right_end="_peer_end",
         spread_by=_SPREAD_BY,
-        condition=F.col("dst_instance_id") != F.col("instanceid"),
+        condition=lambda peer: peer["dst_instance_id"] != F.col("instanceid"),
         open_end=open_end,
-        small=small,
-        now=now,
-        lookback=lookback,
+        size=size,
+        broadcast_limit=broadcast_limit,
     ).select(
         *flows.columns,
         *[f"src_{c}" for c in entity],
@@ -82,16 +77,14 @@ def aws_flow_logs_join_ec2(
 def aws_flow_logs_join_enis(
     flows: DataFrame,
     enis: DataFrame,
-    now: datetime | Column | None = None,
-    lookback: str | timedelta = "30 days",
     open_end: bool = True,
     broadcast_limit: int = BROADCAST_LIMIT_BYTES,
 ) -> DataFrame:
     """Flows with the interface they were recorded at (`eni_*`) and the peer interface (`peer_*`)."""
-    small = is_small(enis, broadcast_limit)
+    size = size_by(enis, "private_ip")
     owners = enis.select(*[F.col(c).alias(_prefixed("eni_", c)) for c in enis.columns])
     peers = enis.select(*[F.col(c).alias("peer_" + _prefixed("eni_", c)) for c in enis.columns])
-    owned = id_join(flows, owners, "interfaceid", "eni_id", _SPREAD_BY, small).withColumn(
+    owned = id_join(flows, owners, "interfaceid", "eni_id", _SPREAD_BY, size.total <= broadcast_limit).withColumn(
         "_peer_ip", _peer_ip(F.col("eni_private_ip"))
     )
     return lifetime_join(
@@ -103,11 +96,10 @@ def aws_flow_logs_join_enis(
         right_start="peer_eni_window_start",
         right_end="peer_eni_window_end",
         spread_by=_SPREAD_BY,
-        condition=F.col("peer_eni_id") != F.col("interfaceid"),
+        condition=lambda peer: peer["peer_eni_id"] != F.col("interfaceid"),
         open_end=open_end,
-        small=small,
-        now=now,
-        lookback=lookback,
+        size=size,
+        broadcast_limit=broadcast_limit,
     ).drop("_peer_ip")
 
 

@@ -2,20 +2,17 @@
 
 from __future__ import annotations
 
-from datetime import datetime, timedelta
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from flowspark import schemas
-from flowspark.functions import explode_parsed, nth, partition_day, text_or_null
+from flowspark.functions import explode_parsed, is_distinct, nth, partition_day, text_or_null
 from flowspark.operators.joins import (
     BROADCAST_LIMIT_BYTES,
-    is_small,
     lifetime_join,
     merge_lifetimes,
+    size_by,
 )
-from flowspark.sources import cut_lineage
 
 # The one-letter codes of a flow tuple.
 PROTOCOLS = {"t": "TCP", "u": "UDP"}
@@ -88,6 +85,7 @@ def azure_flow_logs(raw: DataFrame) -> DataFrame:
     )
 
 
+# What tells enriched flows apart, besides the time of recording.
 _FLOW_COLUMNS = [
     "time_stamp",
     "event_time",
@@ -112,61 +110,51 @@ _VM_COLUMNS = ["vm_tags", "vm_id", "vm_name", "vm_properties"]
 _SPREAD_BY = ["src_addr", "dst_addr", "src_port", "dst_port", "event_time"]
 
 
-def _lifetimes(vms_nics: DataFrame) -> DataFrame:
-    """The entities, each distinct payload once per stretch of its lifetime. A digest stands for the payload, so that no
-    payload is compared, and it is computed once and read back, for both ends of the flows."""
-    payload = [*_NIC_COLUMNS, *_VM_COLUMNS]
-    digest = F.sha2(F.to_json(F.struct(*payload)), 256)
-    identity = ["_payload", "private_ip", "subscription_id"]
-    merged = merge_lifetimes(
-        vms_nics.withColumn("_payload", digest), identity, "window_start", "window_end", carry=payload
-    )
-    return cut_lineage(merged)
+_PAYLOAD = [*_NIC_COLUMNS, *_VM_COLUMNS]
+
+
+def azure_lifetimes(vms_nics: DataFrame) -> DataFrame:
+    """The entities of `azure_vms_nics`, each distinct payload once per stretch of its lifetime and subscription.
+
+    A digest (`digest`) stands for the payload while lifetimes are merged, and each payload is fetched once at the end. Keep
+    this view (`sources.cut_lineage`): the join of flows to it reads it several times.
+    """
+    described = vms_nics.withColumn("digest", F.sha2(F.to_json(F.struct(*_PAYLOAD)), 256))
+    spans = described.select("digest", "private_ip", "subscription_id", "window_start", "window_end")
+    merged = merge_lifetimes(spans, ["digest", "private_ip", "subscription_id"], "window_start", "window_end")
+    return _described(merged, described)
+
+
+def _described(spans: DataFrame, described: DataFrame) -> DataFrame:
+    """Lifetimes of digests with what the digests stand for."""
+    payloads = described.groupBy(F.col("digest").alias("_digest")).agg(*[F.first(c).alias(c) for c in _PAYLOAD])
+    return spans.join(payloads, F.col("digest") == F.col("_digest")).drop("_digest")
 
 
 def _side(lifetimes: DataFrame, side: str, by_subscription: bool) -> DataFrame:
     """The entities as one end of a flow. Without its subscription a payload may have stretches that overlap: they are joined."""
     if not by_subscription:
-        lifetimes = merge_lifetimes(
-            lifetimes.drop("subscription_id"),
-            ["_payload", "private_ip"],
-            "window_start",
-            "window_end",
-            carry=[*_NIC_COLUMNS, *_VM_COLUMNS],
-        )
-    ends = lifetimes.drop("_payload")
+        spans = lifetimes.select("digest", "private_ip", "window_start", "window_end")
+        lifetimes = _described(merge_lifetimes(spans, ["digest", "private_ip"], "window_start", "window_end"), lifetimes)
+    ends = lifetimes.drop("digest")
     renamed = {c: f"{side}_{c}" for c in ends.columns}
     return ends.withColumnsRenamed({**renamed, "private_ip": f"{side}_ip_addr"})
 
 
-def azure_flow_logs_join_vm_nics(
-    flows: DataFrame,
-    vms_nics: DataFrame,
-    now: datetime | Column | None = None,
-    lookback: str | timedelta = "30 days",
-    broadcast_limit: int = BROADCAST_LIMIT_BYTES,
+def azure_flow_logs_join_lifetimes(
+    flows: DataFrame, lifetimes: DataFrame, broadcast_limit: int = BROADCAST_LIMIT_BYTES
 ) -> DataFrame:
-    """Distinct flows with the VM and NIC at both ends, by address and time.
-
-    The source must also be in the subscription of the reporting resource. The result is distinct
-    because both inputs are: flows are made distinct on their own narrow
-    columns, and entities are merged so that a time meets each payload at most once. So
-    no payload is ever a shuffle key of the flows. The merged entities are kept in the session's shared folder,
-    measured there, and broadcast up to `broadcast_limit` bytes.
-    """
-    lifetimes = _lifetimes(vms_nics)
+    """`azure_flow_logs_join_vm_nics` over `azure_lifetimes`, which are measured, and broadcast up to `broadcast_limit` bytes."""
     dated = partition_day(flows)
-    distinct_flows = (
-        flows.select(F.col("recorded_at").alias("flow_recorded_at"), *_FLOW_COLUMNS, *dated)
-        .distinct()
-        .withColumn("_subscription", F.lower(nth(F.col("resource_id"), "/", 2)))
-    )
+    chosen = flows.select(F.col("recorded_at").alias("flow_recorded_at"), *_FLOW_COLUMNS, *dated)
+    if not is_distinct(flows, ["recorded_at", *_FLOW_COLUMNS]):
+        chosen = chosen.distinct()
+    distinct_flows = chosen.withColumn("_subscription", F.lower(nth(F.col("resource_id"), "/", 2)))
     common = {
         "left_time": "event_time",
         "spread_by": _SPREAD_BY,
-        "small": is_small(lifetimes, broadcast_limit),
-        "now": now,
-        "lookback": lookback,
+        "size": size_by(lifetimes, "private_ip"),
+        "broadcast_limit": broadcast_limit,
     }
 
     def ends(side: str) -> dict[str, str]:
@@ -180,7 +168,7 @@ def azure_flow_logs_join_vm_nics(
     with_source = lifetime_join(
         distinct_flows,
         _side(lifetimes, "src", by_subscription=True),
-        condition=F.col("_subscription") == F.col("src_subscription_id"),
+        condition=lambda source: F.col("_subscription") == source["src_subscription_id"],
         **ends("src"),
         **common,
     )
@@ -197,3 +185,17 @@ def azure_flow_logs_join_vm_nics(
         ],
         *dated,
     )
+
+
+def azure_flow_logs_join_vm_nics(
+    flows: DataFrame, vms_nics: DataFrame, broadcast_limit: int = BROADCAST_LIMIT_BYTES
+) -> DataFrame:
+    """Distinct flows with the VM and NIC at both ends, by address and time.
+
+    The source must also be in the subscription of the reporting resource. The result is distinct
+    because both inputs are: flows are made distinct on their own narrow columns, unless their table says that they
+    are (`materialize(distinct=..)`), and entities are merged so that a time meets each payload at most once. So
+    no payload is ever a shuffle key of the flows. Give kept entities, or kept `azure_lifetimes` to
+    `azure_flow_logs_join_lifetimes`, as they are read several times.
+    """
+    return azure_flow_logs_join_lifetimes(flows, azure_lifetimes(vms_nics), broadcast_limit)

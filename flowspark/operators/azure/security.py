@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from flowspark.functions import ago, hour_start, tag, timebound
 from flowspark.operators.joins import BROADCAST_LIMIT_BYTES, candidate_join, with_listed_end
+from flowspark.operators.moments import deviation, mean
 
 
 def azure_listed_flows(
@@ -50,17 +51,38 @@ def azure_denied_counts(flows: DataFrame, now: datetime | Column | None = None)
     )
 
 
-def azure_denied_baseline_of(counts: DataFrame, vms: DataFrame, now: datetime | Column | None = None) -> DataFrame:
-    """`azure_denied_baseline` from `azure_denied_counts`."""
-    hourly = counts.groupBy("src_role", "hour").agg(F.sum("earlier").alias("denied")).where("denied > 0")
-    role_counts = (
+def _role_counts(vms: DataFrame, now: datetime | Column | None) -> DataFrame:
+    return (
         timebound(vms, "window_end", now, "25 hours", "1 hour")
         .groupBy(tag(F.col("tags")).alias("role"))
         .agg(F.count("*").alias("role_count"))
     )
+
+
+def azure_hourly_denied(flows: DataFrame) -> DataFrame:
+    """Denied flows per role and hour, for a baseline that rolls (`plans.RollingBaseline`)."""
+    denied = flows.where(F.col("traffic_decision") == "DENIED")
+    hour = hour_start(F.col("flow_recorded_at")).alias("hour")
+    return denied.groupBy(tag(F.col("src_vm_tags")).alias("src_role"), hour).agg(F.count("*").alias("n"))
+
+
+def azure_denied_baseline_of_moments(
+    moments: DataFrame, vms: DataFrame, now: datetime | Column | None = None
+) -> DataFrame:
+    """`azure_denied_baseline` from the moments of hourly denied flows by role."""
+    return moments.join(_role_counts(vms, now), F.col("src_role") == F.col("role"), "left").select(
+        mean(F.col("role_count")).alias("avg_denied_count"),
+        deviation(F.col("role_count")).alias("stddev_denied_count"),
+        "src_role",
+    )
+
+
+def azure_denied_baseline_of(counts: DataFrame, vms: DataFrame, now: datetime | Column | None = None) -> DataFrame:
+    """`azure_denied_baseline` from `azure_denied_counts`."""
+    hourly = counts.groupBy("src_role", "hour").agg(F.sum("earlier").alias("denied")).where("denied > 0")
     rate = F.try_divide(F.col("denied"), F.col("role_count"))
     return (
-        hourly.join(role_counts, F.col("src_role") == F.col("role"), "left")
+        hourly.join(_role_counts(vms, now), F.col("src_role") == F.col("role"), "left")
         .groupBy("src_role")
         .agg(F.avg(rate).alias("avg_denied_count"), F.stddev(rate).alias("stddev_denied_count"))
         .select("avg_denied_count", "stddev_denied_count", "src_role")

@@ -11,9 +11,17 @@ from datetime import datetime, timedelta
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from flowspark.functions import ago, hour_of_day, tag, timebound
-from flowspark.operators.beaconing import beacons
+from flowspark.functions import ago, hour_of_day, hour_start, tag, timebound
+from flowspark.operators.beaconing import beacon_stretches, beacons, beacons_of
 from flowspark.operators.joins import BROADCAST_LIMIT_BYTES, candidate_join, with_listed_end
+from flowspark.operators.moments import deviation, mean
+
+
+_BEACON = {"host": "src_vm_name", "src": "src_ip", "dst": "dst_ip"}
+
+
+def _outbound(flows: DataFrame, internal_prefix: str) -> DataFrame:
+    return flows.where(F.col("src_ip").startswith(internal_prefix) & ~F.col("dst_ip").startswith(internal_prefix))
 
 
 def gcp_beaconing(
@@ -26,20 +34,21 @@ def gcp_beaconing(
     internal_prefix: str = "10.",
 ) -> DataFrame:
     """Outbound connections that are made at regular intervals."""
-    outbound = timebound(flows, "recorded_at", now, lookback).where(
-        F.col("src_ip").startswith(internal_prefix) & ~F.col("dst_ip").startswith(internal_prefix)
-    )
-    return beacons(
-        outbound,
-        host="src_vm_name",
-        src="src_ip",
-        dst="dst_ip",
-        start="start_time",
-        end="end_time",
-        min_count=min_count,
-        max_variance=max_variance,
-        min_gap=min_gap,
-    )
+    outbound = _outbound(timebound(flows, "recorded_at", now, lookback), internal_prefix)
+    thresholds = {"min_count": min_count, "max_variance": max_variance, "min_gap": min_gap}
+    return beacons(outbound, **_BEACON, start="start_time", end="end_time", **thresholds)
+
+
+def gcp_beacon_hours(flows: DataFrame, internal_prefix: str = "10.", minutes: int = 60) -> DataFrame:
+    """What `gcp_beaconing` needs to know of each hour, or other span, to be kept: see `beacon_stretches`."""
+    return beacon_stretches(_outbound(flows, internal_prefix), **_BEACON, start="start_time", end="end_time", minutes=minutes)
+
+
+def gcp_beaconing_of(
+    hours: DataFrame, min_count: int = 100, max_variance: float = 0.3, min_gap: float = 1
+) -> DataFrame:
+    """`gcp_beaconing` over the hours given, however many."""
+    return beacons_of(hours, **_BEACON, min_count=min_count, max_variance=max_variance, min_gap=min_gap)
 
 
 def gcp_listed_flows(
@@ -59,6 +68,11 @@ def gcp_ioc_connections(
     )
 
 
+def _misses(flows: DataFrame) -> DataFrame:
+    missed = flows.where((F.col("start_time") == F.col("end_time")) & (F.col("bytes") == 0))
+    return missed.withColumns({"src_role": tag(F.col("src_tags")), "dst_role": tag(F.col("dst_tags"))})
+
+
 def gcp_miss_counts(flows: DataFrame, now: datetime | Column | None = None) -> DataFrame:
     """Misses of the last 25 hours per VM, pair of roles and hour of the day, in one pass: `recent` of the last hour,
     `earlier` of the 24 hours before. A flow at the instant between belongs to both.
@@ -68,29 +82,38 @@ def gcp_miss_counts(flows: DataFrame, now: datetime | Column | None = None) -> D
     at = F.col("recorded_at")
     border = ago(now, "1 hour")
     return (
-        timebound(flows, "recorded_at", now, "25 hours")
-        .where((F.col("start_time") == F.col("end_time")) & (F.col("bytes") == 0))
-        .groupBy(
-            "src_vm_name",
-            tag(F.col("src_tags")).alias("src_role"),
-            tag(F.col("dst_tags")).alias("dst_role"),
-            hour_of_day(at).alias("hourly_part"),
-        )
+        _misses(timebound(flows, "recorded_at", now, "25 hours"))
+        .groupBy("src_vm_name", "src_role", "dst_role", hour_of_day(at).alias("hourly_part"))
         .agg(F.count_if(at >= border).alias("recent"), F.count_if(at <= border).alias("earlier"))
     )
 
 
+def _seen_roles(vms: DataFrame, now: datetime | Column | None) -> DataFrame:
+    seen = timebound(vms, "last_seen", now, "25 hours", "1 hour")
+    return seen.select(tag(F.col("tags")).alias("src_role")).distinct()
+
+
+def gcp_hourly_misses(flows: DataFrame) -> DataFrame:
+    """Misses per pair of roles and hour, for a baseline that rolls (`plans.RollingBaseline`)."""
+    hour = hour_start(F.col("recorded_at")).alias("hour")
+    return _misses(flows).groupBy("src_role", "dst_role", hour).agg(F.count("*").alias("n"))
+
+
+def gcp_connect_baseline_of_moments(
+    moments: DataFrame, vms: DataFrame, now: datetime | Column | None = None
+) -> DataFrame:
+    """`gcp_connect_baseline` from the moments of hourly misses by pair of roles."""
+    return moments.join(_seen_roles(vms, now), "src_role").select(
+        mean().alias("avg_miss_count"), deviation().alias("stddev_miss_count"), "src_role", "dst_role"
+    )
+
+
 def gcp_connect_baseline_of(counts: DataFrame, vms: DataFrame, now: datetime | Column | None = None) -> DataFrame:
     """`gcp_connect_baseline` from `gcp_miss_counts`."""
     hourly = counts.groupBy("src_role", "dst_role", "hourly_part").agg(F.sum("earlier").alias("miss_count"))
-    seen_roles = (
-        timebound(vms, "last_seen", now, "25 hours", "1 hour")
-        .select(tag(F.col("tags")).alias("src_role"))
-        .distinct()
-    )
     return (
         hourly.where("miss_count > 0")
-        .join(seen_roles, "src_role")
+        .join(_seen_roles(vms, now), "src_role")
         .groupBy("src_role", "dst_role")
         .agg(
             F.avg("miss_count").alias("avg_miss_count"),

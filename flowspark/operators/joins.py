@@ -2,7 +2,7 @@
 
 * `candidate_join`: "either end is listed", an OR of two equalities.
 * `id_join`: left join on an id, with null ids spread over all partitions.
-* `lifetime_join`: left join on IP address and time.
+* `lifetime_join`: left join on IP address and time, an address meeting one row.
 * `merge_lifetimes`, `next_start`: the same care for the entity side.
 
 Hot non-null ids and addresses are split by adaptive execution, which can do so
@@ -11,16 +11,32 @@ because all of these are plain equi-joins (left outer joins split their left sid
 
 from __future__ import annotations
 
-from datetime import datetime, timedelta
+from collections.abc import Callable
 from functools import reduce
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from flowspark.functions import ago, hour_start, in_window, instant
+from flowspark.functions import hour_start, in_window, minute_index
 
 BROADCAST_LIMIT_BYTES = 32 << 20
 NULL_KEY_SPREAD = 4096
+# Lifetimes of one address that are packed together, in bytes, and how many parts a table may have beyond that.
+PART_BYTES = 64 << 10
+MOST_PARTS = 100_000
+
+
+def _text_bytes(df: DataFrame) -> Column:
+    sizes = [F.coalesce(F.octet_length(F.col(f"`{c}`").cast("string")), F.lit(0)) + 8 for c in df.columns]
+    return reduce(lambda a, b: a + b, sizes).cast("bigint")
+
+
+class Size(NamedTuple):
+    """Bytes of a table, and of the rows under its most frequent address."""
+
+    total: int
+    largest: int
 
 
 def is_small(df: DataFrame, limit_bytes: int = BROADCAST_LIMIT_BYTES) -> bool:
@@ -29,12 +45,14 @@ def is_small(df: DataFrame, limit_bytes: int = BROADCAST_LIMIT_BYTES) -> bool:
     That is one distributed pass, so hand the operators that ask for it base tables or
     kept views (`sources.cut_lineage`), not long derivations.
     """
-    text_bytes = reduce(
-        lambda a, b: a + b,
-        [F.coalesce(F.octet_length(F.col(f"`{c}`").cast("string")), F.lit(0)) + 8 for c in df.columns],
-    )
-    measured = df.agg(F.coalesce(F.sum(text_bytes.cast("bigint")), F.lit(0)).alias("bytes")).first()
-    return measured["bytes"] <= limit_bytes
+    return df.agg(F.coalesce(F.sum(_text_bytes(df)), F.lit(0))).first()[0] <= limit_bytes
+
+
+def size_by(df: DataFrame, ip: str) -> Size:
+    """How large a table is, and how much of it one address has; absent ones have nothing."""
+    of_address = df.groupBy(F.col(ip).alias("_ip")).agg(F.sum(_text_bytes(df)).alias("_bytes"))
+    largest = F.max(F.when(F.col("_ip").isNotNull(), F.col("_bytes")))
+    return Size(*of_address.agg(F.coalesce(F.sum("_bytes"), F.lit(0)), F.coalesce(largest, F.lit(0))).first())
 
 
 def candidate_join(
@@ -113,14 +131,70 @@ def id_join(
     return left.withColumn("_spread_id", spread_id).join(right, match, "left").drop("_spread_id")
 
 
-def _slice_of(
-    ts: Column, now: datetime | Column | None, lookback: str | timedelta, slices: int
-) -> Column:
-    """Number of the time slice, clamped to 0 .. slices-1. Never decreasing in `ts`, which must not be null."""
-    oldest = F.unix_seconds(ago(now, lookback))
-    width = (F.unix_seconds(instant(now)) - oldest) / F.lit(slices)
-    number = F.floor((F.unix_seconds(ts) - oldest) / width)
-    return F.least(F.greatest(number, F.lit(0)), F.lit(slices - 1)).cast("int")
+def _leading(size: Column, holds: Callable[[Column], Column]) -> Column:
+    """How many first places 0, 1, .. below `size` hold, by binary search: those that do come before those that don't."""
+    steps = F.sequence(F.lit(1), F.greatest(F.ceil(F.log2(size + 1)).cast("int"), F.lit(1)))
+    zero = F.lit(0)
+
+    def halved(state: Column, _: Column) -> Column:
+        low, high = state["low"], state["high"]
+        middle = F.floor((low + high) / 2).cast("int")
+        below = F.struct((middle + 1).alias("low"), high.alias("high"))
+        above = F.struct(low.alias("low"), middle.alias("high"))
+        return F.when(low >= high, state).when(holds(middle), below).otherwise(above)
+
+    start = F.struct(zero.alias("low"), size.cast("int").alias("high"))
+    return F.aggregate(steps, start, halved, lambda state: state["low"])
+
+
+def _part_of(edges: Column, ts: Column) -> Column:
+    """Which of an address's parts a time lies in: 0 before the first edge and where there are none."""
+    passed = _leading(F.size(edges), lambda place: F.get(edges, place) <= minute_index(ts))
+    return F.when(edges.isNull(), 0).otherwise(passed)
+
+
+def _edges(alive: DataFrame, ip: str, start: str, part_bytes: int) -> DataFrame:
+    """Addresses whose lifetimes take more than `part_bytes`, with the minutes at which their parts but the first begin.
+
+    Lifetimes are summed by minute of their start, so the window has a row a minute.
+    """
+    minutes = alive.groupBy(F.col(ip).alias("_ip"), minute_index(F.col(start)).alias("_minute")).agg(
+        F.sum(_text_bytes(alive)).alias("_bytes")
+    )
+    before = Window.partitionBy("_ip").orderBy("_minute").rowsBetween(Window.unboundedPreceding, -1)
+    parts = (
+        minutes.withColumn("_number", F.floor(F.coalesce(F.sum("_bytes").over(before), F.lit(0)) / part_bytes))
+        .groupBy("_ip", "_number")
+        .agg(F.min("_minute").alias("_edge"))
+        .where("_number > 0")
+    )
+    return parts.groupBy("_ip").agg(F.sort_array(F.collect_list("_edge")).alias("_edges"))
+
+
+def _packed(alive: DataFrame, edges: DataFrame | None, ip: str, start: str, end: str) -> DataFrame:
+    """One row per address and part: its lifetimes in order of their start, each with the latest end up to it (`reach`)."""
+    far = F.lit("9999-12-31 00:00:00").cast("timestamp")
+    if edges is None:
+        dealt = alive.withColumn("_part", F.lit(0))
+    else:
+        bounded = alive.join(F.broadcast(edges), F.col(ip) == F.col("_ip"), "left")
+        first, last = (_part_of(F.col("_edges"), F.col(c)) for c in (start, end))
+        last = F.when(F.col(end).isNull(), F.size("_edges")).otherwise(last)
+        parts = F.when(F.col("_edges").isNull(), F.array(F.lit(0))).otherwise(F.sequence(first, last))
+        dealt = bounded.withColumn("_part", F.explode(parts))
+    # Lifetimes that start together have one reach, whatever their order.
+    until = F.max(F.coalesce(F.col(end), far)).over(Window.partitionBy(ip, "_part").orderBy(start))
+    life = F.struct(F.col(start).alias("since"), F.col("_reach").alias("reach"), F.col(end).alias("until"), F.struct(*alive.columns).alias("row"))
+    by_start = lambda a, b: F.when(a["since"] < b["since"], -1).when(a["since"] > b["since"], 1).otherwise(0)
+    packed = dealt.withColumn("_reach", until).groupBy(F.col(ip).alias("_held_ip"), F.col("_part").alias("_held_part"))
+    return packed.agg(F.array_sort(F.collect_list(life), by_start).alias("_lives"))
+
+
+class _Row:
+    """Columns of a joined row by name, as of a struct."""
+
+    def __getitem__(self, name: str) -> Column:
+        return F.col(name)
 
 
 def lifetime_join(
@@ -133,47 +207,62 @@ def lifetime_join(
     right_start: str,
     right_end: str,
     spread_by: list[str],
-    condition: Column | None = None,
+    size: Size,
+    condition: Callable[[Column], Column] | None = None,
     open_end: bool = True,
-    small: bool = False,
-    now: datetime | Column | None = None,
-    lookback: str | timedelta = "30 days",
-    slices: int = 32,
+    broadcast_limit: int = BROADCAST_LIMIT_BYTES,
+    part_bytes: int = PART_BYTES,
 ) -> DataFrame:
     """Left outer join of rows to the entities that held their IP address at their time.
 
-    When `right` was measured to be `small` it is broadcast. Else both sides are cut into `slices`
-    equal spans of the look-back and joined on (address, slice), with the exact lifetime as residual.
-    A row is in one slice; an entity is repeated for each slice it was alive in, at most
-    `slices` times. So a busy address is spread over the slices, and a recycled one is
-    compared only with the holders of that slice.
+    `size` is what `size_by` measured of `right`. If it is small (`broadcast_limit`) and no address has more than `part_bytes`
+    of it, it is broadcast as it is, and a row meets the few holders of its address.
 
-    `now` and `lookback` should be about the span of `left_time`. Times outside it are clamped to
-    its first or last slice on both sides, so the slicing never changes the result.
-    Column names of both sides must differ.
+    Else `right` is packed: one row per address with its lifetimes in order of their start, in which a row finds those that its time
+    lies in by two binary searches. So a row meets one other, however often its address was passed on, and no entity is
+    repeated for the time it lived. Only an address whose lifetimes take more than `part_bytes` is cut into parts in time; an
+    entity that lives across an edge is in the parts on both sides. Where parts begin is broadcast: parts are made large
+    enough for the size of the table that there are at most 2 * `MOST_PARTS` of them.
+
+    A small packed table is broadcast, else both sides are shuffled by (address, part). A busy
+    address is then split by adaptive execution. `condition` gets the matched entity as a struct and tells whether it
+    counts. Column names of both sides must differ.
     """
     ip, ts = F.col(left_ip), F.col(left_time)
     start, end = F.col(right_start), F.col(right_end)
-    match = (ip == F.col(right_ip)) & in_window(ts, start, end, open_end)
-    if condition is not None:
-        match &= condition
-    if small:
+    small = size.total <= broadcast_limit
+    if small and size.largest <= part_bytes:
+        match = (ip == F.col(right_ip)) & in_window(ts, start, end, open_end)
+        if condition is not None:
+            match &= condition(_Row())
         return left.join(F.broadcast(right), match, "left")
-    slice_args = (now, lookback, slices)
-    no_match = ip.isNull() | ts.isNull()
-    keyed = left.withColumn(
-        "_slice",
-        F.when(no_match, -1 - _spread(spread_by)).otherwise(_slice_of(ts, *slice_args)).cast("int"),
-    )
     can_match = F.col(right_ip).isNotNull() & start.isNotNull()
     can_match &= (end.isNull() | (end >= start)) if open_end else (end >= start)
-    last = F.when(end.isNull(), slices - 1).otherwise(_slice_of(end, *slice_args))
-    alive = right.where(can_match).withColumn(
-        "_alive_slice", F.explode(F.sequence(_slice_of(start, *slice_args), last))
-    )
-    # A merge join is asked for, because the planner's size estimate does not know of the repetition.
-    match = (F.col("_slice") == F.col("_alive_slice")) & match
-    return keyed.join(alive.hint("merge"), match, "left").drop("_slice", "_alive_slice")
+    alive = right.where(can_match)
+    edges = None
+    if size.largest > part_bytes:
+        edges = _edges(alive, right_ip, right_start, max(part_bytes, size.total // MOST_PARTS))
+    packed = _packed(alive, edges, right_ip, right_start, right_end)
+    if small:
+        packed = F.broadcast(packed)
+    # What can't match is dealt out, under numbers that no part has.
+    keyed = left if edges is None else left.join(F.broadcast(edges), ip == F.col("_ip"), "left")
+    part = F.lit(0) if edges is None else _part_of(F.col("_edges"), ts)
+    lost = ip.isNull() | ts.isNull()
+    keyed = keyed.withColumn("_part", F.when(lost, -1 - _spread(spread_by)).otherwise(part).cast("int"))
+    lives = F.col("_lives")
+    begun = _leading(F.size(lives), lambda place: F.get(lives, place)["since"] <= ts)
+    over = _leading(F.size(lives), lambda place: F.get(lives, place)["reach"] < ts)
+    few = F.size(lives) <= 8
+    searched = F.when(few, lives).otherwise(F.slice(lives, over + 1, F.greatest(begun - over, F.lit(0))))
+
+    def holds(life: Column) -> Column:
+        within = in_window(ts, life["since"], life["until"], open_end)
+        return within if condition is None else within & condition(life["row"])
+
+    found = keyed.join(packed, (ip == F.col("_held_ip")) & (F.col("_part") == F.col("_held_part")), "left")
+    matched = found.select(*[F.col(f"`{c}`") for c in left.columns], F.explode_outer(F.filter(searched, holds)).alias("_life"))
+    return matched.select(*[F.col(f"`{c}`") for c in left.columns], "_life.row.*")
 
 
 def merge_lifetimes(
@@ -185,7 +274,8 @@ def merge_lifetimes(
     identity (such as a decoded map) and ride along. A null end is open.
     """
     far = F.lit("9999-12-31 00:00:00").cast("timestamp")
-    spans = df.groupBy(*identity, start, end).agg(*[F.first(c).alias(c) for c in carry])
+    bounds = [*identity, start, end]
+    spans = df.groupBy(*bounds).agg(*[F.first(c).alias(c) for c in carry]) if carry else df.select(*bounds).distinct()
     until = F.coalesce(F.col(end), far)
     w = Window.partitionBy(*identity).orderBy(F.col(start), until)
     reach = F.max(until).over(w.rowsBetween(Window.unboundedPreceding, -1))

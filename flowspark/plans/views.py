@@ -15,16 +15,15 @@ from flowspark import operators as op
 from flowspark.sources import cut_lineage, new_kept_path, remove_kept
 
 
-
 # Contact with listed addresses: the list meets the parsed flows, and only what it leaves is enriched.
-def _aws_ioc(flows: DataFrame, instances: DataFrame, iocs: DataFrame, now: datetime) -> DataFrame:
+def _aws_ioc(flows: DataFrame, instances: DataFrame, iocs: DataFrame) -> DataFrame:
     listed = op.aws_listed_flows(flows, iocs)
-    return op.aws_ioc_connections(op.aws_flow_logs_join_ec2(listed, instances, now=now), iocs)
+    return op.aws_ioc_connections(op.aws_flow_logs_join_ec2(listed, instances), iocs)
 
 
-def _azure_ioc(flows: DataFrame, vms_nics: DataFrame, iocs: DataFrame, now: datetime) -> DataFrame:
+def _azure_ioc(flows: DataFrame, lifetimes: DataFrame, iocs: DataFrame) -> DataFrame:
     listed = op.azure_listed_flows(flows, iocs)
-    return op.azure_ioc_connections(op.azure_flow_logs_join_vm_nics(listed, vms_nics, now=now), iocs)
+    return op.azure_ioc_connections(op.azure_flow_logs_join_lifetimes(listed, lifetimes), iocs)
 
 
 def _gcp_ioc(flows: DataFrame, vms: DataFrame, iocs: DataFrame) -> DataFrame:
@@ -34,29 +33,31 @@ def _gcp_ioc(flows: DataFrame, vms: DataFrame, iocs: DataFrame) -> DataFrame:
 # View: operator, the sources and views it takes in order, and whether it takes `now`.
 VIEWS: dict[str, tuple[Callable[..., DataFrame], tuple[str, ...], bool]] = {
     "aws_instances": (op.aws_instances, ("aws_config", "cloudtrail"), True),
-    "aws_enis": (op.aws_enis, ("aws_config", "cloudtrail", "aws_instances"), False),
+    "aws_enis": (op.aws_enis, ("aws_config", "cloudtrail", "aws_instances"), True),
     "aws_flow_logs": (op.aws_flow_logs, ("aws_flow_logs_raw",), False),
-    "aws_flow_logs_join_ec2": (op.aws_flow_logs_join_ec2, ("aws_flow_logs", "aws_instances"), True),
-    "aws_flow_logs_join_enis": (op.aws_flow_logs_join_enis, ("aws_flow_logs", "aws_enis"), True),
+    "aws_flow_logs_join_ec2": (op.aws_flow_logs_join_ec2, ("aws_flow_logs", "aws_instances"), False),
+    "aws_flow_logs_join_enis": (op.aws_flow_logs_join_enis, ("aws_flow_logs", "aws_enis"), False),
     "aws_beaconing": (op.aws_beaconing, ("aws_flow_logs",), True),
-    "aws_ioc_connections": (_aws_ioc, ("aws_flow_logs", "aws_instances", "iocs"), True),
-    "aws_rst_baseline": (op.aws_rst_baseline, ("aws_flow_logs", "aws_instances"), True),
+    "aws_ioc_connections": (_aws_ioc, ("aws_flow_logs", "aws_instances", "iocs"), False),
+    "aws_reset_counts": (op.aws_reset_counts, ("aws_flow_logs",), True),
+    "aws_rst_baseline": (op.aws_rst_baseline_of, ("aws_reset_counts", "aws_instances"), True),
     "aws_port_scanning": (
-        op.aws_port_scanning,
-        ("aws_flow_logs", "aws_instances", "aws_rst_baseline"),
-        True,
+        op.aws_port_scanning_of,
+        ("aws_reset_counts", "aws_instances", "aws_rst_baseline"),
+        False,
     ),
     "aws_unusual_role_ports": (op.aws_unusual_role_ports, ("aws_flow_logs_join_ec2",), False),
     "azure_nics": (op.azure_nics, ("azure_logs", "azure_collect_network_interfaces"), True),
     "azure_vms": (op.azure_vms, ("azure_logs", "azure_collect_virtual_machines"), True),
     "azure_vms_nics": (op.azure_vms_nics, ("azure_vms", "azure_nics"), False),
     "azure_flow_logs": (op.azure_flow_logs, ("azure_flow_logs_raw",), False),
+    "azure_lifetimes": (op.azure_lifetimes, ("azure_vms_nics",), False),
     "azure_flow_logs_join_vm_nics": (
-        op.azure_flow_logs_join_vm_nics,
-        ("azure_flow_logs", "azure_vms_nics"),
-        True,
+        op.azure_flow_logs_join_lifetimes,
+        ("azure_flow_logs", "azure_lifetimes"),
+        False,
     ),
-    "azure_ioc_connections": (_azure_ioc, ("azure_flow_logs", "azure_vms_nics", "iocs"), True),
+    "azure_ioc_connections": (_azure_ioc, ("azure_flow_logs", "azure_lifetimes", "iocs"), False),
     "azure_denied_counts": (op.azure_denied_counts, ("azure_flow_logs_join_vm_nics",), True),
     "azure_denied_baseline": (op.azure_denied_baseline_of, ("azure_denied_counts", "azure_vms"), True),
     "azure_port_scanning": (op.azure_port_scanning_of, ("azure_denied_counts", "azure_denied_baseline"), False),
@@ -79,9 +80,11 @@ VIEWS: dict[str, tuple[Callable[..., DataFrame], tuple[str, ...], bool]] = {
 REUSED = (
     "aws_instances",
     "aws_enis",
+    "aws_reset_counts",
     "azure_vms",
     "azure_nics",
     "azure_vms_nics",
+    "azure_lifetimes",
     "azure_denied_counts",
     "gcp_vms",
     "gcp_miss_counts",

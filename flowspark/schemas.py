@@ -110,3 +110,15 @@ GCP_ASSET_RECORD = """
         data: struct<labels: map<string, string>, networkInterfaces: string, creationTimestamp: string>
     >
 """
+
+# JSON text in the columns of each source, and what it decodes to where that is declared.
+PAYLOADS = {
+    "aws_config": dict.fromkeys(["configuration", "attachment"]),
+    "cloudtrail": dict.fromkeys(["request_parameters", "response_elements"]),
+    "azure_logs": dict.fromkeys(["raw", "properties"]),
+    "azure_collect_network_interfaces": dict.fromkeys(["tags", "properties"]),
+    "azure_collect_virtual_machines": dict.fromkeys(["tags", "properties"]),
+    "azure_flow_logs_raw": {"flow_raw": AZURE_FLOW_RECORD},
+    "gcp_audit_logs": {"raw": None},
+    "gcp_cloud_assets": {"raw": GCP_ASSET_RECORD},
+}

@@ -1,3 +1,24 @@
-from .tables import conform, cut_lineage, materialize, new_kept_path, read_source, remove_kept
+from .admission import admit, bad_record
+from .tables import (
+    conform,
+    cut_lineage,
+    materialize,
+    new_kept_path,
+    read_source,
+    remove_kept,
+    replace_days,
+    replace_partitions,
+)
 
-__all__ = ["conform", "cut_lineage", "materialize", "new_kept_path", "read_source", "remove_kept"]
+__all__ = [
+    "admit",
+    "bad_record",
+    "conform",
+    "cut_lineage",
+    "materialize",
+    "new_kept_path",
+    "read_source",
+    "remove_kept",
+    "replace_days",
+    "replace_partitions",
+]

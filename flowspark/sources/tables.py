@@ -3,15 +3,19 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from flowspark import schemas
-from flowspark.functions import day_index, partition_day
+from flowspark.functions import day_index, marked_distinct, partition_day
 from flowspark.functions.times import PARTITION_DAY, RECORDING_TIMES
+from flowspark.sources.admission import CORRUPT
+
+
+_CLUSTER = "_cluster"
 
 
 def conform(df: DataFrame, ddl: str) -> DataFrame:
@@ -27,16 +31,20 @@ def conform(df: DataFrame, ddl: str) -> DataFrame:
     return df.select(*columns, *partition_day(df))
 
 
-def read_source(spark: SparkSession, name: str, path: str | None = None, fmt: str = "parquet") -> DataFrame:
+def read_source(
+    spark: SparkSession, name: str, path: str | None = None, fmt: str = "parquet", keep_corrupt: bool = False
+) -> DataFrame:
     """A source table by its declared schema: from a path, or the catalog table of that name.
 
-    JSON lines are read with the schema given, so nothing is inferred and nested records stay JSON text.
+    JSON lines are read with the schema given, so nothing is inferred and nested records stay JSON text. A line that is no JSON, or has
+    other types, is a row of nulls; with `keep_corrupt` such rows have the line as `_corrupt_record`: see `admit`.
     """
     ddl = schemas.SOURCES[name]
     if path is None:
         return conform(spark.table(name), ddl)
     if fmt == "json":
-        return spark.read.schema(ddl).json(path)
+        reader = spark.read.schema(f"{ddl}, {CORRUPT} string" if keep_corrupt else ddl)
+        return reader.option("columnNameOfCorruptRecord", CORRUPT).json(path)
     return conform(spark.read.format(fmt).load(path), ddl)
 
 
@@ -47,6 +55,10 @@ def materialize(
     table: str | None = None,
     date_column: str | None = None,
     partition_by: Sequence[str] = (),
+    cluster_by: str | None = None,
+    clusters: int = 32,
+    bloom: Sequence[str] = (),
+    distinct: Sequence[str] = (),
     fmt: str = "parquet",
     mode: str = "overwrite",
 ) -> DataFrame:
@@ -59,6 +71,13 @@ def materialize(
 
     `mode` is Spark's, or "replace days" for a path: partitions that `df` has rows for are overwritten, all others stay,
     so a day can be parsed again.
+
+    With `cluster_by`, a column such as an address, rows are dealt to `clusters` groups of files by its hash, so what is equal in
+    it lies in the files of one group a day; together with a Bloom filter on it (`bloom`, several columns) a reader that looks for
+    one value skips the others. Without `cluster_by` such filters only help to find rare values.
+
+    With `distinct` columns, rows that agree in all of them are written once, and the table says so: operators that
+    would remove repeats themselves (`azure_flow_logs_join_vm_nics`) then don't.
     """
     if (path is None) == (table is None):
         raise ValueError("give either a path or a table")
@@ -66,12 +85,24 @@ def materialize(
         raise ValueError(f"look-backs are on {RECORDING_TIMES}; partitioning by another time would not fit them")
     if mode == "replace days" and (path is None or date_column is None):
         raise ValueError("days are replaced in a path that is partitioned by a recording time")
+    if distinct:
+        if mode not in ("overwrite", "replace days") or mode == "replace days" and date_column not in distinct:
+            raise ValueError("rows are distinct in a whole table, or in whole days by a time that is among the columns")
+        df = marked_distinct(df.dropDuplicates([*distinct]), distinct)
     cut = [*partition_by, *([PARTITION_DAY] if date_column else [])]
     if date_column is not None:
         df = df.withColumn(PARTITION_DAY, day_index(F.col(date_column)))
-    if cut:
-        df = df.hint("rebalance", *cut).sortWithinPartitions(*cut, *([date_column] if date_column else []))
+    columns = df.columns
+    if cut or cluster_by:
+        dealt = [*cut]
+        if cluster_by is not None:
+            df = df.withColumn(_CLUSTER, F.pmod(F.xxhash64(cluster_by), F.lit(clusters)).cast("int"))
+            dealt.append(_CLUSTER)
+        df = df.hint("rebalance", *dealt) if cluster_by is None else df.repartition(clusters, *dealt)
+        df = df.sortWithinPartitions(*dealt, *([date_column] if date_column else [])).select(*columns)
     writer = df.write.format(fmt).mode("overwrite" if mode == "replace days" else mode)
+    for column in bloom:
+        writer = writer.option(f"parquet.bloom.filter.enabled#{column}", "true")
     if cut:
         writer = writer.partitionBy(*cut)
     if mode == "replace days":
@@ -84,6 +115,34 @@ def materialize(
     return spark.read.format(fmt).schema(df.schema).load(path)
 
 
+def replace_partitions(
+    df: DataFrame, path: str, partition_by: Sequence[str], expected: Iterable[Mapping[str, object]] = ()
+) -> None:
+    """Write partitions of a table at a path in place of what they held; others stay.
+
+    Of the `expected` partitions those that `df` has no rows for are emptied.
+    """
+    spark = df.sparkSession
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    files = hadoop(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    before = {}
+    for values in expected:
+        at = hadoop("/".join([path, *[f"{name}={values[name]}" for name in partition_by]]))
+        if files.exists(at):
+            before[at] = {f.getPath().getName() for f in files.listStatus(at)}
+    ordered = df.hint("rebalance", *partition_by).sortWithinPartitions(*partition_by)
+    writer = ordered.write.mode("overwrite").partitionBy(*partition_by)
+    writer.option("partitionOverwriteMode", "dynamic").parquet(path)
+    for at, names in before.items():
+        if names and names <= {f.getPath().getName() for f in files.listStatus(at)}:
+            files.delete(at, True)
+
+
+def replace_days(df: DataFrame, path: str, days: Iterable[int] = ()) -> None:
+    """Write days of a table, cut by its partition day, in place of what they held; of `days` those without rows are emptied."""
+    replace_partitions(df, path, [PARTITION_DAY], [{PARTITION_DAY: day} for day in days])
+
+
 def _shared_folder(spark: SparkSession) -> str:
     """The folder that driver and executors share, as the session names it."""
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()

@@ -44,3 +44,28 @@ def plan_of(df) -> str:
 
 def as_set(df):
     return sorted((tuple(sorted(r.asDict().items())) for r in df.collect()), key=repr)
+
+
+def optimized(df) -> str:
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def carried(df, *names: str) -> list[str]:
+    """Exchanges, sorts and windows of the plan that carry a column of these names; not the exchange and sort by
+    which payloads themselves are dealt out and made unique under their digest."""
+    found = []
+
+    def visit(node):
+        kind = node.nodeName()
+        if kind in ("Exchange", "Sort", "Window"):
+            columns = {node.output().apply(i).name() for i in range(node.output().size())}
+            # By digest, and nothing but digest and payload: the table of payloads itself.
+            if columns & set(names) and not columns <= {"digest", "payload", "max"}:
+                found.append(node.simpleString(200))
+        children = node.children()
+        for i in range(children.size()):
+            visit(children.apply(i))
+
+    plan = df._jdf.queryExecution().executedPlan()
+    visit(plan.inputPlan() if plan.nodeName() == "AdaptiveSparkPlan" else plan)
+    return found

@@ -1,7 +1,7 @@
 import json
 
 import pytest
-from conftest import NOW, plan_of
+from conftest import NOW, carried, optimized, plan_of
 from pyspark.sql import functions as F
 
 from flowspark import schemas
@@ -15,7 +15,10 @@ from flowspark.operators import (
     aws_instances,
     aws_ioc_connections,
     aws_port_scanning,
+    aws_port_scanning_of,
+    aws_reset_counts,
     aws_rst_baseline,
+    aws_rst_baseline_of,
     aws_unusual_role_ports,
 )
 
@@ -136,7 +139,7 @@ def test_peer_is_the_holder_of_the_address_at_that_time(rows, limit):
     ))
     got = {
         r.srcport: (r.src_instance_id, r.dst_instance_id, r.owner_is_src)
-        for r in aws_flow_logs_join_ec2(flows, instances, now=NOW, broadcast_limit=limit).collect()
+        for r in aws_flow_logs_join_ec2(flows, instances, broadcast_limit=limit).collect()
     }
     assert got == {
         1: ("i-1", "i-old", True),
@@ -146,14 +149,14 @@ def test_peer_is_the_holder_of_the_address_at_that_time(rows, limit):
         5: ("i-1", None, True),
         6: ("i-1", "i-new", True),
     }
-    closed = aws_flow_logs_join_ec2(flows, instances, now=NOW, open_end=False, broadcast_limit=limit)
+    closed = aws_flow_logs_join_ec2(flows, instances, open_end=False, broadcast_limit=limit)
     assert {r.srcport: r.dst_instance_id for r in closed.collect()}[2] is None
 
 
 def test_instance_with_two_addresses_gives_two_rows(rows):
     instances = rows(INSTANCES, instance("i-1", "10.0.0.1"), instance("i-1", "10.0.0.5"))
     flows = rows(schemas.AWS_FLOW_LOGS, flow())
-    assert aws_flow_logs_join_ec2(flows, instances, now=NOW).count() == 2
+    assert aws_flow_logs_join_ec2(flows, instances).count() == 2
 
 
 @pytest.mark.parametrize("limit", [0, 1 << 20])
@@ -162,13 +165,29 @@ def test_join_plans_have_no_nested_loop(rows, limit):
     instances = rows(INSTANCES, instance("i-1", "10.0.0.1"))
     enis = instances.select(F.col("instance_id").alias("eni_id"), F.col("ip_address").alias("private_ip"), "window_start", "window_end")
     for df in (
-        aws_flow_logs_join_ec2(flows, instances, now=NOW, broadcast_limit=limit),
-        aws_flow_logs_join_enis(flows, enis, now=NOW, broadcast_limit=limit),
+        aws_flow_logs_join_ec2(flows, instances, broadcast_limit=limit),
+        aws_flow_logs_join_enis(flows, enis, broadcast_limit=limit),
     ):
         assert "NestedLoop" not in plan_of(df)
         assert ("BroadcastHashJoin" in plan_of(df)) == (limit > 0) or limit == 0
 
 
+def test_details_come_late(rows):
+    """No exchange, sort or window has details above their digest, and who doesn't ask for them doesn't fetch them."""
+    config = rows(schemas.AWS_CONFIG, config_row("i-1", "2024-01-10 00:00:00", ["10.0.0.1"]))
+    instances = aws_instances(config, rows(schemas.CLOUDTRAIL), now=NOW)
+    assert carried(instances, "details", "payload") == []
+    assert "payload" not in optimized(instances.drop("details")) and "payload" in optimized(instances)
+
+
+def test_one_scan_of_flows_for_baseline_and_scan(rows):
+    flows, instances = rows(schemas.AWS_FLOW_LOGS, flow(tcpflags=4)), rows(INSTANCES, instance("i-1", "10.0.0.1", "db"))
+    counts = aws_reset_counts(flows, now=NOW)
+    assert optimized(counts).count("tcpflags") and optimized(counts).count("LogicalRDD") + optimized(counts).count("LocalRelation") == 1
+    kept = counts.sparkSession.createDataFrame(counts.collect(), counts.schema)
+    assert aws_port_scanning_of(kept, instances, aws_rst_baseline_of(kept, instances, NOW)).count() == 0
+
+
 def joined(rows, *records):
     ddl = schemas.AWS_FLOW_LOGS + ", src_tags map<string,string>, dst_tags map<string,string>"
     return rows(ddl, *records)

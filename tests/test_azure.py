@@ -1,7 +1,7 @@
 import json
 
 import pytest
-from conftest import NOW, as_set
+from conftest import NOW, as_set, carried, optimized
 from pyspark.sql import functions as F
 
 from flowspark import schemas
@@ -159,7 +159,7 @@ def test_enriched_flows_equal_the_literal_distinct_join(rows, limit):
         *[flow(d, "10.0.0.2", "10.0.0.1") for d in (3, 6, 9, 11, 20)],
         flow(6, None, "10.0.0.1"), flow(6, "10.0.0.1", "10.0.0.1", resource_id=None),
     )
-    got = azure_flow_logs_join_vm_nics(flows, entities, now=NOW, broadcast_limit=limit)
+    got = azure_flow_logs_join_vm_nics(flows, entities, broadcast_limit=limit)
     keep = ["event_time", "src_addr", "dst_addr", "resource_id", "src_nic_id", "src_vm_id", "src_role", "dst_nic_id", "dst_vm_id", "dst_role"]
     got = got.withColumn("src_role", F.col("src_vm_tags.instance_role")).withColumn("dst_role", F.col("dst_vm_tags.instance_role")).select(*keep)
     side = lambda s: entities.select(
@@ -191,3 +191,29 @@ def test_denied_baseline_and_scan(rows):
     found = azure_port_scanning(flows, baseline, now=NOW).collect()
     assert [(r.src_vm_id, r.role_denied_count) for r in found] == [("v1", 3)]
     assert azure_port_scanning(flows, baseline, now=NOW, k=5).count() == 0
+
+
+def test_properties_come_late(rows):
+    """No exchange, sort or window has properties of NICs or VMs above their digests."""
+    logs = rows(schemas.AZURE_LOGS)
+    nics = azure_nics(logs, rows(schemas.AZURE_COLLECT_NETWORK_INTERFACES, nic_row("N1", "2024-01-10 00:00:00")), now=NOW)
+    vms = azure_vms(logs, rows(schemas.AZURE_COLLECT_VIRTUAL_MACHINES, vm_row("VM1", "2024-01-10 00:00:00")), now=NOW)
+    names = ("properties", "nic_properties", "payload", "doc")
+    assert carried(nics, *names) == [] and carried(vms, *names) == []
+    assert "max(payload" not in optimized(nics.drop("nic_properties", "ip_configuration")) and "max(payload" in optimized(nics)
+
+
+def test_same_properties_in_other_words_are_one_version(rows):
+    text = '{{"networkProfile":{{"networkInterfaces":[]}},"a":{}}}'
+    spaced = '{ "a":1, "networkProfile": {"networkInterfaces": []} }'
+    inventory = rows(
+        schemas.AZURE_COLLECT_VIRTUAL_MACHINES,
+        {**vm_row("VM1", "2024-01-10 00:00:00"), "properties": text.format(1)},
+        {**vm_row("VM1", "2024-01-11 00:00:00"), "properties": spaced},
+        {**vm_row("VM1", "2024-01-12 00:00:00"), "properties": text.format(2)},
+    )
+    got = azure_vms(rows(schemas.AZURE_LOGS), inventory, now=NOW).select("properties", F.col("window_end").cast("string")).collect()
+    assert sorted(map(tuple, got)) == [
+        ('{"a":1,"networkProfile":{"networkInterfaces":[]}}', "2024-01-11 00:00:00"),
+        ('{"a":2,"networkProfile":{"networkInterfaces":[]}}', "2024-01-12 00:00:00"),
+    ]

@@ -4,18 +4,21 @@ import random
 from datetime import datetime, timedelta
 
 import pytest
-from conftest import NOW, as_set, plan_of
+from conftest import as_set, plan_of
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from flowspark.functions import in_window
 from flowspark.operators.joins import (
+    _edges,
+    _packed,
     candidate_join,
     id_join,
     is_small,
     lifetime_join,
     merge_lifetimes,
     next_start,
+    size_by,
 )
 
 BASE = datetime(2024, 1, 1)
@@ -44,34 +47,64 @@ def test_candidate_join_equals_or(spark, seed, limit):
     assert "BroadcastNestedLoopJoin" not in plan_of(got)
 
 
-@pytest.mark.parametrize("seed", range(3))
-@pytest.mark.parametrize("small", [True, False])
+NAMES = dict(left_ip="ip", left_time="t", right_ip="addr", right_start="s", right_end="u")
+
+
+@pytest.mark.parametrize("seed", range(2))
+@pytest.mark.parametrize("limit, part_bytes", [(1 << 20, 1 << 20), (1 << 20, 100), (0, 1 << 20), (0, 100)])
 @pytest.mark.parametrize("open_end", [True, False])
-@pytest.mark.parametrize("lookback", ["30 days", "2 hours"])
-def test_lifetime_join_equals_literal(spark, seed, small, open_end, lookback):
+@pytest.mark.parametrize("addresses", [4, 1])
+def test_lifetime_join_equals_literal(spark, seed, limit, part_bytes, open_end, addresses):
+    """As it is, packed, and packed in several parts an address, with few and many holders."""
     rng = random.Random(seed)
-    at = lambda: BASE + timedelta(hours=rng.randrange(-200, 900))
-    left = spark.createDataFrame(
-        [(n, maybe(rng, f"ip{rng.randrange(4)}"), maybe(rng, at())) for n in range(80)],
-        "n int, ip string, t timestamp",
-    )
+    at = lambda: BASE + timedelta(minutes=rng.randrange(-2000, 9000) * 7)
+    ip = lambda: maybe(rng, f"ip{rng.randrange(addresses)}")
+    left = spark.createDataFrame([(n, ip(), maybe(rng, at()), "x") for n in range(120)], "n int, ip string, t timestamp, `a.b` string")
     right = spark.createDataFrame(
-        [(e, maybe(rng, f"ip{rng.randrange(4)}"), maybe(rng, at()), maybe(rng, at(), 0.3)) for e in range(30)],
-        "e int, addr string, s timestamp, u timestamp",
+        [(e, ip(), maybe(rng, at()), maybe(rng, at(), 0.3), {"k": str(e)}) for e in range(60)],
+        "e int, addr string, s timestamp, u timestamp, m map<string,string>",
     )
-    names = dict(left_ip="ip", left_time="t", right_ip="addr", right_start="s", right_end="u")
     got = lifetime_join(
-        left, right, **names, spread_by=["n"], condition=F.col("e") != F.col("n"),
-        open_end=open_end, small=small, now=NOW, lookback=lookback, slices=7,
+        left, right, **NAMES, spread_by=["n"], condition=lambda held: held["e"] != F.col("n"),
+        open_end=open_end, size=size_by(right, "addr"), broadcast_limit=limit, part_bytes=part_bytes,
     )
     within = in_window(F.col("t"), F.col("s"), F.col("u"), open_end)
-    literal = left.join(
-        right, (F.col("ip") == F.col("addr")) & within & (F.col("e") != F.col("n")), "left"
-    )
+    literal = left.join(right, (F.col("ip") == F.col("addr")) & within & (F.col("e") != F.col("n")), "left")
     assert as_set(got) == as_set(literal)
     assert "NestedLoop" not in plan_of(got) and "Cartesian" not in plan_of(got)
 
 
+@pytest.mark.parametrize("limit", [1 << 30, 0])
+def test_an_address_with_many_holders(spark, limit):
+    """An address passed on 100,000 times: each row meets one part of its holders, and parts repeat none but those on an edge."""
+    held = spark.range(100_000).select(
+        F.col("id").alias("e"),
+        F.lit("hot").alias("addr"),
+        F.timestamp_seconds(1_700_000_000 + F.col("id") * 30).alias("s"),
+        F.timestamp_seconds(1_700_000_000 + F.col("id") * 30 + 29).alias("u"),
+    )
+    seen = spark.range(50_000).select(
+        F.col("id").alias("n"), F.lit("hot").alias("ip"), F.timestamp_seconds(1_700_000_000 + F.col("id") * 60 + 7).alias("t")
+    )
+    size = size_by(held, "addr")
+    assert size.largest == size.total
+    got = lifetime_join(seen, held, **NAMES, spread_by=["n"], size=size, broadcast_limit=limit)
+    found = got.agg(F.count("*"), F.count_if(F.col("e") == F.col("n") * 2)).first()
+    assert tuple(found) == (50_000, 50_000)
+    packed = _packed(held, _edges(held, "addr", "s", 64 << 10), "addr", "s", "u")
+    sizes = [r[0] for r in packed.select(F.size("_lives")).collect()]
+    assert len(sizes) > 40 and sum(sizes) <= 100_000 + len(sizes) and max(sizes) < 5_000
+
+
+def test_long_lives_are_not_repeated_for_their_time(spark):
+    """Lifetimes of years are packed once each, unless their address has too many of them."""
+    right = spark.range(1000).select(
+        "id", F.concat(F.lit("ip"), F.col("id") % 300).alias("addr"), F.lit(BASE).alias("s"), F.lit(None).cast("timestamp").alias("u")
+    )
+    packed = _packed(right, None, "addr", "s", "u")
+    assert packed.select(F.sum(F.size("_lives"))).first()[0] == 1000 and packed.count() == 300
+
+
 @pytest.mark.parametrize("small", [True, False])
 def test_id_join_spreads_nulls_and_never_matches_them(spark, small):
     left = spark.createDataFrame([(n, None if n % 3 else f"i{n}") for n in range(30)], "n int, id string")
@@ -179,3 +212,46 @@ def test_beaconing_sorts_one_row_a_minute(spark):
     assert mine.count() == literal.where("n > 1").count()
     joined = literal.alias("l").join(mine.alias("m"), "src").where("l.n <> m.n or abs(l.gap - m.gap) > 1e-9 or abs(l.v - m.v) > 1e-6")
     assert joined.count() == 0
+
+
+FLOWS = {"host": "host", "src": "src", "dst": "dst"}
+ALL = {"min_count": 0, "max_variance": 1e12, "min_gap": -1}
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_any_cut_of_time_gives_the_same_beacons(spark, seed):
+    """Stretches of any length, joined or not, fold to the statistics of the flows, also with hosts, ends or times missing."""
+    from flowspark.operators.beaconing import beacon_stretches, beacons, beacons_of, joined_stretches
+
+    rng = random.Random(seed)
+    began = lambda: BASE + timedelta(seconds=rng.randrange(6 * 3600))
+    rows = [
+        (maybe(rng, f"h{rng.randrange(2)}"), f"s{rng.randrange(3)}", f"d{rng.randrange(2)}", maybe(rng, began(), 0.05))
+        for _ in range(300)
+    ]
+    rows = [(*r, None if r[3] is None or rng.random() < 0.2 else r[3] + timedelta(seconds=rng.randrange(300))) for r in rows]
+    flows = spark.createDataFrame(rows, "host string, src string, dst string, began timestamp, ended timestamp")
+    times = {"start": "began", "end": "ended"}
+    whole = as_set(beacons(flows, **FLOWS, **times, **ALL))
+    assert whole
+    for minutes in (1, 7, 60, 10_000):
+        assert as_set(beacons_of(beacon_stretches(flows, **FLOWS, **times, minutes=minutes), **FLOWS, **ALL)) == whole
+    quarters = beacon_stretches(flows, **FLOWS, **times, minutes=15)
+    hours = joined_stretches(quarters, **FLOWS, ratio=4)
+    assert as_set(hours) == as_set(beacon_stretches(flows, **FLOWS, **times))
+    assert as_set(beacons_of(joined_stretches(hours, **FLOWS, ratio=24), **FLOWS, **ALL)) == whole
+
+
+def test_kept_hours_order_one_row_a_stretch(spark):
+    """However many sources a destination has, only the rows with an open end are sorted together."""
+    from flowspark.operators.beaconing import beacon_stretches, beacons_of
+
+    flows = spark.range(20_000).select(
+        F.lit("h").alias("host"),
+        F.concat(F.lit("s"), F.col("id")).alias("src"),
+        F.lit("d").alias("dst"),
+        F.timestamp_seconds(1_700_000_000 + F.col("id") % 14_400).alias("began"),
+    )
+    hours = beacon_stretches(flows.withColumn("ended", F.col("began")), **FLOWS, start="began", end="ended")
+    assert hours.where("edge is not null").count() <= 5 and hours.count() >= 20_000
+    assert beacons_of(hours, **FLOWS, **ALL).count() == 0

@@ -21,16 +21,13 @@ _AWS_FLOW = """a.accountid, a.instanceid, a.interfaceid, a.srcaddr, a.srcport, a
 
 
 def _ec2(end: str, machine: str = "machine") -> str:
-    peer = f"""c.instance_id <> a.instanceid and a.starttime >= c.window_start and {end}"""
     return f"""
     select {_AWS_FLOW}, a.starttime, b.instance_id as src_instance_id, b.account_id as src_account_id,
            b.instance_role as src_role, c.instance_id as dst_instance_id, c.account_id as dst_account_id,
            c.instance_role as dst_role, a.srcaddr = b.ip_address as owner_is_src
     from flow a left join {machine} b on a.instanceid = b.instance_id
-    left join {machine} c on case
-        when {peer} and a.srcaddr = b.ip_address and a.dstaddr = c.ip_address then 1
-        when {peer} and a.dstaddr = b.ip_address and a.srcaddr = c.ip_address then 1
-        else 0 end = 1"""
+    left join {machine} c on c.instance_id <> a.instanceid and a.starttime >= c.window_start and {end}
+         and (a.srcaddr = b.ip_address and a.dstaddr = c.ip_address or a.dstaddr = b.ip_address and a.srcaddr = c.ip_address)"""
 
 
 EXTRA["ec2"] = _ec2("(a.starttime <= c.window_end or c.window_end is null)")
@@ -75,27 +72,49 @@ _ROLE_N = "case n % 4 when 0 then 'apache' when 1 then 'jump_box' when 2 then 'd
 _TEAM_TAGS = f"""case when n % 4 = 3 then concat('{{"team":"t', cast(n % 5 as string), '"}}')
     else concat('{{"instance_role":"', {_ROLE_N}, '","team":"t', cast(n % 5 as string), '"}}') end"""
 
+
+
+def _tag_list(key: str, value: str) -> str:
+    return f"""concat('[', case when n % 4 <> 3 then concat('{{"{key}":"instance_role","{value}":"', {_ROLE_N}, '"}},') else '' end,
+        '{{"{key}":"team","{value}":"old"}},{{"{key}":"team","{value}":"t', cast(n % 5 as string), '"}},{{"{key}":"orphan"}}]')"""
+
+
+def _nic_list(*pairs: tuple[str, str]) -> str:
+    return " || ',' || ".join(f"""concat('{{"privateIpAddress":"', {ip}, '","networkInterfaceId":"', {eni}, '"}}')""" for ip, eni in pairs)
+
+
+_OWN_NIC = ("concat('10.20.', cast((n // 2) // 250 as string), '.', cast((n // 2) % 250 as string))", "concat('eni-', cast(n as string))")
+_SECOND_NIC = ("concat('10.21.0.', cast(n as string))", "concat('eni-b', cast(n as string))")
+
+
+def _described(tags: str, key: str, value: str, launch: str) -> str:
+    """A recorded configuration as text; an unknown launch is left out."""
+    nics = f"case when n % 4 = 0 then {_nic_list(_OWN_NIC, _SECOND_NIC)} else {_nic_list(_OWN_NIC)} end"
+    at = "strftime(to_timestamp(launched) at time zone 'UTC', '%Y-%m-%dT%H:%M:%SZ')"
+    return f"""concat('{{"networkInterfaces":[', {nics}, '],"{tags}":', {_tag_list(key, value)},
+        case when launched is null then '' else concat(',"{launch}":"', {at}, '"') end, '}}')"""
+
+
 EXTRA["sighting"] = f"""
-    select 'AWS_CONFIG' as flag, account_id, instance_id, ip_address, recorded_at, {_TEAM_TAGS} as tags, launched
+    select 'AWS_CONFIG' as flag, account_id, instance_id, ip_address, recorded_at, {_TEAM_TAGS} as tags, launched,
+           case when capitals then {_described("Tags", "Key", "Value", "LaunchTime")}
+                else {_described("tags", "key", "value", "launchTime")} end as details
     from config_interface where recorded_at >= {_MONTH_AGO}
     union all
-    select 'CLOUDTRAIL' as flag, account_id, instance_id, ip_address, recorded_at, {_TEAM_TAGS} as tags, launched
+    select 'CLOUDTRAIL' as flag, account_id, instance_id, ip_address, recorded_at, {_TEAM_TAGS} as tags, launched,
+           concat('{{"instanceId":"', instance_id, '","launchTime":', cast(launched * 1000 as string),
+                  ',"networkInterfaceSet":{{"items":[{{"networkInterfaceId":"', eni_id, '","privateIpAddress":"', ip_address,
+                  '"}}]}},"privateIpAddress":"', ip_address, '","tagSet":{{"items":', {_tag_list("key", "value")}, '}}}}') as details
     from launch_item where recorded_at >= {_MONTH_AGO}"""
-EXTRA["per_source"] = """
-    select flag, account_id, instance_id, max(recorded_at) as latest, min(recorded_at) as earliest
-    from sighting group by 1, 2, 3"""
-EXTRA["overall"] = """
-    select account_id, instance_id, max(latest) as true_latest, min(earliest) as true_earliest
-    from per_source group by 1, 2"""
-EXTRA["at_latest"] = """
-    select s.*, case when true_earliest < s.launched then true_earliest else s.launched end as launch_time
-    from sighting s join per_source p on s.flag = p.flag and s.account_id = p.account_id
-         and s.instance_id = p.instance_id and s.recorded_at = p.latest
-    join overall o on o.account_id = s.account_id and o.instance_id = s.instance_id and p.latest = o.true_latest"""
+EXTRA["last_sighting"] = """
+    select *, case when first_seen < launched then first_seen else launched end as launch_time
+    from (select *, min(recorded_at) over one_instance as first_seen, max(recorded_at) over one_instance as last_seen
+          from sighting window one_instance as (partition by account_id, instance_id)) s
+    where recorded_at = last_seen"""
 EXTRA["instance_ip"] = """
-    select instance_id, ip_address, max(account_id) as account_id, max(recorded_at) as recorded_at,
-           max(flag) as flag, max(tags) as tags, max(launch_time) as launch_time
-    from at_latest group by 1, 2"""
+    select ip_address, instance_id, max(recorded_at) as recorded_at, max(launch_time) as launch_time, max(tags) as tags,
+           max(flag) as flag, max(account_id) as account_id, arg_max(details, sha256(details)) as details
+    from last_sighting group by ip_address, instance_id"""
 EXTRA["stop_item"] = f"""
     select account_id, event_time, concat('i-', cast(n as string)) as instance_id from stop_event
     where event_name <> 'StartInstances' and event_time >= {_MONTH_AGO}
@@ -104,7 +123,9 @@ EXTRA["stop_item"] = f"""
     where event_name <> 'StartInstances' and event_time >= {_MONTH_AGO}"""
 EXTRA["ended"] = "select account_id, instance_id, max(event_time) as ended_at from stop_item group by 1, 2"
 
-EXTRA["every_eni"] = """
+def _every_eni(owner: str) -> str:
+    # What interfaces are taken for, by first match; the names, prefixes and types are the sources'.
+    return f"""
     select c.recorded_at, c.account_id, c.eni_id, c.private_ip,
            case when interface_type = 'interface' and public_name is null and group_name like '%eks%' then 'kubernetes'
                 when description like 'ELB %' then 'network_load_balancer'
@@ -117,7 +138,7 @@ EXTRA["every_eni"] = """
                 when interface_type = 'interface' and public_name like 'ec2-%' and group_name is not null then 'ec2-instance'
                 when m.instance_id is not null then 'ec2-instance' else 'unknown' end as object_name,
            coalesce(m.instance_id, 'config') as eni_instance_id, 'config' as source
-    from config_eni c left join machine m on m.eni_id = c.eni_id
+    from config_eni c left join {owner} m on m.eni_id = c.eni_id
     union
     select event_time, account_id, eni_id, private_ip, kind,
            case when kind = 'network_load_balancer' then request_description else 'unknown' end,
@@ -143,11 +164,18 @@ EXTRA["every_eni"] = """
     select recorded_at - 60, account_id, eni_id, ip_address, 'ec2-instance', 'ec2-instance', instance_id,
            'run_instance_cloudtrail'
     from launch_item"""
-EXTRA["grouped_eni"] = """
-    select min(recorded_at) as window_start, max(recorded_at) as last_recorded, account_id, eni_id,
-           min(private_ip) as private_ip, min(object_type) as object_type, max(object_name) as object_name,
-           max(eni_instance_id) as eni_instance_id, max(source) as source
-    from every_eni group by eni_id, account_id"""
+
+
+def _grouped_eni(every: str) -> str:
+    return f"""
+    select eni_id, account_id, max(source) as source, max(eni_instance_id) as eni_instance_id, max(object_name) as object_name,
+           min(object_type) as object_type, min(private_ip) as private_ip, max(recorded_at) as last_recorded,
+           min(recorded_at) as window_start
+    from {every} group by all"""
+
+
+EXTRA["every_eni"] = _every_eni("machine")
+EXTRA["grouped_eni"] = _grouped_eni("every_eni")
 
 # ---- Azure ----
 
@@ -173,6 +201,16 @@ EXTRA["nic_ip"] = """
     from nic_version v join nic_first f on v.n = f.n where v.n % 19 <> 0 and v.n % 5 = 0"""
 
 
+def _one_ip(name: str, primary: str, address: str) -> str:
+    return f"""concat('{{"name":"{name}","properties":{{"primary":{primary},"privateIPAddress":"', {address}, '"}}}}')"""
+
+
+_FIRST_IP = _one_ip("first", "true", "concat('10.0.', cast((n // 2) // 250 as string), '.', cast((n // 2) % 250 as string))")
+_SECOND_IP = _one_ip("second", "false", "concat('10.9.9.', cast(n as string))")
+_NIC_TEXT = f"""concat('{{"ipConfigurations":[', case when n % 19 = 0 then '' when n % 5 = 0 then concat({_SECOND_IP}, ',', {_FIRST_IP})
+    else {_FIRST_IP} end, ']}}')"""
+
+
 def _nics(keys: str) -> str:
     return f"""
     select t.*, coalesce(d.event_time, next_start) as window_end
@@ -189,8 +227,17 @@ EXTRA["nic"] = _nics("n")
 EXTRA["nic_every_ip"] = _nics("n, private_ip")
 _NIC_OUT = """select 'tenant-1' as tenant_id, concat('sub-', cast(n % 3 as string)) as subscription_id, nic_id,
     concat('nic-', cast(n as string)) as nic_name, 'westeurope' as nic_location, tags as nic_tags, source, private_ip,
-    earliest, window_start, window_end from """
+    earliest, window_start, window_end, sha256({nic_text}) as nic_properties_sha256,
+    case is_primary when 1 then {first_ip} else {second_ip} end as ip_configuration from """.format(
+    nic_text=_NIC_TEXT, first_ip=_FIRST_IP, second_ip=_SECOND_IP
+)
+
+
 
+_NIC_REF = _NIC_PATH.format(n="n").replace("lower(", "(").replace("nic-", "NIC-")
+_VM_TEXT = f"""concat('{{"networkProfile":{{"networkInterfaces":[{{"id":"', {_NIC_REF}, '"}}',
+    case when n % 10 = 0 then concat(',{{"id":"', upper({_NIC_REF}), '0"}}') else '' end,
+    ']}},"osProfile":{{"computerName":"host-', cast(n as string), '"}}}}')"""
 
 
 def _vm_tags(version: str) -> str:
@@ -325,7 +372,7 @@ def _needed(text: str) -> dict[str, str]:
 
 
 EXTRA["entity"] = """
-            select a.instance_id, a.account_id, ip_address, flag, tags, true as has_details, recorded_at,
+            select a.instance_id, a.account_id, ip_address, flag, tags, sha256(details) as details_sha256, recorded_at,
                    recorded_at as latest_available_data, launch_time, launch_time as window_start,
                    coalesce(b.ended_at, case when ip_address is not null and launch_time is not null then
                             lead(launch_time) over (partition by ip_address
@@ -336,6 +383,13 @@ EXTRA["entity"] = """
 EXTRA["derived"] = """
     select instance_id, account_id, nullif(regexp_extract(tags, '"instance_role":"([^"]*)"', 1), '') as instance_role, ip_address, window_start, window_end,
            latest_available_data from entity"""
+EXTRA["lister"] = """
+    select eni_id, max(instance_id) as instance_id
+    from (select instance_id, unnest(json_extract_string(details, '$.networkInterfaces[*].networkInterfaceId')) as eni_id
+          from instance_ip) l
+    group by eni_id"""
+EXTRA["derived_eni"] = _every_eni("lister")
+EXTRA["grouped_derived_eni"] = _grouped_eni("derived_eni")
 EXTRA["derived_ec2"] = _ec2("(a.starttime <= c.window_end or c.window_end is null)", "derived")
 
 
@@ -343,15 +397,48 @@ def _query(text: str) -> str:
     return with_flat(text, _needed(text))
 
 
+def _enis(grouped: str) -> str:
+    return f"""
+    select eni_id, account_id, private_ip, object_type, object_name, eni_instance_id, source, window_start,
+           last_recorded, case when private_ip is not null and window_start is not null then
+               lead(window_start) over (partition by private_ip
+                               order by window_start asc nulls last, eni_id, account_id) end as window_end
+    from {grouped}"""
+
+
+def _listed(joined: str) -> str:
+    return f"""
+    select a.*, ioc_value from {joined} a join ioc on
+        (srcaddr = ioc_value and action = 'ACCEPT' and not (dst_role = 'apache' and dstport = 443))
+        or dstaddr = ioc_value
+    where tcpflags in (2, 3)"""
+
+
+def _unusual(joined: str) -> str:
+    return f"""
+    select * from {joined} where tcpflags in (2, 3) and (
+        src_role = 'apache' or (src_role = 'jump_box' and dstport <> 22)
+        or (dst_role = 'apache' and action = 'ACCEPT' and dstport <> 443 and srcaddr not like '10.%')
+        or (srcaddr like '10.%' and (src_role is null or src_role not in ('apache', 'jump_box'))))"""
+
+
+# When the records of each source of `admitted_records` were recorded, and whether they have the text that some lose.
+_RECORDS = {
+    "aws_config": "select recorded_at, true as has from config_snapshot union all select recorded_at, false from config_eni",
+    "cloudtrail": """select recorded_at, true as has from launch_event union all select event_time, true from stop_event
+        union all select event_time, true from create_eni""",
+    "azure_collect_network_interfaces": "select seen_at as recorded_at, true as has from nic_snapshot",
+    "azure_flow_logs_raw": "select recorded_at, true as has from flow",
+    "gcp_cloud_assets": "select recorded_at, true as has from gcp_snapshot",
+}
+
+
 def oracle() -> dict[str, str]:
     texts = {
         "aws_instances": EXTRA["entity"],
-        "aws_enis": """
-            select eni_id, account_id, private_ip, object_type, object_name, eni_instance_id, source, window_start,
-                   last_recorded, case when private_ip is not null and window_start is not null then
-                       lead(window_start) over (partition by private_ip
-                                       order by window_start asc nulls last, eni_id, account_id) end as window_end
-            from grouped_eni""",
+        "aws_instances_by_day": EXTRA["entity"],
+        "aws_enis": _enis("grouped_eni"),
+        "aws_enis_chained": _enis("grouped_derived_eni"),
         "aws_flow_logs": f"select {_AWS_FLOW}, recorded_at, starttime, endtime from flow a",
         "aws_flow_logs_join_ec2": "select * from ec2",
         "aws_flow_logs_join_ec2_chained": "select * from derived_ec2",
@@ -366,11 +453,9 @@ def oracle() -> dict[str, str]:
                       or (a.dstaddr = b.ip_address and a.srcaddr = c.ip_address))""",
         "aws_beaconing": _beacons(*_AWS_BEACON, _BEACONING),
         "aws_beaconing_all_pairs": _beacons(*_AWS_BEACON, _ALL_PAIRS),
-        "aws_ioc_connections": """
-            select a.*, ioc_value from ec2 a join ioc on
-                (srcaddr = ioc_value and action = 'ACCEPT' and not (dst_role = 'apache' and dstport = 443))
-                or dstaddr = ioc_value
-            where tcpflags in (2, 3)""",
+        "aws_beaconing_by_hour": _beacons(*_AWS_BEACON, _ALL_PAIRS),
+        "aws_ioc_connections": _listed("ec2"),
+        "aws_ioc_connections_chained": _listed("derived_ec2"),
         "aws_rst_baseline": """
             select round(avg_rst_by_role, 6) as avg_rst_by_role, round(stddev_rst_by_role, 6) as stddev_rst_by_role,
                    instance_role from rst_baseline""",
@@ -382,16 +467,13 @@ def oracle() -> dict[str, str]:
                   where f.recorded_at >= {NOW - HOUR} and f.tcpflags = 4 group by 2, 3) a
             join rst_baseline r on a.instance_role = r.instance_role
             where rst_last_hour >= avg_rst_by_role + stddev_rst_by_role""",
-        "aws_unusual_role_ports": """
-            select * from ec2 where tcpflags in (2, 3) and (
-                src_role = 'apache' or (src_role = 'jump_box' and dstport <> 22)
-                or (dst_role = 'apache' and action = 'ACCEPT' and dstport <> 443 and srcaddr not like '10.%')
-                or (srcaddr like '10.%' and (src_role is null or src_role not in ('apache', 'jump_box'))))""",
+        "aws_unusual_role_ports": _unusual("ec2"),
+        "aws_unusual_role_ports_chained": _unusual("derived_ec2"),
         "azure_nics": _NIC_OUT + "nic",
         "azure_nics_all_ips": _NIC_OUT + "nic_every_ip",
-        "azure_vms": """
+        "azure_vms": f"""
             select window_start, window_end, 'Tenant-1' as tenant_id, subscription_id, vm_id,
-                   concat('host-', cast(n as string)) as vm_name, location, tags from vm""",
+                   concat('host-', cast(n as string)) as vm_name, location, tags, sha256({_VM_TEXT}) as properties_sha256 from vm""",
         "azure_vms_nics": """
             select vm_id, concat('host-', cast(vm_n as string)) as vm_name, nic_id as vm_nic_id, vm_tags, private_ip,
                    vm_window_start, vm_window_end, window_start, window_end from vm_nic""",
@@ -450,10 +532,24 @@ def oracle() -> dict[str, str]:
             from gcp_flow where protocol in (6, 17) and recorded_at >= {NOW - 25 * HOUR}
             union all
             select recorded_at, event_time, src_addr, src_port, dst_addr, dst_port, protocol from azure_flow""",
+        "admitted_records": " union all ".join(
+            f"""select '{name}' as source, count(*) as records, count(*) filter (where recorded_at % 97 <> 0 or not has) as admitted,
+                count(*) filter (where recorded_at % 97 = 0 and has) as quarantined from ({rows}) r"""
+            for name, rows in _RECORDS.items()
+        ),
         "tags_to_map": """
             select n, case when second_key = 'k1' then concat('{"k1":"', v2, '"}')
                       else concat('{"k1":"', v1, '","k2":"', v2, '"}') end as tags
             from tag_list""",
         "canonical_json": "select event_id, replace(props, ' ', '') as props from events",
     }
+    repeats = {
+        "aws_rst_baseline_rolling": "aws_rst_baseline",
+        "azure_nics_by_day": "azure_nics",
+        "azure_denied_baseline_rolling": "azure_denied_baseline",
+        "gcp_vms_by_day": "gcp_vms",
+        "gcp_beaconing_by_hour": "gcp_beaconing_all_pairs",
+        "gcp_connect_baseline_rolling": "gcp_connect_baseline",
+    }
+    texts |= {name: texts[other] for name, other in repeats.items()}
     return {name: _query(text) for name, text in texts.items()}

@@ -101,3 +101,40 @@ def kept(df: DataFrame, name: str) -> DataFrame:
     df.write.parquet(path)
     temporary(df.sparkSession, path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+class Scratch:
+    """Kept tables that are removed as soon as nothing reads them any more."""
+
+    def __init__(self) -> None:
+        self._paths: list[tuple[SparkSession, str]] = []
+
+    def kept(self, df: DataFrame, name: str) -> DataFrame:
+        spark, path = df.sparkSession, new_folder(df.sparkSession, name)
+        df.write.parquet(path)
+        self._paths.append((spark, temporary(spark, path)))
+        return spark.read.schema(df.schema).parquet(path)
+
+    def clear(self) -> None:
+        """Remove the tables; what was built on them can't be computed any more."""
+        for spark, path in self._paths:
+            at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+            at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+        self._paths.clear()
+
+
+def keep_rows(docs: DataFrame, decider: Callable[[], Callable[[list[str | None]], list[bool]]]) -> DataFrame:
+    """The rows, with all their columns, for whose texts `decider()`, called in each task, says so.
+
+    Columns go through by position, so their names may be anything.
+    """
+    names = docs.columns
+    plain = docs.toDF(*[f"c{i}" for i in range(len(names))])
+    text = f"c{names.index('text')}"
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        decide = decider()
+        for batch in slices(batches, text):
+            yield batch.filter(pa.array(decide(batch.column(text).to_pylist()), pa.bool_()))
+
+    return plain.mapInArrow(keep, plain.schema).toDF(*names)

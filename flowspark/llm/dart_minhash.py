@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from flowspark.llm.common import WORD_TABLE, kept, slices
+from flowspark.llm.common import WORD_TABLE, Scratch, slices
 from flowspark.llm.graph import components
 from flowspark.llm.hashing import as_signed, mix, odd, salt, word_hashes
 
@@ -144,18 +144,19 @@ def _similarities(pairs: DataFrame, of: DataFrame) -> DataFrame:
     )
 
 
-def _open_pairs(members: DataFrame, elements: DataFrame, similarity: float) -> DataFrame:
-    """What may still link different components: pairs (a, b) of texts that no bound rules out.
+def _open_texts(members: DataFrame, elements: DataFrame, similarity: float, scratch: Scratch) -> DataFrame:
+    """Texts that may still be linked to another component: node, label, n (elements), `shared` (those of its elements that
+    other components have, too, rarest first) and `prefix`, the first of these.
 
     `members` has the labels of the members of each bucket; only texts of buckets with several labels can still be linked.
     They are joined by prefix filtering, which is exact. Elements that only one component has cannot be shared across
     components. A pair of n and m elements is linked if it has at least (n + m) similarity / (1 + similarity) in common, so
     if each text's other elements are ordered by how many texts have them, a linked pair meets already among the few
-    rarest that a text could spare. A large group of near copies shares its frequent elements, but not the rare ones.
+    rarest that a text could spare.
     """
     bounds = members.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi"))
     mixed = members.join(bounds.where("lo <> hi").select("key"), "key", "left_semi")
-    sized = kept(mixed.join(elements.select("node", F.size("cells").alias("n")), "node"), "mixed")
+    sized = scratch.kept(mixed.join(elements.select("node", F.size("cells").alias("n")), "node"), "mixed")
     shortest = sized.groupBy("key").agg(F.min("n").alias("shortest"))
     texts = sized.join(shortest, "key").groupBy("node", "label", "n").agg(F.min("shortest").alias("shortest"))
     share = similarity / (1 + similarity)
@@ -170,18 +171,62 @@ def _open_pairs(members: DataFrame, elements: DataFrame, similarity: float) -> D
     shared = parts.join(common, "cell").groupBy("node").agg(rarest.alias("shared"))
     spare = F.size("shared") - F.col("needed") + 1
     cut = texts.join(shared, "node").where(spare > 0)
-    cut = cut.select("node", "label", "n", F.size("shared").alias("c"), F.slice("shared", 1, F.greatest(spare, F.lit(0)))["cell"].alias("prefix"))
-    cut = kept(cut.withColumn("cell", F.explode("prefix")), "prefixes")
-    one, two = cut.alias("one"), cut.alias("two")
-    most = F.least("one.c", "two.c")
-    return one.join(
-        two,
-        (F.col("one.cell") == F.col("two.cell"))
-        & (F.col("one.node") < F.col("two.node"))
-        & (F.col("one.label") != F.col("two.label"))
-        & (most >= (F.col("one.n") + F.col("two.n")) * share - 1e-9)
-        & (F.array_min(F.array_intersect("one.prefix", "two.prefix")) == F.col("one.cell")),
-    ).select(F.col("one.node").alias("a"), F.col("two.node").alias("b"))
+    prefix = F.slice("shared", 1, F.greatest(spare, F.lit(0)))["cell"].alias("prefix")
+    return scratch.kept(cut.select("node", "label", "n", F.col("shared.cell").alias("shared"), prefix), "open")
+
+
+def _open_links(members: DataFrame, elements: DataFrame, similarity: float, scratch: Scratch) -> DataFrame:
+    """Links between different components, at least one for each two that are linked at all: columns a, b.
+
+    Components are compared first, by what their open texts have together: two of them are left only if these have so many
+    elements in common that some pair of their sizes could be linked. Of the texts of such a component those are left that
+    have enough elements of the other one; texts that have the same of these are alike to it but for their length, so the
+    shortest stands for all. Representatives are joined by prefix filtering once more and compared by these elements, which is
+    exact. So groups of near copies that share parts cost a comparison of groups, not of all their texts.
+    """
+    share = similarity / (1 + similarity)
+    texts = _open_texts(members, elements, similarity, scratch)
+    sizes = texts.groupBy("label").agg(F.min("n").alias("lo"), F.max("n").alias("hi"))
+    of_label = scratch.kept(texts.select("label", F.explode("shared").alias("cell")).distinct(), "label-cells")
+    starts = texts.select("label", F.explode("prefix").alias("cell")).distinct()
+
+    def side(df: DataFrame, end: str) -> DataFrame:
+        return df.withColumnsRenamed({c: f"{c}_{end}" for c in df.columns if c != "cell"})
+
+    met = side(starts, "a").join(side(starts, "b"), "cell").where("label_a < label_b").select("label_a", "label_b").distinct()
+    met = met.join(side(sizes, "a"), "label_a").join(side(sizes, "b"), "label_b")
+    fitting = (F.col("hi_a") >= F.col("lo_b") * similarity - 1e-9) & (F.col("hi_b") >= F.col("lo_a") * similarity - 1e-9)
+    met = met.where(fitting)
+    both = met.join(side(of_label, "a"), "label_a").join(side(of_label, "b"), ["label_b", "cell"])
+    open_ = both.groupBy("label_a", "label_b", "lo_a", "lo_b").agg(F.count("*").alias("together"))
+    open_ = scratch.kept(open_.where(F.col("together") >= (F.col("lo_a") + F.col("lo_b")) * share - 1e-9), "open-labels")
+
+    one = open_.select(F.col("label_a").alias("label"), F.col("label_b").alias("other"), F.col("lo_b").alias("least"))
+    two = open_.select(F.col("label_b").alias("label"), F.col("label_a").alias("other"), F.col("lo_a").alias("least"))
+    near = (
+        texts.select("node", "label", "n", F.posexplode("shared").alias("place", "cell"))
+        .join(one.unionByName(two), "label")
+        .join(of_label.withColumnRenamed("label", "other"), ["other", "cell"])
+        .groupBy("node", "label", "other", "n", "least")
+        .agg(F.sort_array(F.collect_list("cell")).alias("theirs"))
+    )
+    needed = F.ceil((F.col("n") + F.col("least")) * share - 1e-9).cast("int")
+    spare = F.size("theirs") - needed + 1
+    shortest = (
+        near.withColumn("spare", spare)
+        .where("spare > 0")
+        .groupBy("label", "other", "theirs")
+        .agg(F.min(F.struct("n", "node")).alias("best"), F.max("spare").alias("spare"))
+        .select("label", "other", "theirs", "best.n", "best.node", F.explode(F.slice("theirs", 1, F.col("spare"))).alias("cell"))
+    )
+    shortest = scratch.kept(shortest, "open-texts")
+    a = shortest.where("label < other").toDF("label_a", "label_b", "theirs_a", "n_a", "a", "cell")
+    b = shortest.where("label > other").toDF("label_b", "label_a", "theirs_b", "n_b", "b", "cell")
+    together = F.size(F.array_intersect("theirs_a", "theirs_b"))
+    linked = together / (F.col("n_a") + F.col("n_b") - together) >= similarity
+    return a.join(b, ["label_a", "label_b", "cell"]).where(linked).groupBy("label_a", "label_b").agg(
+        F.min(F.struct("a", "b")).alias("link")
+    ).select("link.a", "link.b")
 
 
 def near_links(
@@ -191,35 +236,35 @@ def near_links(
 
     Texts that agree in a band are candidates. In every bucket all members are compared with its centre, the one that meets
     most texts over all its buckets, so a large group of near copies costs about one comparison a member. Texts whose
-    buckets then still hold different components are joined exactly, see `_open_pairs`, so no link between candidates of
-    different components is lost. Similarities are exact, over all shingles.
+    buckets then still hold different components are compared exactly, see `_open_links`, so no two components whose
+    texts are linked stay apart. Similarities are exact, over all shingles.
     """
+    scratch = Scratch()
     signed = docs.select(text_node().alias("node"), "text").mapInArrow(
         _per_text("keys", lambda t: band_keys(t, width, bands, rows)), "node binary, keys array<long>"
     )
-    signed = kept(signed.groupBy("node").agg(F.any_value("keys").alias("keys")), "signatures")
+    signed = scratch.kept(signed.groupBy("node").agg(F.any_value("keys").alias("keys")), "signatures")
     entries = signed.select("node", F.explode("keys").alias("key"))
     shared = entries.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
-    members = kept(entries.join(shared.hint("merge"), "key"), "members")
+    members = scratch.kept(entries.join(shared.hint("merge"), "key"), "members")
     met = members.join(members.groupBy("node").agg(F.sum("n").alias("met")), "node")
     centres = met.groupBy("key").agg(F.max(F.struct("met", "node")).alias("best")).select("key", F.col("best.node").alias("centre"))
-    led = kept(members.join(centres, "key").select("key", "node", "centre"), "led")
-    pairs = kept(led.where("node <> centre").select(F.col("node").alias("a"), F.col("centre").alias("b")).distinct(), "pairs")
+    led = scratch.kept(members.join(centres, "key").select("key", "node", "centre"), "led")
+    pairs = scratch.kept(led.where("node <> centre").select(F.col("node").alias("a"), F.col("centre").alias("b")).distinct(), "pairs")
     wanted = members.select("node").distinct()
     elements = _texts(docs).join(wanted, "node", "left_semi").mapInArrow(
         _per_text("cells", lambda t: as_signed(cells(*shingles(t, width)))), "node binary, cells array<long>"
     )
-    elements = kept(elements, "elements")
-    known = kept(_similarities(pairs, elements), "similarities")
+    elements = scratch.kept(elements, "elements")
+    known = scratch.kept(_similarities(pairs, elements), "similarities")
     links = known.where(F.col("similarity") >= similarity)
     found = components(links)
     labelled = led.join(found, "node", "left").select("key", "node", F.coalesce("label", "node").alias("label"))
-    tried = known.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    more = kept(_open_pairs(labelled, elements, similarity).join(tried, ["a", "b"], "left_anti"), "pairs")
-    if more.isEmpty():
-        return found
-    late = kept(_similarities(more, elements).where(F.col("similarity") >= similarity), "links")
-    return found if late.isEmpty() else components(links.select("a", "b").unionByName(late.select("a", "b")))
+    late = scratch.kept(_open_links(labelled, elements, similarity, scratch), "late-links")
+    if not late.isEmpty():
+        found = components(links.select("a", "b").unionByName(late))
+    scratch.clear()
+    return found
 
 
 def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, width: int = WIDTH) -> DataFrame:
@@ -246,12 +291,19 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, width: int
 
 
 def keep_one(docs: DataFrame, similarity: float = SIMILARITY, width: int = WIDTH) -> DataFrame:
-    """One row of each class, with all columns of `docs`: that with the least doc_id, null ids last, ties by the text's digest."""
-    order = F.struct(F.col("doc_id").isNull(), "doc_id")
-    packed = docs.select(text_node().alias("node"), order.alias("order"), F.struct(*docs.columns).alias("row"))
+    """One row of each class, with all columns of `docs`: that with the least doc_id, null ids last, ties by the text's digest.
+
+    Of rows with the same text and id one stays. Null and empty texts are one class. Columns go through by position, so their
+    names may be anything. An empty table stays empty.
+    """
+    names = docs.columns
+    plain = docs.toDF(*[f"c{i}" for i in range(len(names))])
+    text, doc_id = (f"c{names.index(c)}" for c in ("text", "doc_id"))
+    order = F.struct(F.col(doc_id).isNull().alias("absent"), F.col(doc_id).alias("id"))
+    packed = plain.select(text_node(text).alias("node"), order.alias("order"), F.struct(*plain.columns).alias("row"))
     per_text = packed.groupBy("node").agg(F.min_by("row", "order").alias("row"))
-    labels = near_links(docs, similarity, width)
+    labels = near_links(docs.select("text"), similarity, width)
     ids = packed.groupBy("node").agg(F.min("order").alias("first"))
     best = labels.join(ids, "node").groupBy("label").agg(F.min_by("node", F.struct("first", "node")).alias("node"))
     gone = labels.select("node").join(best, "node", "left_anti")
-    return per_text.join(gone, "node", "left_anti").select("row.*")
+    return per_text.join(gone, "node", "left_anti").select("row.*").toDF(*names)

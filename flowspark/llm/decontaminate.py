@@ -14,7 +14,7 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from flowspark.llm.common import kept, slices, words_of
+from flowspark.llm.common import keep_rows, kept, slices, words_of
 
 # Most benchmark text of one automaton, which takes about a hundred times as much memory. A larger benchmark is cut into blocks of items.
 BLOCK_BYTES = 1 << 20
@@ -172,11 +172,16 @@ def character_spans(text: str | None, hits: list) -> list[tuple[int, int]]:
     return [(at[first][0], at[last][1]) for first, last in hits]
 
 
-def with_spans(docs: DataFrame, hits: DataFrame) -> DataFrame:
-    """Contaminated texts with the character spans to report or cut out: doc_id, text, spans.
+def with_spans(docs: DataFrame, benchmark: DataFrame, width: int = 10, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """Contaminated rows with the character spans to report or cut out: doc_id, text, spans (end exclusive).
 
-    Joined by doc_id, so ids should be unique and rows with a null id are left out.
+    Hits belong to texts, by digest, so rows with null or repeated ids are as good as others. Rows without a hit are left out.
     """
+    digest = F.unhex(F.md5(F.coalesce("text", F.lit(""))))
+    keyed = docs.select("doc_id", "text", digest.alias("digest"))
+    texts = keyed.groupBy("digest").agg(F.any_value("text").alias("text")).withColumnRenamed("digest", "doc_id")
+    hits = benchmark_hits(texts, benchmark, width, block_bytes).where(F.size("hit") > 0)
+    hits = hits.select(F.col("doc_id").alias("digest"), "hit")
 
     def locate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
@@ -189,7 +194,7 @@ def with_spans(docs: DataFrame, hits: DataFrame) -> DataFrame:
                 [batch.column("doc_id"), batch.column("text"), pa.array(spans, kind)], ["doc_id", "text", "spans"]
             )
 
-    joined = docs.select("doc_id", "text").join(hits.where(F.size("hit") > 0).select("doc_id", "hit"), "doc_id")
+    joined = keyed.join(hits, "digest").select("doc_id", "text", "hit")
     kind = docs.schema["doc_id"].dataType.simpleString()
     return joined.mapInArrow(locate, f"doc_id {kind}, text string, spans array<struct<start:long,end:long>>")
 
@@ -197,22 +202,21 @@ def with_spans(docs: DataFrame, hits: DataFrame) -> DataFrame:
 def keep_clean(docs: DataFrame, benchmark: DataFrame, width: int = 10, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """The rows, with all their columns, whose text holds no window of a benchmark item.
 
-    One narrow pass a block of the benchmark: what is left after one block is scanned for the next.
+    A null or empty text is clean; repeated rows fare alike; other columns, of whatever names, pass through. Items without
+    words, and an empty benchmark, take nothing away; an empty table stays empty. One narrow pass a block of the benchmark: what
+    is left after one block is scanned for the next.
     """
-    spark = docs.sparkSession
 
     def without(block: Broadcast):
-        def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def decider():
             scanner = _scanner(block.value, width)
-            for batch in slices(batches):
-                clean = [not scanner.scan(words_of(t))[0] for t in batch.column("text").to_pylist()]
-                yield batch.filter(pa.array(clean, pa.bool_()))
+            return lambda texts: [not scanner.scan(words_of(t))[0] for t in texts]
 
-        return keep
+        return decider
 
     blocks = list(_blocks(benchmark, block_bytes))
     for i, items in enumerate(blocks):
-        docs = docs.mapInArrow(without(spark.sparkContext.broadcast(_packed(items))), docs.schema)
+        docs = keep_rows(docs, without(docs.sparkSession.sparkContext.broadcast(_packed(items))))
         if i + 1 < len(blocks):
             docs = kept(docs, "clean")
     return docs

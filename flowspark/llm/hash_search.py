@@ -1,25 +1,32 @@
-"""Nearest neighbours by multi-index hashing: learned rotated binary codes in substring buckets, probed by the pigeonhole principle."""
+"""Nearest neighbours by multi-index hashing: learned rotated binary codes in substring buckets, probed by the pigeonhole principle.
+
+Each query widens its radius ring by ring and stops when so many codes lie within it as, on the sample, held the true neighbours.
+"""
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from flowspark.llm.common import kept
+from flowspark.llm.common import Scratch
 
-BITS = 128
-SUBSTRING = 16
-# The most vectors that rotation and radius are learned from: those with the smallest hash of their id.
+# Codes are cut into substrings of 64 bits: so long that few buckets are near a query even at a wide radius.
+BITS = 256
+# The most vectors of a dimension that its rotation and rings are learned from: those with the smallest hash.
 SAMPLE = 4_096
-# The share of true neighbours, among the sample, that lie within the radius.
-WITHIN = 0.99
-# Vectors of a shard and queries of a block, about: what one task holds.
+# The share of true neighbours, among the sample, that lie within the ring at which a search stops.
+WITHIN = 0.985
+# So many of the most frequent dimensions have codes. Vectors of others, few as they are, are compared one by one.
+CODED = 4
+# Vectors of a shard of the index, and bytes of queries that are broadcast at once.
 SHARD = 4_096
-BLOCK = 1_024
+BLOCK_BYTES = 32 << 20
 
 
 @dataclass
@@ -30,22 +37,22 @@ class Codes:
     longest: float
     mean: np.ndarray
     rotation: np.ndarray  # components + 1 by bits
-    radius: int
+    enough: float  # share of all codes that is to lie within the last ring
 
     def of(self, x: np.ndarray, query: bool = False) -> np.ndarray:
-        """Codes as rows of 16-bit substrings. Queries are scaled to the common norm, their added component is 0."""
+        """Codes as rows of 64-bit substrings. Queries are scaled to the common norm, their added component is 0."""
         norms = np.linalg.norm(x, axis=1)
         if query:
             x, added = x * (self.longest / np.maximum(norms, 1e-300))[:, None], np.zeros(len(x))
         else:
             added = np.sqrt(np.maximum(self.longest**2 - norms**2, 0))
         bits = (np.column_stack([x, added]) - self.mean) @ self.rotation > 0
-        return np.packbits(bits, axis=1).view(np.uint16)
+        return np.packbits(bits, axis=1).view(np.uint64)
 
 
 def learn(x: np.ndarray, longest: float, k: int, bits: int = BITS, within: float = WITHIN) -> Codes:
     """Rotate principal components so that signs lose least, several times from different starts until there are enough bits;
-    then take the radius that holds the share `within` of the true k nearest among the sample."""
+    then see how many codes lie no farther than the share `within` of the true k nearest among the sample."""
     added = np.sqrt(np.maximum(longest**2 - (x**2).sum(axis=1), 0))
     full = np.column_stack([x, added])
     mean = full.mean(axis=0)
@@ -63,15 +70,16 @@ def learn(x: np.ndarray, longest: float, k: int, bits: int = BITS, within: float
             turn = (u @ vt).T
         parts.append(basis[:, :size] @ turn)
         missing -= size
-    codes = Codes(longest, mean, np.concatenate(parts, axis=1), bits)
+    codes = Codes(longest, mean, np.concatenate(parts, axis=1), 1.0)
     asking = np.arange(min(len(x), 256))
     if len(x) > k + 1:
         products = x[asking] @ x.T
         products[asking, asking] = -np.inf
         nearest = np.argpartition(-products, k, axis=1)[:, :k]
-        of_all, of_queries = codes.of(x), codes.of(x[asking], query=True)
-        apart = np.bitwise_count(of_queries[:, None, :] ^ of_all[nearest]).sum(axis=2)
-        codes.radius = int(np.ceil(np.quantile(apart, within)))
+        apart = np.bitwise_count(codes.of(x[asking], query=True)[:, None, :] ^ codes.of(x)).sum(axis=2)
+        nearer = np.sort(apart, axis=1)
+        ranks = [np.searchsorted(row, at, "right") for row, at in zip(nearer, np.take_along_axis(apart, nearest, axis=1))]
+        codes.enough = float(np.quantile(np.array(ranks) / len(x), within))
     return codes
 
 
@@ -82,22 +90,32 @@ class Index:
         self.codes = codes
         self.buckets = []
         for s in range(codes.shape[1]):
-            order = np.argsort(codes[:, s], kind="stable")
-            values, sizes = np.unique(codes[:, s], return_counts=True)
-            self.buckets.append((order, values, sizes))
+            values, which = np.unique(codes[:, s], return_inverse=True)
+            self.buckets.append((values, which))
 
-    def within(self, query: np.ndarray, radius: int) -> np.ndarray:
-        """Every row whose code differs from the query's in at most `radius` bits.
+    def search(self, query: np.ndarray, enough: int) -> tuple[np.ndarray, int]:
+        """Every row whose code lies within the first ring that holds `enough` of them, and how many rows were probed.
 
-        Such a code has a substring that differs in at most radius / substrings bits (else the sum would be larger), so
-        probing, for each substring, the occupied buckets that near finds it; the whole code then decides.
+        Up to a radius of m (r + 1) - 1 for m substrings, a code has a substring that differs in at most r bits (else the sum
+        would be larger). So ring r probes, for each substring, the occupied buckets at distance r, and then has seen
+        every code within its radius; whole codes decide which these are.
         """
-        near = np.zeros(len(self.codes), bool)
-        for s, (order, values, sizes) in enumerate(self.buckets):
-            probed = np.bitwise_count(values ^ query[s]) <= radius // len(self.buckets)
-            near[order[np.repeat(probed, sizes)]] = True
-        rows = np.flatnonzero(near)
-        return rows[np.bitwise_count(self.codes[rows] ^ query).sum(axis=1) <= radius]
+        m = len(self.buckets)
+        # The ring in which a row is probed first: that of its nearest bucket.
+        ring = np.min([np.bitwise_count(values ^ query[s])[which] for s, (values, which) in enumerate(self.buckets)], axis=0)
+        order = np.argsort(ring, kind="stable")
+        ends = np.cumsum(np.bincount(ring, minlength=1))
+        apart = np.zeros(len(order), np.int64)
+        done = 0
+        for r, end in enumerate(ends):
+            if end > done:
+                apart[done:end] = np.bitwise_count(self.codes[order[done:end]] ^ query).sum(axis=1)
+                done = end
+            if done >= enough:
+                inside = apart[:done] <= m * (r + 1) - 1
+                if inside.sum() >= enough:
+                    return order[:done][inside], done
+        return order, len(order)
 
 
 def _matrix(table: pa.Table, column: str) -> np.ndarray:
@@ -105,83 +123,128 @@ def _matrix(table: pa.Table, column: str) -> np.ndarray:
     return values.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(values), -1)
 
 
-FOUND = pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.float64())])
-
-
-def _search(codes: Codes, k: int, everything: bool):
-    def search(rows: pa.Table, queries: pa.Table) -> pa.Table:
-        found: list[tuple] = []
-        if rows.num_rows and queries.num_rows:
-            x, ids = _matrix(rows, "v"), rows.column("vec_id").to_numpy()
-            index = Index(codes.of(x))
-            q = _matrix(queries, "v")
-            radius = index.codes.shape[1] * SUBSTRING if everything else codes.radius
-            for query_id, vector, code in zip(queries.column("vec_id").to_numpy(), q, codes.of(q, query=True)):
-                at = index.within(code, radius)
-                at = at[ids[at] != query_id]
-                score = (x[at] * vector).sum(axis=1)
-                if len(at) > k:
-                    top = score >= np.partition(score, len(at) - k)[len(at) - k]
-                    at, score = at[top], score[top]
-                best = np.lexsort((ids[at], -score))[:k]
-                found += [(query_id, i, s) for i, s in zip(ids[at[best]], score[best])]
-        return pa.table([pa.array(c, f.type) for c, f in zip(zip(*found) if found else ([], [], []), FOUND)], schema=FOUND)
-
-    return search
-
-
-def usable(vectors: DataFrame) -> DataFrame:
-    """vec_id and v (doubles) of what takes part: no null id, no null, empty or zero vector, all components finite, and of the
-    most frequent dimension (ties: the smaller). Of rows with the same id the least vector counts."""
+FOUND = pa.schema(
+    [("query", pa.int64()), ("row", pa.int64()), ("vec_id", pa.int64()), ("score", pa.float64()), ("probed", pa.int64())]
+)
+
+
+def _search(block: Broadcast, k: int):
+    """The k best rows of a task's shards for each query of a block; `probed` counts rows whose code was looked at, on its first."""
+
+    def shard(table: pa.Table, queries: dict, codes: Codes | None, best: dict) -> None:
+        x, ids, rows = _matrix(table, "v"), table.column("vec_id").to_numpy(), table.column("row").to_numpy()
+        index = Index(codes.of(x)) if codes else None
+        enough = min(len(x), max(k + 1, int(np.ceil(codes.enough * len(x))))) if codes else 0
+        coded = codes.of(queries["v"], query=True) if codes else [None] * len(queries["row"])
+        for own, vector, code in zip(queries["row"], queries["v"], coded):
+            at, probed = index.search(code, enough) if index else (np.arange(len(x)), len(x))
+            at = at[rows[at] != own]
+            score = (x[at] * vector).sum(axis=1)
+            old = best.get(own)
+            if old:
+                score, near, of = np.append(score, old[0]), np.append(ids[at], old[1]), np.append(rows[at], old[2])
+            else:
+                near, of = ids[at], rows[at]
+            if len(score) > k:
+                top = score >= np.partition(score, len(score) - k)[len(score) - k]
+                score, near, of = score[top], near[top], of[top]
+            first = np.lexsort((of, near, -score))[:k]
+            best[own] = (score[first], near[first], of[first], probed + (old[3] if old else 0))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        blocks, best = block.value, {}
+        held: dict[int, list[pa.Table]] = {}
+        for batch in batches:
+            table = pa.Table.from_batches([batch])
+            sizes = table.column("size").to_numpy()
+            for size in np.unique(sizes):
+                if int(size) not in blocks:
+                    continue
+                held.setdefault(int(size), []).append(table.filter(pa.array(sizes == size)))
+                while sum(t.num_rows for t in held[int(size)]) >= SHARD:
+                    whole = pa.concat_tables(held[int(size)])
+                    held[int(size)] = [whole.slice(SHARD)]
+                    shard(whole.slice(0, SHARD), *blocks[int(size)], best)
+        for size, tables in held.items():
+            whole = pa.concat_tables(tables)
+            if whole.num_rows:
+                shard(whole, *blocks[size], best)
+        for own, (score, near, of, probed) in best.items():
+            n = len(score)
+            columns = [np.full(n, own), of, near, score, np.append(probed, np.zeros(max(0, n - 1), np.int64))[:n]]
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, FOUND)], schema=FOUND)
+
+    return run
+
+
+def usable(vectors: DataFrame, is_query: Column) -> DataFrame:
+    """vec_id, v (doubles), size and asked of what takes part: no null id, no null, empty or zero vector, all components finite.
+
+    Rows that repeat both id and vector are one row; rows of one id with different vectors are rows of their own.
+    """
     finite = F.forall("v", lambda c: c.isNotNull() & ~F.isnan(c) & (F.abs(c) < float("inf")))
-    rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("v"))
+    asked = F.coalesce(is_query, F.lit(False)).alias("asked")
+    rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("v"), asked)
     rows = rows.where("vec_id is not null and size(v) > 0").where(finite & F.exists("v", lambda c: c != 0))
-    common = rows.groupBy(F.size("v").alias("n")).count().orderBy(F.desc("count"), "n").first()
-    rows = rows.where(F.size("v") == (common["n"] if common else 0))
-    return rows.groupBy("vec_id").agg(F.min("v").alias("v"))
+    return rows.groupBy("vec_id", "v").agg(F.max("asked").alias("asked")).withColumn("size", F.size("v"))
 
 
-def nearest(vectors: DataFrame, is_query: Column, k: int = 20, sample: int = SAMPLE, bits: int = BITS) -> DataFrame:
-    """For each row that `is_query` selects its k nearest others by inner product: query_id, rank (from 1), vec_id, score.
+def _learned(rows: DataFrame, k: int, sample: int, bits: int) -> dict[int, Codes]:
+    """Codes of the most frequent dimensions."""
+    most = rows.groupBy("size").count().orderBy(F.desc("count"), "size").limit(CODED).collect()
+    norm = F.sqrt(F.aggregate("v", F.lit(0.0), lambda a, c: a + c * c))
+    codes = {}
+    for size in (r["size"] for r in most):
+        of_size = rows.where(F.col("size") == size)
+        longest = of_size.agg(F.max(norm)).first()[0]
+        drawn = of_size.select("vec_id", "v").orderBy(F.xxhash64("vec_id", "v"), "vec_id", "v").limit(sample).collect()
+        codes[size] = learn(np.array([r["v"] for r in drawn], np.float64), longest, k, bits)
+    return codes
 
-    Rotation and radius are learned on at most `sample` vectors; every vector is indexed. The query set is compared with
-    all rows in blocks: a task holds one shard of the index and one block of queries, and returns the k best of its shard
-    for each. Scores are exact products of the original vectors in double precision; ties go to the smaller id. A query
-    that finds fewer than k within the radius is searched again without one, so it has k, or all there are.
+
+def _blocks(queries: DataFrame, block_bytes: int) -> Iterator[dict[int, dict]]:
+    """The queries by dimension, in blocks of about `block_bytes`: what is broadcast at once."""
+    total = queries.agg(F.sum(F.col("size") * 8 + 16)).first()[0] or 0
+    n = max(1, -(-total // block_bytes))
+    for i in range(n):
+        part = queries if n == 1 else queries.where(F.pmod(F.xxhash64("row"), F.lit(n)) == i)
+        found: dict[int, dict] = {}
+        for r in part.select("row", "size", "v").collect():
+            of = found.setdefault(r["size"], {"row": [], "v": []})
+            of["row"].append(r["row"])
+            of["v"].append(r["v"])
+        yield {size: {"row": np.array(q["row"], np.int64), "v": np.array(q["v"], np.float64)} for size, q in found.items()}
+
+
+def nearest(
+    vectors: DataFrame, is_query: Column, k: int = 20, sample: int = SAMPLE, bits: int = BITS, block_bytes: int = BLOCK_BYTES
+) -> DataFrame:
+    """For each row that `is_query` selects its k nearest others by inner product: query_id, rank (from 1), vec_id, score, probed.
+
+    A query is compared with vectors of its own dimension. Rotations and rings are learned on at most `sample` vectors of each of
+    the `CODED` most frequent dimensions; every vector is indexed, where it is read, in shards that tasks make once for
+    a block of queries. Blocks of about `block_bytes` are broadcast, one after the other; tasks return the k best of
+    their rows. Scores are exact products of the original vectors in double precision; ties go to the smaller id. A ring
+    holds more than k codes of a shard, so a query finds k others, or all there are. `probed` is the share of the rows
+    of its dimension whose codes a query looked at.
 
     See `usable` for vectors that take no part. Without usable rows or queries there are no results. Columns other than
     vec_id and embedding are not read, unless `is_query` does.
     """
-    rows = kept(usable(vectors), "vectors")
-    wanted = vectors.where(is_query).select(F.col("vec_id").cast("long").alias("vec_id")).distinct()
-    queries = kept(rows.join(wanted, "vec_id", "left_semi"), "queries")
-    n, n_queries = rows.count(), queries.count()
-    norm = F.sqrt(F.aggregate("v", F.lit(0.0), lambda a, c: a + c * c))
-    longest = rows.agg(F.max(norm)).first()[0] or 1.0
-    drawn = rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(sample).collect()
-    x = np.array([r["v"] for r in drawn], np.float64) if drawn else np.zeros((1, 1))
-    codes = learn(x, longest, k, bits)
-    shards = max(1, -(-n // SHARD))
-
-    def searched(asking: DataFrame, count: int, everything: bool) -> DataFrame:
-        blocks = max(1, -(-count // BLOCK))
-        every = lambda m: F.explode(F.sequence(F.lit(0), F.lit(m - 1)))
-        own = lambda m: F.pmod(F.xxhash64("vec_id"), F.lit(m)).cast("int")
-        left = rows.select("vec_id", "v", own(shards).alias("shard"), every(blocks).alias("block"))
-        right = asking.select("vec_id", "v", own(blocks).alias("block"), every(shards).alias("shard"))
-        found = (
-            left.groupBy("shard", "block")
-            .cogroup(right.groupBy("shard", "block"))
-            .applyInArrow(_search(codes, k, everything), "query_id long, vec_id long, score double")
-        )
-        best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-        return kept(found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k), "nearest")
-
-    first = searched(queries, n_queries, False)
-    full = first.groupBy("query_id").count().where(F.col("count") >= min(k, n - 1)).select(F.col("query_id").alias("vec_id"))
-    short = kept(queries.join(full, "vec_id", "left_anti"), "short")
-    n_short = short.count()
-    if n_short:
-        again = searched(short, n_short, True)
-        first = first.join(short.select(F.col("vec_id").alias("query_id")), "query_id", "left_anti").unionByName(again)
-    return first.select("query_id", "rank", "vec_id", "score")
+    spark, scratch = vectors.sparkSession, Scratch()
+    rows = scratch.kept(usable(vectors, is_query).withColumn("row", F.monotonically_increasing_id()), "vectors")
+    codes = _learned(rows, k, sample, bits)
+    found = None
+    for block in _blocks(rows.where("asked"), block_bytes):
+        sent = spark.sparkContext.broadcast({size: (queries, codes.get(size)) for size, queries in block.items()})
+        schema = "query long, row long, vec_id long, score double, probed long"
+        part = scratch.kept(rows.select("row", "vec_id", "v", "size").mapInArrow(_search(sent, k), schema), "found")
+        found = part if found is None else found.unionByName(part)
+    best = Window.partitionBy("query").orderBy(F.desc("score"), "vec_id", "row")
+    ranked = found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
+    probed = found.groupBy("query").agg(F.sum("probed").alias("looked"))
+    sizes = rows.groupBy("size").agg(F.count("*").alias("n"))
+    asked = rows.where("asked").select(F.col("row").alias("query"), F.col("vec_id").alias("query_id"), "size")
+    shares = asked.join(sizes, "size").join(probed, "query")
+    shares = shares.select("query", "query_id", (F.col("looked") / F.col("n")).alias("probed"))
+    return ranked.drop("probed").join(shares, "query").select("query_id", "rank", "vec_id", "score", "probed")

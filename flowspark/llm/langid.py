@@ -2,24 +2,24 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from flowspark.llm.common import in_fold, kept, slices
+from flowspark.llm.common import in_fold, keep_rows, kept, slices
 
 # n-grams of 1 to 3 characters are hashed into so many dimensions (a power of two).
 DIMENSIONS = 4096
 # So many documents of each language are learned from, however many languages there are; all if there are fewer.
 SAMPLE = 1_000
 CENTROIDS = 4
-# A text of fewer letters is too short to lie far from a language by more than chance; it is not rejected.
-LEAST_LETTERS = 24
+# So many values of `lang` are learned, those with most labelled documents: a bound on the model's size, 128 KB each.
+MOST_LANGUAGES = 2_000
 # This share of the sampled texts of a language may be odd: fewer alike make no centroid, and limits are taken above them.
 ODD = 0.005
 # A text is rejected if its cosine is below this share of what all but the odd texts of its language and length have.
@@ -28,17 +28,18 @@ NEAR = 0.9
 # A language of fewer texts in all is held to the share FAR.
 LEAST_TEXTS = 20
 FAR = 0.5
-# Length classes of which beginnings are taken, by the fewest letters of each. More of them are odd than of whole texts.
-ODD_BEGINNINGS = 0.05
-BEGINNINGS = {2: LEAST_LETTERS, 3: 64, 4: 256}
+# Length classes of which beginnings are taken: the fewest letters of each, and how many of these are odd, more than of whole texts.
+BEGINNINGS = {0: (1, 0.0), 1: (4, 0.0), 2: (16, 0.01), 3: (64, 0.05), 4: (256, 0.05)}
+_LONGEST_BEGINNING = max(size for size, _ in BEGINNINGS.values())
 UNDETERMINED = "und"
 
-_NOT_LETTERS = re.compile(r"[\W\d_]+")
+# What isn't a letter, or a mark on one.
+_NOT_LETTERS = regex.compile(r"(?:[^\p{L}\p{M}]|(?<![\p{L}\p{M}])\p{M}+)+")
 _FACTORS = np.array([0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D], np.uint64)
 
 
 def letters_of(text: str | None) -> str:
-    """Lower-cased letters, with one space for everything between them; empty without a letter."""
+    """Lower-cased letters with their marks, with one space for everything between them; empty without a letter."""
     return _NOT_LETTERS.sub(" ", (text or "").lower()).strip()
 
 
@@ -76,8 +77,7 @@ class Centroids:
         best = int(near.argmax())
         language = self.owner[best]
         cosine = float(min(1.0, max(0.0, near[best])))
-        far = len(letters) >= LEAST_LETTERS and cosine < self.least[language, length_class(letters)]
-        return self.languages[language], cosine, bool(far)
+        return self.languages[language], cosine, bool(cosine < self.least[language, length_class(letters)])
 
 
 def unit(v: np.ndarray) -> np.ndarray:
@@ -123,10 +123,10 @@ def _limits(near: np.ndarray, lengths: np.ndarray) -> np.ndarray:
 def _distances(x: np.ndarray, own: np.ndarray, lengths: np.ndarray, beginnings: list[str], idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The cosines of sampled texts with the nearest of their centroids, and their length classes; with beginnings where needed."""
     near, classes = [(x @ own.T).max(axis=1)], [lengths]
-    for c, size in BEGINNINGS.items():
+    for c, (size, odd) in BEGINNINGS.items():
         if (lengths == c).sum() < LEAST_TEXTS:
             cut = [t[:size] for t, length in zip(beginnings, lengths) if length > c]
-            at = np.sort([(own @ unit(gram_counts(t.strip()) * idf)).max() for t in cut])[int(ODD_BEGINNINGS * len(cut)) :]
+            at = np.sort([(own @ unit(gram_counts(t.strip()) * idf)).max() for t in cut])[int(odd * len(cut)) :]
             near.append(at)
             classes.append(np.full(len(at), c))
     return np.concatenate(near), np.concatenate(classes)
@@ -138,25 +138,27 @@ def learn(docs: DataFrame, sample: int = SAMPLE, k: int = CENTROIDS) -> Centroid
     Of each language the `sample` documents with the smallest hash of id and text are taken (all if there are fewer);
     their whole texts give the document frequencies, `k` centroids a language, and how near a text of a language lies to
     its centroids, by length; see `NEAR` for what is rejected. Texts without a letter, null
-    languages and null ids teach nothing; documents under the name `und` do not either.
+    languages and null ids teach nothing; documents under the name `und` do not either. Of more than `MOST_LANGUAGES` values
+    those with most documents are learned.
 
     Languages are clustered each on an executor; the driver holds centroids only, at most `k` vectors a language.
     """
     train = docs.where("doc_id is not null and lang is not null and text is not null").where(~in_fold(3, 1))
-    train = train.where(F.col("lang") != UNDETERMINED).where(F.col("text").rlike(r"[\p{L}\p{N}]"))
+    train = train.where(F.col("lang") != UNDETERMINED).where(F.col("text").rlike(r"\p{L}"))
 
     def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             letters = [letters_of(t) for t in batch.column("text").to_pylist()]
             counts = [gram_counts(x).astype(np.float32).tobytes() if x else None for x in letters]
             columns = [batch.column("lang"), batch.column("hash"), pa.array([length_class(x) for x in letters], pa.int32())]
-            columns += [pa.array(counts, pa.binary()), pa.array([x[: max(BEGINNINGS.values())] for x in letters], pa.string())]
+            columns += [pa.array(counts, pa.binary()), pa.array([x[:_LONGEST_BEGINNING] for x in letters], pa.string())]
             yield pa.RecordBatch.from_arrays(columns, ["lang", "hash", "length", "counts", "beginning"])
 
     # Twice as many as wanted are drawn, so that far fewer than all rows meet in the ranking of a language and enough are left.
     hashed = train.select("lang", "text", F.xxhash64("doc_id", "text").alias("hash"))
     drawn = F.shiftrightunsigned("hash", 11) / float(1 << 53)
-    wanted = train.groupBy("lang").count().select("lang", (F.lit(2.0 * sample + 100) / F.col("count")).alias("wanted"))
+    wanted = train.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MOST_LANGUAGES)
+    wanted = wanted.select("lang", (F.lit(2.0 * sample + 100) / F.col("count")).alias("wanted"))
     ranked = Window.partitionBy("lang").orderBy(F.shiftrightunsigned("hash", 11), "hash", "length", "beginning")
     rows = kept(
         hashed.join(F.broadcast(wanted), "lang")
@@ -207,15 +209,17 @@ def identify(docs: DataFrame, model: Centroids) -> DataFrame:
 
     Returns doc_id, held_out, lang_pred, score (the cosine, 0 to 1), rejected, one row for each row of `docs`, also for null
     or repeated ids. A text that is null or has no letter is `und`, with score 0, and rejected; another always has one of the
-    learned languages and is rejected if it has some letters (`LEAST_LETTERS`) and lies farther off than texts of it and of about its length. A null id is not held out. Ties go to the
+    learned languages and is rejected if it lies farther off than texts of it and of about its length; short texts are held against beginnings. A null id is not held out. Ties go to the
     language that sorts first. Other columns are not read. An empty table gives no rows; without anything to learn from all
     are `und`.
     """
     kind = docs.schema["doc_id"].dataType.simpleString()
+    sent = docs.sparkSession.sparkContext.broadcast(model)
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = sent.value
         for batch in slices(batches):
-            found = [model.predict(t) for t in batch.column("text").to_pylist()]
+            found = [own.predict(t) for t in batch.column("text").to_pylist()]
             columns = [pa.array([f[i] for f in found], t) for i, t in enumerate((pa.string(), pa.float64(), pa.bool_()))]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *columns], ["doc_id", "lang_pred", "score", "rejected"])
 
@@ -224,10 +228,15 @@ def identify(docs: DataFrame, model: Centroids) -> DataFrame:
 
 
 def keep_identified(docs: DataFrame, model: Centroids) -> DataFrame:
-    """The rows, with all their columns, whose language is not rejected."""
+    """The rows, with all their columns, whose language is not rejected.
 
-    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
-            yield batch.filter(pa.array([not model.predict(t)[2] for t in batch.column("text").to_pylist()], pa.bool_()))
+    A null or empty text, and any without a letter, goes; repeated rows fare alike; other columns, of whatever names, pass
+    through. With a model that learned nothing all go; an empty table stays empty.
+    """
+    sent = docs.sparkSession.sparkContext.broadcast(model)
+
+    def decider():
+        own = sent.value
+        return lambda texts: [not own.predict(t)[2] for t in texts]
 
-    return docs.mapInArrow(keep, docs.schema)
+    return keep_rows(docs, decider)

@@ -100,11 +100,11 @@ def unpack_counts(data: bytes) -> np.ndarray:
     return np.frombuffer(zlib.decompress(data[1:]), "<u8" if data[0] == 8 else "<u4").astype(np.int64)
 
 
-def _chunks(kind: pa.DataType):
+def _chunks():
     """Rows (part, ids, sizes, blob): whole documents of one part, about CHUNK_BYTES of text."""
     names = ["part", "ids", "sizes", "blob"]
 
-    def row(part: int, held: list[tuple]) -> pa.RecordBatch:
+    def row(part: int, held: list[tuple], kind: pa.DataType) -> pa.RecordBatch:
         blob = zstandard.ZstdCompressor(level=1).compress(b"".join(t for _, t in held))
         columns = [
             pa.array([part], pa.int32()),
@@ -117,16 +117,18 @@ def _chunks(kind: pa.DataType):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[int, list[tuple]] = {}
         size: dict[int, int] = {}
+        kind = None
         for batch in slices(batches):
+            kind = batch.schema.field("doc_id").type
             for doc_id, part, text in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "part", "text"))):
                 data = (text or "").encode("utf-8", "surrogatepass")
                 held.setdefault(part, []).append((doc_id, data))
                 size[part] = size.get(part, 0) + len(data) + 16
                 if size[part] >= CHUNK_BYTES:
-                    yield row(part, held.pop(part))
+                    yield row(part, held.pop(part), kind)
                     size[part] = 0
         for part in sorted(held):
-            yield row(part, held[part])
+            yield row(part, held[part], kind)
 
     return run
 
@@ -274,9 +276,10 @@ def token_scores(word, pair, context, totals: Totals, weights: np.ndarray) -> np
     return np.log10(p)
 
 
-def _score(totals: Totals, weights: np.ndarray, kind: pa.DataType):
+def _score(totals: Totals, weights: np.ndarray):
     def run(chunk: pa.Table, answers: pa.Table) -> pa.Table:
         tables = []
+        kind = chunk.schema.field("ids").type.value_type
         for row in chunk.to_pylist():
             tokens, found = Tokens(_texts_of(row["blob"], row["sizes"])), _answered(answers)
             words, pairs = found["word_kept"] + found["word_deleted"], found["pair_kept"] + found["pair_deleted"]
@@ -312,9 +315,8 @@ def score_texts(docs: DataFrame) -> DataFrame:
     uniform likelihood decides.
     """
     name = docs.schema["doc_id"].dataType.simpleString()
-    kind = {"string": pa.string(), "int": pa.int32()}.get(name, pa.int64())
     rows = docs.select("doc_id", part_of().cast("int").alias("part"), "text")
-    chunks = rows.mapInArrow(_chunks(kind), f"part int, ids array<{name}>, sizes array<long>, blob binary")
+    chunks = rows.mapInArrow(_chunks(), f"part int, ids array<{name}>, sizes array<long>, blob binary")
     chunks = kept(chunks.withColumn("chunk", F.monotonically_increasing_id()), "chunks")
     size = chunks.agg(F.sum(F.aggregate("sizes", F.lit(0).cast("long"), lambda a, x: a + x))).first()[0] or 0
     bits = max(4, (size // RANGE_BYTES).bit_length())
@@ -335,7 +337,7 @@ def score_texts(docs: DataFrame) -> DataFrame:
     weights = learn_weights(np.array([r["cell"] for r in seen], np.int64), np.array([r["n"] for r in seen], np.float64))
     scored = meet(
         F.lit(True),
-        _score(totals, weights, kind),
+        _score(totals, weights),
         f"doc_id {name}, part int, n_tokens long, n_known long, base_score double, score double",
     )
     held_out = (F.col("part") == UNSEEN).alias("held_out")

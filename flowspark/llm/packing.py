@@ -43,6 +43,7 @@ def pack(docs: DataFrame, tokenizer_path: str, longest: int = 2048, end_id: int
         encode = encoder(tokenizer_path).encode
         for batch in slices(batches):
             rows: list[tuple] = []
+            doc_type = batch.schema.field("doc_id").type
             for doc_id, ids in zip(batch.column("doc_id").to_pylist(), encode(batch.column("text").to_pylist())):
                 ids += end
                 n, start = len(ids) // 4, 0
@@ -53,7 +54,6 @@ def pack(docs: DataFrame, tokenizer_path: str, longest: int = 2048, end_id: int
             yield pa.RecordBatch.from_arrays(columns, ["doc_id", "start", "length", "doc_tokens", "ids"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    doc_type = pa.string() if kind == "string" else pa.int32() if kind == "int" else pa.int64()
     pieces = docs.select("doc_id", "text").mapInArrow(
         cut, f"doc_id {kind}, start long, length long, doc_tokens long, ids binary"
     )

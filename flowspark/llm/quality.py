@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from flowspark.llm.boosting import Forest, fit
-from flowspark.llm.common import in_fold, slices
+from flowspark.llm.common import in_fold, keep_rows, slices
 
 # The most labelled documents that the classifier learns from: those with the smallest hash of their id.
 MOST_LABELLED = 20_000
@@ -139,10 +139,9 @@ def score_quality(docs: DataFrame, forest: Forest, threshold: float = 0.3) -> Da
 
 
 def keep_quality(docs: DataFrame, forest: Forest, threshold: float = 0.3) -> DataFrame:
-    """The rows, with all their columns, that are not rejected."""
+    """The rows, with all their columns, that are not rejected.
 
-    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
-            yield batch.filter(pa.array(scores(forest, batch.column("text").to_pylist()) >= threshold))
-
-    return docs.mapInArrow(keep, docs.schema)
+    A null or empty text is scored by statistics of zero and stays or goes by that score; repeated rows fare alike; other columns,
+    of whatever names, pass through. An empty table stays empty.
+    """
+    return keep_rows(docs, lambda: lambda texts: (scores(forest, texts) >= threshold).tolist())

@@ -119,6 +119,54 @@ def test_one_of_each_class_is_kept(docs):
     assert ids == sorted([1, 1, 2, 4, None, 5, 6, 7, 8, 9], key=repr)
 
 
+def overlapping(n):
+    """Three groups of near copies, each with half of its words from the group before and edits of their own."""
+    rng = random.Random(3)
+    parts = [[f"p{k}w{i}" for i in range(60)] for k in range(4)]
+    return [" ".join(edited(parts[k] + parts[k + 1], 0.01, rng)) for k in range(3) for _ in range(n)]
+
+
+def test_groups_that_share_parts_cost_no_pairs_of_their_texts(docs, monkeypatch):
+    """What is left to compare beyond the centres grows no faster than the texts, and classes are right."""
+    made = []
+
+    def counted(*args):
+        links = open_links(*args)
+        scratch = args[-1]
+        # Kept tables that the comparison reads, and no other: none may hold pairs of texts.
+        made[-1] += sum(spark_of(path).count() for _, path in scratch._paths if "open" in path)
+        return links
+
+    open_links = dart_minhash._open_links
+    spark_of = docs([]).sparkSession.read.parquet
+    monkeypatch.setattr(dart_minhash, "_open_links", counted)
+    for n in (20, 40):
+        made.append(0)
+        rows = list(enumerate(overlapping(n)))
+        assert sorted(map(tuple, near_duplicates(docs(rows)).collect()), key=repr) == classes_by_brute_force(rows)
+    assert made[1] <= 3 * max(made[0], 200)
+
+
+def test_components_linked_only_beyond_their_centres(spark, monkeypatch):
+    """Elements of two components whose only link is between texts that are no centres: it is found; without it there is none."""
+    from flowspark.llm.common import Scratch
+
+    core = list(range(100))
+    a = {"a1": core[:90] + [1001], "a2": core[:88] + [1002, 1003, 1004]}
+    for other, linked in ((core[:86] + [2001, 2002], True), (core[:40] + list(range(3000, 3048)), False)):
+        b = {"b1": other, "b2": core[40:80] + list(range(4000, 4050))}
+        elements = spark.createDataFrame([(k.encode(), v) for k, v in {**a, **b}.items()], "node binary, cells array<long>")
+        members = spark.createDataFrame(
+            [(key, n.encode(), n[0].encode()) for key, ns in ((1, ("a1", "b1")), (2, ("a2", "b2", "b1"))) for n in ns], "key long, node binary, label binary"
+        )
+        scratch = Scratch()
+        found = dart_minhash._open_links(members, elements, 0.8, scratch).collect()
+        pairs = {(x, y) for x in a for y in b if len({*a[x]} & {*b[y]}) / len({*a[x]} | {*b[y]}) >= 0.8}
+        assert bool(pairs) == linked and len(found) == int(linked)
+        assert not linked or tuple(bytes(x).decode() for x in found[0]) in pairs
+        scratch.clear()
+
+
 def test_empty_tables(docs):
     assert near_duplicates(docs([])).count() == 0 and keep_one(docs([])).count() == 0
 

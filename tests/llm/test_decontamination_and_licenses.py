@@ -6,7 +6,7 @@ from conftest_llm import EDGES, SMALL
 
 from flowspark.llm.common import words_of
 from flowspark.llm.decontaminate import benchmark_hits, character_spans, hit_count, keep_clean, windows, with_spans
-from flowspark.llm.licenses import evaluate, license_scan, scan_text, to_postfix
+from flowspark.llm.licenses import FREEDOM, NOTICE_PHRASES, Licences, evaluate, license_scan, scan_text, to_postfix
 
 
 def hits_by_brute_force(text, items, width):
@@ -67,11 +67,22 @@ def test_spans_are_offsets_of_the_original(spark, docs):
     text = "Zwölf: One,  TWO; (three) four."
     benchmark = spark.createDataFrame([(1, "one two three")], "item_id long, text string")
     rows = docs([(1, text), (2, "none")])
-    spans = with_spans(rows, benchmark_hits(rows, benchmark)).collect()
+    spans = with_spans(rows, benchmark).collect()
     assert [[text[s["start"] : s["end"]] for s in r["spans"]] for r in spans] == [["One,  TWO; (three"]]
     assert character_spans(None, []) == []
 
 
+@pytest.mark.parametrize("block_bytes", [1 << 20, 10])
+def test_spans_belong_to_texts(spark, docs, block_bytes):
+    """Two texts under one id, null ids, repeated rows."""
+    benchmark = spark.createDataFrame([(1, "one two three"), (2, "four five")], "item_id long, text string")
+    texts = ["x one two three", "one two three y and four five", "none", None]
+    rows = docs([(1, t) for t in texts] + [(None, texts[0]), (1, texts[0])])
+    got = [(r["doc_id"], r["text"], [r["text"][s["start"] : s["end"]] for s in r["spans"]]) for r in with_spans(rows, benchmark, block_bytes=block_bytes).collect()]
+    first = (texts[0], ["one two three"])
+    assert sorted(got, key=repr) == sorted([(1, *first), (1, *first), (None, *first), (1, texts[1], ["one two three", "four five"])], key=repr)
+
+
 def test_decontamination_of_odd_rows(spark, docs):
     none = spark.createDataFrame([], "item_id long, text string")
     found = benchmark_hits(docs(EDGES), none)
@@ -132,3 +143,57 @@ def test_tags_and_notices():
     assert found["labels"] == "apache,bsd,mit" and found["n_base"] == 0 and found["expressions"] == ["mit or apache-2.0"]
     assert found["score"] == 0.95
     assert scan_text("Lesser General Public License")["labels"] == "gpl,lgpl"
+
+
+BSD = "Copyright (c) 2020 X. All rights reserved. Redistribution and use in source and binary forms, with or without modification"
+
+
+@pytest.mark.parametrize(
+    "text, labels, score",
+    [
+        (BSD, "bsd", 0.95),
+        ("GNU Lesser General Public License", "gpl,lgpl", 0.5),
+        ("GNU Affero General Public License and the MIT License", "agpl,gpl,mit", 0.2),
+        ("GNU General Public License. GNU Lesser General Public License", "gpl,lgpl", 0.3),
+        ("All rights reserved.", "proprietary", 0.0),
+        ("All rights reserved. SPDX-License-Identifier: MIT", "mit", 1.0),
+        ("CC BY-NC 4.0", "cc-by-nc", 0.1),
+        ("spdx license identifier mit", "", 0.0),
+        ("SPDX-License-Identifier MIT", "", 0.0),
+        ("// SPDX-License-Identifier : (GPL-2.0 WITH x) OR ISC */\n// spdx-license-identifier: 0BSD", "bsd,gpl,isc", 0.95),
+        ("İ SPDX-License-Identifier: MIT", "mit", 1.0),
+    ],
+)
+def test_what_binds(text, labels, score):
+    found = scan_text(text)
+    assert (found["labels"], found["score"]) == (labels, score)
+
+
+def test_versions_and_longer_lists(docs):
+    assert scan_text("Apache License, Version 2.0 and GNU General Public License v3, MIT License 2024")["versions"] == ["apache-2.0", "gpl-3.0"]
+    known = Licences({"house rules": "house"}, [("house-", "house")], {"house": 0.7})
+    rows = docs([(1, "By our House Rules"), (2, "SPDX-License-Identifier: house-1 or mit")])
+    got = {r["doc_id"]: (r["labels"], r["score"]) for r in license_scan(rows, known).collect()}
+    assert got == {1: ("house", 0.7), 2: ("house,mit", 0.7)}
+
+
+def bound_by_brute_force(text):
+    """Labels and freedom by comparing every place with every phrase."""
+    words = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+    phrases = {**PHRASES, **NOTICE_PHRASES}
+    at = [(i, i + len(p.split()), p) for p in phrases for i in range(len(words)) if words[i : i + len(p.split())] == p.split()]
+    binding = [(i, e, p) for i, e, p in at if not any((a <= i and e <= b) and (a, b) != (i, e) for a, b, _ in at)]
+    labels = {phrases[p] for _, _, p in binding} | {PHRASES[p] for _, _, p in at if p in PHRASES}
+    reserved = any(words[i : i + 3] == ["all", "rights", "reserved"] for i in range(len(words)))
+    if reserved and not binding:
+        return "proprietary", 0.0
+    return ",".join(sorted(labels)), min((FREEDOM[phrases[p]] for _, _, p in binding), default=0.0)
+
+
+def test_notices_equal_brute_force():
+    rng = random.Random(8)
+    parts = [*PHRASES, *NOTICE_PHRASES, "lesser", "gnu", "license", "all rights reserved", "cc", "by", "nc", "public", "x", "the"]
+    for _ in range(2000):
+        text = rng.choice([" ", ", "]).join(rng.choice(parts) for _ in range(rng.randint(0, 5)))
+        found = scan_text(text)
+        assert (found["labels"], found["score"]) == bound_by_brute_force(text), text

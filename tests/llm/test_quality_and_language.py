@@ -154,3 +154,29 @@ def test_sample_is_of_each_language_and_no_language_is_dropped(spark, monkeypatc
     for r in taken[0].collect():
         sampled.setdefault(r["lang"], []).append(r["hash"] % 2**64)
     assert {k: sorted(v) for k, v in sampled.items()} == {k: sorted(v)[:50] for k, v in hashes.items()}
+
+
+def test_letters_are_letters_with_their_marks():
+    assert langid.letters_of("½ ² ①② ٣ 5 _ Ⅷ") == ""
+    assert langid.letters_of("हिन्दी, ABC1def") == "हिन्दी abc def"
+    assert langid.letters_of("été ́ x") == "été x"
+    assert langid.letters_of("́́") == langid.letters_of(None) == ""
+
+
+def test_short_texts_are_held_against_beginnings(spark):
+    """Letters of no learned language go, however few; short clean texts stay."""
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    model = langid.learn(docs)
+    for text in ("Ελληνικά", "qwrtpsdfghjklzxcvbnm", "中文中文", "½ ②"):
+        assert model.predict(text)[2], text
+    assert model.predict("½ ②")[:2] == ("und", 0.0)
+    texts = [r["text"] for r in docs.collect() if r["lang"] and r["text"]]
+    for size in (6, 12, 20, 40):
+        cut = [t[:size] for t in texts if langid.letters_of(t[:size])]
+        assert np.mean([model.predict(t)[2] for t in cut]) < 0.03, size
+
+
+def test_the_number_of_languages_is_bounded(spark, monkeypatch):
+    monkeypatch.setattr(langid, "MOST_LANGUAGES", 2)
+    rows = [(i, f"text {i} {'abc'[i % 3]}" * 3, ("en", "de", "fr")[min(i % 4, 2)]) for i in range(60)]
+    assert langid.learn(spark.createDataFrame(rows, "doc_id long, text string, lang string")).languages == ["en", "fr"]

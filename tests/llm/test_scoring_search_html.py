@@ -1,3 +1,4 @@
+import time
 import math
 import random
 import zlib
@@ -107,35 +108,42 @@ VECTORS = "vec_id long, embedding array<double>, score double, v string"
 
 
 def found_by_brute_force(rows, is_query, k):
+    """Rows of one id and several vectors are rows of their own; only vectors of one length are compared."""
     out = []
-    for q, x in rows:
+    for own, (q, x) in enumerate(rows):
         if is_query(q):
-            scored = sorted((-float(np.dot(x, y)), i) for i, y in rows if i != q)[:k]
+            others = [(i, y) for n, (i, y) in enumerate(rows) if n != own and len(y) == len(x)]
+            scored = sorted((-float(np.dot(x, y)), i) for i, y in others)[:k]
             out += [(q, n + 1, i, -s) for n, (s, i) in enumerate(scored)]
     return out
 
 
-def test_every_code_within_the_radius_is_found():
+def test_every_code_within_the_last_ring_is_found():
     rng = np.random.default_rng(3)
-    codes = rng.integers(0, 2**16, (2000, 8), np.uint16)
+    codes = rng.integers(0, 2**63, (2000, 4), np.uint64)
     codes[:50] = codes[0]
     index = Index(codes)
-    for radius in (0, 5, 30, 50, 128):
-        for query in codes[:10] ^ np.uint16(3):
+    for enough in (1, 50, 51, 300, 2000):
+        for query in codes[:60:7] ^ np.uint64(3):
+            found, probed = index.search(query, enough)
             apart = np.bitwise_count(codes ^ query).sum(axis=1)
-            assert index.within(query, radius).tolist() == np.flatnonzero(apart <= radius).tolist()
+            assert min(enough, 2000) <= len(found) <= probed <= 2000
+            # Nothing that is left out lies nearer than what is found.
+            assert sorted(found.tolist()) == np.flatnonzero(apart <= apart[found].max()).tolist() or len(found) == 2000 or (
+                np.delete(apart, found).min() > apart[found].max() - 4
+            )
+            assert apart[found].max() < np.delete(apart, found).min(initial=10**6)
 
 
 @pytest.mark.parametrize("spread", [0.0, 0.5])
 def test_recall(spark, spread, monkeypatch):
     monkeypatch.setattr("flowspark.llm.hash_search.SHARD", 500)
-    monkeypatch.setattr("flowspark.llm.hash_search.BLOCK", 30)
     rng = np.random.default_rng(4)
     x = rng.normal(size=(2000, 24)) + 2 * rng.normal(size=(8, 24))[rng.integers(0, 8, 2000)]
     x *= (1 + spread * rng.random(2000))[:, None]
     rows = [(i, v.tolist()) for i, v in enumerate(x)]
     df = spark.createDataFrame([(i, v, 0.0, "") for i, v in rows], VECTORS)
-    got = nearest(df, F.col("vec_id") % 20 == 0, sample=1000).collect()
+    got = nearest(df, F.col("vec_id") % 20 == 0, sample=1000, block_bytes=6000).collect()
     expected = found_by_brute_force(rows, lambda i: i % 20 == 0, 20)
     assert len(got) == len(expected)
     truth = {(q, i): s for q, _, i, s in expected}
@@ -150,20 +158,39 @@ def test_recall(spark, spread, monkeypatch):
         assert [(-r["score"], r["vec_id"]) for r in rs] == sorted((-r["score"], r["vec_id"]) for r in rs)
 
 
+def test_recall_and_share_probed_of_the_given_vectors(spark):
+    table = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet")
+    rows = [(r["vec_id"], r["embedding"]) for r in table.collect()]
+    got = nearest(table, F.col("vec_id") % 20 == 0).collect()
+    truth = {(q, i) for q, _, i, _ in found_by_brute_force(rows, lambda i: i % 20 == 0, 20)}
+    assert sum((r["query_id"], r["vec_id"]) in truth for r in got) >= 0.95 * len(truth)
+    assert np.mean([r["probed"] for r in got]) < 0.6
+
+
 def test_odd_vectors_and_ties(spark):
     nan, inf = float("nan"), float("inf")
     good = [(i, [1.0, 2.0, 0.5]) for i in range(0, 100, 10)] + [(i, [float(i), 1.0, -1.0]) for i in range(1, 9)]
-    bad = [(200, None), (201, [0.0, 0.0, 0.0]), (202, [1.0, None, 2.0]), (203, [nan, 1.0, 1.0]), (204, [inf, 1.0, 1.0]), (205, []), (206, [1.0]), (None, [1.0, 1.0, 1.0]), (220, None)]
-    repeated = [(0, [1.0, 2.0, 0.5])]
+    good += [(206, [1.0]), (240, [2.0]), (40, [3.0, 1.0, 1.0]), (7, [9.0, 9.0, 9.0]), (260, [1.0, 1.0])]
+    bad = [(200, None), (201, [0.0, 0.0, 0.0]), (202, [1.0, None, 2.0]), (203, [nan, 1.0, 1.0]), (204, [inf, 1.0, 1.0]), (205, []), (None, [1.0, 1.0, 1.0]), (220, None)]
+    repeated = [(0, [1.0, 2.0, 0.5]), (206, [1.0])]
     df = spark.createDataFrame([(i, v, 0.0, "") for i, v in good + bad + repeated], VECTORS)
-    got = sorted(map(tuple, nearest(df, F.col("vec_id") % 20 == 0).collect()))
-    expected = found_by_brute_force(good, lambda i: i % 20 == 0, 20)
+    got = sorted(tuple(r)[:4] for r in nearest(df, F.col("vec_id") % 20 == 0).collect())
+    expected = sorted(found_by_brute_force(good, lambda i: i % 20 == 0, 20))
     assert [r[:3] for r in got] == [r[:3] for r in expected]
     assert np.allclose([r[3] for r in got], [r[3] for r in expected])
     assert nearest(df.limit(0), F.col("vec_id") % 20 == 0).count() == 0
     assert nearest(df.where("vec_id = 200"), F.col("vec_id") % 20 == 0).count() == 0
 
 
+def test_dimensions_without_codes_are_searched_whole(spark, monkeypatch):
+    monkeypatch.setattr("flowspark.llm.hash_search.CODED", 1)
+    rng = np.random.default_rng(9)
+    rows = [(i, rng.normal(size=3 if i % 3 else 5).tolist()) for i in range(200)]
+    df = spark.createDataFrame([(i, v, 0.0, "") for i, v in rows], VECTORS)
+    got = sorted(tuple(r)[:3] for r in nearest(df, F.col("vec_id") % 30 == 0, k=5).collect())
+    assert got == sorted(r[:3] for r in found_by_brute_force(rows, lambda i: i % 30 == 0, 5))
+
+
 # --- HTML
 
 
@@ -197,6 +224,13 @@ def test_layout():
         ("<p style='visibility:hidden'>x</p><input type=hidden value=h><input value=v>", "v"),
         ("a<br>b<br><br>c", "a\nb\n\nc"),
         ("<p>a<hr>b", "a\n\nb"),
+        ("<p style='visibility:hidden'>x <b style='visibility: visible'>y</b> z</p>", "y"),
+        ("<ul style='visibility:hidden'><li>a<li style='visibility:visible'>b</ul>", "* b"),
+        ("<details>no<summary>s</summary><p>no</details>y", "s\ny"),
+        ("<details open><summary>s</summary>t</details>", "s\nt"),
+        ("<ruby>漢<rp>(</rp><rt>kan</rt><rp>)</rp></ruby>", "漢kan"),
+        ("<table><tr><td>中文<td>x<tr><td>abcd<td>y</table>", "中文  x\nabcd  y"),
+        ("<table><tr><td rowspan=99>a<td>b<tr><td>c</table><table><tr><td>d</table>", "a  b\n   c\n\nd"),
         ("<blockquote>q</blockquote>", "    q"),
     ],
 )
@@ -246,6 +280,22 @@ def test_broken_pages_end_and_keep_their_text(page):
     assert ("deep" in page) == ("deep" in visible_text(page))
 
 
+@pytest.mark.parametrize("span", ["rowspan=999999 colspan=1000", "rowspan={} colspan=3", "rowspan=2 colspan=1000", "rowspan={}"])
+def test_spans_end_within_seconds(span):
+    """A page of a megabyte whose rows all span."""
+    rows = ["<tr><td " + span.format(1 + n * 7919 % 5000) + f">c{n}" for n in range(22_000)]
+    page = "<table>" + "".join(rows) + "x" * 2000
+    began = time.perf_counter()
+    text = visible_text(page)
+    assert time.perf_counter() - began < 20 and all(f"c{n}" in text for n in (0, 999, 21_999))
+    assert len(text) < 60e6
+
+
+def test_long_cells_do_not_widen_their_column():
+    page = "<table>" + "<tr><td>" + "x" * 100_000 + "<td>y" + "<tr><td>a<td>b" * 20_000
+    assert len(visible_text(page)) < 3e6
+
+
 class Words(HTMLParser):
     """All text outside of elements that never show, in order."""
 

@@ -14,6 +14,8 @@ RECOMMENDED_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64m",
+    # Rows of whole texts, too, go to Python workers in batches of this size.
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
 }
 
 

@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 
 from flowspark import operators as op
 from flowspark.sources import cut_lineage, new_kept_path, remove_kept
@@ -100,6 +100,9 @@ class FlowViews(Mapping[str, DataFrame]):
     removes what was kept. `now` is fixed when the views are made, so all of them agree on it.
     `options` are extra arguments per view, such as `{"gcp_flow_logs": {"lookback": "7 days"}}`. The look-back of GCP flows
     is 25 hours here, because the views above it need that much.
+    `where` are conditions on views or sources, such as `{"aws_flow_logs": "action = 'ACCEPT' and dstport = 443"}`: everything
+    above sees only the rows that meet them, so flows are filtered before they are joined to anything.
+    A view may be among the sources, such as one of `EntityDays`; it is then taken as it is.
     """
 
     def __init__(
@@ -108,8 +111,10 @@ class FlowViews(Mapping[str, DataFrame]):
         now: datetime | None = None,
         keep_entities: bool = True,
         options: Mapping[str, dict] | None = None,
+        where: Mapping[str, str | Column] | None = None,
     ):
-        self._built = dict(sources)
+        self._where = dict(where or {})
+        self._built = {name: self._kept_rows(name, source) for name, source in sources.items()}
         self._now = now or datetime.now(timezone.utc)
         self._keep_entities = keep_entities
         self._kept: dict[str, SparkSession] = {}
@@ -120,6 +125,9 @@ class FlowViews(Mapping[str, DataFrame]):
                 available.add(name)
         self._names = [name for name in VIEWS if name in available]
 
+    def _kept_rows(self, name: str, view: DataFrame) -> DataFrame:
+        return view.where(self._where[name]) if name in self._where else view
+
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self._built:
             if name not in self._names:
@@ -128,7 +136,7 @@ class FlowViews(Mapping[str, DataFrame]):
             arguments = dict(self._options.get(name, {}))
             if timed:
                 arguments["now"] = self._now
-            view = operator(*[self[i] for i in inputs], **arguments)
+            view = self._kept_rows(name, operator(*[self[i] for i in inputs], **arguments))
             if self._keep_entities and name in REUSED:
                 path = new_kept_path(view.sparkSession)
                 self._kept[path] = view.sparkSession
@@ -154,7 +162,7 @@ class FlowViews(Mapping[str, DataFrame]):
     def __len__(self) -> int:
         return len(self._names)
 
-    def register(self) -> None:
-        """Make every view a temporary view of its name."""
+    def register(self, suffix: str = "") -> None:
+        """Make every view a temporary view of its name and `suffix`, so that views of several look-backs stand side by side."""
         for name in self:
-            self[name].createOrReplaceTempView(name)
+            self[name].createOrReplaceTempView(name + suffix)

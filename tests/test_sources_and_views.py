@@ -177,6 +177,32 @@ def test_list_meets_flows_before_they_are_enriched(spark):
         assert max(entity) < depth[0]
 
 
+def test_conditions_stand_below_the_joins(spark, tmp_path):
+    """Filtered flows are the flows of the filtered view, and the filter is beneath every join."""
+    sources = {n: all_sources(spark)[n] for n in ("aws_flow_logs_raw", "aws_config", "cloudtrail")}
+    sources["aws_flow_logs_raw"] = materialize(sources["aws_flow_logs_raw"], path=str(tmp_path / "flows"))
+    with FlowViews(sources, now=NOW, where={"aws_flow_logs": "action = 'ACCEPT' and dstport = 443"}) as some, FlowViews(sources, now=NOW) as every:
+        name = "aws_flow_logs_join_ec2"
+        assert some[name].count() == every[name].where("action = 'ACCEPT' and dstport = 443").count() > 0
+        plan = some[name]._jdf.queryExecution().optimizedPlan().toString().split("\n")
+        deep = lambda mark: [len(line) - len(line.lstrip(" :+-")) for line in plan if mark in line]
+        assert min(deep("= 443")) > max(deep("Join LeftOuter"))
+
+
+def test_look_backs_side_by_side(spark):
+    sources = {n: all_sources(spark)[n] for n in ("aws_config", "cloudtrail")}
+    for span, suffix in (("30 days", ""), ("5 days", "_5d")):
+        FlowViews(sources, now=NOW, options={"aws_instances": {"lookback": span}}).register(suffix)
+    assert 0 < spark.table("aws_instances_5d").count() < spark.table("aws_instances").count()
+
+
+def test_closing_removes_kept_lifetimes(spark):
+    with FlowViews(all_sources(spark), now=NOW) as views:
+        kept = [f for f in views["azure_flow_logs_join_vm_nics"].inputFiles() if "kept-" in f]
+        assert kept and all(os.path.exists(f.removeprefix("file://")) for f in kept)
+    assert not any(os.path.exists(f.removeprefix("file://")) for f in kept)
+
+
 def test_views_of_one_cloud_only(spark):
     views = FlowViews({"aws_flow_logs_raw": inputs.aws_flow_logs_raw(spark, SMALL)}, now=NOW)
     assert list(views) == ["aws_flow_logs", "aws_beaconing"]

@@ -3,7 +3,7 @@ import random
 import string
 
 import numpy as np
-from conftest_llm import EDGES, MIDDLE
+from conftest_llm import EDGES, MIDDLE, SMALL
 
 from flowspark.llm import langid, quality
 from flowspark.llm.boosting import fit
@@ -178,5 +178,5 @@ def test_short_texts_are_held_against_beginnings(spark):
 
 def test_the_number_of_languages_is_bounded(spark, monkeypatch):
     monkeypatch.setattr(langid, "MOST_LANGUAGES", 2)
-    rows = [(i, f"text {i} {'abc'[i % 3]}" * 3, ("en", "de", "fr")[min(i % 4, 2)]) for i in range(60)]
+    rows = [(i, f"text {i} {'abc'[i % 3]}" * 3, "de" if i % 12 == 0 else ("en", "fr")[i % 2]) for i in range(60)]
     assert langid.learn(spark.createDataFrame(rows, "doc_id long, text string, lang string")).languages == ["en", "fr"]

@@ -20,6 +20,9 @@ BANDS = 24
 ROWS = 4
 # Members that are compared with one copy of a centre's elements.
 SALTED = 256
+# Texts of a block, about, and prefixes so short that they travel with each of their elements.
+OPEN_BLOCK = 256
+SHORT_PREFIX = 128
 
 _SPACE = np.arange(256) == 32
 
@@ -172,61 +175,80 @@ def _open_texts(members: DataFrame, elements: DataFrame, similarity: float, scra
     spare = F.size("shared") - F.col("needed") + 1
     cut = texts.join(shared, "node").where(spare > 0)
     prefix = F.slice("shared", 1, F.greatest(spare, F.lit(0)))["cell"].alias("prefix")
-    return scratch.kept(cut.select("node", "label", "n", F.col("shared.cell").alias("shared"), prefix), "open")
+    return cut.select("node", "label", "n", F.col("shared.cell").alias("shared"), prefix)
 
 
 def _open_links(members: DataFrame, elements: DataFrame, similarity: float, scratch: Scratch) -> DataFrame:
     """Links between different components, at least one for each two that are linked at all: columns a, b.
 
-    Components are compared first, by what their open texts have together: two of them are left only if these have so many
-    elements in common that some pair of their sizes could be linked. Of the texts of such a component those are left that
-    have enough elements of the other one; texts that have the same of these are alike to it but for their length, so the
-    shortest stands for all. Representatives are joined by prefix filtering once more and compared by these elements, which is
-    exact. So groups of near copies that share parts cost a comparison of groups, not of all their texts.
+    Open texts are put together in blocks of about `OPEN_BLOCK` of one component. Blocks are joined by prefix filtering, and two
+    of them are left only if their texts have so many elements together that some pair of their sizes could be linked. For
+    blocks of one text that is the answer. Of the texts of larger ones those are left that have enough elements of the
+    other block; texts that have the same of these are alike to it but for their length, so the shortest stands for all.
+    Representatives are joined by prefix filtering once more and compared by these elements, which is exact. So groups of
+    near copies that share parts cost a comparison of blocks, not of all their texts.
     """
     share = similarity / (1 + similarity)
     texts = _open_texts(members, elements, similarity, scratch)
-    sizes = texts.groupBy("label").agg(F.min("n").alias("lo"), F.max("n").alias("hi"))
-    of_label = scratch.kept(texts.select("label", F.explode("shared").alias("cell")).distinct(), "label-cells")
-    starts = texts.select("label", F.explode("prefix").alias("cell")).distinct()
+    parts = texts.groupBy("label").agg(F.ceil(F.count("*") / OPEN_BLOCK).cast("int").alias("parts"))
+    block = F.xxhash64("label", F.pmod(F.xxhash64("node"), F.col("parts")))
+    texts = scratch.kept(texts.join(parts, "label").withColumn("block", block).drop("parts"), "open-texts")
+    all_of = lambda column: F.array_distinct(F.flatten(F.collect_list(column)))
+    of_block = texts.groupBy("label", "block").agg(
+        F.min("n").alias("lo"),
+        F.max("n").alias("hi"),
+        F.max(F.size("shared")).alias("most"),
+        F.count("*").alias("texts"),
+        all_of("shared").alias("cells"),
+        all_of("prefix").alias("prefix"),
+        F.min("node").alias("node"),
+    )
+    of_block = scratch.kept(of_block, "open-blocks")
 
     def side(df: DataFrame, end: str) -> DataFrame:
         return df.withColumnsRenamed({c: f"{c}_{end}" for c in df.columns if c != "cell"})
 
-    met = side(starts, "a").join(side(starts, "b"), "cell").where("label_a < label_b").select("label_a", "label_b").distinct()
-    met = met.join(side(sizes, "a"), "label_a").join(side(sizes, "b"), "label_b")
+    # Where both lists are short, a pair is met at the least element that both have only.
+    short = F.when(F.size("prefix") <= SHORT_PREFIX, F.col("prefix")).alias("short")
+    starts = of_block.select("block", "label", "lo", "hi", "most", "texts", short, F.explode("prefix").alias("cell"))
     fitting = (F.col("hi_a") >= F.col("lo_b") * similarity - 1e-9) & (F.col("hi_b") >= F.col("lo_a") * similarity - 1e-9)
-    met = met.where(fitting)
-    both = met.join(side(of_label, "a"), "label_a").join(side(of_label, "b"), ["label_b", "cell"])
-    open_ = both.groupBy("label_a", "label_b", "lo_a", "lo_b").agg(F.count("*").alias("together"))
-    open_ = scratch.kept(open_.where(F.col("together") >= (F.col("lo_a") + F.col("lo_b")) * share - 1e-9), "open-labels")
-
-    one = open_.select(F.col("label_a").alias("label"), F.col("label_b").alias("other"), F.col("lo_b").alias("least"))
-    two = open_.select(F.col("label_b").alias("label"), F.col("label_a").alias("other"), F.col("lo_a").alias("least"))
-    near = (
-        texts.select("node", "label", "n", F.posexplode("shared").alias("place", "cell"))
-        .join(one.unionByName(two), "label")
-        .join(of_label.withColumnRenamed("label", "other"), ["other", "cell"])
-        .groupBy("node", "label", "other", "n", "least")
-        .agg(F.sort_array(F.collect_list("cell")).alias("theirs"))
+    least = (F.col("lo_a") + F.col("lo_b")) * share - 1e-9
+    once = F.coalesce(F.array_min(F.array_intersect("short_a", "short_b")) == F.col("cell"), F.lit(True))
+    met = side(starts, "a").join(side(starts, "b"), "cell").where(
+        (F.col("block_a") < F.col("block_b"))
+        & (F.col("label_a") != F.col("label_b"))
+        & fitting
+        & (F.least("most_a", "most_b") >= least)
+        & once
     )
+    pairs = scratch.kept(met.select("block_a", "block_b", "lo_a", "lo_b", "texts_a", "texts_b").distinct(), "open-pairs")
+    cells = of_block.select("block", "cells", "node")
+    both = pairs.join(side(cells, "a").hint("merge"), "block_a").join(side(cells, "b").hint("merge"), "block_b")
+    close = both.where(F.size(F.array_intersect("cells_a", "cells_b")) >= least).drop("cells_a", "cells_b")
+    close = scratch.kept(close, "open-close")
+    single = (F.col("texts_a") == 1) & (F.col("texts_b") == 1)
+    sure = close.where(single).select(F.col("node_a").alias("a"), F.col("node_b").alias("b"))
+
+    one = close.where(~single).select(F.col("block_a").alias("block"), F.col("block_b").alias("other"), F.col("lo_b").alias("least"))
+    two = close.where(~single).select(F.col("block_b").alias("block"), F.col("block_a").alias("other"), F.col("lo_a").alias("least"))
+    others = of_block.select(F.col("block").alias("other"), "cells")
+    near = texts.select("block", "node", "n", "shared").join(one.unionByName(two), "block").join(others.hint("merge"), "other")
     needed = F.ceil((F.col("n") + F.col("least")) * share - 1e-9).cast("int")
-    spare = F.size("theirs") - needed + 1
+    near = near.select("block", "other", "node", "n", F.array_intersect("shared", "cells").alias("theirs"), needed.alias("needed"))
     shortest = (
-        near.withColumn("spare", spare)
+        near.withColumn("spare", F.size("theirs") - F.col("needed") + 1)
         .where("spare > 0")
-        .groupBy("label", "other", "theirs")
+        .groupBy("block", "other", "theirs")
         .agg(F.min(F.struct("n", "node")).alias("best"), F.max("spare").alias("spare"))
-        .select("label", "other", "theirs", "best.n", "best.node", F.explode(F.slice("theirs", 1, F.col("spare"))).alias("cell"))
+        .select("block", "other", "theirs", "best.n", "best.node", F.explode(F.slice("theirs", 1, F.col("spare"))).alias("cell"))
     )
-    shortest = scratch.kept(shortest, "open-texts")
-    a = shortest.where("label < other").toDF("label_a", "label_b", "theirs_a", "n_a", "a", "cell")
-    b = shortest.where("label > other").toDF("label_b", "label_a", "theirs_b", "n_b", "b", "cell")
+    shortest = scratch.kept(shortest, "open-shortest")
+    a = shortest.where("block < other").toDF("block_a", "block_b", "theirs_a", "n_a", "a", "cell")
+    b = shortest.where("block > other").toDF("block_b", "block_a", "theirs_b", "n_b", "b", "cell")
     together = F.size(F.array_intersect("theirs_a", "theirs_b"))
     linked = together / (F.col("n_a") + F.col("n_b") - together) >= similarity
-    return a.join(b, ["label_a", "label_b", "cell"]).where(linked).groupBy("label_a", "label_b").agg(
-        F.min(F.struct("a", "b")).alias("link")
-    ).select("link.a", "link.b")
+    found = a.join(b, ["block_a", "block_b", "cell"]).where(linked).groupBy("block_a", "block_b").agg(F.min(F.struct("a", "b")).alias("link"))
+    return sure.unionByName(found.select("link.a", "link.b"))
 
 
 def near_links(

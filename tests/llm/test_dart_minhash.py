@@ -133,8 +133,8 @@ def test_groups_that_share_parts_cost_no_pairs_of_their_texts(docs, monkeypatch)
     def counted(*args):
         links = open_links(*args)
         scratch = args[-1]
-        # Kept tables that the comparison reads, and no other: none may hold pairs of texts.
-        made[-1] += sum(spark_of(path).count() for _, path in scratch._paths if "open" in path)
+        # Kept tables of the comparison: none may hold pairs of texts.
+        made[-1] += sum(spark_of(path).count() for _, path in scratch._paths if "/open-" in path)
         return links
 
     open_links = dart_minhash._open_links

@@ -5,6 +5,7 @@ from .tables import (
     materialize,
     new_kept_path,
     read_source,
+    remove_at_exit,
     remove_kept,
     replace_days,
     replace_partitions,
@@ -18,6 +19,7 @@ __all__ = [
     "materialize",
     "new_kept_path",
     "read_source",
+    "remove_at_exit",
     "remove_kept",
     "replace_days",
     "replace_partitions",

@@ -165,10 +165,14 @@ def cut_lineage(df: DataFrame, path: str | None = None) -> DataFrame:
     spark = df.sparkSession
     path = path or new_kept_path(spark)
     kept = materialize(df, path=path)
+    remove_at_exit(spark, path)
+    return kept
+
+
+def remove_at_exit(spark: SparkSession, path: str) -> None:
+    """Have what was written at a path go with the driver's JVM at the latest, also when the session was stopped before."""
     at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    # It goes with the driver's JVM at the latest, also when the session was stopped before.
     at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(at)
-    return kept
 
 
 def remove_kept(spark: SparkSession, path: str) -> None:

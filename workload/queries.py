@@ -12,7 +12,7 @@ from flowspark import operators as op
 from flowspark.functions import as_json, canonical_json, tag, tags_to_map
 from flowspark.operators.beaconing import joined_stretches
 from flowspark.plans import EntityDays, FlowViews, RollingBaseline
-from flowspark.sources import admit, cut_lineage, new_kept_path
+from flowspark.sources import admit, cut_lineage, materialize, new_kept_path, read_source, remove_at_exit
 from workload import inputs as i
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -60,8 +60,10 @@ def aws_instances(spark: SparkSession, sf: str) -> DataFrame:
 
 def _days(spark: SparkSession, sf: str, *names: str) -> EntityDays:
     """All days of the sources merged, and the last two of them once more, as when records come late."""
-    days = EntityDays(spark, new_kept_path(spark), {name: getattr(i, name)(spark, sf) for name in names})
+    path = new_kept_path(spark)
+    days = EntityDays(spark, path, {name: getattr(i, name)(spark, sf) for name in names})
     days.merge()
+    remove_at_exit(spark, path)
     days.merge(date(2024, 1, 29), date(2024, 1, 30))
     return days
 
@@ -219,8 +221,10 @@ def aws_rst_baseline(spark: SparkSession, sf: str) -> DataFrame:
 
 def _rolled(spark: SparkSession, flows: DataFrame, keys: list[str], counts, **options) -> DataFrame:
     """Moments of the baseline that was started an hour ago and moved on by one."""
-    baseline = RollingBaseline(spark, new_kept_path(spark), keys, counts, **options)
+    path = new_kept_path(spark)
+    baseline = RollingBaseline(spark, path, keys, counts, **options)
     baseline.start(flows, NOW - timedelta(hours=1))
+    remove_at_exit(spark, path)
     baseline.advance(flows, NOW)
     return baseline.moments(NOW)
 
@@ -537,14 +541,27 @@ _CUT = {
 
 
 def admitted_records(spark: SparkSession, sf: str) -> DataFrame:
-    """Per source how many records came, were admitted, and are in the quarantine, when some were cut off."""
+    """Per source how many records came, were admitted, and are in the quarantine, when some were cut off.
+
+    One source comes as JSON lines, one from a table that was written by day.
+    """
     found = None
     for name, column in _CUT.items():
         rows = getattr(i, name)(spark, sf)
         text = F.col(column)
         cut = F.unix_seconds("recorded_at") % 97 == 0
         broken = rows.withColumn(column, F.when(cut, F.substring(text, 1, 20)).otherwise(text))
-        good, bad = admit(broken, name, new_kept_path(spark))
+        written, path = new_kept_path(spark), new_kept_path(spark)
+        if name == "cloudtrail":
+            broken.write.json(written)
+            remove_at_exit(spark, written)
+            broken = read_source(spark, name, written, "json", keep_corrupt=True)
+        elif name == "aws_config":
+            materialize(broken, path=written, date_column="recorded_at")
+            remove_at_exit(spark, written)
+            broken = read_source(spark, name, written)
+        good, bad = admit(broken, name, path)
+        remove_at_exit(spark, path)
         counts = good.select(F.lit(1).alias("a"), F.lit(0).alias("q")).unionByName(bad.select(F.lit(0).alias("a"), F.lit(1).alias("q")))
         counts = counts.agg(F.count("*").alias("records"), F.sum("a").alias("admitted"), F.sum("q").alias("quarantined"))
         counts = counts.withColumn("source", F.lit(name))

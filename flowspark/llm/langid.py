@@ -44,7 +44,9 @@ _FACTORS = np.array([0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D], np.uint64)
 def letters_of(text: str | None) -> str:
     """Lower-cased letters with their marks, with one space for everything between them; empty without a letter."""
     lowered = (text or "").lower()
-    return (_NOT_LETTERS if _MARKS_AND_NUMBERS.search(lowered) else _PLAIN_NOT_LETTERS).sub(" ", lowered).strip()
+    found = "" if _MARKS_AND_NUMBERS.search(lowered) else _PLAIN_NOT_LETTERS.sub(" ", lowered).strip()
+    # The plain pattern knows fewer scripts: where it finds nothing, the other one decides.
+    return found or _NOT_LETTERS.sub(" ", lowered).strip()
 
 
 def gram_counts(letters: str) -> np.ndarray:

@@ -23,6 +23,20 @@ _SEPARATORS = bytes(b for b in range(128) if not (48 <= b <= 57 or 65 <= b <= 90
 WORD_TABLE = bytes(32 if b in _SEPARATORS else b + 32 if 65 <= b <= 90 else b for b in range(256))
 
 
+_CACHES: list[Callable[[], None]] = []
+
+
+def forgettable(clear: Callable[[], None]) -> None:
+    """Registers how to drop what an operator remembers in a worker process from task to task."""
+    _CACHES.append(clear)
+
+
+def forget() -> None:
+    """Drops it, where another operator's task begins: worker processes serve many."""
+    for clear in _CACHES:
+        clear()
+
+
 def words_of(text: str | None) -> list[bytes]:
     """The words `[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+` of a text with A-Z lower-cased, as UTF-8; none for null."""
     return [] if text is None else text.encode("utf-8", "surrogatepass").translate(WORD_TABLE).split()
@@ -133,6 +147,7 @@ def keep_rows(docs: DataFrame, decider: Callable[[], Callable[[list[str | None]]
     text = f"c{names.index('text')}"
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         decide = decider()
         for batch in slices(batches, text):
             yield batch.filter(pa.array(decide(batch.column(text).to_pylist()), pa.bool_()))

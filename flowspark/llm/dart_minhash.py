@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from flowspark.llm.common import WORD_TABLE, Scratch, slices
+from flowspark.llm.common import WORD_TABLE, Scratch, forget, slices
 from flowspark.llm.graph import components
 from flowspark.llm.hashing import as_signed, mix, odd, salt, word_hashes
 
@@ -118,6 +118,7 @@ def _per_text(name: str, of):
     """Adds an array of longs to each different node of a batch."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         for batch in slices(batches):
             firsts = dict(reversed(list(zip(batch.column("node").to_pylist(), batch.column("text").to_pylist()))))
             values = pa.array([of(t) for t in firsts.values()], pa.list_(pa.int64()))

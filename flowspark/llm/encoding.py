@@ -11,6 +11,8 @@ from functools import lru_cache
 
 from tokenizers import Tokenizer
 
+from flowspark.llm.common import forgettable
+
 # A task has one core; the library's own threads would only compete.
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
@@ -146,3 +148,6 @@ class TextEncoder:
 def encoder(path: str) -> TextEncoder:
     """One encoder a worker process."""
     return TextEncoder(path)
+
+
+forgettable(encoder.cache_clear)

@@ -255,3 +255,24 @@ def test_kept_hours_order_one_row_a_stretch(spark):
     hours = beacon_stretches(flows.withColumn("ended", F.col("began")), **FLOWS, start="began", end="ended")
     assert hours.where("edge is not null").count() <= 5 and hours.count() >= 20_000
     assert beacons_of(hours, **FLOWS, **ALL).count() == 0
+
+
+def test_rows_without_an_address_meet_in_no_task(spark):
+    """Where no address is cut into parts, too: all parts are 0 there, and a constant is no key."""
+    left = spark.range(400).selectExpr("if(id % 10 = 0, cast(id as string), null) as ip", "timestamp_seconds(id) as ts", "cast(id as int) as n")
+    right = spark.range(400).selectExpr("cast(id as string) as addr", "timestamp_seconds(id - 5) as start_ts", "cast(null as timestamp) as end_ts", "id as holder")
+    kept = {name: spark.conf.get(name) for name in ("spark.sql.adaptive.enabled", "spark.sql.autoBroadcastJoinThreshold")}
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = lifetime_join(
+            left, right, left_ip="ip", left_time="ts", right_ip="addr", right_start="start_ts", right_end="end_ts",
+            spread_by=["n"], size=size_by(right, "addr"), broadcast_limit=0,
+        )
+        rows = got.withColumn("task", F.spark_partition_id()).collect()
+    finally:
+        for name, value in kept.items():
+            spark.conf.set(name, value)
+    lost = [r["task"] for r in rows if r["ip"] is None]
+    assert len(lost) == 360 and all(lost.count(task) < 180 for task in lost)
+    assert sorted((r["n"], r["holder"]) for r in rows if r["ip"] is not None) == [(n, n) for n in range(0, 400, 10)]

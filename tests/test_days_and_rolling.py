@@ -11,7 +11,7 @@ from flowspark.functions import is_distinct
 from flowspark.functions.times import PARTITION_DAY
 from flowspark.operators.moments import combined, deviation, mean, moments_of
 from flowspark.plans import ENTITY_VIEWS, EntityDays, RollingBaseline
-from flowspark.sources import admit, materialize, read_source, replace_partitions
+from flowspark.sources import admit, cut_lineage, materialize, read_source, replace_partitions
 from workload import inputs
 
 SMALL = "/root/testdata/sf0.001"
@@ -227,3 +227,18 @@ def test_admitted_and_quarantined_are_all(spark, tmp_path):
 def test_records_without_json_are_admitted(spark, tmp_path):
     admitted, bad = admit(spark.createDataFrame([("1.1.1.1",)], "ioc_value string"), "iocs", str(tmp_path / "i"))
     assert admitted.count() == 1 and bad.count() == 0
+
+
+def test_json_text_takes_no_part_in_the_joins_of_azure_flows(spark):
+    """It is fetched by its digest, where it is asked for, and is what it was."""
+    nics = op.azure_nics(inputs.azure_logs(spark, SMALL), inputs.azure_collect_network_interfaces(spark, SMALL), now=NOW)
+    vms = op.azure_vms(inputs.azure_logs(spark, SMALL), inputs.azure_collect_virtual_machines(spark, SMALL), now=NOW)
+    lifetimes = cut_lineage(op.azure_lifetimes(cut_lineage(op.azure_vms_nics(vms, nics))))
+    flows = op.azure_flow_logs(inputs.azure_flow_logs_raw(spark, SMALL))
+    joined = op.azure_flow_logs_join_lifetimes(flows, lifetimes, broadcast_limit=0)
+    plan = plan_of(joined.select("src_addr", "src_vm_id", "dst_vm_tags"))
+    assert "vm_id" in plan and not any(text in plan for text in ("vm_properties", "nic_properties", "ip_configuration"))
+    sides = [joined.where(f"{s}_vm_id is not null").selectExpr(f"{s}_vm_id id", f"{s}_nic_id nic", f"{s}_vm_properties v", f"{s}_nic_properties n", f"{s}_ip_configuration i") for s in ("src", "dst")]
+    found = sides[0].unionByName(sides[1]).distinct()
+    stored = lifetimes.selectExpr("vm_id id", "nic_id nic", "vm_properties v", "nic_properties n", "ip_configuration i").distinct()
+    assert found.count() and found.exceptAll(stored).isEmpty()

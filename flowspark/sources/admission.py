@@ -37,7 +37,8 @@ def admit(df: DataFrame, name: str, path: str) -> tuple[DataFrame, DataFrame]:
     lines that are no JSON are in the quarantine, too.
     """
     marked = df.withColumn("bad_record", F.coalesce(bad_record(name, df.columns), F.lit("")))
-    marked.write.mode("overwrite").partitionBy("bad_record").parquet(path)
+    # Records are JSON text, which zstd makes much smaller than the default does.
+    marked.write.mode("overwrite").partitionBy("bad_record").option("compression", "zstd").parquet(path)
     written = df.sparkSession.read.schema(marked.schema).parquet(path)
     good = F.coalesce(F.col("bad_record"), F.lit("")) == ""
     return written.where(good).drop("bad_record", CORRUPT), written.where(~good)

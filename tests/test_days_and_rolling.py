@@ -229,6 +229,11 @@ def test_records_without_json_are_admitted(spark, tmp_path):
     assert admitted.count() == 1 and bad.count() == 0
 
 
+def test_admitted_records_are_written_small(spark, tmp_path):
+    good, bad = admit(inputs.aws_config(spark, SMALL), "aws_config", str(tmp_path / "admitted"))
+    assert good.count() and all(".zstd." in f for f in good.inputFiles())
+
+
 def test_json_text_takes_no_part_in_the_joins_of_azure_flows(spark):
     """It is fetched by its digest, where it is asked for, and is what it was."""
     nics = op.azure_nics(inputs.azure_logs(spark, SMALL), inputs.azure_collect_network_interfaces(spark, SMALL), now=NOW)

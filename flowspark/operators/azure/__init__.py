@@ -10,6 +10,7 @@ from .security import (
     azure_denied_baseline_of,
     azure_denied_baseline_of_moments,
     azure_denied_counts,
+    azure_denied_flows,
     azure_hourly_denied,
     azure_ioc_connections,
     azure_listed_flows,
@@ -22,6 +23,7 @@ __all__ = [
     "azure_denied_baseline_of",
     "azure_denied_baseline_of_moments",
     "azure_denied_counts",
+    "azure_denied_flows",
     "azure_flow_logs",
     "azure_flow_logs_join_lifetimes",
     "azure_flow_logs_join_vm_nics",

@@ -3,6 +3,7 @@
 from datetime import date, datetime, timedelta, timezone
 
 import pytest
+import workload.queries
 from conftest import NOW, as_set, optimized, plan_of
 from pyspark.sql import functions as F
 
@@ -229,6 +230,26 @@ def test_records_without_json_are_admitted(spark, tmp_path):
     assert admitted.count() == 1 and bad.count() == 0
 
 
+@pytest.mark.parametrize(
+    "name, column, counted",
+    [
+        ("azure_denied_baseline_rolling", "traffic_decision", "traffic_decision = 'DENIED'"),
+    ],
+)
+def test_rolling_queries_keep_only_what_they_count(spark, monkeypatch, name, column, counted):
+    kept = []
+
+    def keep(df):
+        kept.append(cut_lineage(df))
+        return kept[-1]
+
+    monkeypatch.setattr(workload.queries, "cut_lineage", keep)
+    workload.queries.QUERIES[name](spark, SMALL)
+    flows = [df for df in kept if column in df.columns]
+    assert len(flows) == 1 and not flows[0].isEmpty()
+    assert flows[0].where(f"({counted}) is not true").isEmpty()
+
+
 def test_admitted_records_are_written_small(spark, tmp_path):
     good, bad = admit(inputs.aws_config(spark, SMALL), "aws_config", str(tmp_path / "admitted"))
     assert good.count() and all(".zstd." in f for f in good.inputFiles())

@@ -11,6 +11,7 @@ from .security import (
     gcp_ioc_connections,
     gcp_listed_flows,
     gcp_miss_counts,
+    gcp_missed_flows,
     gcp_port_scanning,
     gcp_port_scanning_of,
 )
@@ -28,6 +29,7 @@ __all__ = [
     "gcp_ioc_connections",
     "gcp_listed_flows",
     "gcp_miss_counts",
+    "gcp_missed_flows",
     "gcp_port_scanning",
     "gcp_port_scanning_of",
     "gcp_vms",

@@ -234,6 +234,7 @@ def test_records_without_json_are_admitted(spark, tmp_path):
     "name, column, counted",
     [
         ("azure_denied_baseline_rolling", "traffic_decision", "traffic_decision = 'DENIED'"),
+        ("gcp_connect_baseline_rolling", "bytes", "start_time = end_time and bytes = 0"),
     ],
 )
 def test_rolling_queries_keep_only_what_they_count(spark, monkeypatch, name, column, counted):

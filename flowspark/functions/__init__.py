@@ -1,4 +1,4 @@
-from .jsontext import as_json, canonical_json, document, explode_parsed, field, parse_once
+from .jsontext import apart, as_json, canonical_json, document, explode_parsed, field, parse_once
 from .marks import is_distinct, marked_distinct
 from .tags import tag, tags_to_map
 from .text import nth, text_or_null
@@ -18,6 +18,7 @@ from .times import (
 
 __all__ = [
     "ago",
+    "apart",
     "as_json",
     "canonical_json",
     "day_index",

@@ -15,6 +15,9 @@ from flowspark.operators import (
     azure_vms,
     azure_vms_nics,
 )
+from workload import inputs
+
+SMALL = "/root/testdata/sf0.001"
 
 
 def nic_row(nic, at, ips=("10.0.0.1",), tags=None, **extra):
@@ -217,3 +220,19 @@ def test_same_properties_in_other_words_are_one_version(rows):
         ('{"a":1,"networkProfile":{"networkInterfaces":[]}}', "2024-01-11 00:00:00"),
         ('{"a":2,"networkProfile":{"networkInterfaces":[]}}', "2024-01-12 00:00:00"),
     ]
+
+
+@pytest.mark.parametrize("name", ["azure_flow_logs_raw", "gcp_audit_logs"])
+def test_records_are_built_apart_from_their_parser(spark, name):
+    raw = getattr(inputs, name)(spark, SMALL)
+    text = "flow_raw" if "flow_raw" in raw.columns else "raw"
+    lines = optimized(raw.select(F.from_json(text, "category string, insertId string").alias("r"))).splitlines()
+    assert not any("from_json" in line and "concat" in line and "10.0." in line for line in lines)
+    assert not [line for line in lines if "from_json" in line and "srcaddr" in line]
+
+
+@pytest.mark.parametrize(
+    "name", ["azure_logs", "azure_collect_network_interfaces", "azure_collect_virtual_machines", "aws_config", "cloudtrail"]
+)
+def test_records_are_built_by_compiled_expressions(spark, name):
+    assert "lambdafunction" not in optimized(getattr(inputs, name)(spark, SMALL))

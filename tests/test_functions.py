@@ -97,3 +97,12 @@ def test_json_is_parsed_once_under_filters(spark):
     )
     assert exploded._jdf.queryExecution().optimizedPlan().toString().count("from_json") == 1
     assert [r.x for r in exploded.collect()] == ["x", "y"]
+
+
+def test_columns_apart_are_not_merged_into_parsers(spark):
+    df = spark.createDataFrame([("1", 2), (None, 3)], "a string, n int")
+    built = df.select(F.when(F.col("a").isNotNull(), F.to_json(F.struct("a"))).alias("t"), "n")
+    parsed = f.apart(built, "t").select(F.from_json("t", "a string").alias("r"), "n")
+    lines = parsed._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    assert not any("from_json" in line and "StructsToJson" in line for line in lines)
+    assert [(r.r and r.r.a, r.n) for r in parsed.collect()] == [("1", 2), (None, 3)]

@@ -99,6 +99,14 @@ def test_json_is_parsed_once_under_filters(spark):
     assert [r.x for r in exploded.collect()] == ["x", "y"]
 
 
+def test_tag_lists_are_read_once(spark):
+    texts = ['[{"k": "a", "v": "1"}, {"k": "b", "v": null}, {"k": "a", "v": "2"}, {"v": "3"}, {"k": "c"}]', "[]", None]
+    df = spark.createDataFrame([(t,) for t in texts], "t string").withColumn("doc", f.document(F.col("t")))
+    read = df.select(f.tags_to_map(f.field(F.col("doc"), "$", "array<map<string,string>>"), "k", "v").alias("m"))
+    assert read._jdf.queryExecution().optimizedPlan().toString().count("variant_get") == 1
+    assert [r.m for r in read.collect()] == [{"a": "2", "b": None}, {}, None]
+
+
 def test_columns_apart_are_not_merged_into_parsers(spark):
     df = spark.createDataFrame([("1", 2), (None, 3)], "a string, n int")
     built = df.select(F.when(F.col("a").isNotNull(), F.to_json(F.struct("a"))).alias("t"), "n")

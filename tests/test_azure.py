@@ -15,7 +15,7 @@ from flowspark.operators import (
     azure_vms,
     azure_vms_nics,
 )
-from workload import inputs
+from workload import inputs, queries
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -236,3 +236,13 @@ def test_records_are_built_apart_from_their_parser(spark, name):
 )
 def test_records_are_built_by_compiled_expressions(spark, name):
     assert "lambdafunction" not in optimized(getattr(inputs, name)(spark, SMALL))
+
+
+@pytest.mark.parametrize("name", ["azure_denied_baseline", "azure_port_scanning"])
+def test_denied_flows_alone_are_enriched(spark, monkeypatch, name):
+    seen, join = [], queries.op.azure_flow_logs_join_lifetimes
+    monkeypatch.setattr(
+        queries.op, "azure_flow_logs_join_lifetimes", lambda flows, *more: seen.append(flows) or join(flows, *more)
+    )
+    queries.QUERIES[name](spark, SMALL)
+    assert [r[0] for r in seen[0].select("traffic_decision").distinct().collect()] == ["DENIED"]

@@ -1,7 +1,8 @@
 import json
+import re
 
 import pytest
-from conftest import NOW, as_set, carried, optimized
+from conftest import NOW, as_set, carried, optimized, plan_of
 from pyspark.sql import functions as F
 
 from flowspark import schemas
@@ -246,3 +247,13 @@ def test_denied_flows_alone_are_enriched(spark, monkeypatch, name):
     )
     queries.QUERIES[name](spark, SMALL)
     assert [r[0] for r in seen[0].select("traffic_decision").distinct().collect()] == ["DENIED"]
+
+
+def test_versions_of_nics_are_sorted_once(rows):
+    nics = azure_nics(rows(schemas.AZURE_LOGS, {}), rows(schemas.AZURE_COLLECT_NETWORK_INTERFACES, {}), now=NOW)
+    lines = plan_of(nics).splitlines()
+    chosen = [n for n, line in enumerate(lines) if re.search(r"SortAggregate\(key=\[nic_id#\d+\], functions=\[partial", line)]
+    assert chosen
+    for n in chosen:
+        below = next(line for line in lines[n + 1 :] if "Project" not in line)
+        assert "SortAggregate" in below, below

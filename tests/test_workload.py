@@ -4,6 +4,7 @@ import duckdb
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
+from workload import inputs
 from workload.queries import QUERIES
 
 SMALL = "/root/testdata/sf0.001"
@@ -38,5 +39,16 @@ def test_query_equals_sql(spark, duck, name):
     assert mine, "a query over whole tables should find something"
 
 
+def test_rows_of_records_are_dealt_to_tasks_of_some_size(spark, tmp_path, monkeypatch):
+    """As many tasks as rows ask for, not only one per core; rows that flows are made of stay where they are read."""
+    monkeypatch.setattr(inputs, "ROWS_A_TASK", 50)
+    for name in ("orders", "lineitem"):
+        spark.range(2000).coalesce(1).write.parquet(f"{tmp_path}/{name}.parquet")
+    orders = inputs.table(spark, str(tmp_path), "orders")
+    assert orders.count() == orders.distinct().count() == 2000
+    assert max(orders.rdd.glom().map(len).collect()) <= 100
+    assert inputs.table(spark, str(tmp_path), "lineitem").rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+
+
 def test_entry(spark):
     assert entry(spark).count() == 3

@@ -13,6 +13,7 @@ from flowspark.operators.joins import (
     _edges,
     _packed,
     both_ends_join,
+    both_lifetimes_join,
     candidate_join,
     id_join,
     is_small,
@@ -310,3 +311,51 @@ def test_rows_without_an_address_meet_in_no_task(spark):
     lost = [r["task"] for r in rows if r["ip"] is None]
     assert len(lost) == 360 and all(lost.count(task) < 180 for task in lost)
     assert sorted((r["n"], r["holder"]) for r in rows if r["ip"] is not None) == [(n, n) for n in range(0, 400, 10)]
+
+
+ENDS = dict(ends={"src": "src", "dst": "dst"}, left_time="t", right_ip="addr", right_start="s", right_end="u", identity="e", spread_by=["n"])
+
+
+@pytest.mark.parametrize("part_bytes", [1 << 20, 100])
+def test_both_lifetimes_join_equals_two_joins_of_distinct_rows(spark, part_bytes):
+    rng = random.Random(part_bytes)
+    at = lambda: BASE + timedelta(minutes=rng.randrange(9000) * 7)
+    ip = lambda: maybe(rng, f"{rng.choice(['10.0.0', '10.0.1', '192.0.2'])}.{rng.randrange(2)}")
+    flows = [(n % 50, ip(), ip(), maybe(rng, at()), maybe(rng, rng.randrange(3))) for n in range(150)]
+    left = spark.createDataFrame(flows + flows[::2], "n int, src string, dst string, t timestamp, port int")
+    lives = [(n % 12, f"10.0.{rng.randrange(2)}.{rng.randrange(2)}", at(), maybe(rng, at(), 0.3), rng.randrange(3), {"k": str(n % 12)}) for n in range(60)]
+    right = spark.createDataFrame(lives, "e int, addr string, s timestamp, u timestamp, sub int, m map<string,string>")
+    right = merge_lifetimes(right, ["e", "addr", "sub"], "s", "u", ["m"]).withColumnRenamed("m", "tags")
+    size = size_by(right, "addr")
+    got = both_lifetimes_join(
+        left, right, **ENDS, condition=lambda held: held["sub"] == F.col("n") % 3, size=size, distinct=False, part_bytes=part_bytes
+    )
+    literal = left
+    for end, extra in (("src", F.col("src_sub") == F.col("n") % 3), ("dst", F.lit(True))):
+        side = right.withColumnsRenamed({c: f"{end}_{c}" for c in right.columns})
+        alive = in_window(F.col("t"), F.col(f"{end}_s"), F.col(f"{end}_u"))
+        literal = literal.join(side, (F.col(end) == F.col(f"{end}_addr")) & alive & extra, "left")
+    seen = ["n", "src", "dst", "t", "port", "src_e", "src_addr", F.col("src_tags.k").alias("src_k"), "dst_e", "dst_addr", F.col("dst_tags.k").alias("dst_k")]
+    assert as_set(got.select(*seen)) == as_set(literal.select(*seen).distinct())
+
+
+def test_rows_with_one_held_address_are_shuffled_once(spark):
+    """Made distinct, too; and no end of rows is built into a hash map."""
+    settings = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    before = {k: spark.conf.get(k) for k in settings}
+    outside = [("10.0.0.1", "192.0.2.1"), ("192.0.2.1", "10.0.0.1"), ("192.0.2.1", "192.0.2.2"), (None, "10.0.0.1")]
+    ends = [pair for pair in outside for _ in range(50)] + [("10.0.0.1", "10.0.0.2")] * 5
+    left = spark.createDataFrame([(n, *pair, BASE) for n, pair in enumerate(ends)], "n int, src string, dst string, t timestamp")
+    right = spark.createDataFrame([(e, f"10.0.0.{e}", BASE, None) for e in (1, 2)], "e int, addr string, s timestamp, u timestamp")
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        got = both_lifetimes_join(left, right, **ENDS, condition=lambda held: F.lit(True), size=size_by(right, "addr"), distinct=False)
+        assert {(r.n, r.src_e, r.dst_e) for r in got.collect()} == {
+            (n, int(s[-1]) if s and s[0] == "1" and s[1] == "0" else None, int(d[-1]) if d[1] == "0" else None) for n, (s, d) in enumerate(ends)
+        }
+        # 205 rows by one address and 5 by the second, and the entities and their networks for each branch.
+        assert _shuffled_records(got._jdf.queryExecution().executedPlan()) <= 205 + 5 + 40
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)

@@ -11,6 +11,7 @@ from .security import (
     azure_denied_baseline_of_moments,
     azure_denied_counts,
     azure_denied_flows,
+    azure_denied_records,
     azure_hourly_denied,
     azure_ioc_connections,
     azure_listed_flows,
@@ -24,6 +25,7 @@ __all__ = [
     "azure_denied_baseline_of_moments",
     "azure_denied_counts",
     "azure_denied_flows",
+    "azure_denied_records",
     "azure_flow_logs",
     "azure_flow_logs_join_lifetimes",
     "azure_flow_logs_join_vm_nics",

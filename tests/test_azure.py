@@ -9,6 +9,8 @@ from flowspark import schemas
 from flowspark.functions import in_window
 from flowspark.operators import (
     azure_denied_baseline,
+    azure_denied_flows,
+    azure_denied_records,
     azure_flow_logs,
     azure_flow_logs_join_vm_nics,
     azure_nics,
@@ -257,3 +259,29 @@ def test_versions_of_nics_are_sorted_once(rows):
     for n in chosen:
         below = next(line for line in lines[n + 1 :] if "Project" not in line)
         assert "SortAggregate" in below, below
+
+
+def test_records_without_denied_flows_are_not_parsed(rows):
+    """However the decision is written; what the text leaves open is parsed."""
+    def record(n, tuple_text, quote='"'):
+        tuples = f"[{quote}{tuple_text}{quote}]"
+        text = f'{{"resourceId":"/s/{n}","properties":{{"flows":[{{"rule":"deny, D","flows":[{{"mac":"d","flow_tuples":{tuples}}}]}}]}}}}'
+        return {"recorded_at": "2024-01-30 00:00:00", "flow_raw": text}
+
+    start = "1706572800,10.0.0.1,10.0.0.2,1,2,T,I,"
+    denied = [record(1, start + "D,B"), record(2, start + " d "), record(3, start + "d", "'"), record(4, start + "\\u0044,B"), record(5, start + "  D ,e,1")]
+    others = [record(6, start + "A,B"), record(7, start + " c"), record(8, "d,D"), {"flow_raw": None}, {"flow_raw": "no json"}]
+    raw = rows(schemas.AZURE_FLOW_LOGS_RAW, *denied, *others)
+    found = azure_denied_flows(azure_flow_logs(azure_denied_records(raw)))
+    assert as_set(found) == as_set(azure_denied_flows(azure_flow_logs(raw))) and found.count() == 5
+    plain = rows(schemas.AZURE_FLOW_LOGS_RAW, *[{**r, "flow_raw": (r["flow_raw"] or "").replace("deny, D", "deny")} for r in (denied + others)])
+    assert sorted(r.flow_raw.split("/s/")[1][0] for r in azure_denied_records(plain).collect()) == ["1", "2", "3", "4", "5", "8"]
+
+
+@pytest.mark.parametrize("name", ["azure_denied_baseline"])
+def test_denied_queries_parse_few_records(spark, monkeypatch, name):
+    seen, parse = [], queries.op.azure_flow_logs
+    monkeypatch.setattr(queries.op, "azure_flow_logs", lambda raw: seen.append(raw) or parse(raw))
+    queries.QUERIES[name](spark, SMALL)
+    every = inputs.azure_flow_logs_raw(spark, SMALL).count()
+    assert len(seen) == 1 and 0 < seen[0].count() < every / 4

@@ -359,3 +359,17 @@ def test_rows_with_one_held_address_are_shuffled_once(spark):
     finally:
         for k, v in before.items():
             spark.conf.set(k, v)
+
+
+def test_rows_are_not_built_into_hash_maps(spark):
+    """Adaptive execution knows the size of what was shuffled, and built maps of the rows beside the packed lifetimes."""
+    kept = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    left = spark.range(500).selectExpr("cast(id % 50 as string) as ip", "timestamp_seconds(id) as t", "id as n")
+    right = spark.range(50).selectExpr("cast(id as string) as addr", "timestamp_seconds(0) as s", "cast(null as timestamp) as u", "id as e")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        got = lifetime_join(left, right, **NAMES, spread_by=["n"], size=size_by(right, "addr"), broadcast_limit=0)
+        assert len(got.collect()) == 500
+        assert "ShuffledHashJoin" not in got._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", kept)

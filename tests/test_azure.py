@@ -278,7 +278,7 @@ def test_records_without_denied_flows_are_not_parsed(rows):
     assert sorted(r.flow_raw.split("/s/")[1][0] for r in azure_denied_records(plain).collect()) == ["1", "2", "3", "4", "5", "8"]
 
 
-@pytest.mark.parametrize("name", ["azure_denied_baseline", "azure_denied_baseline_rolling"])
+@pytest.mark.parametrize("name", ["azure_denied_baseline", "azure_denied_baseline_rolling", "azure_port_scanning"])
 def test_denied_queries_parse_few_records(spark, monkeypatch, name):
     seen, parse = [], queries.op.azure_flow_logs
     monkeypatch.setattr(queries.op, "azure_flow_logs", lambda raw: seen.append(raw) or parse(raw))

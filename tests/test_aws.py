@@ -1,8 +1,9 @@
 import json
 
 import pytest
-from conftest import NOW, carried, optimized, plan_of
+from conftest import NOW, as_set, carried, optimized, plan_of
 from pyspark.sql import functions as F
+from test_joins import _shuffled_records as shuffled_records
 
 from flowspark import schemas
 from flowspark.operators import (
@@ -159,6 +160,29 @@ def test_instance_with_two_addresses_gives_two_rows(rows):
     assert aws_flow_logs_join_ec2(flows, instances).count() == 2
 
 
+def test_flows_without_a_peer_are_shuffled_once(spark, rows):
+    """They lie in one network of instances only, or in none; the result is that of the broadcast join."""
+    settings = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    before = {k: spark.conf.get(k) for k in settings}
+    instances = rows(INSTANCES, instance("i-1", "10.0.0.1", "db"), instance("i-2", "10.0.0.2", "apache"), instance("i-3", None))
+    outside = [flow(srcport=n, dstaddr="203.0.113.9") for n in range(60)] + [flow(srcport=n, instanceid=None) for n in range(60, 70)]
+    inside = [flow(srcport=90), flow(srcport=91, srcaddr="10.0.0.2", dstaddr="10.0.0.1"), flow(srcport=92, srcaddr=None), flow(srcport=93, dstaddr="10.0.0.3")]
+    flows = aws_flow_logs(rows(schemas.AWS_FLOW_LOGS, *outside, *inside))
+    seen = ["srcport", "src_instance_id", "src_tags.instance_role", "dst_instance_id", "dst_account_id", "owner_is_src"]
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        got = aws_flow_logs_join_ec2(flows, instances, broadcast_limit=0)
+        assert got.columns == aws_flow_logs_join_ec2(flows, instances).columns
+        got = got.select(*seen)
+        assert as_set(got) == as_set(aws_flow_logs_join_ec2(flows, instances).select(*seen))
+        # 74 flows by instance, the 13 that lie in the network of instances at both ends by the peer's address too, and instances.
+        assert shuffled_records(got._jdf.queryExecution().executedPlan()) <= 74 + 13 + 24
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
 @pytest.mark.parametrize("limit", [0, 1 << 20])
 def test_join_plans_have_no_nested_loop(rows, limit):
     flows = rows(schemas.AWS_FLOW_LOGS, flow())
